@@ -98,14 +98,15 @@ def clean_query(q: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
     return F.when(q == "", F.lit("")).otherwise(F.array_join(enc, "&"))
 
 
-def normalize_stages(prefixes=TRACKING_PARAM_PREFIXES) -> list[Stage]:
+def normalize_stages(prefixes=TRACKING_PARAM_PREFIXES, base: str = "base",
+                     href: str = "href") -> list[Stage]:
     """Stages from inputs ``base`` and ``href`` to output ``norm``."""
     ex = lambda src, i: (lambda g: F.regexp_extract(g(src), _URL_RE, i))
     return [
-        {"h_s": lambda g: py_strip(g("href")),
-         "b_c": lambda g: pre_clean(g("base"))},
+        {"h_s": lambda g: py_strip(g(href)),
+         "b_c": lambda g: pre_clean(g(base))},
         {"h_c": lambda g: pre_clean(g("h_s")),
-         "skip": lambda g: g("href").isNull() | (g("href") == "")
+         "skip": lambda g: g(href).isNull() | (g(href) == "")
             | starts_with_any(g("h_s"), SKIPPED_HREF_PREFIXES)},
         {**{f"h{i}": ex("h_c", i) for i in range(1, 6)},
          **{f"b{i}": ex("b_c", i) for i in range(1, 6)}},
@@ -167,10 +168,9 @@ def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
 def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
                        out_field: str = "normalized_url", prefixes=TRACKING_PARAM_PREFIXES) -> Column:
     """Add field ``out_field`` to every struct of ``arr`` (one page's anchors)."""
-    stages = normalize_stages(prefixes)
+    stages = normalize_stages(prefixes, base="__base", href=href_field)
     stages[-1] = {out_field: stages[-1]["norm"]}
-    return run_array(arr, stages, {"base": lambda x: base, "href": lambda x: x[href_field]},
-                     keep=[out_field])
+    return run_array(arr, stages, {"__base": lambda x: base}, keep=[out_field])
 
 
 def url_netloc(url: Column) -> Column:
