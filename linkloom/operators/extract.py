@@ -20,9 +20,23 @@ from ..functions.urls import is_external, normalize_in_array
 LINK_COLUMNS = ["url", "normalized_url", "anchor_text", "rel", "is_external"]
 
 
+def spread_for_parsing(pages: DataFrame) -> DataFrame:
+    """Give the CPU-bound parser at least one partition per core.
+
+    A large input already comes in many splits and is left alone; only an
+    input with fewer splits than the default parallelism (one big row group,
+    say) is spread round-robin, which costs a shuffle of that small input.
+    """
+    target = pages.sparkSession.sparkContext.defaultParallelism
+    if pages.rdd.getNumPartitions() < target:
+        return pages.repartition(target)
+    return pages
+
+
 def page_anchors(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                  html: str = "html") -> DataFrame:
     """One row per page with its anchors array (``pos, href, text, rels``)."""
+    pages = spread_for_parsing(pages.select(page_id, url, html))
     return pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("page_url"),
                         extract_anchors(F.col(html)).alias("anchors"))
 

@@ -11,7 +11,6 @@ rows.  ``dropDuplicatesWithinWatermark`` is the bounded-state option (S1).
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
