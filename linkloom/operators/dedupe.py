@@ -20,21 +20,26 @@ def first_wins(df: DataFrame, keys: Sequence[str] | str, order_cols: Sequence[st
                keep_null_keys: bool = False, descending: bool = False) -> DataFrame:
     """Keep the first row per key by ``order_cols`` (the last one with ``descending``).
 
-    Rows whose key is NULL are never folded together when ``keep_null_keys``
-    is set (a unique key lets NULLs through); otherwise they are dropped.
+    ``order_cols`` should be a total order.  Rows whose key is NULL are never
+    folded together when ``keep_null_keys`` is set (a unique key lets NULLs
+    through): such a row is partitioned on its own order tuple, so it stays
+    alone, and the input is still read once.  Otherwise they are dropped.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    not_null = F.lit(True)
+    any_null = F.lit(False)
     for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    ranked = (df.where(not_null).withColumn("__rn", F.row_number().over(w))
-              .where(F.col("__rn") == 1).drop("__rn"))
+        any_null = any_null | F.col(k).isNull()
     if keep_null_keys:
-        return ranked.unionByName(df.where(~not_null))
-    return ranked
+        alone = F.when(any_null, F.struct(*[F.col(c) for c in order_cols]))
+        w = Window.partitionBy(*keys, alone.alias("__alone")).orderBy(*order)
+        src = df
+    else:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        src = df.where(~any_null)
+    return (src.withColumn("__rn", F.row_number().over(w))
+            .where(F.col("__rn") == 1).drop("__rn"))
 
 
 def run_distinct_links(links: DataFrame, key: str = "normalized_url",

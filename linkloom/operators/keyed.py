@@ -75,19 +75,22 @@ def upsert_pages(batch: DataFrame, target: DataFrame | None, seq_col: str,
         new = dense_rank_rows(items, [seq_col], out="id", start=1)
         return new.withColumn("meta_description", F.lit(None).cast("string")).select(*cols)
 
+    # stored rows: a left join, so the page table is shuffled once; batch
+    # rows that match take the seven new values, the rest keep theirs
     t = target.alias("t")
     b = items.alias("b")
-    merged = t.join(b, F.col("t.url") == F.col("b.url"), "full_outer")
-    matched = merged.where(F.col("t.url").isNotNull() | F.col("t.id").isNotNull())
-    updated = matched.select(
+    hit = F.col("b.url").isNotNull()
+    updated = t.join(b, F.col("t.url") == F.col("b.url"), "left").select(
         F.col("t.id").alias("id"), F.col("t.url").alias("url"),
-        *[F.when(F.col("b.url").isNotNull(), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+        *[F.when(hit, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
           for c in ["status_code", "title"]],
         F.col("t.meta_description").alias("meta_description"),
-        *[F.when(F.col("b.url").isNotNull(), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+        *[F.when(hit, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
           for c in ["html_content", "content_length", "link_depth", "fetched_at", "content_hash"]],
     )
-    inserted = merged.where(F.col("t.id").isNull()).select("b.*")
+    # new urls (and NULL urls, which never conflict): anti join on the url column only
+    stored_urls = target.select("url").where(F.col("url").isNotNull())
+    inserted = items.join(stored_urls, "url", "left_anti")
     base = next_id_base(target)
     new = dense_rank_rows(inserted, [seq_col], out="id", start=base + 1) \
         .withColumn("meta_description", F.lit(None).cast("string")).select(*cols)

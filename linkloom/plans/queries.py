@@ -123,7 +123,8 @@ def _run_links(spark, sf):
 def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     """Links of '#top' pages are stored; the whole run is inserted
     again; the result is the rows appended, with their new ids."""
-    links = _run_links(spark, sf)
+    # both the stored part and the batch come from one parse of the pages
+    links = _run_links(spark, sf).checkpoint(eager=True)
     pages = table(spark, sf, "pages").select("page_id", F.col("url").alias("page_url"))
     first = links.join(pages.where(F.col("page_url").endswith("#top")).select("page_id"), "page_id")
     target = insert_if_absent(first, None, "normalized_url", ["page_id", "pos"])
