@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import reliable_checkpoint
 
 MAX_OFFSET_ROWS = 1_000_000
 
@@ -28,13 +28,11 @@ def dense_rank_rows(df: DataFrame, order_cols: Sequence[str], out: str = "rn",
     repeatable.
     """
     spark = df.sparkSession
-    shared_dir(spark)  # make sure the checkpoint folder is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = (ordered.withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = reliable_checkpoint(ordered.withColumn("__pid", F.spark_partition_id())
+                                 .withColumn("__mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect()
     if len(counts) > MAX_OFFSET_ROWS:
         raise ValueError("too many partitions for an offsets table")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..config import (RELABEL_BATCH_SIZE, RELABEL_MAX_BATCHES, RETRY_FIRST_WAIT, RETRY_MAX_WAIT,
                       RETRY_TRIES, TAXONOMY)
 from ..functions.prompts import parse_label, system_prompt, user_prompt
+from ..session import reliable_checkpoint
 from ..sources.tables import RELABEL_SCAN_COLUMNS, ensure_column
 from .ids import dense_rank_rows
 
@@ -101,7 +102,7 @@ def label_residue(links: DataFrame, complete: Complete, taxonomy: Sequence[str]
                    first_wait, max_wait, sleep)
     labelled = prompts.mapInPandas(fn, "id long, raw string, label string")
     if checkpoint:
-        labelled = labelled.checkpoint(eager=True)
+        labelled = reliable_checkpoint(labelled)
     ranked = dense_rank_rows(labelled, ["id"], out="rn", start=0)
     return ranked.withColumn("batch_no", (F.floor(F.col("rn") / batch_size) + 1).cast("int")).drop("rn")
 

@@ -20,7 +20,7 @@ from ..operators.extract import anchor_rows, page_links
 from ..operators.ids import dense_rank_rows
 from ..operators.keyed import insert_if_absent, upsert_pages
 from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts
-from ..session import scratch_path
+from ..session import reliable_checkpoint, scratch_path
 from ..sources.export import export_categories, read_export
 from ..sources.tables import apply_column_map, ensure_column
 from .catalog import OLD_TS, PAGES_ROOT, RUN_TS, SHOP_ROOT, shop_links, table
@@ -124,7 +124,7 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     """Links of '#top' pages are stored; the whole run is inserted
     again; the result is the rows appended, with their new ids."""
     # both the stored part and the batch come from one parse of the pages
-    links = _run_links(spark, sf).checkpoint(eager=True)
+    links = reliable_checkpoint(_run_links(spark, sf))
     pages = table(spark, sf, "pages").select("page_id", F.col("url").alias("page_url"))
     first = links.join(pages.where(F.col("page_url").endswith("#top")).select("page_id"), "page_id")
     target = insert_if_absent(first, None, "normalized_url", ["page_id", "pos"])

@@ -70,3 +70,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}") if "://" not in base \
         else f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Cut lineage with a reliable checkpoint in the shared folder (never local)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.hashing import content_hash, page_changes
 from linkloom.operators.ids import dense_rank_rows
 from linkloom.operators.keyed import insert_if_absent, upsert_pages
+from linkloom.session import reliable_checkpoint
 
 
 def test_insert_if_absent_first_row_wins_and_is_repeatable(spark):
@@ -42,7 +43,7 @@ def test_upsert_twice_equals_once(spark):
                                   "url string, seq int, status_code int, title string, html_content string,"
                                   " content_length int, link_depth int")
     ts = F.lit("2024-01-01").cast("timestamp")
-    once = upsert_pages(batch, None, "seq", run_ts=ts).checkpoint()
+    once = reliable_checkpoint(upsert_pages(batch, None, "seq", run_ts=ts))
     twice = upsert_pages(batch, once, "seq", run_ts=ts)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
 
