@@ -1,20 +1,22 @@
-"""Run a chain of named column stages either over rows or over array elements.
+"""Run a chain of named column stages over rows or over array elements.
 
 A long expression built in Python repeats every sub-expression it reuses;
-nesting such expressions grows the plan exponentially.  A stage names its
-results, and later stages refer to them by name; each stage is one
-``transform`` over an array of structs, so every named result is computed
-once and the plan grows linearly with the number of stages.
-
-* array mode extends every element of an existing array (for example all
-  anchors of one page, normalised in place, with no explode or shuffle);
-* row mode runs the same stages over a one-element array per row.
+nesting such expressions grows the plan exponentially, and a filter on the
+result gets pushed below plain projections and inlined again.  A stage names
+its results and later stages refer to them by name.  Each stage is bound once
+with a "let": ``element_at(transform(array(struct(stage fields)), v -> rest), 1)``,
+so every named result is computed once per row and the plan grows linearly
+with the number of stages.  Only a stage's own fields are put in its struct;
+nothing is copied forward.
+
+* ``run_array`` adds the final results to every struct element of an array
+  (for example all anchors of one page, with no explode or shuffle);
+* ``run_rows`` adds them as columns of a DataFrame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,44 +25,48 @@ Getter = Callable[[str], Column]
 Stage = dict[str, Callable[[Getter], Column]]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def chain(stages: list[Stage], env: dict[str, Column], outputs: list[str]) -> Column:
+    """A struct of ``outputs`` computed by the stages from the columns in ``env``."""
+    def build(i: int, env: dict[str, Column]) -> Column:
+        if i == len(stages):
+            return F.struct(*[env[o].alias(o) for o in outputs])
+        st = stages[i]
+        g: Getter = lambda n: env[n]
+        fields = F.struct(*[fn(g).alias(name) for name, fn in st.items()])
+
+        def body(v: Column) -> Column:
+            return build(i + 1, {**env, **{name: v[name] for name in st}})
+        return let(fields, body)
+    return build(0, dict(env))
+
+
 def run_rows(df: DataFrame, stages: list[Stage], inputs: dict[str, Column],
              outputs: dict[str, str]) -> DataFrame:
-    """Add ``outputs`` (result name -> new column name) to ``df``.
-
-    The stages run inside a one-element array, so each named result is bound
-    once by a lambda.  A chain of plain projections would not survive the
-    optimizer: a filter on the output is pushed below every projection and
-    each shared result gets inlined again, which grows the plan exponentially.
-    """
-    seed = F.array(F.struct(*[c.alias(k) for k, c in inputs.items()]))
-    done = run_array(seed, stages, {k: _field(k) for k in inputs}, keep=list(outputs))
+    """Add ``outputs`` (result name -> new column name) to ``df``."""
     tmp = "__staged_result"
-    out = df.withColumn(tmp, F.element_at(done, 1))
+    out = df.withColumn(tmp, chain(stages, inputs, list(outputs)))
     return out.withColumns({new: F.col(tmp)[name] for name, new in outputs.items()}).drop(tmp)
 
 
 def run_array(arr: Column, stages: list[Stage], inputs: dict[str, Callable[[Column], Column]],
-              keep: list[str]) -> Column:
-    """Extend every struct element of ``arr`` with the stage results named in ``keep``.
+              keep: list[str], fields: list[str] | None = None) -> Column:
+    """Add the results named in ``keep`` to every struct element of ``arr``.
 
-    ``inputs`` maps a name to a function of the element.  Intermediate fields
-    are dropped at the end; the element's own fields stay.
+    ``inputs`` maps a name to a function of the element; ``fields`` lists
+    element fields the stages read by name.
     """
-    def add(x: Column, fields: dict[str, Column]) -> Column:
-        return reduce(lambda acc, kv: acc.withField(kv[0], kv[1]), fields.items(), x)
-
-    cur = F.transform(arr, lambda x: add(x, {k: f(x) for k, f in inputs.items()}))
-    temp = list(inputs)
-    def step(st: Stage) -> Callable[[Column], Column]:
-        # one-argument lambda: transform passes the index to two-argument ones
-        return lambda x: add(x, {name: fn(lambda n: x[n]) for name, fn in st.items()})
-
-    for st in stages:
-        cur = F.transform(cur, step(st))
-        temp += list(st)
-    drop = [t for t in dict.fromkeys(temp) if t not in keep]
-    return F.transform(cur, lambda x: x.dropFields(*drop)) if drop else cur
-
-
-def _field(name: str) -> Callable[[Column], Column]:
-    return lambda x: x[name]
+    def per_element(x: Column) -> Column:
+        env = {k: f(x) for k, f in inputs.items()}
+        for name in fields or []:
+            env[name] = x[name]
+        res = chain(stages, env, keep)
+        out = x
+        for k in keep:
+            out = out.withField(k, res[k])
+        return out
+    return F.transform(arr, per_element)

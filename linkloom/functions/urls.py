@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SKIPPED_HREF_PREFIXES, TRACKING_PARAM_PREFIXES
-from .staged import Stage, run_array, run_rows
+from .staged import Stage, chain, let, run_array, run_rows
 from .strings import py_strip, starts_with_any
 
 # scheme (1), '//'+authority marker (2), authority (3), path (4), query (5).
@@ -98,24 +98,33 @@ def clean_query(q: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
     return F.when(q == "", F.lit("")).otherwise(F.array_join(enc, "&"))
 
 
-def normalize_stages(prefixes=TRACKING_PARAM_PREFIXES, base: str = "base",
-                     href: str = "href") -> list[Stage]:
-    """Stages from inputs ``base`` and ``href`` to output ``norm``."""
+BASE_FIELDS = ["bs", "b3", "b5", "bpath", "bad_b"]
+
+
+def base_stages(base: str = "base") -> list[Stage]:
+    """Stages that parse the page URL (shared by all of a page's anchors)."""
+    ex = lambda src, i: (lambda g: F.regexp_extract(g(src), _URL_RE, i))
+    return [
+        {"b_c": lambda g: pre_clean(g(base))},
+        {f"b{i}": ex("b_c", i) for i in range(1, 6)},
+        {"bs": lambda g: F.lower(g("b1")),
+         "bpath": lambda g: drop_last_params(g("b4")),
+         "bad_b": lambda g: bad_netloc(g("b2"), g("b3"))},
+    ]
+
+
+def href_stages(prefixes=TRACKING_PARAM_PREFIXES, href: str = "href") -> list[Stage]:
+    """Stages from ``href`` and the base fields (``BASE_FIELDS``) to ``norm``."""
     ex = lambda src, i: (lambda g: F.regexp_extract(g(src), _URL_RE, i))
     return [
-        {"h_s": lambda g: py_strip(g(href)),
-         "b_c": lambda g: pre_clean(g(base))},
+        {"h_s": lambda g: py_strip(g(href))},
         {"h_c": lambda g: pre_clean(g("h_s")),
          "skip": lambda g: g(href).isNull() | (g(href) == "")
             | starts_with_any(g("h_s"), SKIPPED_HREF_PREFIXES)},
-        {**{f"h{i}": ex("h_c", i) for i in range(1, 6)},
-         **{f"b{i}": ex("b_c", i) for i in range(1, 6)}},
+        {f"h{i}": ex("h_c", i) for i in range(1, 6)},
         {"hs": lambda g: F.lower(g("h1")),
-         "bs": lambda g: F.lower(g("b1")),
          "hpath": lambda g: drop_last_params(g("h4")),
-         "bpath": lambda g: drop_last_params(g("b4")),
          "base_only": lambda g: g("h4").isin("", ";"),
-         "bad_b": lambda g: bad_netloc(g("b2"), g("b3")),
          "bad_h": lambda g: bad_netloc(g("h2"), g("h3"))},
         {"eff": lambda g: F.when(g("hs") != "", g("hs")).otherwise(g("bs")),
          # an explicit other scheme, or an authority, makes the reference absolute as written
@@ -157,6 +166,16 @@ def normalize_stages(prefixes=TRACKING_PARAM_PREFIXES, base: str = "base",
     ]
 
 
+def normalize_stages(prefixes=TRACKING_PARAM_PREFIXES, base: str = "base",
+                     href: str = "href") -> list[Stage]:
+    """All stages from inputs ``base`` and ``href`` to output ``norm``.
+
+    The base stages depend on nothing from the href side and the first href
+    stages on nothing from the base side, so they share levels."""
+    b, h = base_stages(base), href_stages(prefixes, href)
+    return [{**b[i], **h[i]} for i in range(len(b))] + h[len(b):]
+
+
 def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
                         out: str = "normalized_url", prefixes=TRACKING_PARAM_PREFIXES) -> DataFrame:
     """Add ``out``: the absolute, normalised URL of ``href`` on page ``base`` (NULL when dropped)."""
@@ -167,10 +186,16 @@ def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
 
 def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
                        out_field: str = "normalized_url", prefixes=TRACKING_PARAM_PREFIXES) -> Column:
-    """Add field ``out_field`` to every struct of ``arr`` (one page's anchors)."""
-    stages = normalize_stages(prefixes, base="__base", href=href_field)
-    stages[-1] = {out_field: stages[-1]["norm"]}
-    return run_array(arr, stages, {"__base": lambda x: base}, keep=[out_field])
+    """Add field ``out_field`` to every struct of ``arr`` (one page's anchors).
+
+    The page URL is parsed once per page and shared by all its anchors.
+    """
+    hst = href_stages(prefixes, href=href_field)
+    hst[-1] = {out_field: hst[-1]["norm"]}
+    parsed_base = chain(base_stages("__base"), {"__base": base}, BASE_FIELDS)
+    return let(parsed_base, lambda b: run_array(
+        arr, hst, {f: (lambda x, f=f: b[f]) for f in BASE_FIELDS}, keep=[out_field],
+        fields=[href_field]))
 
 
 def url_netloc(url: Column) -> Column:
