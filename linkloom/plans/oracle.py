@@ -215,6 +215,9 @@ def oracle_sql() -> dict[str, str]:
             + """SELECT (SELECT coalesce(max(id), 0) FROM tgt) + row_number() OVER (ORDER BY page_id, pos) AS id,
                       normalized_url, page_id, pos, href AS url
                FROM run WHERE normalized_url NOT IN (SELECT normalized_url FROM tgt)""",
+        "links_store": _with(ANCHORS) + f"""SELECT row_number() OVER (ORDER BY page_id, pos) AS id,
+            href AS url, normalized_url, anchor_text, rel, coalesce({ext}, false) AS is_external,
+            '2024-02-01 00:00:00' AS discovered_at FROM run""",
         "surrogate_keys": "SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name NULLS LAST, p_partkey) AS rn FROM part",
         "upsert_pages": """
 WITH t AS (
@@ -268,6 +271,11 @@ FROM o FULL OUTER JOIN n ON o.url = n.url
         "relabel_apply": _with(shop) + f"""SELECT id, url,
             CASE WHEN pred_category IS NULL OR pred_category = 'other' THEN {_stub_label('url')} ELSE pred_category END AS pred_category
             FROM classified""",
+        "relabel_capped": _with(shop) + f"""SELECT id, url,
+            CASE WHEN rn <= 200 THEN {_stub_label('url')} ELSE pred_category END AS pred_category
+            FROM (SELECT *, CASE WHEN pred_category IS NULL OR pred_category = 'other'
+                                 THEN row_number() OVER (PARTITION BY (pred_category IS NULL OR pred_category = 'other') ORDER BY id) END AS rn
+                  FROM classified)""",
         "relabel_counts": _with(shop) + """SELECT CAST(floor((rn - 1) / 100) + 1 AS INTEGER) AS batch_no, count(*) AS n_updated
             FROM (SELECT row_number() OVER (ORDER BY id) AS rn FROM classified
                   WHERE pred_category IS NULL OR pred_category = 'other') GROUP BY 1""",

@@ -132,6 +132,16 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     return added.select("id", "normalized_url", "page_id", "pos", "url")
 
 
+def links_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages -> links -> first sighting -> column map and defaults -> new link table with ids."""
+    links = run_distinct_links(page_links(_pages(spark, sf), PAGES_ROOT))
+    rows = insert_if_absent(links, None, "normalized_url", ["page_id", "pos"])
+    mapped = apply_column_map(rows, run_ts=F.to_timestamp(F.lit(RUN_TS)))
+    return rows.select("id", "normalized_url").join(mapped, "normalized_url").select(
+        "id", "url", "normalized_url", "anchor_text", "rel", "is_external",
+        F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss").alias("discovered_at"))
+
+
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Dense ids in (p_name, p_partkey) order without a single-task window."""
     p = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -240,6 +250,13 @@ def relabel_apply(spark: SparkSession, sf: str) -> DataFrame:
     return apply_labels(links, labels).select("id", "url", "pred_category")
 
 
+def relabel_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """A pass capped at two batches of 100 asks only the 200 lowest residue ids."""
+    links = classify_links(shop_links(spark, sf), SHOP_RULES)
+    labels = label_residue(links, stub_complete, batch_size=100, max_batches=2, sleep=lambda s: None)
+    return apply_labels(links, labels).select("id", "url", "pred_category")
+
+
 def relabel_counts_q(spark: SparkSession, sf: str) -> DataFrame:
     """D3: rows updated per batch of 100 (id order)."""
     _, labels = _relabelled(spark, sf)
@@ -283,6 +300,7 @@ QUERIES = {
     "classify_row": classify_row,
     "category_profile": category_profile_shop,
     "insert_ignore": insert_ignore,
+    "links_store": links_store,
     "surrogate_keys": surrogate_keys,
     "upsert_pages": upsert_pages_q,
     "column_map": column_map,
@@ -292,6 +310,7 @@ QUERIES = {
     "prompt_build": prompt_build,
     "answer_parse": answer_parse,
     "relabel_apply": relabel_apply,
+    "relabel_capped": relabel_capped,
     "relabel_counts": relabel_counts_q,
     "export_rows": export_rows,
     "stream_dedupe": stream_dedupe,
