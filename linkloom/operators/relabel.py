@@ -86,18 +86,23 @@ def label_residue(links: DataFrame, complete: Complete, taxonomy: Sequence[str]
                   batch_size: int = RELABEL_BATCH_SIZE, max_batches: int = RELABEL_MAX_BATCHES,
                   where: str | None = None, tries: int = RETRY_TRIES,
                   first_wait: float = RETRY_FIRST_WAIT, max_wait: float = RETRY_MAX_WAIT,
-                  sleep: Callable[[float], None] = time.sleep, checkpoint: bool = True) -> DataFrame:
+                  sleep: Callable[[float], None] = time.sleep, checkpoint: bool = True,
+                  max_parallel_calls: int | None = None) -> DataFrame:
     """U2 over the residue: ``id, raw, label, batch_no`` for every row asked.
 
     ``max_batches`` > 0 caps the pass at that many batches of the lowest ids
     (T3), as the original's option does; 0 means all rows.  ``batch_no``
     numbers the rows in id order, ``batch_size`` per batch (D3).
+    ``max_parallel_calls`` bounds how many tasks call the service at once (the
+    prompts, not the links, are redistributed into that many partitions).
     """
     res = residue(links, where).select(*RELABEL_SCAN_COLUMNS)
     if max_batches:
         res = res.orderBy("id").limit(batch_size * max_batches)
     prompts = res.select("id", user_prompt(F.col("url"), F.col("anchor_text"), F.col("rel"),
                                            F.col("is_external")).alias("prompt"))
+    if max_parallel_calls:
+        prompts = prompts.repartition(max_parallel_calls)
     fn = _labeller(complete, system_prompt(taxonomy), list(taxonomy), batch_size, tries,
                    first_wait, max_wait, sleep)
     labelled = prompts.mapInPandas(fn, "id long, raw string, label string")

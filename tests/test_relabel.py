@@ -45,3 +45,9 @@ def test_next_batch_is_topk(spark):
     nb = next_batch(links, 2)
     assert [r.id for r in nb.collect()] == [1, 2]
     assert "TakeOrderedAndProject" in nb._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounded_parallel_calls(spark):
+    links = spark.createDataFrame(ROWS, SCHEMA)
+    labels = label_residue(links, stub_complete, max_parallel_calls=2, sleep=lambda s: None)
+    assert sorted(r.id for r in labels.collect()) == [1, 2, 3, 4]
