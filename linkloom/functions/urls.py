@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SKIPPED_HREF_PREFIXES, TRACKING_PARAM_PREFIXES
-from .staged import Stage, chain, let, run_array, run_rows
+from .staged import Stage, chain, let
 from .strings import py_strip, starts_with_any
 
 # scheme (1), '//'+authority marker (2), authority (3), path (4), query (5).
@@ -100,6 +100,26 @@ def clean_query(q: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
 
 BASE_FIELDS = ["bs", "b3", "b5", "bpath", "bad_b"]
 
+# Fast path: a site-relative href ("/path") with no query, fragment, params,
+# dot segment, white space or control character, on a plain http(s) page URL,
+# normalises to scheme://host of the page + the path with '//' collapsed.  It
+# is a few compiled expressions; everything else takes the full stages.
+_WS_CTRL = r"\x00-\x20\x7F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+_FAST_HREF_RE = r"^/(?:[^/?#;" + _WS_CTRL + r"][^?#;" + _WS_CTRL + r"]*)?\z"
+_FAST_BASE_RE = r"^([Hh][Tt][Tt][Pp][Ss]?)://([^/?#\[\]\t\r\n]*)(?:[/?#][^\t\r\n]*)?\z"
+_DOT_SEGMENT_Z_RE = r"(?:^|/)\.{1,2}(?:/|\z)"
+
+
+def fast_href(href: Column) -> Column:
+    return href.rlike(_FAST_HREF_RE) & ~href.rlike(_DOT_SEGMENT_Z_RE)
+
+
+def fast_base_prefix(base: Column) -> Column:
+    """``scheme://host`` of a plain http(s) page URL, else NULL."""
+    return F.when(base.rlike(_FAST_BASE_RE), F.concat(
+        F.lower(F.regexp_extract(base, _FAST_BASE_RE, 1)), F.lit("://"),
+        F.lower(F.regexp_extract(base, _FAST_BASE_RE, 2))))
+
 
 def base_stages(base: str = "base") -> list[Stage]:
     """Stages that parse the page URL (shared by all of a page's anchors)."""
@@ -181,7 +201,10 @@ def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
     """Add ``out``: the absolute, normalised URL of ``href`` on page ``base`` (NULL when dropped)."""
     base = F.col(base) if isinstance(base, str) else base
     href = F.col(href) if isinstance(href, str) else href
-    return run_rows(df, normalize_stages(prefixes), {"base": base, "href": href}, {"norm": out})
+    full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
+    prefix = fast_base_prefix(base)
+    fast = prefix.isNotNull() & fast_href(href)
+    return df.withColumn(out, F.when(fast, F.concat(prefix, collapse_slashes(href))).otherwise(full))
 
 
 def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
@@ -191,11 +214,20 @@ def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
     The page URL is parsed once per page and shared by all its anchors.
     """
     hst = href_stages(prefixes, href=href_field)
-    hst[-1] = {out_field: hst[-1]["norm"]}
     parsed_base = chain(base_stages("__base"), {"__base": base}, BASE_FIELDS)
-    return let(parsed_base, lambda b: run_array(
-        arr, hst, {f: (lambda x, f=f: b[f]) for f in BASE_FIELDS}, keep=[out_field],
-        fields=[href_field]))
+    page = F.struct(parsed_base.alias("p"), fast_base_prefix(base).alias("prefix"))
+
+    def per_page(b: Column) -> Column:
+        def per_anchor(x: Column) -> Column:
+            env = {f: b["p"][f] for f in BASE_FIELDS}
+            env[href_field] = x[href_field]
+            full = chain(hst, env, ["norm"])["norm"]
+            h = x[href_field]
+            fast = b["prefix"].isNotNull() & fast_href(h)
+            return x.withField(out_field, F.when(fast, F.concat(b["prefix"], collapse_slashes(h)))
+                               .otherwise(full))
+        return F.transform(arr, per_anchor)
+    return let(page, per_page)
 
 
 def url_netloc(url: Column) -> Column:
