@@ -15,6 +15,9 @@ query, or ``.``/``..`` segments in a relative path.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,22 @@ _DOT_SEGMENT_RE = r"(^|/)\.{1,2}(/|$)"
 _BRACKET_HOST_RE = r"^(v[0-9A-Fa-f]+\..+|[0-9A-Fa-f.]*:[0-9A-Fa-f:.]*(%.+)?)$"
 
 
+_BUILT: dict[tuple, Column] = {}
+
+
+def _memo(key: tuple, build: Callable[[], Column]) -> Column:
+    """Reuse a built expression within one Spark context.
+
+    Building the normaliser takes a few thousand JVM calls (about a second);
+    a Column is an immutable expression tree, so one copy serves every query.
+    """
+    sc = SparkContext._active_spark_context
+    k = (id(sc._jsc) if sc is not None else None,) + key
+    if k not in _BUILT:
+        _BUILT[k] = build()
+    return _BUILT[k]
+
+
 def _null_str() -> Column:
     return F.lit(None).cast("string")
 
@@ -201,10 +220,17 @@ def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
     """Add ``out``: the absolute, normalised URL of ``href`` on page ``base`` (NULL when dropped)."""
     base = F.col(base) if isinstance(base, str) else base
     href = F.col(href) if isinstance(href, str) else href
-    full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
-    prefix = fast_base_prefix(base)
-    fast = prefix.isNotNull() & fast_href(href)
-    return df.withColumn(out, F.when(fast, F.concat(prefix, collapse_slashes(href))).otherwise(full))
+    return df.withColumn(out, normalized_url(base, href, prefixes))
+
+
+def normalized_url(base: Column, href: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
+    """The normalised URL of ``href`` on page ``base`` as one column expression."""
+    def build() -> Column:
+        full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
+        prefix = fast_base_prefix(base)
+        fast = prefix.isNotNull() & fast_href(href)
+        return F.when(fast, F.concat(prefix, collapse_slashes(href))).otherwise(full)
+    return _memo(("rows", str(base), str(href), tuple(prefixes or ())), build)
 
 
 def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
@@ -213,6 +239,12 @@ def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
 
     The page URL is parsed once per page and shared by all its anchors.
     """
+    return _memo(("array", str(arr), str(base), href_field, out_field, tuple(prefixes or ())),
+                 lambda: _normalize_in_array(arr, base, href_field, out_field, prefixes))
+
+
+def _normalize_in_array(arr: Column, base: Column, href_field: str, out_field: str,
+                        prefixes) -> Column:
     hst = href_stages(prefixes, href=href_field)
     parsed_base = chain(base_stages("__base"), {"__base": base}, BASE_FIELDS)
     page = F.struct(parsed_base.alias("p"), fast_base_prefix(base).alias("prefix"))
