@@ -19,11 +19,12 @@ def ensure_column(df: DataFrame, name: str, dtype: str = "string") -> DataFrame:
 
 
 def apply_column_map(df: DataFrame, column_map: Sequence[tuple[str, str]] = DEFAULT_COLUMN_MAP,
-                     run_ts: Column | None = None) -> DataFrame:
+                     run_ts: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """K3 + K9: project to the mapped output columns, in the map's order.
 
     A missing source field becomes NULL; ``discovered_at`` falls back to the
     run timestamp and ``is_external`` to false, as the table defaults do.
+    Columns in ``keep`` are passed through after the mapped ones.
     """
     ts = run_ts if run_ts is not None else F.current_timestamp()
     cols = []
@@ -34,7 +35,7 @@ def apply_column_map(df: DataFrame, column_map: Sequence[tuple[str, str]] = DEFA
         elif dst == "is_external":
             c = F.coalesce(c.cast("boolean"), F.lit(False))
         cols.append(c.alias(dst))
-    return df.select(*cols)
+    return df.select(*cols, *[F.col(k) for k in keep])
 
 
 def read_links(spark: SparkSession, path: str, columns: Sequence[str] = RELABEL_SCAN_COLUMNS) -> DataFrame:
