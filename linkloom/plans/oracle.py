@@ -250,6 +250,10 @@ FROM b WHERE b.url NOT IN (SELECT url FROM t)
         "column_map": _with(ANCHORS) + """SELECT normalized_url AS link, href AS source_href, anchor_text AS text,
             false AS is_external, '2024-02-01 00:00:00' AS discovered_at, CAST(NULL AS VARCHAR) AS pred_category
             FROM per_page""",
+        "ensure_defaults": _with(ANCHORS) + f"""SELECT normalized_url,
+            coalesce(CASE WHEN anchor_text LIKE '%e%' THEN NULL ELSE {ext} END, false) AS is_external,
+            CASE WHEN pos % 2 = 0 THEN '2024-01-01 00:00:00' ELSE '2024-02-01 00:00:00' END AS discovered_at,
+            CAST(NULL AS VARCHAR) AS pred_category FROM per_page""",
         "page_hash": "SELECT page_id, url, sha256(coalesce(html, '')) AS content_hash FROM pages",
         "page_changes": """
 WITH o AS (SELECT url, sha256(coalesce(html, '')) AS h FROM pages WHERE url NOT LIKE '%#top'),

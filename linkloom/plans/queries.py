@@ -188,6 +188,23 @@ def column_map(spark: SparkSession, sf: str) -> DataFrame:
                       "pred_category")
 
 
+def ensure_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """K8/K9: the category column is added when missing; a missing off-site flag
+    becomes false and a missing discovery time becomes the run time."""
+    links = _run_links(spark, sf)
+    raw = links.select(
+        "normalized_url",
+        F.when(F.col("anchor_text").contains("e"), F.lit(None).cast("boolean"))
+         .otherwise(F.col("is_external")).alias("is_external"),
+        F.when(F.col("pos") % 2 == 0, F.to_timestamp(F.lit(OLD_TS))).alias("discovered_at"))
+    cmap = [("normalized_url", "normalized_url"), ("is_external", "is_external"),
+            ("discovered_at", "discovered_at")]
+    out = ensure_column(apply_column_map(raw, cmap, run_ts=F.to_timestamp(F.lit(RUN_TS))), "pred_category")
+    return out.select("normalized_url", "is_external",
+                      F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss").alias("discovered_at"),
+                      "pred_category")
+
+
 # --- pages -----------------------------------------------------------------
 
 def page_hash(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,6 +321,7 @@ QUERIES = {
     "surrogate_keys": surrogate_keys,
     "upsert_pages": upsert_pages_q,
     "column_map": column_map,
+    "ensure_defaults": ensure_defaults,
     "page_hash": page_hash,
     "page_changes": page_changes_q,
     "residue_topk": residue_topk,

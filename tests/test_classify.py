@@ -61,3 +61,14 @@ def test_classify_plan_is_native(spark):
     _, df = _df(spark)
     plan = classify_links(df, RULES)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_shop_url_category_counts(spark):
+    # FIXTURES §7: expected counts per rule over the part-derived URLs at sf0.01
+    from linkloom.plans.catalog import shop_links
+    links = classify_links(shop_links(spark, "/root/testdata/sf0.01"), RULES)
+    got = {r.pred_category: r["count"] for r in links.groupBy("pred_category").count().collect()}
+    expected = {c: 167 for c in ["product", "category", "campaign", "seller_store", "brand", "help",
+                                 "policy", "search"]}
+    expected.update({"account": 166, "home": 166, "other": 166, None: 166})
+    assert got == expected
