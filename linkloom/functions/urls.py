@@ -15,6 +15,7 @@ query, or ``.``/``..`` segments in a relative path.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark import SparkContext
@@ -119,25 +120,81 @@ def clean_query(q: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
 
 BASE_FIELDS = ["bs", "b3", "b5", "bpath", "bad_b"]
 
-# Fast path: a site-relative href ("/path") with no query, fragment, params,
-# dot segment, white space or control character, on a plain http(s) page URL,
-# normalises to scheme://host of the page + the path with '//' collapsed.  It
-# is a few compiled expressions; everything else takes the full stages.
-_WS_CTRL = r"\x00-\x20\x7F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-_FAST_HREF_RE = r"^/(?:[^/?#;" + _WS_CTRL + r"][^?#;" + _WS_CTRL + r"]*)?\z"
-_FAST_BASE_RE = r"^([Hh][Tt][Tt][Pp][Ss]?)://([^/?#\[\]\t\r\n]*)(?:[/?#][^\t\r\n]*)?\z"
+# Fast paths, compiled string functions only; every other href takes the
+# stages.  Only printable-ASCII hrefs without '#' or ';' qualify:
+#  * relative: "/path" with no dot segment, on a plain http(s) page URL ->
+#    scheme://host of the page + the path with '//' collapsed;
+#  * absolute: "http(s)://host/path" with no user info or brackets (dot
+#    segments stay as written, as they do for such references);
+#  * either may carry a query of key=value pairs of unreserved characters:
+#    decoding and re-encoding leave such pairs as they are, so dropping the
+#    tracking keys is one regexp_replace.
+# (Java regex is slow on large negated Unicode classes, so the checks use
+# instr/substring_index and one positive ASCII class.)
+_SAFE = r"A-Za-z0-9_.~\-"
+_SAFE_QUERY_RE = r"^[" + _SAFE + r"]+=[" + _SAFE + r"]*(?:&[" + _SAFE + r"]+=[" + _SAFE + r"]*)*\z"
+_PRINTABLE_ASCII_RE = r"^[\x21-\x7E]+\z"
 _DOT_SEGMENT_Z_RE = r"(?:^|/)\.{1,2}(?:/|\z)"
 
 
-def fast_href(href: Column) -> Column:
-    return href.rlike(_FAST_HREF_RE) & ~href.rlike(_DOT_SEGMENT_Z_RE)
+def _drop_tracking_safe(q: Column, prefixes) -> Column:
+    """Tracking keys out of a query of plain key=value pairs."""
+    if not prefixes:
+        return q
+    alt = "|".join(re.escape(p) for p in prefixes)
+    dropped = F.regexp_replace(F.regexp_replace(q, r"(?:^|&)(?:" + alt + r")[^&]*", ""), "^&", "")
+    return F.when(q == "", q).otherwise(dropped)
+
+
+def _collapse_cheap(p: Column) -> Column:
+    return F.when(F.instr(p, "//") > 0, collapse_slashes(p)).otherwise(p)
+
+
+def _with_query(q: Column) -> Column:
+    return F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))
+
+
+def fast_result(prefix: Column, href: Column, prefixes) -> Column:
+    """The normalised URL when a fast path applies, else NULL.
+
+    ``prefix`` is ``fast_base_prefix`` of the page URL (NULL when the page URL
+    is not plain)."""
+    h = href
+    qpos = F.instr(h, "?")
+    before_q = F.substring_index(h, "?", 1)
+    query = F.when(qpos > 0, F.substr(h, qpos + 1, F.length(h))).otherwise(F.lit(""))
+    eligible = (prefix.isNotNull() & h.rlike(_PRINTABLE_ASCII_RE) & (F.instr(h, "#") == 0)
+                & (F.instr(h, ";") == 0) & ((query == "") | query.rlike(_SAFE_QUERY_RE)))
+    q = _with_query(_drop_tracking_safe(query, prefixes))
+    # relative: "/path"
+    is_rel = (h.startswith("/") & ~h.startswith("//")
+              & ~((F.instr(before_q, ".") > 0) & before_q.rlike(_DOT_SEGMENT_Z_RE)))
+    rel = F.concat(prefix, _collapse_cheap(before_q), q)
+    # absolute: "scheme://host/path"
+    scheme = F.lower(F.substring_index(before_q, "://", 1))
+    after = F.substr(before_q, F.length(scheme) + 4, F.length(before_q))
+    host = F.substring_index(after, "/", 1)
+    path = _collapse_cheap(F.substr(after, F.length(host) + 1, F.length(after)))
+    is_abs = (scheme.isin("http", "https") & (host != "") & (F.instr(host, "@") == 0)
+              & (F.instr(host, "[") == 0) & (F.instr(host, "]") == 0))
+    absolute = F.concat(scheme, F.lit("://"), F.lower(host),
+                        F.when(path == "", F.lit("/")).otherwise(path), q)
+    return (F.when(~eligible, F.lit(None).cast("string"))
+            .when(is_rel, rel)
+            .when(is_abs, absolute))
 
 
 def fast_base_prefix(base: Column) -> Column:
-    """``scheme://host`` of a plain http(s) page URL, else NULL."""
-    return F.when(base.rlike(_FAST_BASE_RE), F.concat(
-        F.lower(F.regexp_extract(base, _FAST_BASE_RE, 1)), F.lit("://"),
-        F.lower(F.regexp_extract(base, _FAST_BASE_RE, 2))))
+    """``scheme://host`` of a plain http(s) page URL, else NULL.
+
+    Plain: starts with http:// or https:// (any case), no tab/CR/LF anywhere
+    and no bracket in the authority."""
+    scheme = F.lower(F.substring_index(base, "://", 1))
+    after = F.substr(base, F.length(scheme) + 4, F.length(base))
+    host = F.substring_index(F.substring_index(F.substring_index(after, "/", 1), "?", 1), "#", 1)
+    plain = (scheme.isin("http", "https") & (F.instr(base, "\t") == 0) & (F.instr(base, "\r") == 0)
+             & (F.instr(base, "\n") == 0) & (F.instr(host, "[") == 0) & (F.instr(host, "]") == 0))
+    return F.when(plain, F.concat(scheme, F.lit("://"), F.lower(host)))
 
 
 def base_stages(base: str = "base") -> list[Stage]:
@@ -227,9 +284,8 @@ def normalized_url(base: Column, href: Column, prefixes=TRACKING_PARAM_PREFIXES)
     """The normalised URL of ``href`` on page ``base`` as one column expression."""
     def build() -> Column:
         full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
-        prefix = fast_base_prefix(base)
-        fast = prefix.isNotNull() & fast_href(href)
-        return F.when(fast, F.concat(prefix, collapse_slashes(href))).otherwise(full)
+        # coalesce evaluates the stages only where no fast path applies
+        return F.coalesce(fast_result(fast_base_prefix(base), href, prefixes), full)
     return _memo(("rows", str(base), str(href), tuple(prefixes or ())), build)
 
 
@@ -254,10 +310,8 @@ def _normalize_in_array(arr: Column, base: Column, href_field: str, out_field: s
             env = {f: b["p"][f] for f in BASE_FIELDS}
             env[href_field] = x[href_field]
             full = chain(hst, env, ["norm"])["norm"]
-            h = x[href_field]
-            fast = b["prefix"].isNotNull() & fast_href(h)
-            return x.withField(out_field, F.when(fast, F.concat(b["prefix"], collapse_slashes(h)))
-                               .otherwise(full))
+            fast = fast_result(b["prefix"], x[href_field], prefixes)
+            return x.withField(out_field, F.coalesce(fast, full))
         return F.transform(arr, per_anchor)
     return let(page, per_page)
 
