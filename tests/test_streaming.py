@@ -44,3 +44,29 @@ def test_streaming_distinct_query(spark, sf_dir):
          .option("checkpointLocation", os.path.join(work, "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("seen_urls").count() == links.count()
+
+
+def test_failed_batch_is_retried_not_lost(spark, sf_dir, monkeypatch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    import linkloom.streaming.links as L
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    work = tempfile.mkdtemp(prefix="linkloom-s4-")
+    src = os.path.join(work, "in")
+    os.makedirs(src)
+    shutil.copy(f"{sf_dir}/pages.parquet", os.path.join(src, "part-1.parquet"))
+    out, ck = os.path.join(work, "links"), os.path.join(work, "ck")
+    real = L.write_links_batch
+
+    def failing(batch, table_path, root_domain):
+        raise RuntimeError("sink unavailable")
+    monkeypatch.setattr(L, "write_links_batch", failing)
+    q = start_link_stream(spark, src, pages.schema, out, ck, "example.com")
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    monkeypatch.setattr(L, "write_links_batch", real)
+    q = start_link_stream(spark, src, pages.schema, out, ck, "example.com")
+    q.awaitTermination()
+    expected = run_distinct_links(page_links(pages, "example.com")).count()
+    assert spark.read.parquet(out).count() == expected
