@@ -46,12 +46,23 @@ def store_links(pages: DataFrame, table_path: str, root_domain: str,
 
 
 def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path: str | None,
-                   settings: Settings) -> DataFrame:
-    """Label the link table by the rules into a new table version (and CSV)."""
+                   settings: Settings, partition_by_category: bool = False) -> DataFrame:
+    """Label the link table by the rules into a new table version (and CSV).
+
+    ``partition_by_category`` lays the new version out by ``pred_category``
+    (the counterpart of an index on it): reads that filter on the category
+    only open the matching folders.
+    """
     links = spark.read.parquet(table_path)
     labelled = classify_links(links, settings.rules, url_col=settings.url_col,
                               only_nulls=settings.only_update_nulls)
-    labelled.write.mode("errorifexists").parquet(out_path)
+    writer = labelled.write.mode("errorifexists")
+    if partition_by_category:
+        # one writer task per category folder would funnel a big category
+        # through one task; cluster by (category, key) so files stay balanced
+        labelled = labelled.repartitionByRange("pred_category", settings.unique_key)
+        writer = labelled.write.mode("errorifexists").partitionBy("pred_category")
+    writer.parquet(out_path)
     result = spark.read.parquet(out_path)
     if csv_path:
         export_categories(result, csv_path, url_col=settings.url_col)

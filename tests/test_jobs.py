@@ -51,3 +51,16 @@ def test_three_jobs_end_to_end(spark, sf_dir):
     cats = {r.pred_category for r in relabelled.select("pred_category").distinct().collect()}
     assert cats <= {"homepage", "other"} | {l for l, _, _ in settings.rules}
     assert relabelled.count() == n
+
+
+def test_category_layout_prunes(spark, sf_dir):
+    tmp = tempfile.mkdtemp(prefix="linkloom-layout-")
+    settings = read_settings(spark, _config(tmp))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    table = os.path.join(tmp, "links")
+    store_links(pages, table, "example.com", settings)
+    out = classify_table(spark, table, os.path.join(tmp, "v2"), None, settings, partition_by_category=True)
+    q = spark.read.parquet(os.path.join(tmp, "v2")).where("pred_category = 'other'")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pred_category" in plan
+    assert q.count() == out.where("pred_category = 'other'").count()
