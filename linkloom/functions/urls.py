@@ -34,20 +34,23 @@ _DOT_SEGMENT_RE = r"(^|/)\.{1,2}(/|$)"
 _BRACKET_HOST_RE = r"^(v[0-9A-Fa-f]+\..+|[0-9A-Fa-f.]*:[0-9A-Fa-f:.]*(%.+)?)$"
 
 
-_BUILT: dict[tuple, Column] = {}
+_BUILT: dict[tuple, tuple[object, Column]] = {}
 
 
 def _memo(key: tuple, build: Callable[[], Column]) -> Column:
-    """Reuse a built expression within one Spark context.
+    """Reuse a built expression while the same JVM gateway lives.
 
     Building the normaliser takes a few thousand JVM calls (about a second);
     a Column is an immutable expression tree, so one copy serves every query.
+    The gateway object is kept with the entry, so a new gateway never matches
+    an old entry.
     """
-    sc = SparkContext._active_spark_context
-    k = (id(sc._jsc) if sc is not None else None,) + key
-    if k not in _BUILT:
-        _BUILT[k] = build()
-    return _BUILT[k]
+    gateway = SparkContext._gateway
+    hit = _BUILT.get(key)
+    if hit is None or hit[0] is not gateway:
+        hit = (gateway, build())
+        _BUILT[key] = hit
+    return hit[1]
 
 
 def _null_str() -> Column:
