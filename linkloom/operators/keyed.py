@@ -98,7 +98,38 @@ def upsert_pages(batch: DataFrame, target: DataFrame | None, seq_col: str,
 
 
 def write_snapshot(df: DataFrame, table_root: str, version: int, mode: str = "errorifexists") -> str:
-    """Write ``df`` as version ``version`` of a table kept as ``<root>/v=<n>``."""
+    """Write ``df`` as version ``version`` of a table kept as ``<root>/v=<n>``.
+
+    A version folder is complete once Spark's commit has written its
+    ``_SUCCESS`` marker; readers only take complete versions."""
     path = f"{table_root.rstrip('/')}/v={version:08d}"
     df.write.mode(mode).parquet(path)
     return path
+
+
+def latest_snapshot(spark, table_root: str) -> tuple[int, str] | None:
+    """(version, path) of the newest complete version under ``table_root``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                v = int(name[2:])
+                if best is None or v > best[0]:
+                    best = (v, st.getPath().toString())
+    return best
+
+
+def upsert_snapshot(spark, batch: DataFrame, table_root: str, seq_col: str,
+                    run_ts: Column | None = None) -> str:
+    """K5 as a table operation: merge ``batch`` into the newest version and
+    write the result as the next version (one writer at a time)."""
+    cur = latest_snapshot(spark, table_root)
+    target = spark.read.parquet(cur[1]) if cur else None
+    merged = upsert_pages(batch, target, seq_col, run_ts=run_ts)
+    return write_snapshot(merged, table_root, (cur[0] + 1) if cur else 0)

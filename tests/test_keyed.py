@@ -63,3 +63,19 @@ def test_dense_ids_are_a_permutation(spark, sf_dir):
     assert ids.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, n, n)
     plan = ids._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_upsert_snapshots_switch_versions(spark):
+    import tempfile
+    from linkloom.operators.keyed import latest_snapshot, upsert_snapshot
+    root = tempfile.mkdtemp(prefix="linkloom-snap-") + "/pages"
+    schema = ("url string, seq int, status_code int, title string, html_content string,"
+              " content_length int, link_depth int")
+    b1 = spark.createDataFrame([("U", 1, 200, "a", "<1>", 3, 0)], schema)
+    b2 = spark.createDataFrame([("U", 1, 200, "b", "<2>", 3, 0), ("V", 2, 200, "v", "<3>", 3, 0)], schema)
+    ts = F.lit("2024-01-01").cast("timestamp")
+    upsert_snapshot(spark, b1, root, "seq", run_ts=ts)
+    upsert_snapshot(spark, b2, root, "seq", run_ts=ts)
+    v, path = latest_snapshot(spark, root)
+    rows = {r.url: (r.id, r.title) for r in spark.read.parquet(path).collect()}
+    assert v == 1 and rows == {"U": (1, "b"), "V": (2, "v")}
