@@ -1,16 +1,21 @@
 """URL resolution and normalisation as native Spark column expressions.
 
-``normalize_url`` reproduces the link normaliser of the original tool:
+``normalized_url`` reproduces the link normaliser of the original tool:
 resolution of a reference against the page URL the way Python's ``urljoin``
 does it, fragment removed, http/https only, lower-case authority, tracking
 keys dropped from the query, the query re-encoded the way ``urlencode`` does
 it, ``//`` collapsed in the path and the last segment's ``;params`` dropped.
 
-Every step is a built-in expression.  The steps are written as named stages
-(see ``staged.py``) so they can run over rows (``with_normalized_url``) or
-over all anchors of a page inside one array (``normalize_in_array``).
-Higher-order functions are only reached by URLs that need them: a non-empty
-query, or ``.``/``..`` segments in a relative path.
+Every step is a built-in expression, in two layers:
+
+* a compiled fast path (``fast_result``) for the common hrefs, built from
+  ``instr``/``substring_index`` and a few regexes;
+* the general case as named stages (``base_stages`` + ``href_stages``, run
+  by ``staged.chain``), which handle everything else exactly.
+
+``with_normalized_url``/``normalized_url`` work on rows;
+``normalize_in_array`` works on all anchors of a page inside its array and
+parses the page URL once for them.
 """
 
 from __future__ import annotations
@@ -33,7 +38,6 @@ _URL_RE = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(?:\?([^#]*))
 _DOT_SEGMENT_RE = r"(^|/)\.{1,2}(/|$)"
 _BRACKET_HOST_RE = r"^(v[0-9A-Fa-f]+\..+|[0-9A-Fa-f.]*:[0-9A-Fa-f:.]*(%.+)?)$"
 
-
 _BUILT: dict[tuple, tuple[object, Column]] = {}
 
 
