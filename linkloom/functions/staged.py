@@ -1,4 +1,4 @@
-"""Run a chain of named column stages over rows or over array elements.
+"""Named column stages bound once each ("let" expressions).
 
 A long expression built in Python repeats every sub-expression it reuses;
 nesting such expressions grows the plan exponentially, and a filter on the
@@ -8,17 +8,13 @@ with a "let": ``element_at(transform(array(struct(stage fields)), v -> rest), 1)
 so every named result is computed once per row and the plan grows linearly
 with the number of stages.  Only a stage's own fields are put in its struct;
 nothing is copied forward.
-
-* ``run_array`` adds the final results to every struct element of an array
-  (for example all anchors of one page, with no explode or shuffle);
-* ``run_rows`` adds them as columns of a DataFrame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Getter = Callable[[str], Column]
@@ -31,7 +27,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def chain(stages: list[Stage], env: dict[str, Column], outputs: list[str]) -> Column:
-    """A struct of ``outputs`` computed by the stages from the columns in ``env``."""
+    """A struct of ``outputs`` computed by the stages from the columns in ``env``.
+
+    Works on plain columns and inside lambdas (for example per array element).
+    """
     def build(i: int, env: dict[str, Column]) -> Column:
         if i == len(stages):
             return F.struct(*[env[o].alias(o) for o in outputs])
@@ -43,30 +42,3 @@ def chain(stages: list[Stage], env: dict[str, Column], outputs: list[str]) -> Co
             return build(i + 1, {**env, **{name: v[name] for name in st}})
         return let(fields, body)
     return build(0, dict(env))
-
-
-def run_rows(df: DataFrame, stages: list[Stage], inputs: dict[str, Column],
-             outputs: dict[str, str]) -> DataFrame:
-    """Add ``outputs`` (result name -> new column name) to ``df``."""
-    tmp = "__staged_result"
-    out = df.withColumn(tmp, chain(stages, inputs, list(outputs)))
-    return out.withColumns({new: F.col(tmp)[name] for name, new in outputs.items()}).drop(tmp)
-
-
-def run_array(arr: Column, stages: list[Stage], inputs: dict[str, Callable[[Column], Column]],
-              keep: list[str], fields: list[str] | None = None) -> Column:
-    """Add the results named in ``keep`` to every struct element of ``arr``.
-
-    ``inputs`` maps a name to a function of the element; ``fields`` lists
-    element fields the stages read by name.
-    """
-    def per_element(x: Column) -> Column:
-        env = {k: f(x) for k, f in inputs.items()}
-        for name in fields or []:
-            env[name] = x[name]
-        res = chain(stages, env, keep)
-        out = x
-        for k in keep:
-            out = out.withField(k, res[k])
-        return out
-    return F.transform(arr, per_element)
