@@ -26,3 +26,18 @@ def test_set_and_row_classifiers_agree_on_clean_urls(spark, sf_dir):
     links = shop_links(spark, sf_dir).where(F.col("url").isNotNull())
     diff = links.where(rule_case(F.col("url"), RULES) != classify_url(F.col("url"), RULES))
     assert diff.count() == 0
+
+
+def test_hot_url_keeps_first_sighting(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    # every page links to the same place several times: one key holds a large share of all rows
+    hot = '<a href="https://hot.example/x">h</a>' * 5
+    skewed = pages.withColumn("html", F.concat(F.col("html"), F.lit(hot)))
+    links = page_links(skewed, "example.com", dedupe_page=False)
+    total = links.count()
+    n_hot = links.where("normalized_url = 'https://hot.example/x'").count()
+    assert n_hot == 5 * pages.count() and n_hot * 4 > total
+    run = run_distinct_links(page_links(skewed, "example.com"))
+    hot_rows = run.where("normalized_url = 'https://hot.example/x'").collect()
+    first_page = pages.agg(F.min("page_id")).first()[0]
+    assert len(hot_rows) == 1 and hot_rows[0].page_id == first_page
