@@ -33,5 +33,9 @@ def export_categories(df: DataFrame, path: str, url_col: str = "url",
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.options(**CSV_OPTIONS).schema("url string, pred_category string")
-            .csv(path))
+    """Read an export back: an unquoted empty field is NULL, ``""`` is ''.
+
+    Spark compares every field with ``nullValue`` ('' by default), which would
+    turn both into NULL; a sentinel that never occurs keeps them apart."""
+    return (spark.read.options(**CSV_OPTIONS).option("nullValue", "\u0000")
+            .schema("url string, pred_category string").csv(path))

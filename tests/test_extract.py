@@ -46,3 +46,27 @@ def test_first_wins_is_min_order(spark, sf_dir):
     mins = links.groupBy("normalized_url").agg(F.min(F.struct("page_id", "pos")).alias("m"))
     joined = run.join(mins, "normalized_url")
     assert joined.where("page_id <> m.page_id or pos <> m.pos").count() == 0
+
+
+def test_anchor_tree_rules():
+    cases = [
+        # an ancestor's end tag ends the anchor
+        ('<div><a href="/x">in</div>out</a>', [("/x", "in")]),
+        # a stray end tag inside an anchor is ignored
+        ('<a href="/x">a</span>b</a>', [("/x", "ab")]),
+        # anchor text inside a script is not markup
+        ('<script>var s = "<a href=\'/no\'>";</script><a href="/y">y</a>', [("/y", "y")]),
+        # upper-case tags and attributes, entity in the attribute
+        ('<A HREF="/p?a=1&amp;b=2">T&eacute;</A>', [("/p?a=1&b=2", "Té")]),
+        # unclosed at the end of input
+        ('<p><a href="/z">tail', [("/z", "tail")]),
+        # self-closing anchor has no content
+        ('<a href="/e"/>after', [("/e", "")]),
+        # first href in the subtree, the anchor's own first
+        ('<a href="/own"><i href="/inner">t</i></a>', [("/own", "t")]),
+        # repeated attribute keeps its first value
+        ('<a href="/1" href="/2">d</a>', [("/1", "d")]),
+    ]
+    for html, expected in cases:
+        got = [(a["href"], a["text"]) for a in anchors_of(html)]
+        assert got == expected, (html, got)
