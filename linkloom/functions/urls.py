@@ -61,10 +61,6 @@ def _null_str() -> Column:
     return F.lit(None).cast("string")
 
 
-def _null_arr() -> Column:
-    return F.lit(None).cast("array<string>")
-
-
 def pre_clean(c: Column) -> Column:
     """URL splitting first drops tab/CR/LF anywhere and C0 controls/space in front."""
     return F.regexp_replace(F.regexp_replace(c, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
@@ -125,6 +121,28 @@ def clean_query(q: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
     return F.when(q == "", F.lit("")).otherwise(F.array_join(enc, "&"))
 
 
+def resolve_dots(bpath: Column, hpath: Column) -> Column:
+    """Merge a reference path holding '.'/'..' segments with the base path.
+
+    An absolute reference path is folded on its own; a relative one is
+    appended to the base directory (the base path without its last segment),
+    empty segments between the first and the last are dropped, then folded.
+    Only evaluated for references that have such segments."""
+    stages: list[Stage] = [
+        {"hparts": lambda g: F.split(g("hpath"), "/"),
+         "bparts": lambda g: F.split(g("bpath"), "/")},
+        {"segs0": lambda g: F.when(g("hpath").startswith("/"), g("hparts")).otherwise(F.concat(
+            F.when(F.element_at(g("bparts"), -1) == "", g("bparts"))
+             .otherwise(F.slice(g("bparts"), 1, F.size(g("bparts")) - 1)),
+            g("hparts")))},
+        {"segs": lambda g: F.when(g("hpath").startswith("/"), g("segs0"))
+            .otherwise(F.filter(g("segs0"), lambda x, i: (x != "") | (i == 0)
+                                | (i == F.size(g("segs0")) - 1)))},
+        {"out": lambda g: fold_dots(g("segs"))},
+    ]
+    return chain(stages, {"bpath": bpath, "hpath": hpath}, ["out"])["out"]
+
+
 BASE_FIELDS = ["bs", "b3", "b5", "bpath", "bad_b"]
 
 # Fast paths, compiled string functions only; every other href takes the
@@ -238,21 +256,9 @@ def href_stages(prefixes=TRACKING_PARAM_PREFIXES, href: str = "href") -> list[St
             .otherwise(g("h5")),
          "drop": lambda g: g("skip") | ~g("eff").isin("http", "https") | g("bad_b")
             | (g("own") & g("bad_h"))},
-        # slow path (dot segments): split, merge with the base directory, fold
-        {"hparts": lambda g: F.when(g("fold"), F.split(g("hpath"), "/")).otherwise(_null_arr()),
-         "bparts": lambda g: F.when(g("fold") & ~g("hpath").startswith("/"),
-                                    F.split(g("bpath"), "/")).otherwise(_null_arr())},
-        {"bdir": lambda g: F.when(F.element_at(g("bparts"), -1) == "", g("bparts"))
-            .otherwise(F.slice(g("bparts"), 1, F.size(g("bparts")) - 1))},
-        {"segs0": lambda g: F.when(g("hpath").startswith("/"), g("hparts"))
-            .otherwise(F.concat(g("bdir"), g("hparts")))},
-        {"segs": lambda g: F.when(
-            g("hpath").startswith("/"), g("segs0"))
-            .otherwise(F.filter(g("segs0"), lambda x, i: (x != "") | (i == 0)
-                                | (i == F.size(g("segs0")) - 1)))},
         {"path": lambda g: F.when(g("own"), g("hpath"))
             .when(g("base_only"), g("bpath"))
-            .when(g("fold"), fold_dots(g("segs")))
+            .when(g("fold"), resolve_dots(g("bpath"), g("hpath")))
             .when(g("hpath").startswith("/"), g("hpath"))
             .otherwise(F.concat(F.regexp_extract(g("bpath"), r"(?s)^(.*/)", 1), g("hpath"))),
          "q2": lambda g: clean_query(g("query"), prefixes)},
