@@ -64,3 +64,18 @@ def test_category_layout_prunes(spark, sf_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pred_category" in plan
     assert q.count() == out.where("pred_category = 'other'").count()
+
+
+def test_column_defaults(spark):
+    from linkloom.sources.tables import apply_column_map, ensure_column
+    df = spark.createDataFrame([("u1", None, None), ("u2", True, "2024-01-05 00:00:00")],
+                               "normalized_url string, is_external boolean, discovered_at string")
+    cmap = [("link", "normalized_url"), ("is_external", "is_external"), ("discovered_at", "discovered_at"),
+            ("missing", "no_such_field")]
+    out = ensure_column(apply_column_map(df, cmap, run_ts=F.to_timestamp(F.lit("2024-02-01 00:00:00"))),
+                        "pred_category")
+    rows = {r.link: r for r in out.collect()}
+    assert out.columns == ["link", "is_external", "discovered_at", "missing", "pred_category"]
+    assert rows["u1"].is_external is False and str(rows["u1"].discovered_at) == "2024-02-01 00:00:00"
+    assert rows["u2"].is_external is True and str(rows["u2"].discovered_at) == "2024-01-05 00:00:00"
+    assert rows["u1"].missing is None and rows["u1"].pred_category is None

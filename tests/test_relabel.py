@@ -51,3 +51,10 @@ def test_bounded_parallel_calls(spark):
     links = spark.createDataFrame(ROWS, SCHEMA)
     labels = label_residue(links, stub_complete, max_parallel_calls=2, sleep=lambda s: None)
     assert sorted(r.id for r in labels.collect()) == [1, 2, 3, 4]
+
+
+def test_caller_predicate_narrows_residue(spark):
+    from linkloom.operators.relabel import residue
+    links = spark.createDataFrame(ROWS, SCHEMA)
+    assert sorted(r.id for r in residue(links).collect()) == [1, 2, 3, 4]
+    assert sorted(r.id for r in residue(links, where="url LIKE '%marka%' OR id = 4").collect()) == [2, 4]
