@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..session import path_exists
 from ..sources.config import Settings
 from ..sources.export import export_categories
 from ..sources.tables import apply_column_map
@@ -26,19 +27,14 @@ from .keyed import insert_if_absent
 from .relabel import Complete, apply_labels, label_residue
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
-
-
 def store_links(pages: DataFrame, table_path: str, root_domain: str,
                 settings: Settings | None = None, run_ts: Column | None = None) -> DataFrame:
-    """Append the new links of ``pages`` to the link table; returns the rows appended."""
+    """Append the new links of ``pages`` to the link table; returns the table."""
     s = settings or Settings()
     spark = pages.sparkSession
     links = run_distinct_links(page_links(pages, root_domain))
     mapped = apply_column_map(links, s.column_map, run_ts=run_ts, keep=["page_id", "pos"])
-    target = spark.read.parquet(table_path) if _exists(spark, table_path) else None
+    target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
     new = insert_if_absent(mapped, target, s.unique_key, ["page_id", "pos"])
     out = new.select("id", *[c for c, _ in s.column_map])
     out.write.mode("append").parquet(table_path)
@@ -56,13 +52,13 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
     links = spark.read.parquet(table_path)
     labelled = classify_links(links, settings.rules, url_col=settings.url_col,
                               only_nulls=settings.only_update_nulls)
-    writer = labelled.write.mode("errorifexists")
     if partition_by_category:
         # one writer task per category folder would funnel a big category
         # through one task; cluster by (category, key) so files stay balanced
-        labelled = labelled.repartitionByRange("pred_category", settings.unique_key)
-        writer = labelled.write.mode("errorifexists").partitionBy("pred_category")
-    writer.parquet(out_path)
+        labelled.repartitionByRange("pred_category", settings.unique_key) \
+            .write.mode("errorifexists").partitionBy("pred_category").parquet(out_path)
+    else:
+        labelled.write.mode("errorifexists").parquet(out_path)
     result = spark.read.parquet(out_path)
     if csv_path:
         export_categories(result, csv_path, url_col=settings.url_col)
@@ -75,15 +71,14 @@ def relabel_table(spark: SparkSession, table_path: str, out_path: str, complete:
     links = spark.read.parquet(table_path)
     labels = label_residue(links, complete, taxonomy=settings.taxonomy, batch_size=settings.batch_size,
                            max_batches=settings.max_batches,
-                           where=None if settings.where_other_sql.strip() == "" else
-                           _extra_where(settings.where_other_sql), **kw)
+                           where=_extra_where(settings.where_other_sql), **kw)
     apply_labels(links, labels).write.mode("errorifexists").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
 def _extra_where(sql: str) -> str | None:
     """The residue filter is always applied; a configured predicate narrows it
-    further unless it is the default residue predicate itself."""
+    further unless it is empty or the default residue predicate itself."""
     norm = " ".join(sql.split()).lower()
-    return None if norm == "coalesce(pred_category, 'other') = 'other'" else sql
+    return None if norm in ("", "coalesce(pred_category, 'other') = 'other'") else sql
 

@@ -76,3 +76,9 @@ def reliable_checkpoint(df):
     """Cut lineage with a reliable checkpoint in the shared folder (never local)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists (any Hadoop file system)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)

@@ -11,27 +11,19 @@ rows.  ``dropDuplicatesWithinWatermark`` is the bounded-state option (S1).
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.dedupe import run_distinct_links
 from ..operators.extract import page_links
 from ..operators.keyed import insert_if_absent
-
-
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+from ..session import path_exists
 
 
 def write_links_batch(batch: DataFrame, table_path: str, root_domain: str) -> None:
     """One micro-batch of pages -> new link rows appended to ``table_path``."""
     spark = batch.sparkSession
     links = run_distinct_links(page_links(batch, root_domain))
-    target = spark.read.parquet(table_path) if _table_exists(spark, table_path) else None
+    target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
     rows = insert_if_absent(links, target, "normalized_url", ["page_id", "pos"])
     rows.write.mode("append").parquet(table_path)
 
