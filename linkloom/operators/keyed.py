@@ -5,12 +5,15 @@ Spark does not enforce keys, so the writers do:
 * ``insert_if_absent`` (K4/J1): first row per key inside the batch, then a
   left-anti join against the stored keys, then dense new ids.  Applying it
   twice adds nothing.
-* ``upsert_pages`` (K5/J2): last row per url inside the batch, then a full
-  outer merge: matched rows take the batch's seven columns and keep ``id``
-  and ``meta_description``; new rows get new ids; untouched rows stay.
-
-Both return DataFrames; ``write_snapshot`` writes a result as a new table
-version, because a Parquet path cannot be overwritten while it is read.
+* ``upsert_pages`` (K5/J2): last row per url inside the batch, then a merge
+  by url (a left join of the stored rows with the batch, plus an anti join on
+  the url column for new rows): matched rows take the batch's seven columns
+  and keep ``id`` and ``meta_description``; new rows get new ids; untouched
+  rows stay.
+
+Both return DataFrames; ``write_snapshot``/``upsert_snapshot`` write a result
+as a new table version and ``latest_snapshot`` finds the newest complete one,
+because a Parquet path cannot be overwritten while it is read.
 Joins are plain equi-joins: AQE turns them into broadcast joins at run time
 when one side turns out small, and keeps the shuffle join otherwise.
 """
@@ -24,11 +27,8 @@ from ..functions.hashing import content_hash
 from .dedupe import first_wins
 from .ids import dense_rank_rows
 
-UPSERT_COLUMNS = ["status_code", "title", "html_content", "content_length", "link_depth",
-                  "fetched_at", "content_hash"]
-
-
 def next_id_base(target: DataFrame | None, id_col: str = "id") -> int:
+    """The largest stored id (0 for no table): one scalar to the driver."""
     if target is None:
         return 0
     m = target.agg(F.max(id_col)).collect()[0][0]
