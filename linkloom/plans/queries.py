@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import rule_pack
+from ..config import TAXONOMY, rule_pack
 from ..functions.hashing import content_hash, page_changes
 from ..functions.prompts import answer_label, user_prompt
 from ..functions.urls import is_external, with_normalized_url
@@ -23,6 +23,7 @@ from ..operators.relabel import apply_labels, label_residue, next_batch, relabel
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.export import export_categories, read_export
 from ..sources.tables import apply_column_map, ensure_column
+from ..streaming.links import start_link_stream
 from .catalog import OLD_TS, PAGES_ROOT, RUN_TS, SHOP_ROOT, shop_links, table
 from .stubs import stub_complete
 
@@ -251,7 +252,6 @@ def answer_parse(spark: SparkSession, sf: str) -> DataFrame:
            .when(shape == 3, F.concat(js, F.lit(' {"x":1}')))
            .when(shape == 4, F.col("text"))
            .otherwise(F.concat(F.lit('{"label":'), F.length("text").cast("string"), F.lit("}"))))
-    from ..config import TAXONOMY
     return c.select("conv_id", "turn", answer_label(raw, TAXONOMY).alias("label"))
 
 
@@ -291,7 +291,6 @@ def export_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """S1..S3: pages streamed in, links written insert-if-absent, run twice."""
-    from ..streaming.links import start_link_stream
     pages = table(spark, sf, "pages")
     # a glob, so the file source watches the folder for this table's files
     src = f"{sf.rstrip('/')}/pages*.parquet"
