@@ -82,3 +82,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists (any Hadoop file system)."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def recommended_conf(input_bytes: int, total_cores: int, html_heavy: bool = True) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of Parquet on ``total_cores``.
+
+    * Input splits: 128 MB, or 64 MB for HTML-heavy page tables (the parser
+      holds a batch of decoded pages in Python, several times the Parquet
+      size), and never fewer splits than cores.
+    * Shuffle partitions: enough for ~200 MB per partition of shuffled data
+      (links are a few percent of the page bytes; 10 % is assumed) and at
+      least 3 per core; AQE then coalesces small ones to the advisory size
+      and splits skewed ones.
+    """
+    split = (64 if html_heavy else 128) * 1024 * 1024
+    split = max(4 * 1024 * 1024, min(split, input_bytes // max(total_cores, 1) or split))
+    shuffled = input_bytes // 10
+    partitions = max(3 * total_cores, shuffled // (200 * 1024 * 1024))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
