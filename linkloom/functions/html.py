@@ -1,4 +1,4 @@
-"""Anchor extraction from HTML (X1..X4): an Arrow pandas UDF over whole pages.
+"""Anchor extraction from HTML (X1..X4): an Arrow UDF over whole pages.
 
 Per page it returns every ``<a>`` element in document order as
 ``struct<pos int, href string, text string, rels array<string>>``:
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +52,7 @@ class _AnchorScan(HTMLParser):
 
     def _close(self) -> None:
         a = self.cur
-        self.found.append({"pos": len(self.found) + 1, "href": a["href"],
-                           "text": "".join(a["text"]), "rels": a["rels"]})
+        self.found.append((len(self.found) + 1, a["href"], "".join(a["text"]), a["rels"]))
         self.cur = None
 
     def _take(self, attrs) -> None:
@@ -101,15 +100,15 @@ class _AnchorScan(HTMLParser):
         if self.cur is not None:
             self.cur["text"].append(data)
 
-    def finish(self) -> list[dict]:
+    def finish(self) -> list[tuple]:
         self.close()
         if self.cur is not None:
             self._close()
         return self.found
 
 
-def anchors_of(html: str | None) -> list[dict]:
-    """All anchors of one document (plain Python; used by the UDF and tests)."""
+def _scan(html: str | None) -> list[tuple]:
+    """(pos, href, text, rels) of every anchor of one document."""
     if not html or ("<a" not in html and "<A" not in html):
         return []
     scan = _AnchorScan()
@@ -117,6 +116,30 @@ def anchors_of(html: str | None) -> list[dict]:
     return scan.finish()
 
 
-@F.pandas_udf(ANCHOR_TYPE)
-def extract_anchors(html: pd.Series) -> pd.Series:
-    return html.map(anchors_of)
+def anchors_of(html: str | None) -> list[dict]:
+    """All anchors of one document as dicts (plain Python, for tests and callers)."""
+    return [{"pos": p, "href": h, "text": t, "rels": r} for p, h, t, r in _scan(html)]
+
+
+def anchors_arrow(html: pa.Array) -> pa.Array:
+    """Anchors of a batch of documents, built column by column as Arrow arrays
+    (no per-anchor Python objects to convert)."""
+    offsets, pos, href, text, rel_offsets, rel_values = [0], [], [], [], [0], []
+    for doc in html.to_pylist():
+        for p, h, t, r in _scan(doc):
+            pos.append(p)
+            href.append(h)
+            text.append(t)
+            rel_values.extend(r)
+            rel_offsets.append(len(rel_values))
+        offsets.append(len(pos))
+    rels = pa.ListArray.from_arrays(pa.array(rel_offsets, pa.int32()), pa.array(rel_values, pa.string()))
+    items = pa.StructArray.from_arrays(
+        [pa.array(pos, pa.int32()), pa.array(href, pa.string()), pa.array(text, pa.string()), rels],
+        names=["pos", "href", "text", "rels"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
+
+
+@F.arrow_udf(ANCHOR_TYPE)
+def extract_anchors(html: pa.Array) -> pa.Array:
+    return anchors_arrow(html)
