@@ -24,11 +24,13 @@ def test_run_dedupe_limits_before_shuffle(spark, sf_dir):
 
 
 def test_residue_filter_reaches_parquet(spark, tmp_path):
-    df = spark.createDataFrame([(1, "u", "other"), (2, "v", "x"), (3, "w", None)],
-                               "id long, url string, pred_category string")
+    df = spark.createDataFrame([(1, "u", "other", "a", "h"), (2, "v", "x", "b", "h"), (3, "w", None, "c", "h")],
+                               "id long, url string, pred_category string, anchor_text string, html string")
     df.write.parquet(str(tmp_path / "links"))
     scan = spark.read.parquet(str(tmp_path / "links"))
     r = residue(scan).select("id", "url")
     plan = _plan(r)
     assert "PushedFilters: [Or(IsNull(pred_category),EqualTo(pred_category,other))]" in plan
+    # only the columns used are read (K7)
+    assert "ReadSchema: struct<id:bigint,url:string,pred_category:string>" in plan
     assert sorted(x.id for x in r.collect()) == [1, 3]
