@@ -146,9 +146,12 @@ def resolve_dots(bpath: Column, hpath: Column) -> Column:
 BASE_FIELDS = ["bs", "b3", "b5", "bpath", "bad_b"]
 
 # Fast paths, compiled string functions only; every other href takes the
-# stages.  Only printable-ASCII hrefs without '#' or ';' qualify:
-#  * relative: "/path" with no dot segment, on a plain http(s) page URL ->
-#    scheme://host of the page + the path with '//' collapsed;
+# stages.  Only printable-ASCII hrefs without '#' or ';' on a plain http(s)
+# page URL qualify:
+#  * site-relative: "/path" with no dot segment -> scheme://host of the page
+#    + the path with '//' collapsed;
+#  * folder-relative: "path" with no dot segment and no ':' before its first
+#    '/' -> scheme://host + the page's folder + the path, '//' collapsed;
 #  * absolute: "http(s)://host/path" with no user info or brackets (dot
 #    segments stay as written, as they do for such references);
 #  * either may carry a query of key=value pairs of unreserved characters:
@@ -179,11 +182,11 @@ def _with_query(q: Column) -> Column:
     return F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))
 
 
-def fast_result(prefix: Column, href: Column, prefixes) -> Column:
+def fast_result(prefix: Column, base_dir: Column, href: Column, prefixes) -> Column:
     """The normalised URL when a fast path applies, else NULL.
 
-    ``prefix`` is ``fast_base_prefix`` of the page URL (NULL when the page URL
-    is not plain)."""
+    ``prefix`` and ``base_dir`` are ``fast_base_prefix``/``fast_base_dir`` of
+    the page URL (NULL when the page URL is not plain)."""
     h = href
     qpos = F.instr(h, "?")
     before_q = F.substring_index(h, "?", 1)
@@ -191,10 +194,15 @@ def fast_result(prefix: Column, href: Column, prefixes) -> Column:
     eligible = (prefix.isNotNull() & h.rlike(_PRINTABLE_ASCII_RE) & (F.instr(h, "#") == 0)
                 & (F.instr(h, ";") == 0) & ((query == "") | query.rlike(_SAFE_QUERY_RE)))
     q = _with_query(_drop_tracking_safe(query, prefixes))
-    # relative: "/path"
-    is_rel = (h.startswith("/") & ~h.startswith("//")
-              & ~((F.instr(before_q, ".") > 0) & before_q.rlike(_DOT_SEGMENT_Z_RE)))
+    no_dots = ~((F.instr(before_q, ".") > 0) & before_q.rlike(_DOT_SEGMENT_Z_RE))
+    # relative to the site: "/path"
+    is_rel = h.startswith("/") & ~h.startswith("//") & no_dots
     rel = F.concat(prefix, _collapse_cheap(before_q), q)
+    # relative to the page's folder: "path" (no ':' before the first '/', so
+    # it cannot be read as a scheme)
+    is_doc_rel = ((before_q != "") & ~h.startswith("/")
+                  & (F.instr(F.substring_index(before_q, "/", 1), ":") == 0) & no_dots)
+    doc_rel = F.concat(prefix, _collapse_cheap(F.concat(base_dir, before_q)), q)
     # absolute: "scheme://host/path"
     scheme = F.lower(F.substring_index(before_q, "://", 1))
     after = F.substr(before_q, F.length(scheme) + 4, F.length(before_q))
@@ -206,11 +214,12 @@ def fast_result(prefix: Column, href: Column, prefixes) -> Column:
                         F.when(path == "", F.lit("/")).otherwise(path), q)
     return (F.when(~eligible, F.lit(None).cast("string"))
             .when(is_rel, rel)
-            .when(is_abs, absolute))
+            .when(is_abs, absolute)
+            .when(is_doc_rel, doc_rel))
 
 
-def fast_base_prefix(base: Column) -> Column:
-    """``scheme://host`` of a plain http(s) page URL, else NULL.
+def _plain_base(base: Column) -> tuple[Column, Column, Column, Column]:
+    """(plain?, scheme, host, rest after the host) of a page URL.
 
     Plain: starts with http:// or https:// (any case), no tab/CR/LF anywhere
     and no bracket in the authority."""
@@ -219,9 +228,25 @@ def fast_base_prefix(base: Column) -> Column:
     host = F.substring_index(F.substring_index(F.substring_index(after, "/", 1), "?", 1), "#", 1)
     plain = (scheme.isin("http", "https") & (F.instr(base, "\t") == 0) & (F.instr(base, "\r") == 0)
              & (F.instr(base, "\n") == 0) & (F.instr(host, "[") == 0) & (F.instr(host, "]") == 0))
+    rest = F.substr(after, F.length(host) + 1, F.length(after))
+    return plain, scheme, host, rest
+
+
+def fast_base_prefix(base: Column) -> Column:
+    """``scheme://host`` of a plain http(s) page URL, else NULL."""
+    plain, scheme, host, _ = _plain_base(base)
     return F.when(plain, F.concat(scheme, F.lit("://"), F.lower(host)))
 
 
+def fast_base_dir(base: Column) -> Column:
+    """The folder of a plain page URL's path, up to and including its last
+    '/' ('/' for an empty path), else NULL."""
+    plain, _, _, rest = _plain_base(base)
+    path = F.substring_index(F.substring_index(rest, "?", 1), "#", 1)
+    folder = F.substr(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)))
+    return F.when(plain, F.when(folder == "", F.lit("/")).otherwise(folder))
+
+
 def base_stages(base: str = "base") -> list[Stage]:
     """Stages that parse the page URL (shared by all of a page's anchors)."""
     ex = lambda src, i: (lambda g: F.regexp_extract(g(src), _URL_RE, i))
@@ -298,7 +323,8 @@ def normalized_url(base: Column, href: Column, prefixes=TRACKING_PARAM_PREFIXES)
     def build() -> Column:
         full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
         # coalesce evaluates the stages only where no fast path applies
-        return F.coalesce(fast_result(fast_base_prefix(base), href, prefixes), full)
+        fast = fast_result(fast_base_prefix(base), fast_base_dir(base), href, prefixes)
+        return F.coalesce(fast, full)
     return _memo(("rows", str(base), str(href), tuple(prefixes or ())), build)
 
 
@@ -316,14 +342,15 @@ def _normalize_in_array(arr: Column, base: Column, href_field: str, out_field: s
                         prefixes) -> Column:
     hst = href_stages(prefixes, href=href_field)
     parsed_base = chain(base_stages("__base"), {"__base": base}, BASE_FIELDS)
-    page = F.struct(parsed_base.alias("p"), fast_base_prefix(base).alias("prefix"))
+    page = F.struct(parsed_base.alias("p"), fast_base_prefix(base).alias("prefix"),
+                    fast_base_dir(base).alias("dir"))
 
     def per_page(b: Column) -> Column:
         def per_anchor(x: Column) -> Column:
             env = {f: b["p"][f] for f in BASE_FIELDS}
             env[href_field] = x[href_field]
             full = chain(hst, env, ["norm"])["norm"]
-            fast = fast_result(b["prefix"], x[href_field], prefixes)
+            fast = fast_result(b["prefix"], b["dir"], x[href_field], prefixes)
             return x.withField(out_field, F.coalesce(fast, full))
         return F.transform(arr, per_anchor)
     return let(page, per_page)
