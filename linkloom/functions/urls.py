@@ -315,12 +315,15 @@ def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
     """Add ``out``: the absolute, normalised URL of ``href`` on page ``base`` (NULL when dropped)."""
     base = F.col(base) if isinstance(base, str) else base
     href = F.col(href) if isinstance(href, str) else href
-    # Computed inside a one-element explode: a filter on the result then stays
-    # above the generator, so the optimizer never copies the normaliser into a
-    # pushed-down filter (which would compute it twice, and grow without bound
-    # when a normalised column is normalised again).  Explode keeps codegen.
+    # Computed in a projection (compiled), then passed through a one-element
+    # explode: a filter on the result stays above the generator, so the
+    # optimizer never copies the normaliser into a pushed-down filter (which
+    # would compute it twice, and grow without bound when a normalised column
+    # is normalised again).
+    tmp = "__normalized_url"
     keep = [F.col(c) for c in df.columns if c != out]
-    return df.select(*keep, F.explode(F.array(normalized_url(base, href, prefixes))).alias(out))
+    staged = df.select(*keep, normalized_url(base, href, prefixes).alias(tmp))
+    return staged.select(*keep, F.explode(F.array(F.col(tmp))).alias(out))
 
 
 def normalized_url(base: Column, href: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
