@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_ROOT_DOMAIN, TRACKING_PARAM_PREFIXES
 from ..functions.html import extract_anchors
 from ..functions.strings import normalize_space
-from ..functions.urls import is_external, normalize_in_array
+from ..functions.urls import is_external, normalize_in_array, with_normalized_url
+from .dedupe import run_distinct_links
 
 LINK_COLUMNS = ["url", "normalized_url", "anchor_text", "rel", "is_external"]
 
@@ -87,6 +88,8 @@ def page_links(pages: DataFrame, root_domain: str = DEFAULT_ROOT_DOMAIN,
     rel, is_external``.  ``pos`` is the anchor's 1-based place on its page;
     (page_id, pos) is the order in which links were seen.
     """
+    if not dedupe_page:
+        return _page_links_rows(pages, root_domain, page_id, url, html, strict_external, prefixes)
     per_page = page_links_array(pages, root_domain, page_id, url, html, dedupe_page, prefixes)
     # explode_outer: a plain explode makes the optimizer infer a size(links) > 0
     # filter below it, which would run the HTML parser a second time
@@ -100,3 +103,32 @@ def page_links(pages: DataFrame, root_domain: str = DEFAULT_ROOT_DOMAIN,
         F.when(F.size("l.rels") > 0, F.array_join("l.rels", " ")).alias("rel"),               # X4
         is_external(F.col("l.normalized_url"), root_domain, strict_external).alias("is_external"),  # N2
     )
+
+
+def _page_links_rows(pages: DataFrame, root_domain: str, page_id: str, url: str, html: str,
+                     strict_external: bool, prefixes) -> DataFrame:
+    """All links of every page without the per-page dedupe: anchors are
+    exploded first and normalised row by row, which runs as compiled code
+    (the in-array form is evaluated by higher-order functions)."""
+    a = page_anchors(pages, page_id=page_id, url=url, html=html)
+    rows = (a.select("page_id", "page_url", F.explode_outer("anchors").alias("a"))
+            .where(F.col("a").isNotNull())
+            .select("page_id", "page_url", F.col("a.pos").alias("pos"), F.col("a.href").alias("url"),
+                    F.col("a.text").alias("text"), F.col("a.rels").alias("rels")))
+    rows = with_normalized_url(rows, "page_url", "url", out="normalized_url", prefixes=prefixes)
+    rows = rows.where(F.coalesce(F.col("normalized_url"), F.lit("")) != "")                  # F1
+    return rows.select(
+        "page_id", "pos", "url", "normalized_url",
+        normalize_space(F.col("text")).alias("anchor_text"),                                  # X3
+        F.when(F.size("rels") > 0, F.array_join("rels", " ")).alias("rel"),                   # X4
+        is_external(F.col("normalized_url"), root_domain, strict_external).alias("is_external"),
+    )
+
+
+def run_links(pages: DataFrame, root_domain: str = DEFAULT_ROOT_DOMAIN, **kw) -> DataFrame:
+    """X6 + D2: one row per normalised URL over all pages, first sighting wins.
+
+    The per-page dedupe (D1) is left out: D2 keeps the first row by
+    (page_id, pos), which D1 would have kept too, and the partial limit before
+    D2's shuffle already drops a page's repeats inside its map task."""
+    return run_distinct_links(page_links(pages, root_domain, dedupe_page=False, **kw))

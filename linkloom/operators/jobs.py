@@ -21,8 +21,7 @@ from ..sources.config import Settings
 from ..sources.export import export_categories
 from ..sources.tables import apply_column_map
 from .classify import classify_links
-from .dedupe import run_distinct_links
-from .extract import page_links
+from .extract import run_links
 from .keyed import insert_if_absent
 from .relabel import Complete, apply_labels, label_residue
 
@@ -32,7 +31,7 @@ def store_links(pages: DataFrame, table_path: str, root_domain: str,
     """Append the new links of ``pages`` to the link table; returns the table."""
     s = settings or Settings()
     spark = pages.sparkSession
-    links = run_distinct_links(page_links(pages, root_domain))
+    links = run_links(pages, root_domain)
     mapped = apply_column_map(links, s.column_map, run_ts=run_ts, keep=["page_id", "pos"])
     target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
     new = insert_if_absent(mapped, target, s.unique_key, ["page_id", "pos"])

@@ -15,8 +15,7 @@ from ..functions.hashing import content_hash, page_changes
 from ..functions.prompts import answer_label, user_prompt
 from ..functions.urls import is_external, with_normalized_url
 from ..operators.classify import category_profile, classify_links, classify_url
-from ..operators.dedupe import run_distinct_links
-from ..operators.extract import anchor_rows, page_links
+from ..operators.extract import anchor_rows, page_links, run_links
 from ..operators.ids import dense_rank_rows
 from ..operators.keyed import insert_if_absent, upsert_pages
 from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts
@@ -62,7 +61,7 @@ def links_dedupe_page(spark: SparkSession, sf: str) -> DataFrame:
 
 def links_dedupe_run(spark: SparkSession, sf: str) -> DataFrame:
     """First sighting per normalised URL over the whole run."""
-    return run_distinct_links(page_links(_pages(spark, sf), PAGES_ROOT)) \
+    return run_links(_pages(spark, sf), PAGES_ROOT) \
         .select("normalized_url", "page_id", "pos", "url", "anchor_text")
 
 
@@ -76,7 +75,7 @@ def links_external(spark: SparkSession, sf: str) -> DataFrame:
 
 def links_category_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: pages -> links -> run distinct -> classify -> links per category."""
-    links = run_distinct_links(page_links(_pages(spark, sf), PAGES_ROOT))
+    links = run_links(_pages(spark, sf), PAGES_ROOT)
     classified = classify_links(links, PAGE_RULES, url_col="normalized_url")
     return category_profile(classified)
 
@@ -135,7 +134,7 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
 
 def links_store(spark: SparkSession, sf: str) -> DataFrame:
     """Pages -> links -> first sighting -> column map and defaults -> new link table with ids."""
-    links = run_distinct_links(page_links(_pages(spark, sf), PAGES_ROOT))
+    links = run_links(_pages(spark, sf), PAGES_ROOT)
     rows = insert_if_absent(links, None, "normalized_url", ["page_id", "pos"])
     mapped = apply_column_map(rows, run_ts=F.to_timestamp(F.lit(RUN_TS)))
     return rows.select("id", "normalized_url").join(mapped, "normalized_url").select(

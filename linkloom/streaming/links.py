@@ -13,8 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.dedupe import run_distinct_links
-from ..operators.extract import page_links
+from ..operators.extract import run_links
 from ..operators.keyed import insert_if_absent
 from ..session import path_exists
 
@@ -22,7 +21,7 @@ from ..session import path_exists
 def write_links_batch(batch: DataFrame, table_path: str, root_domain: str) -> None:
     """One micro-batch of pages -> new link rows appended to ``table_path``."""
     spark = batch.sparkSession
-    links = run_distinct_links(page_links(batch, root_domain))
+    links = run_links(batch, root_domain)
     target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
     rows = insert_if_absent(links, target, "normalized_url", ["page_id", "pos"])
     rows.write.mode("append").parquet(table_path)

@@ -70,3 +70,19 @@ def test_anchor_tree_rules():
     for html, expected in cases:
         got = [(a["href"], a["text"]) for a in anchors_of(html)]
         assert got == expected, (html, got)
+
+
+def test_run_links_equals_both_dedupes(spark, sf_dir):
+    from linkloom.operators.extract import run_links
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    cols = ["normalized_url", "page_id", "pos", "url", "anchor_text", "rel", "is_external"]
+    a = run_links(pages, "example.com").select(*cols)
+    b = run_distinct_links(page_links(pages, "example.com", dedupe_page=True)).select(*cols)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    # the row-wise form (no per-page dedupe) and the in-array form give the same links
+    from linkloom.operators.extract import page_links_array
+    rows = page_links(pages, "example.com", dedupe_page=False).select("page_id", "pos", "normalized_url")
+    arr = (page_links_array(pages, "example.com", dedupe_page=False)
+           .select("page_id", F.explode("links").alias("l"))
+           .select("page_id", "l.pos", "l.normalized_url"))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, arr.collect()))
