@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.extract import run_links
 from ..operators.keyed import insert_if_absent
 from ..session import path_exists
+from ..sources.pages import stream_pages
 
 
 def write_links_batch(batch: DataFrame, table_path: str, root_domain: str) -> None:
@@ -31,10 +32,7 @@ def start_link_stream(spark: SparkSession, pages_path: str, schema, table_path:
                       checkpoint_path: str, root_domain: str,
                       max_files_per_trigger: int | None = None, available_now: bool = True):
     """Start the stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.parquet(pages_path)
+    pages = stream_pages(spark, pages_path, schema, max_files_per_trigger)
     w = (pages.writeStream.option("checkpointLocation", checkpoint_path)
          .foreachBatch(lambda df, _epoch: write_links_batch(df, table_path, root_domain)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
