@@ -41,3 +41,10 @@ def test_hot_url_keeps_first_sighting(spark, sf_dir):
     hot_rows = run.where("normalized_url = 'https://hot.example/x'").collect()
     first_page = pages.agg(F.min("page_id")).first()[0]
     assert len(hot_rows) == 1 and hot_rows[0].page_id == first_page
+    # the row-wise run path gives the same first sighting and limits before its shuffle
+    from linkloom.operators.extract import run_links
+    rl = run_links(skewed, "example.com")
+    rl_hot = rl.where("normalized_url = 'https://hot.example/x'").collect()
+    assert [(r.page_id, r.pos) for r in rl_hot] == [(hot_rows[0].page_id, hot_rows[0].pos)]
+    plan = rl._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
