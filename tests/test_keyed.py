@@ -79,3 +79,18 @@ def test_upsert_snapshots_switch_versions(spark):
     v, path = latest_snapshot(spark, root)
     rows = {r.url: (r.id, r.title) for r in spark.read.parquet(path).collect()}
     assert v == 1 and rows == {"U": (1, "b"), "V": (2, "v")}
+
+
+def test_upsert_null_urls_never_conflict(spark):
+    target = spark.createDataFrame(
+        [(1, None, 200, "t-null", "m", "<a>", 3, 0, None, None), (2, "U", 200, "old", "m", "<b>", 3, 0, None, None)],
+        "id long, url string, status_code int, title string, meta_description string, html_content string,"
+        " content_length int, link_depth int, fetched_at timestamp, content_hash string")
+    batch = spark.createDataFrame(
+        [(None, 1, 200, "b-null-1", "<c>", 3, 1), (None, 2, 200, "b-null-2", "<d>", 3, 1), ("U", 3, 200, "new", "<e>", 3, 1)],
+        "url string, seq int, status_code int, title string, html_content string, content_length int, link_depth int")
+    rows = upsert_pages(batch, target, "seq", run_ts=F.lit("2024-01-01").cast("timestamp")).collect()
+    by_title = {r.title: r for r in rows}
+    assert len(rows) == 4
+    assert by_title["t-null"].id == 1 and by_title["new"].id == 2 and by_title["new"].url == "U"
+    assert sorted(by_title[t].id for t in ("b-null-1", "b-null-2")) == [3, 4]
