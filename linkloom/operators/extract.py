@@ -1,10 +1,13 @@
 """Page -> links (X1..X6, N1, F1, D1, N2).
 
-Everything per page happens inside the page's own row: the anchors come back
-from the parser as one array, are normalised in place, filtered, and reduced
-to the first anchor per normalised URL before they are exploded.  So the
-whole extraction is map-only: no shuffle, and the HTML column is dropped
-right after parsing.
+The parser returns each page's anchors as one array, and the HTML column is
+dropped right after parsing.  Two map-only forms follow, neither shuffles:
+
+* with the per-page dedupe (D1): the anchors are normalised in place inside
+  the page's array, filtered, and reduced to the first anchor per normalised
+  URL before they are exploded;
+* without it (and for the run-wide ``run_links``, where D2 subsumes D1): the
+  anchors are exploded first and normalised row by row as compiled code.
 """
 
 from __future__ import annotations
@@ -18,9 +21,6 @@ from ..functions.strings import normalize_space
 from ..functions.urls import is_external, normalize_in_array, with_normalized_url
 from .dedupe import run_distinct_links
 
-LINK_COLUMNS = ["url", "normalized_url", "anchor_text", "rel", "is_external"]
-
-
 def spread_for_parsing(pages: DataFrame) -> DataFrame:
     """Give the CPU-bound parser at least one partition per core.
 
