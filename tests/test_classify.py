@@ -72,3 +72,15 @@ def test_shop_url_category_counts(spark):
                                  "policy", "search"]}
     expected.update({"account": 166, "home": 166, "other": 166, None: 166})
     assert got == expected
+
+
+def test_flag_compilation(spark):
+    from linkloom.operators.classify import compile_flags
+    assert compile_flags(["ignorecase"]) == "(?di)"
+    assert compile_flags(["IgnoreCase", "MULTILINE", "dotall"]) == "(?di)"       # as the SQL path: IGNORECASE only
+    assert compile_flags(["IgnoreCase", "MULTILINE", "dotall"], honor_all=True) == "(?dims)"
+    assert compile_flags([], unicode_case=True, force_ignorecase=True) == "(?diu)"
+    df = spark.createDataFrame([("https://www.shop.example/a\nb",)], "url string")
+    rules = [("dot", r"^https://www\.shop\.example/a.b$", ["DOTALL"])]
+    assert df.select(rule_case(F.col("url"), rules).alias("c")).first().c == "other"
+    assert df.select(rule_case(F.col("url"), rules, honor_all_flags=True).alias("c")).first().c == "dot"
