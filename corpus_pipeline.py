@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from linkloom.llm import decontamination, line_dedup, order_minhash, packing, toxicity
 from linkloom.session import scratch_path
 
@@ -12,8 +14,9 @@ def reject_toxic(spark, docs, sf_dir):
 
 
 def drop_repeated_lines(spark, docs, sf_dir):
-    """Documents without later copies of repeated runs of lines."""
-    return line_dedup.dedup_lines(docs)
+    """Documents without later copies of repeated runs of lines; n_chars follows the text."""
+    kept = line_dedup.dedup_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_near_copies(spark, docs, sf_dir):
