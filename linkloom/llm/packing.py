@@ -19,12 +19,16 @@ ignored; texts of any length are tokenised whole.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +37,7 @@ from linkloom.llm.common import body, materialize
 BASE = 16
 LEVELS = 3
 WINDOW = BASE ** LEVELS
-CACHE_WORDS = 400_000  # cached words per worker (memory bound; a full cache is emptied)
+CACHE_WORDS = 1_500_000  # cached words per worker process (memory bound; a full cache is emptied)
 
 PIECES = ("part int, doc_id {id}, doc_tokens long, start array<long>, length array<long>, cls array<int>, "
           "rank array<long>, crc array<long>, bit_crc array<array<long>>")
@@ -245,36 +249,79 @@ def make_plan(counts: np.ndarray, full: int) -> Plan:
 # ---------------------------------------------------------------- tokens
 
 class WordCache:
-    """Ids of a text, word by word; a word is encoded once per worker.
+    """Ids of texts, word by word; a word is encoded once per worker process.
 
     White space only separates words for this tokeniser (its normaliser maps
-    runs to one space, which its splitter drops), so a text's ids are those of
-    its words in order.  Texts with the four separators that Python alone
-    takes for white space are encoded whole.
+    runs to one space, which its splitter drops) and case is folded, so a
+    text's ids are those of its words in order.  Texts with a separator that
+    only Arrow takes for white space, or with what may be a special token, are
+    encoded whole.
     """
 
+    ODD = "[\x1c-\x1f]|<\\|"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        words = []
-        for t in texts:
-            odd = "\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t
-            words.append(None if odd else (t.lower() if t.isascii() and "<|" not in t else t).split())
-        new = list({w for ws in words if ws for w in ws if w not in self.known})
-        self.known.update(zip(new, self._encode(new)))
-        get = self.known.__getitem__
-        for t, ws in zip(texts, words):
-            yield self._encode([t])[0] if ws is None else b"".join(map(get, ws))
+        self.clear()
+
+    @classmethod
+    def of_process(cls, path: str) -> WordCache:
+        """The cache of this worker process, kept from task to task."""
+        held = sys.modules.setdefault("_word_ids_of_process", ModuleType("_word_ids_of_process"))
+        if path not in vars(held):
+            vars(held)[path] = cls(path)
+        return vars(held)[path]
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, dtype="<u4")
+        self.ends = np.zeros(1 << 14, dtype=np.int64)  # ends[k]: where word k's ids end; word 0 is empty
+        self.number[""] = 0
+
+    def _add(self, words: list[str]) -> None:
+        k, at = len(self.number), int(self.ends[len(self.number) - 1])
+        for lo in range(0, len(words), 50_000):
+            some = words[lo:lo + 50_000]
+            found = [e.ids for e in self.tokenizer.encode_batch(some, add_special_tokens=False)]
+            n = np.array([len(f) for f in found], dtype=np.int64)
+            ends = at + np.cumsum(n)
+            while len(self.ids) < ends[-1]:
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            while len(self.ends) < k + len(some):
+                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.ids[at:ends[-1]] = np.fromiter(chain.from_iterable(found), dtype="<u4", count=int(n.sum()))
+            self.ends[k:k + len(some)] = ends
+            self.number.update(zip(some, range(k, k + len(some))))
+            k, at = k + len(some), int(ends[-1])
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text."""
+        if len(self.number) > CACHE_WORDS:
+            self.clear()
+        odd = pc.match_substring_regex(texts, self.ODD)
+        plain = pc.ascii_lower(pc.if_else(odd, pa.scalar("", texts.type), texts))
+        words = pc.utf8_split_whitespace(plain)
+        flat = words.flatten().dictionary_encode()
+        names = flat.dictionary.to_pylist()
+        known = np.fromiter(map(self.number.get, names, repeat(-1)), dtype=np.int64, count=len(names))
+        new = np.flatnonzero(known < 0)
+        known[new] = len(self.number) + np.arange(len(new))
+        self._add([names[i] for i in new.tolist()])
+        number = known[flat.indices.to_numpy()]
+        stop = self.ends[number]
+        start = np.where(number > 0, self.ends[np.maximum(number - 1, 0)], stop)
+        n = stop - start
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.arange(total) + np.repeat(start - (ends - n), n)]
+        word_ends = words.offsets.to_numpy()
+        cuts = np.r_[0, ends][word_ends - word_ends[0]]
+        out = [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        for r in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[r] = np.array(self.tokenizer.encode(texts[r].as_py(), add_special_tokens=False).ids, dtype="<u4")
+        return out
 
 
 def cut_document(ids: bytes, window: int = WINDOW):
@@ -313,14 +360,14 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFra
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        cache, end = WordCache(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
+        cache, end = WordCache.of_process(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (BASE * LEVELS)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                some = batch.slice(lo, 512)
+            for lo in range(0, batch.num_rows, 5000):
+                some = batch.slice(lo, 5000)
                 rows = {k: [] for k in ("doc_tokens", "start", "length", "cls", "rank", "crc", "bit_crc")}
-                for ids in cache.batch(some.column(1).to_pylist()):
-                    ids += end
+                for own in cache.batch(some.column(1)):
+                    ids = own.tobytes() + end
                     pieces = cut_document(ids)
                     rows["doc_tokens"].append(len(ids) // 4)
                     rows["start"].append([p[0] for p in pieces])
@@ -367,7 +414,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
 
     schema = (f"doc_id {id_type.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long")
-    return pieces.join(shift, "part").drop("part").mapInArrow(run, schema)
+    return pieces.join(shift, "part").mapInArrow(run, schema)
 
 
 def place_batch(batch: pa.RecordBatch, plan: Plan) -> pa.RecordBatch:
@@ -375,9 +422,14 @@ def place_batch(batch: pa.RecordBatch, plan: Plan) -> pa.RecordBatch:
     row = np.repeat(np.arange(batch.num_rows), np.diff(col["cls"].offsets.to_numpy()))
     flat = {k: col[k].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             for k in ("start", "length", "cls", "rank", "crc")}
-    before = [dict(m) for m in col["before"].to_pylist()]
-    rank = flat["rank"] + np.array([before[r][c] for r, c in zip(row, flat["cls"])], dtype=np.int64)
-    bits = col["bit_crc"].flatten().to_pylist()
+    part = col["part"].to_numpy()
+    kinds, first = np.unique(part, return_index=True)
+    shift = np.zeros((len(kinds), BASE * LEVELS), dtype=np.int64)
+    for i, r in enumerate(first.tolist()):
+        for c, n in col["before"][r].as_py():
+            shift[i, c] = n
+    rank = flat["rank"] + shift[np.searchsorted(kinds, part)[row], flat["cls"]]
+    bits = col["bit_crc"].flatten()
     out: list[tuple[np.ndarray, ...]] = []
 
     full = np.flatnonzero(flat["cls"] == 0)
@@ -398,11 +450,12 @@ def place_batch(batch: pa.RecordBatch, plan: Plan) -> pa.RecordBatch:
         p = at[~whole]
         if len(p):
             start = flat["start"][p].copy()
+            own = bits.take(pa.array(p)).to_pylist()
             for k, power in enumerate(q for q in (8, 4, 2, 1) if digit & q):
                 index = rank[p] - level.whole[digit - 1] + level.part_base[power, digit]
                 sequence, offset = plan.place(depth, -power, index)
                 length = np.full(len(p), power * unit, dtype=np.int64)
-                crc = np.array([bits[i][k] for i in p], dtype=np.int64)
+                crc = np.array([b[k] for b in own], dtype=np.int64)
                 out.append((row[p], start.copy(), length, crc, sequence, offset))
                 start += length
     rows, start, length, crc, sequence, offset = (np.concatenate(x) for x in zip(*out))
