@@ -42,10 +42,11 @@ def corpus_counts(docs: DataFrame, vocabulary: set[str]) -> tuple[dict[str, int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = Counter(), 0
         for batch in batches:
+            seen: Counter = Counter()
             for text in batch.column(0).to_pylist():
-                ws = words(text)
-                total += len(ws)
-                own.update(vocabulary.intersection(ws) and [w for w in ws if w in vocabulary])
+                seen.update(words(text))
+            total += seen.total()
+            own.update({w: seen[w] for w in vocabulary.intersection(seen)})
         yield pa.RecordBatch.from_arrays([pa.array([*own, ""]), pa.array([*own.values(), total], pa.int64())],
                                          names=["word", "n"])
 
@@ -97,6 +98,15 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def _codes(numbers: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every n consecutive word numbers."""
+    out = np.zeros(len(numbers) - n + 1, dtype=np.uint64)
+    for j in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + numbers[j:j + len(out)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class Matcher:
     """Seeds of a slice of the benchmark, ready for a task."""
 
@@ -104,23 +114,15 @@ class Matcher:
         self.items = items  # (item id, words)
         vocabulary = sorted({w for _, ws in items for w in ws})
         self.number = {w: i + 1 for i, w in enumerate(vocabulary)}
-        self.base = np.uint64(len(vocabulary) + 2)
         self.coded = [np.array([self.number[w] for w in ws]) for _, ws in items]
-        self.by_length: dict[int, tuple[np.ndarray, list]] = {}
-        grouped: dict[int, dict[int, list]] = {}
+        # the first words of a seed (at most SHORTEST) select places; the seeds that begin so are compared there
+        self.seeds: dict[int, dict[int, dict[tuple, list]]] = {}
         for gram, where in pick_seeds([ws for _, ws in items], counts, total).items():
-            code = int(self._codes(np.array([self.number[w] for w in gram]), len(gram))[0])
-            grouped.setdefault(len(gram), {}).setdefault(code, []).extend(where)
-        for n, found in grouped.items():
-            keys = np.array(sorted(found), dtype=np.uint64)
-            self.by_length[n] = (keys, [found[int(c)] for c in keys])
-
-    def _codes(self, numbers: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros(len(numbers) - n + 1, dtype=np.uint64)
-        for j in range(n):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + numbers[j:j + len(out)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            out ^= out >> np.uint64(29)
-        return out
+            numbers = tuple(self.number[w] for w in gram)
+            n = min(SHORTEST, len(numbers))
+            code = int(_codes(np.array(numbers[:n]), n)[0])
+            self.seeds.setdefault(n, {}).setdefault(code, {})[numbers] = where
+        self.starts = {n: np.array(sorted(found), dtype=np.uint64) for n, found in self.seeds.items()}
 
     def leaks(self, text: str | None, least: float = SIMILARITY) -> list[tuple]:
         """(item id, similarity, first word, end word) of every item in the text."""
@@ -129,15 +131,17 @@ class Matcher:
         if not numbers.any():
             return []
         near: dict[int, list[int]] = {}
-        for n, (keys, where) in self.by_length.items():
+        for n, starts in self.starts.items():
             if len(numbers) < n:
                 continue
-            codes = self._codes(numbers, n)
-            at = np.searchsorted(keys, codes)
-            at[at == len(keys)] = 0
-            for p in np.flatnonzero(keys[at] == codes).tolist():
-                for k, q in where[at[p]]:
-                    near.setdefault(k, []).append(p - q)
+            codes = _codes(numbers, n)
+            at = np.searchsorted(starts, codes)
+            at[at == len(starts)] = 0
+            for p in np.flatnonzero(starts[at] == codes).tolist():
+                for gram, where in self.seeds[n][int(codes[p])].items():
+                    if gram == tuple(numbers[p:p + len(gram)].tolist()):
+                        for k, q in where:
+                            near.setdefault(k, []).append(p - q)
         out = []
         for k, starts in near.items():
             item = self.coded[k]
