@@ -33,6 +33,7 @@ from linkloom.llm.words import WordHashes, mix, shingle_hashes, words
 K = 5
 PICKS = 64
 BANDS = 32
+FURTHER = 4  # further picks that refine a bucket its representative does not hold together
 SIMILARITY = 0.8
 _CELLS = 4_000_000  # hash values held at once
 
@@ -206,9 +207,11 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
                       (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left")
             .where("ok is null").select("bucket", F.col("b").alias("cid")).distinct())
     crowd = rest.groupBy("bucket").count().where("count > 1").select("bucket")
+    # (a pair that shares m bands has FURTHER * m chances; the picks depend on the bucket)
+    further = [F.pmod(F.xxhash64("bucket", F.lit(i)), F.lit(PICKS)).cast("int") for i in range(FURTHER)]
     finer = (rest.join(crowd, "bucket", "left_semi").join(classes.select("cid", "picks"), "cid")
-             .select("cid", "bucket", F.posexplode("picks").alias("n", "pick"))
-             .select("cid", F.xxhash64("bucket", "n", "pick").alias("bucket")))
+             .select("cid", F.explode(F.transform(F.array(*further), lambda n: F.xxhash64("bucket", n, F.get("picks", n))))
+                     .alias("bucket")))
     more = star_pairs(finer).select("a", "b").distinct()
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
