@@ -31,7 +31,8 @@ from linkloom.llm.words import mix
 
 LENGTH = 400
 LEAD = 200
-CROWD = 2000  # suffixes of one lead that a task compares at once; more are split by a salt
+CROWD = 8000    # suffixes of one lead that a task compares at once; more are split by a salt
+AT_ONCE = 4000  # suffixes of several leads that a task compares at once
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,25 +107,62 @@ def leads(data: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
+def fold_periods(at: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which sampled suffixes to keep, and byte runs that repeat within themselves.
+
+    Suffixes of one lead at a constant step d <= 200 lie in a stretch of
+    period d.  In a stretch of 1000 bytes or more every 400-byte window comes
+    again d bytes further or earlier, so the stretch is covered as a whole;
+    its first and last suffix (for windows over its ends) and one with a full
+    context inside it (for equal windows elsewhere) stand for the others.
+    """
+    keep = np.ones(len(at), dtype=bool)
+    if len(at) < 3:
+        return keep, []
+    step = np.diff(at)
+    same = (lead[1:] == lead[:-1]) & (step <= LEAD)
+    chain = np.r_[False, same[1:] & same[:-1] & (step[1:] == step[:-1])]  # gap i goes on with the step of gap i - 1
+    spans = []
+    first = np.flatnonzero(same & ~chain)
+    for g in first.tolist():
+        end = g + 1
+        while end < len(same) and chain[end]:
+            end += 1
+        a, z = int(at[g]), int(at[end])
+        if z + LEAD - a >= 1000:
+            spans.append((a, z + LEAD))
+            middle = g + int(np.searchsorted(at[g:end + 1], a + LENGTH - LEAD))
+            keep[g + 1:end] = False
+            keep[middle] = True
+    return keep, spans
+
+
 def sampled_suffixes(docs: DataFrame, key: str) -> DataFrame:
-    """(doc_id, key, place, lead) of every sampled suffix."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, place int, lead long"
+    """(doc_id, key, place, lead) of every sampled suffix, and (doc_id, key, place, stop) of periodic stretches."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, place int, lead long, stop int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
-                rows, places, tokens = [], [], []
+                rows, places, tokens, periods = [], [], [], []
                 for r, raw in enumerate(some.column(2)):
                     at, lead = leads(np.frombuffer(raw.as_buffer(), dtype=np.uint8), powers)
-                    rows.append(np.full(len(at), r))
-                    places.append(at.astype(np.int32))
-                    tokens.append(lead.view(np.int64))
-                take = pa.array(np.concatenate(rows))
+                    keep, spans = fold_periods(at, lead)
+                    rows.append(np.full(int(keep.sum()), r))
+                    places.append(at[keep].astype(np.int32))
+                    tokens.append(lead[keep].view(np.int64))
+                    periods.extend((r, *x) for x in spans)
+                n, m = sum(map(len, rows)), len(periods)
+                take = pa.array(np.concatenate([*rows, np.array([x[0] for x in periods], dtype=np.int64)]))
+                place = np.concatenate([*places, np.array([x[1] for x in periods], dtype=np.int32)])
+                real = np.arange(n + m) >= n
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).take(take), some.column(1).take(take), pa.array(np.concatenate(places)),
-                     pa.array(np.concatenate(tokens))], names=["doc_id", "key", "place", "lead"])
+                    [some.column(0).take(take), some.column(1).take(take), pa.array(place),
+                     pa.array(np.concatenate([*tokens, np.zeros(m, dtype=np.int64)]), mask=real),
+                     pa.array(np.r_[np.zeros(n, dtype=np.int32), np.array([x[2] for x in periods], dtype=np.int32)], mask=~real)],
+                    names=["doc_id", "key", "place", "lead", "stop"])
 
     return (docs.where(F.octet_length(body()) >= LENGTH)
             .select("doc_id", F.col(key).alias("key"), body().cast("binary").alias("raw")).mapInArrow(run, schema))
@@ -162,56 +200,61 @@ def suffix_contexts(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-def compare_run(table: pa.Table, powers: Powers) -> pa.Table:
-    """One run of suffixes with equal lead (and salt): spans of the windows found twice in it and,
-    for a split run, one row per distinct window to compare across its pieces."""
-    col = {n: table.column(n) for n in table.column_names}
+def compare_runs(table: pa.Table, powers: Powers) -> pa.Table:
+    """Whole runs of suffixes with equal lead (and salt): per suffix the span of its windows found
+    twice in its run, and for split runs one row per distinct window to compare across their pieces."""
+    col = {n: table.column(n).combine_chunks() for n in table.column_names}
     place = col["place"].to_numpy().astype(np.int64)
     before = col["before"].to_numpy().astype(np.int64)
-    owner, rel, digest = [], [], []
-    for i, raw in enumerate(col["bytes"].to_pylist()):
-        h = window_hashes(np.frombuffer(raw, dtype=np.uint8), LENGTH, powers)
-        owner.append(np.full(len(h), i))
-        rel.append(np.arange(len(h)) - before[i])
-        digest.append(h)
-    owner, rel, digest = np.concatenate(owner), np.concatenate(rel), np.concatenate(digest)
-    _, first, back, n = np.unique(mix(digest + rel.astype(np.uint64) * _P), return_index=True,
-                                  return_inverse=True, return_counts=True)
-    twice = n[back] > 1
-    who, start, stop = [], [], []
+    lead = col["lead"].to_numpy().view(np.uint64)
+    split = col["split"].to_numpy(zero_copy_only=False)
+    ends = _ends(col["bytes"])
+    data = np.frombuffer(col["bytes"].buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    n = np.maximum(np.diff(ends) - LENGTH + 1, 0)               # windows per suffix
+    owner = np.repeat(np.arange(len(n)), n)
+    inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    digest = window_hashes(data, LENGTH, powers)[ends[owner] + inner]
+    rel = inner - before[owner]
+    name = mix(digest + rel.astype(np.uint64) * _P + mix(lead)[owner])
+    order = np.argsort(name)
+    line = name[order]
+    equal = line[1:] == line[:-1]
+    head = np.r_[True, ~equal] if len(line) else np.zeros(0, dtype=bool)
+    twice = np.zeros(len(name), dtype=bool)
+    twice[order] = (np.r_[False, equal] | np.r_[equal, False]) if len(line) else twice
+    hit = np.flatnonzero(twice)
+    who, first = np.unique(owner[hit], return_index=True)
+    last = np.r_[first[1:], len(hit)][:len(who)] - 1
     start_at = place[owner] + rel
-    for i in range(len(place)):
-        lo, hi = np.searchsorted(owner, [i, i + 1])
-        for a, b in _spans(start_at[lo:hi][twice[lo:hi]]):
-            who.append(i)
-            start.append(a)
-            stop.append(b)
-    none = len(who)
-    probe = first if col["split"][0].as_py() else first[:0]
-    take = pa.array(np.r_[np.array(who, dtype=np.int64), owner[probe]])
-    lead = [None] * none + [col["lead"][0].as_py()] * len(probe)
+    probe = np.sort(order[head])
+    probe = probe[split[owner[probe]]]
+    k, m = len(who), len(probe)
+    none = np.arange(k + m) < k
+
+    def half(x, dtype):
+        return pa.array(np.r_[np.zeros(k, dtype=dtype), x.astype(dtype)], mask=none)
+
+    take = pa.array(np.r_[who, owner[probe]].astype(np.int64))
+    # windows of one suffix start within 200 bytes, so what repeats of them is one run
     return pa.table({
-        "doc_id": col["doc_id"].combine_chunks().take(take), "key": col["key"].combine_chunks().take(take),
-        "start": pa.array(np.r_[np.array(start, dtype=np.int64), start_at[probe]].astype(np.int32)),
-        "stop": pa.array(np.r_[np.array(stop, dtype=np.int64), start_at[probe] + LENGTH].astype(np.int32)),
-        "lead": pa.array(lead, pa.int64()),
-        "rel": pa.array([None] * none + rel[probe].tolist(), pa.int32()),
-        "digest": pa.array([None] * none + digest[probe].view(np.int64).tolist(), pa.int64()),
-        "many": pa.array([None] * none + np.minimum(n, 2).tolist() if len(probe) else [None] * none, pa.int32())})
+        "doc_id": col["doc_id"].take(take), "key": col["key"].take(take),
+        "start": np.r_[start_at[hit[first]], start_at[probe]].astype(np.int32),
+        "stop": np.r_[start_at[hit[last]] + LENGTH, start_at[probe] + LENGTH].astype(np.int32),
+        "lead": half(lead[owner[probe]].view(np.int64), np.int64), "rel": half(rel[probe], np.int32),
+        "digest": half(digest[probe].view(np.int64), np.int64), "many": half(1 + twice[probe], np.int32)})
 
 
-def _spans(start: np.ndarray) -> list[tuple[int, int]]:
-    """Covered byte runs of windows at sorted starts."""
-    if not len(start):
-        return []
-    cut = np.flatnonzero(np.diff(start) > LENGTH)
-    return list(zip(start[np.r_[0, cut + 1]].tolist(), (start[np.r_[cut, len(start) - 1]] + LENGTH).tolist()))
+def _ends(binary: pa.Array) -> np.ndarray:
+    """Value offsets of a binary array."""
+    return np.frombuffer(binary.buffers()[1], dtype=np.int32)[binary.offset:binary.offset + len(binary) + 1].astype(np.int64)
 
 
 def repeated_spans(docs: DataFrame, key: str) -> DataFrame:
     """(doc_id, key, spans): byte runs of each document covered by repeated 400-byte strings."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    suffixes = materialize(sampled_suffixes(docs, key), "suffixes")
+    sampled = materialize(sampled_suffixes(docs, key), "suffixes")
+    suffixes = sampled.where("lead is not null").drop("stop")
     runs = (suffixes.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             .select("lead", F.ceil(F.col("n") / CROWD).cast("int").alias("pieces")))
     salt = F.pmod(F.xxhash64("doc_id", "key", "place"), F.col("pieces")).cast("int")
@@ -223,26 +266,28 @@ def repeated_spans(docs: DataFrame, key: str) -> DataFrame:
     schema = f"doc_id {kind}, key long, start int, stop int, lead long, rel int, digest long, many int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, held, name = Powers(), [], None
+        powers, held, size, name = Powers(), [], 0, None
         for batch in batches:
             lead, salt = batch.column(3).to_numpy(), batch.column(4).to_numpy()
             cut = np.flatnonzero((lead[1:] != lead[:-1]) | (salt[1:] != salt[:-1])) + 1
             edges = [0, *cut.tolist(), len(lead)] if len(lead) else [0]
             for lo, hi in zip(edges[:-1], edges[1:]):
-                if held and name != (lead[lo], salt[lo]):
-                    yield from compare_run(pa.Table.from_batches(held), powers).to_batches()
-                    held = []
+                if size >= AT_ONCE and name != (lead[lo], salt[lo]):  # whole runs only
+                    yield from compare_runs(pa.Table.from_batches(held), powers).to_batches()
+                    held, size = [], 0
                 name = (lead[lo], salt[lo])
                 held.append(batch.slice(lo, hi - lo))
+                size += hi - lo
         if held:
-            yield from compare_run(pa.Table.from_batches(held), powers).to_batches()
+            yield from compare_runs(pa.Table.from_batches(held), powers).to_batches()
 
     found = materialize(ranges.mapInArrow(run, schema), "windows")
     probes = found.where("lead is not null")
     shared = probes.groupBy("lead", "rel", "digest").agg(F.sum("many").alias("m")).where("m > 1").drop("m")
     across = probes.where("many = 1").join(shared, ["lead", "rel", "digest"], "left_semi")
+    periods = sampled.where("lead is null").select("doc_id", "key", F.col("place").alias("start"), "stop")
     return (found.where("lead is null").select("doc_id", "key", "start", "stop")
-            .unionByName(across.select("doc_id", "key", "start", "stop"))
+            .unionByName(across.select("doc_id", "key", "start", "stop")).unionByName(periods)
             .groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
 
 
