@@ -37,10 +37,9 @@ def residue_predicate(category_col: str = "pred_category"):
 
 
 def residue(links: DataFrame, where: str | None = None, category_col: str = "pred_category") -> DataFrame:
-    """F4 + F5: the rows a relabel pass looks at, optionally narrowed by SQL text."""
+    """the rows a relabel pass looks at; F5: a predicate given as SQL text takes the default's place."""
     links = ensure_column(links, category_col)
-    out = links.where(residue_predicate(category_col))
-    return out.where(F.expr(where)) if where else out
+    return links.where(F.expr(where) if where else residue_predicate(category_col))
 
 
 def next_batch(links: DataFrame, n: int = RELABEL_BATCH_SIZE, where: str | None = None) -> DataFrame:
@@ -56,7 +55,7 @@ def closed_label(label, taxonomy: Sequence[str] = TAXONOMY):
 def _labeller(complete: Complete, system: str, taxonomy: list[str], chunk: int,
               tries: int, first_wait: float, max_wait: float,
               sleep: Callable[[float], None]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def call(prompts: list[str]) -> list[str] | None:
+    def call(prompts: list[str], tries: int) -> list[str] | None:
         wait = first_wait
         for attempt in range(tries):
             try:
@@ -70,13 +69,21 @@ def _labeller(complete: Complete, system: str, taxonomy: list[str], chunk: int,
                     wait *= 2.0
         return None
 
+    def ask(prompts: list[str], tries_now: int) -> list[str | None]:
+        """Answers; a group that keeps failing is halved, so only prompts that fail alone go without."""
+        out = call(prompts, tries_now)
+        if out is not None:
+            return out
+        if len(prompts) == 1:
+            return [None]
+        half = len(prompts) // 2
+        return [a for part in (prompts[:half], prompts[half:]) for a in ask(part, tries if len(part) == 1 else 1)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for start in range(0, len(pdf), chunk):
                 part = pdf.iloc[start:start + chunk]
-                raws = call(part["prompt"].tolist())
-                if raws is None:
-                    raws = [None] * len(part)
+                raws = ask(part["prompt"].tolist(), tries)
                 labels = [parse_label(r, taxonomy) if r is not None else "other" for r in raws]
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "raw": raws, "label": labels})
     return run
@@ -91,14 +98,16 @@ def label_residue(links: DataFrame, complete: Complete, taxonomy: Sequence[str]
     """U2 over the residue: ``id, raw, label, batch_no`` for every row asked.
 
     ``max_batches`` > 0 caps the pass at that many batches of the lowest ids
-    (T3), as the original's option does; 0 means all rows.  ``batch_no``
+    (T3), as the original's option does; 0 means all rows (:func:`unasked`
+    counts what a cap left out).  ``batch_no``
     numbers the rows in id order, ``batch_size`` per batch (D3).
     ``max_parallel_calls`` bounds how many tasks call the service at once (the
     prompts, not the links, are redistributed into that many partitions).
     """
     res = residue(links, where).select(*RELABEL_SCAN_COLUMNS)
     if max_batches:
-        res = res.orderBy("id").limit(batch_size * max_batches)
+        tasks = min(max_batches, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        res = res.orderBy("id").limit(batch_size * max_batches).repartitionByRange(tasks, "id")
     prompts = res.select("id", user_prompt(F.col("url"), F.col("anchor_text"), F.col("rel"),
                                            F.col("is_external")).alias("prompt"))
     if max_parallel_calls:
@@ -112,6 +121,12 @@ def label_residue(links: DataFrame, complete: Complete, taxonomy: Sequence[str]
     return ranked.withColumn("batch_no", (F.floor(F.col("rn") / batch_size) + 1).cast("int")).drop("rn")
 
 
+def unasked(links: DataFrame, labels: DataFrame, where: str | None = None) -> DataFrame:
+    """One row, ``n_unasked``: residue rows that a capped pass (T3) did not ask."""
+    return (residue(links, where).select("id").join(labels.select("id"), "id", "left_anti")
+            .agg(F.count(F.lit(1)).alias("n_unasked")))
+
+
 def apply_labels(links: DataFrame, labels: DataFrame, category_col: str = "pred_category") -> DataFrame:
     """Write labels back onto the links by id (rows not asked keep theirs)."""
     links = ensure_column(links, category_col)

@@ -53,8 +53,30 @@ def test_bounded_parallel_calls(spark):
     assert sorted(r.id for r in labels.collect()) == [1, 2, 3, 4]
 
 
-def test_caller_predicate_narrows_residue(spark):
-    from linkloom.operators.relabel import residue
+def test_caller_predicate_is_the_selection(spark):
+    from pyspark.sql import functions as F
+
+    from linkloom.operators.relabel import residue, unasked
     links = spark.createDataFrame(ROWS, SCHEMA)
     assert sorted(r.id for r in residue(links).collect()) == [1, 2, 3, 4]
-    assert sorted(r.id for r in residue(links, where="url LIKE '%marka%' OR id = 4").collect()) == [2, 4]
+    done = links.withColumn("pred_category", F.lit("help"))
+    assert sorted(r.id for r in residue(done, where="pred_category = 'help' AND id > 1").collect()) == \
+        sorted(r.id for r in done.where("id > 1").collect())
+    asked = label_residue(links, stub_complete, batch_size=1, max_batches=2, sleep=lambda s: None)
+    assert unasked(links, asked).first()["n_unasked"] == 2
+
+
+def test_only_the_poisoned_prompt_goes_without(spark):
+    rows = [(i, f"https://shop.example/x-p-{i}" if i != 57 else "https://shop.example/poison", "a", None, False, None)
+            for i in range(100)]
+    links = spark.createDataFrame(rows, "id long, url string, anchor_text string, rel string, is_external boolean, "
+                                        "pred_category string").coalesce(1)
+
+    def complete(system, prompts):
+        if any("poison" in p for p in prompts):
+            raise RuntimeError("no answer")
+        return ['{"label": "product"}'] * len(prompts)
+
+    labels = label_residue(links, complete, batch_size=100, tries=2, sleep=lambda s: None)
+    assert [r.id for r in labels.where("label = 'other'").collect()] == [57]
+    assert labels.count() == 100
