@@ -43,6 +43,7 @@ class _AnchorScan(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.found: list[dict] = []
         self.stack: list[str] = []
+        self.open: dict[str, int] = {}   # open elements per tag
         self.cur: dict | None = None
         self.depth = 0
 
@@ -69,17 +70,26 @@ class _AnchorScan(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "a":
             if self.cur is not None:
-                del self.stack[self.depth:]
+                self._cut(self.depth)
                 self._close()
             self.depth = len(self.stack)
-            self.stack.append("a")
+            self._push("a")
             self.cur = {"href": None, "text": [], "rels": []}
             self._take(attrs)
             return
         if self.cur is not None:
             self._take(attrs)
         if tag not in _VOID:
-            self.stack.append(tag)
+            self._push(tag)
+
+    def _push(self, tag):
+        self.stack.append(tag)
+        self.open[tag] = self.open.get(tag, 0) + 1
+
+    def _cut(self, depth):
+        """Pop down to ``depth`` elements; each element is pushed and popped once."""
+        while len(self.stack) > depth:
+            self.open[self.stack.pop()] -= 1
 
     def handle_startendtag(self, tag, attrs):
         if tag == "a":
@@ -89,12 +99,14 @@ class _AnchorScan(HTMLParser):
             self._take(attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i] == tag:
-                del self.stack[i:]
-                if self.cur is not None and len(self.stack) <= self.depth:
-                    self._close()
-                return
+        if not self.open.get(tag):      # a stray end tag closes nothing
+            return
+        at = len(self.stack) - 1
+        while self.stack[at] != tag:
+            at -= 1
+        self._cut(at)
+        if self.cur is not None and len(self.stack) <= self.depth:
+            self._close()
 
     def handle_data(self, data):
         if self.cur is not None:

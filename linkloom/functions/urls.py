@@ -42,7 +42,9 @@ _BUILT: dict[tuple, tuple[object, Column]] = {}
 
 
 def _memo(key: tuple, build: Callable[[], Column]) -> Column:
-    """Reuse a built expression while the same JVM gateway lives.
+    """Reuse an expression over columns given by name while the same JVM gateway lives.
+
+    Columns bound to a DataFrame are never kept: two of them print alike.
 
     Building the normaliser takes a few thousand JVM calls (about a second);
     a Column is an immutable expression tree, so one copy serves every query.
@@ -240,11 +242,12 @@ def fast_base_prefix(base: Column) -> Column:
 
 def fast_base_dir(base: Column) -> Column:
     """The folder of a plain page URL's path, up to and including its last
-    '/' ('/' for an empty path), else NULL."""
+    '/' ('/' for an empty path); NULL for other URLs and for paths with dot segments."""
     plain, _, _, rest = _plain_base(base)
     path = F.substring_index(F.substring_index(rest, "?", 1), "#", 1)
     folder = F.substr(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)))
-    return F.when(plain, F.when(folder == "", F.lit("/")).otherwise(folder))
+    # dots in the page's own path are left to the stages
+    return F.when(plain & ~path.rlike(_DOT_SEGMENT_RE), F.when(folder == "", F.lit("/")).otherwise(folder))
 
 
 def base_stages(base: str = "base") -> list[Stage]:
@@ -275,7 +278,8 @@ def href_stages(prefixes=TRACKING_PARAM_PREFIXES, href: str = "href") -> list[St
         {"eff": lambda g: F.when(g("hs") != "", g("hs")).otherwise(g("bs")),
          # an explicit other scheme, or an authority, makes the reference absolute as written
          "own": lambda g: ((g("hs") != "") & (g("hs") != g("bs"))) | (g("h3") != "")},
-        {"fold": lambda g: ~g("own") & ~g("base_only") & g("hpath").rlike(_DOT_SEGMENT_RE),
+        {"fold": lambda g: ~g("own") & ~g("base_only") & (g("hpath").rlike(_DOT_SEGMENT_RE)
+            | (~g("hpath").startswith("/") & g("bpath").rlike(_DOT_SEGMENT_RE))),
          "net": lambda g: F.lower(F.when(g("own"), g("h3")).otherwise(g("b3"))),
          "query": lambda g: F.when(~g("own") & g("base_only") & (g("h5") == ""), g("b5"))
             .otherwise(g("h5")),
@@ -313,8 +317,10 @@ def normalize_stages(prefixes=TRACKING_PARAM_PREFIXES, base: str = "base",
 def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
                         out: str = "normalized_url", prefixes=TRACKING_PARAM_PREFIXES) -> DataFrame:
     """Add ``out``: the absolute, normalised URL of ``href`` on page ``base`` (NULL when dropped)."""
-    base = F.col(base) if isinstance(base, str) else base
-    href = F.col(href) if isinstance(href, str) else href
+    by_name = isinstance(base, str) and isinstance(href, str)
+    build = lambda: normalized_url(F.col(base) if isinstance(base, str) else base,
+                                   F.col(href) if isinstance(href, str) else href, prefixes)
+    value = _memo(("rows", base, href, tuple(prefixes or ())), build) if by_name else build()
     # Computed in a projection (compiled), then passed through a one-element
     # explode: a filter on the result stays above the generator, so the
     # optimizer never copies the normaliser into a pushed-down filter (which
@@ -322,28 +328,29 @@ def with_normalized_url(df: DataFrame, base: Column | str, href: Column | str,
     # is normalised again).
     tmp = "__normalized_url"
     keep = [F.col(c) for c in df.columns if c != out]
-    staged = df.select(*keep, normalized_url(base, href, prefixes).alias(tmp))
+    staged = df.select(*keep, value.alias(tmp))
     return staged.select(*keep, F.explode(F.array(F.col(tmp))).alias(out))
 
 
 def normalized_url(base: Column, href: Column, prefixes=TRACKING_PARAM_PREFIXES) -> Column:
     """The normalised URL of ``href`` on page ``base`` as one column expression."""
-    def build() -> Column:
-        full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
-        # coalesce evaluates the stages only where no fast path applies
-        fast = fast_result(fast_base_prefix(base), fast_base_dir(base), href, prefixes)
-        return F.coalesce(fast, full)
-    return _memo(("rows", str(base), str(href), tuple(prefixes or ())), build)
+    full = chain(normalize_stages(prefixes), {"base": base, "href": href}, ["norm"])["norm"]
+    # coalesce evaluates the stages only where no fast path applies
+    fast = fast_result(fast_base_prefix(base), fast_base_dir(base), href, prefixes)
+    return F.coalesce(fast, full)
 
 
-def normalize_in_array(arr: Column, base: Column, href_field: str = "href",
+def normalize_in_array(arr: Column | str, base: Column | str, href_field: str = "href",
                        out_field: str = "normalized_url", prefixes=TRACKING_PARAM_PREFIXES) -> Column:
     """Add field ``out_field`` to every struct of ``arr`` (one page's anchors).
 
     The page URL is parsed once per page and shared by all its anchors.
     """
-    return _memo(("array", str(arr), str(base), href_field, out_field, tuple(prefixes or ())),
-                 lambda: _normalize_in_array(arr, base, href_field, out_field, prefixes))
+    build = lambda: _normalize_in_array(F.col(arr) if isinstance(arr, str) else arr,
+                                        F.col(base) if isinstance(base, str) else base, href_field, out_field, prefixes)
+    if isinstance(arr, str) and isinstance(base, str):
+        return _memo(("array", arr, base, href_field, out_field, tuple(prefixes or ())), build)
+    return build()
 
 
 def _normalize_in_array(arr: Column, base: Column, href_field: str, out_field: str,

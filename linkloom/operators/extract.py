@@ -28,10 +28,13 @@ def spread_for_parsing(pages: DataFrame) -> DataFrame:
     input with fewer splits than the default parallelism (one big row group,
     say) is spread round-robin, which costs a shuffle of that small input.
     """
-    target = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < target:
-        return pages.repartition(target)
-    return pages
+    spark = pages.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    # the planner's size estimate: asking for the partitions would run what lies upstream
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return pages.repartition(target) if size < split * target else pages
 
 
 def page_anchors(pages: DataFrame, page_id: str = "page_id", url: str = "url",
@@ -71,7 +74,7 @@ def page_links_array(pages: DataFrame, root_domain: str = DEFAULT_ROOT_DOMAIN,
                      dedupe_page: bool = True, prefixes=TRACKING_PARAM_PREFIXES) -> DataFrame:
     """One row per page: ``page_id, page_url, links`` (array, D1 applied)."""
     a = page_anchors(pages, page_id=page_id, url=url, html=html)
-    arr = normalize_in_array(F.col("anchors"), F.col("page_url"), "href", "normalized_url", prefixes)
+    arr = normalize_in_array("anchors", "page_url", "href", "normalized_url", prefixes)
     arr = F.filter(arr, lambda x: F.coalesce(x["normalized_url"], F.lit("")) != "")      # F1
     if dedupe_page:
         arr = first_per_key_in_array(arr, "normalized_url", "pos")                          # D1
