@@ -16,13 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..session import path_exists
 from ..sources.config import Settings
 from ..sources.export import export_categories
-from ..sources.tables import apply_column_map
+from ..sources.tables import read_link_table
 from .classify import classify_links
 from .extract import run_links
-from .keyed import insert_if_absent
+from .keyed import append_links
 from .relabel import Complete, apply_labels, label_residue
 
 
@@ -30,14 +29,8 @@ def store_links(pages: DataFrame, table_path: str, root_domain: str,
                 settings: Settings | None = None, run_ts: Column | None = None) -> DataFrame:
     """Append the new links of ``pages`` to the link table; returns the table."""
     s = settings or Settings()
-    spark = pages.sparkSession
-    links = run_links(pages, root_domain)
-    mapped = apply_column_map(links, s.column_map, run_ts=run_ts, keep=["page_id", "pos"])
-    target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
-    new = insert_if_absent(mapped, target, s.unique_key, ["page_id", "pos"])
-    out = new.select("id", *[c for c, _ in s.column_map])
-    out.write.mode("append").parquet(table_path)
-    return spark.read.parquet(table_path)
+    append_links(run_links(pages, root_domain), table_path, s, run_ts)
+    return read_link_table(pages.sparkSession, table_path, s.column_map)
 
 
 def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path: str | None,
@@ -48,7 +41,7 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
     (the counterpart of an index on it): reads that filter on the category
     only open the matching folders.
     """
-    links = spark.read.parquet(table_path)
+    links = spark.read.option("mergeSchema", True).parquet(table_path)
     labelled = classify_links(links, settings.rules, url_col=settings.url_col,
                               only_nulls=settings.only_update_nulls)
     if partition_by_category:
@@ -67,7 +60,7 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
 def relabel_table(spark: SparkSession, table_path: str, out_path: str, complete: Complete,
                   settings: Settings, **kw) -> DataFrame:
     """Relabel the residue of the link table into a new table version."""
-    links = spark.read.parquet(table_path)
+    links = spark.read.option("mergeSchema", True).parquet(table_path)
     labels = label_residue(links, complete, taxonomy=settings.taxonomy, batch_size=settings.batch_size,
                            max_batches=settings.max_batches,
                            where=_extra_where(settings.where_other_sql), **kw)
@@ -76,8 +69,8 @@ def relabel_table(spark: SparkSession, table_path: str, out_path: str, complete:
 
 
 def _extra_where(sql: str) -> str | None:
-    """The residue filter is always applied; a configured predicate narrows it
-    further unless it is empty or the default residue predicate itself."""
+    """A configured predicate is the selection (F5); an empty one, or the default
+    written out, means the default residue filter (which Parquet can push down)."""
     norm = " ".join(sql.split()).lower()
     return None if norm in ("", "coalesce(pred_category, 'other') = 'other'") else sql
 

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash
+from ..session import path_exists
+from ..sources.tables import apply_column_map, ensure_column, link_table_schema, read_link_table
 from .dedupe import first_wins
 from .ids import dense_rank_rows
 
@@ -50,6 +52,22 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str,
     return dense_rank_rows(fresh, order_cols, out=id_col, start=base + 1)
 
 
+def append_links(links: DataFrame, table_path: str, settings, run_ts: Column | None = None) -> None:
+    """Append new links to the link table, for batch jobs and micro-batches alike.
+
+    The table is read and written with its declared columns only (id, the
+    mapped columns, ``pred_category``), so its files never differ in schema
+    and stored labels outlive later appends.
+    """
+    spark = links.sparkSession
+    schema = link_table_schema(settings.column_map)
+    target = read_link_table(spark, table_path, settings.column_map) if path_exists(spark, table_path) else None
+    mapped = apply_column_map(links, settings.column_map, run_ts=run_ts, keep=["page_id", "pos"])
+    new = ensure_column(insert_if_absent(mapped, target, settings.unique_key, ["page_id", "pos"]), "pred_category")
+    (new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+     .write.mode("append").parquet(table_path))
+
+
 def upsert_pages(batch: DataFrame, target: DataFrame | None, seq_col: str,
                  run_ts: Column | None = None) -> DataFrame:
     """K5: merge page items into the page table by url, last item wins.

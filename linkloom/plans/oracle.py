@@ -256,9 +256,9 @@ FROM b WHERE b.url NOT IN (SELECT url FROM t)
             CAST(NULL AS VARCHAR) AS pred_category FROM per_page""",
         "page_hash": "SELECT page_id, url, sha256(coalesce(html, '')) AS content_hash FROM pages",
         "page_changes": """
-WITH o AS (SELECT url, sha256(coalesce(html, '')) AS h FROM pages WHERE url NOT LIKE '%#top'),
-     n AS (SELECT url, sha256(coalesce(CASE WHEN url LIKE '%?page=%' THEN html || '<!-- v2 -->' ELSE html END, '')) AS h
-           FROM pages WHERE url NOT LIKE '%utm_source%')
+WITH o AS (SELECT url, max(sha256(coalesce(html, ''))) AS h FROM pages WHERE url NOT LIKE '%#top' GROUP BY url),
+     n AS (SELECT url, max(sha256(coalesce(CASE WHEN url LIKE '%?page=%' THEN html || '<!-- v2 -->' ELSE html END, ''))) AS h
+           FROM pages WHERE url NOT LIKE '%utm_source%' GROUP BY url)
 SELECT coalesce(o.url, n.url) AS url,
        CASE WHEN o.h IS NULL THEN 'new' WHEN n.h IS NULL THEN 'gone' WHEN o.h = n.h THEN 'same' ELSE 'changed' END AS change
 FROM o FULL OUTER JOIN n ON o.url = n.url
@@ -284,5 +284,6 @@ FROM o FULL OUTER JOIN n ON o.url = n.url
             FROM (SELECT row_number() OVER (ORDER BY id) AS rn FROM classified
                   WHERE pred_category IS NULL OR pred_category = 'other') GROUP BY 1""",
         "export_rows": _with(shop) + "SELECT url, pred_category FROM classified",
-        "stream_dedupe": _with(ANCHORS) + "SELECT normalized_url, page_id, pos FROM run",
+        "stream_dedupe": _with(ANCHORS) + f"""SELECT normalized_url, href AS url, anchor_text,
+            coalesce({ext}, false) AS is_external FROM run""",
     }

@@ -298,7 +298,7 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
         q = start_link_stream(spark, src, pages.schema, out, scratch_path(spark, "stream-ckpt"),
                               PAGES_ROOT, available_now=True)
         q.awaitTermination()
-    return spark.read.parquet(out).select("normalized_url", "page_id", "pos")
+    return spark.read.parquet(out).select("normalized_url", "url", "anchor_text", "is_external")
 
 
 QUERIES = {

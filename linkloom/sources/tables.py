@@ -7,8 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT_COLUMN_MAP
+from ..schemas import LINK_SCHEMA
 
 RELABEL_SCAN_COLUMNS = ["id", "url", "anchor_text", "rel", "is_external"]
 
@@ -38,6 +40,19 @@ def apply_column_map(df: DataFrame, column_map: Sequence[tuple[str, str]] = DEFA
     return df.select(*cols, *[F.col(k) for k in keep])
 
 
+def link_table_schema(column_map: Sequence[tuple[str, str]] = DEFAULT_COLUMN_MAP) -> T.StructType:
+    """The link table's columns: id, the mapped columns (text unless the link schema says otherwise), label."""
+    known = {f.name: f.dataType for f in LINK_SCHEMA.fields}
+    names = ["id", *[dst for dst, _ in column_map if dst not in ("id", "pred_category")], "pred_category"]
+    return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+
+
+def read_link_table(spark: SparkSession, path: str,
+                    column_map: Sequence[tuple[str, str]] = DEFAULT_COLUMN_MAP) -> DataFrame:
+    """A link table by its declared schema; a folder without committed files is an empty table."""
+    return spark.read.schema(link_table_schema(column_map)).parquet(path)
+
+
 def read_links(spark: SparkSession, path: str, columns: Sequence[str] = RELABEL_SCAN_COLUMNS) -> DataFrame:
     """K7: scan a stored link table with column pruning."""
     return spark.read.parquet(path).select(*columns)

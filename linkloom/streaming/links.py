@@ -11,30 +11,28 @@ rows.  ``dropDuplicatesWithinWatermark`` is the bounded-state option (S1).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators.extract import run_links
-from ..operators.keyed import insert_if_absent
-from ..session import path_exists
+from ..operators.keyed import append_links
+from ..sources.config import Settings
 from ..sources.pages import stream_pages
 
 
-def write_links_batch(batch: DataFrame, table_path: str, root_domain: str) -> None:
-    """One micro-batch of pages -> new link rows appended to ``table_path``."""
-    spark = batch.sparkSession
-    links = run_links(batch, root_domain)
-    target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
-    rows = insert_if_absent(links, target, "normalized_url", ["page_id", "pos"])
-    rows.write.mode("append").parquet(table_path)
+def write_links_batch(batch: DataFrame, table_path: str, root_domain: str,
+                      settings: Settings | None = None, run_ts: Column | None = None) -> None:
+    """One micro-batch of pages -> new link rows appended to ``table_path``, as a batch job writes them."""
+    append_links(run_links(batch, root_domain), table_path, settings or Settings(), run_ts)
 
 
 def start_link_stream(spark: SparkSession, pages_path: str, schema, table_path: str,
                       checkpoint_path: str, root_domain: str,
-                      max_files_per_trigger: int | None = None, available_now: bool = True):
+                      max_files_per_trigger: int | None = None, available_now: bool = True,
+                      settings: Settings | None = None):
     """Start the stream; returns the ``StreamingQuery``."""
     pages = stream_pages(spark, pages_path, schema, max_files_per_trigger)
     w = (pages.writeStream.option("checkpointLocation", checkpoint_path)
-         .foreachBatch(lambda df, _epoch: write_links_batch(df, table_path, root_domain)))
+         .foreachBatch(lambda df, _epoch: write_links_batch(df, table_path, root_domain, settings)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 

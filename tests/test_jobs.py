@@ -43,7 +43,7 @@ def test_three_jobs_end_to_end(spark, sf_dir):
     assert again.count() == n                      # replay adds nothing
     assert first.select("id").distinct().count() == n
     assert first.columns == ["id", "url", "normalized_url", "anchor_text", "rel", "is_external",
-                             "discovered_at"]
+                             "discovered_at", "pred_category"]
     classified = classify_table(spark, table, os.path.join(tmp, "v2"), os.path.join(tmp, "csv"), settings)
     assert classified.where("pred_category is null").count() == 0
     relabelled = relabel_table(spark, os.path.join(tmp, "v2"), os.path.join(tmp, "v3"), stub_complete,
