@@ -15,13 +15,17 @@ def page_changes(old: DataFrame, new: DataFrame, key: str = "url",
                  hash_col: str = "content_hash") -> DataFrame:
     """Compare two crawls by key: ``new``, ``changed``, ``same`` or ``gone`` per key.
 
-    Only the key and hash columns are shuffled; NULL keys never match.
+    Only the key and hash columns are shuffled, one row per key and side (a
+    repeated key counts with its greatest hash); NULL keys never match, a NULL
+    hash is a stored value.
     """
-    o = old.select(F.col(key).alias("k"), F.col(hash_col).alias("old_hash")).where("k is not null")
-    n = new.select(F.col(key).alias("k"), F.col(hash_col).alias("new_hash")).where("k is not null")
-    j = o.join(n, "k", "full_outer")
-    status = (F.when(F.col("old_hash").isNull(), F.lit("new"))
-              .when(F.col("new_hash").isNull(), F.lit("gone"))
-              .when(F.col("old_hash") == F.col("new_hash"), F.lit("same"))
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return (df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k"))
+                .agg(F.max(hash_col).alias(f"{name}_hash"), F.lit(True).alias(f"in_{name}")))
+
+    j = side(old, "old").join(side(new, "new"), "k", "full_outer")
+    status = (F.when(F.col("in_old").isNull(), F.lit("new"))
+              .when(F.col("in_new").isNull(), F.lit("gone"))
+              .when(F.col("old_hash").eqNullSafe(F.col("new_hash")), F.lit("same"))
               .otherwise(F.lit("changed")))
     return j.select(F.col("k").alias(key), "old_hash", "new_hash", status.alias("change"))

@@ -2,7 +2,7 @@
 
 An ordered rule list compiles on the driver into one ``CASE WHEN .. RLIKE``
 column: the first matching rule wins, no match gives ``other``.  Rules are
-configuration, so the list is small and bounded (checked); the data never
+configuration on the driver; the data never
 leaves the executors and the CASE runs inside whole-stage codegen.
 
 Regex dialect: Java regex with ``(?d)`` (only ``\\n`` ends a line, as in
@@ -21,7 +21,7 @@ from ..functions.strings import py_strip
 from ..sources.tables import ensure_column
 
 Rule = tuple[str, str, Sequence[str]]
-MAX_RULES = 5000
+RULES_PER_CASE = 200  # longer lists become several CASEs
 
 
 def compile_flags(flags: Iterable[str] | None, honor_all: bool = False,
@@ -43,13 +43,14 @@ def rule_case(url: Column, rules: Sequence[Rule], honor_all_flags: bool = False,
               default: str = "other") -> Column:
     """The first matching rule's label, else ``default``."""
     rules = list(rules)
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} compile into one CASE")
-    expr = None
-    for label, pattern, flags in rules:
-        cond = url.rlike(compile_flags(flags, honor_all_flags, force_ignorecase, unicode_case) + pattern)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+    cases = []
+    for at in range(0, len(rules), RULES_PER_CASE):
+        case = F
+        for label, pattern, flags in rules[at:at + RULES_PER_CASE]:
+            case = case.when(url.rlike(compile_flags(flags, honor_all_flags, force_ignorecase, unicode_case) + pattern),
+                             F.lit(label))
+        cases.append(case)
+    return F.coalesce(*cases, F.lit(default))  # a later CASE is only tried where no earlier one matched
 
 
 def classify_url(url: Column, rules: Sequence[Rule], **kw) -> Column:
@@ -70,7 +71,7 @@ def classify_links(df: DataFrame, rules: Sequence[Rule], url_col: str = "url",
 
 
 def category_profile(df: DataFrame, category_col: str = "pred_category") -> DataFrame:
-    """Links per category, with internal/external split and distinct URLs."""
+    """Links per category, with internal/external split."""
     ext = F.coalesce(F.col("is_external"), F.lit(False))
     return df.groupBy(F.col(category_col).alias("pred_category")).agg(
         F.count(F.lit(1)).alias("n_links"),

@@ -29,13 +29,13 @@ def dense_rank_rows(df: DataFrame, order_cols: Sequence[str], out: str = "rn",
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n > MAX_OFFSET_ROWS:
+        raise ValueError("too many partitions for an offsets table")
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = reliable_checkpoint(ordered.withColumn("__pid", F.spark_partition_id())
                                  .withColumn("__mid", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect()
-    if len(counts) > MAX_OFFSET_ROWS:
-        raise ValueError("too many partitions for an offsets table")
+    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect()  # at most n rows
     offsets, acc = [], 0
     for r in sorted(counts, key=lambda r: r["__pid"]):
         offsets.append((r["__pid"], acc))

@@ -34,11 +34,13 @@ class Settings:
 
 
 def read_config_text(spark: SparkSession, path: str) -> str:
-    rows = spark.read.text(path, wholetext=True).limit(1).collect()
-    text = rows[0][0] if rows else "{}"
-    if len(text) > MAX_CONFIG_BYTES:
+    """The text of the one file at ``path``; its size is checked before it is read."""
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).select("length").limit(2).collect()]
+    if len(sizes) != 1:
+        raise ValueError(f"{path}: {'no' if not sizes else 'more than one'} config file")
+    if sizes[0] > MAX_CONFIG_BYTES:
         raise ValueError("config file too large")
-    return text
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def parse_settings(text: str) -> Settings:

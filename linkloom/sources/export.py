@@ -25,7 +25,9 @@ CSV_OPTIONS = {
 def export_categories(df: DataFrame, path: str, url_col: str = "url",
                       category_col: str = "pred_category", single_file: bool = False) -> str:
     out = (df.select(F.col(url_col).alias("url"), F.col(category_col).alias("pred_category"))
-           .orderBy(F.col("url").asc_nulls_last()))
+           # the later keys let the range partitioner split a hot url over several files
+           .orderBy(F.col("url").asc_nulls_last(), F.col("pred_category").asc_nulls_last(),
+                    F.monotonically_increasing_id()))
     if single_file:
         out = out.coalesce(1)
     out.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
@@ -38,4 +40,5 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     Spark compares every field with ``nullValue`` ('' by default), which would
     turn both into NULL; a sentinel that never occurs keeps them apart."""
     return (spark.read.options(**CSV_OPTIONS).option("nullValue", "\u0000")
+            .option("multiLine", True)  # a url may hold a line break
             .schema("url string, pred_category string").csv(path))

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_ROOT_DOMAIN, rule_pack
 from ..schemas import RULE_SCHEMA
 
-MAX_RULES = 5000
-
 
 def default_rules(spark: SparkSession, host: str = DEFAULT_ROOT_DOMAIN) -> DataFrame:
     """The shipped rule pack for ``host`` as a rules DataFrame."""
@@ -27,8 +25,6 @@ def read_rules(spark: SparkSession, config_path: str) -> DataFrame:
 
 
 def rules_as_list(rules: DataFrame) -> list[tuple[str, str, list[str]]]:
-    """Bring a (bounded) rule list to the driver in priority order to build one CASE."""
-    rows = rules.orderBy("priority").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+    """The rules of one config document, in priority order, on the driver."""
+    rows = rules.orderBy("priority").collect()
     return [(r["label"], r["pattern"], list(r["flags"] or [])) for r in rows]
