@@ -19,11 +19,12 @@ ignored by the report and kept by the rewrite.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import body, fresh, materialize, null_safe, row_key
@@ -32,6 +33,7 @@ from linkloom.llm.words import mix
 LENGTH = 400
 LEAD = 200
 CROWD = 8000    # suffixes of one lead that a task compares at once; more are split by a salt
+MAP_BITS, SLICE_BITS = 26, 19
 AT_ONCE = 4000  # suffixes of several leads that a task compares at once
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -168,11 +170,41 @@ def sampled_suffixes(docs: DataFrame, key: str) -> DataFrame:
             .select("doc_id", F.col(key).alias("key"), body().cast("binary").alias("raw")).mapInArrow(run, schema))
 
 
+def marked_keys(keys: DataFrame, spark) -> Callable[[Column], Column]:
+    """A test that holds for every key in ``keys`` (and for few others while they are under 2**23).
+
+    A bitmap of 2**26 bits (8 MB) whatever the corpus size, put together in
+    slices.  It only spares rows a shuffle; the join after it decides.
+    """
+    def fill(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << SLICE_BITS, dtype=bool)
+        bits[table.column("slot").to_numpy() & ((1 << SLICE_BITS) - 1)] = True
+        return pa.table({"slice": table.column("slice").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    slot = F.pmod("key", F.lit(1 << MAP_BITS)).cast("long")
+    parts = (keys.select(slot.alias("slot")).distinct()
+             .withColumn("slice", F.shiftright("slot", SLICE_BITS).cast("int"))
+             .groupBy("slice").applyInArrow(fill, "slice int, bits binary").collect())  # at most 8 MB
+    whole = np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8)
+    width = 1 << (SLICE_BITS - 3)
+    for r in parts:
+        whole[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(r["bits"], dtype=np.uint8)
+    held = spark.sparkContext.broadcast(whole)
+
+    @F.pandas_udf("boolean")
+    def test(key: pd.Series) -> pd.Series:
+        at = key.to_numpy() & ((1 << MAP_BITS) - 1)
+        return pd.Series((held.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    return test
+
+
 def suffix_contexts(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
     """The bytes around every marked suffix: up to 200 before its place and 400 from it on."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, key long, place int, lead long, salt int, split boolean, before int, bytes binary"
-    plain = docs.select("doc_id", F.col(key).alias("key"), body().cast("binary").alias("raw"))
+    test = marked_keys(marked.select("key"), docs.sparkSession)
+    plain = docs.where(test(F.col(key))).select("doc_id", F.col(key).alias("key"), body().cast("binary").alias("raw"))
     wanted = marked.select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), "marks")
     joined = (plain.join(wanted, null_safe(plain, wanted, [("doc_id", "__d"), ("key", "__k")]))
               .select("doc_id", "key", "raw", "marks"))
@@ -259,7 +291,7 @@ def repeated_spans(docs: DataFrame, key: str) -> DataFrame:
             .select("lead", F.ceil(F.col("n") / CROWD).cast("int").alias("pieces")))
     salt = F.pmod(F.xxhash64("doc_id", "key", "place"), F.col("pieces")).cast("int")
     mark = F.struct("place", "lead", salt.alias("salt"), (F.col("pieces") > 1).alias("split"))
-    marked = suffixes.join(runs, "lead").groupBy("doc_id", "key").agg(F.collect_set(mark).alias("marks"))
+    marked = materialize(suffixes.join(runs, "lead").groupBy("doc_id", "key").agg(F.collect_set(mark).alias("marks")), "marks")
     contexts = suffix_contexts(docs, key, marked)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = contexts.repartitionByRange(parts, "lead", "salt").sortWithinPartitions("lead", "salt")
@@ -305,9 +337,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, kept (remaining bytes), n_bytes, n_removed, n_spans of every row."""
     (key,) = fresh(docs, "key")
     keyed = row_key(docs.select("doc_id", "text"), key)
-    gone = repeated_spans(keyed, key).select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), "spans")
-    joined = (keyed.join(gone, null_safe(keyed, gone, [("doc_id", "__d"), (key, "__k")]), "left")
-              .select("doc_id", body().cast("binary").alias("raw"), "spans"))
+    spans = materialize(repeated_spans(keyed, key), "spans")
+    gone = spans.select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), "spans")
+    test = marked_keys(spans.select("key"), docs.sparkSession)
+    some, others = keyed.where(test(F.col(key))), keyed.where(~test(F.col(key)))
+    raw = body().cast("binary").alias("raw")
+    joined = (some.join(gone, null_safe(some, gone, [("doc_id", "__d"), (key, "__k")]), "left")
+              .select("doc_id", raw, "spans")
+              .unionByName(others.select("doc_id", raw, F.lit(None).cast(gone.schema["spans"].dataType).alias("spans"))))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
