@@ -32,7 +32,7 @@ from linkloom.llm.words import mix
 
 LENGTH = 400
 LEAD = 200
-CROWD = 8000    # suffixes of one lead that a task compares at once; more are split by a salt
+CROWD = 16_000  # suffixes of one lead that a task compares at once; more are split by a salt
 MAP_BITS, SLICE_BITS = 26, 19
 AT_ONCE = 4000  # suffixes of several leads that a task compares at once
 
