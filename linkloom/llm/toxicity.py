@@ -130,10 +130,16 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.n
     theta = np.zeros(width + 1)
     theta[-1] = np.log(base / (1 - base))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
+    parts = [slice(lo, lo + 200_000) for lo in range(0, len(values), 200_000)]
     for t in range(1, rounds + 1):
-        z = np.bincount(rows, weights=values * theta[cols], minlength=len(y)) + theta[-1]
+        z = np.full(len(y), theta[-1])
+        for part in parts:  # slices keep the temporaries small
+            z += np.bincount(rows[part], weights=values[part] * theta[cols[part]], minlength=len(y))
         err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
-        grad = np.r_[np.bincount(cols, weights=values * err[rows], minlength=width), err.sum()]
+        grad = np.zeros_like(theta)
+        grad[-1] = err.sum()
+        for part in parts:
+            grad[:-1] += np.bincount(cols[part], weights=values[part] * err[rows[part]], minlength=width)
         grad[:-1] += decay * theta[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad * grad
@@ -166,12 +172,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     got = rows.mapInArrow(matrix, "toxic int, number binary, value binary").toArrow()  # bounded by sample and features
     y = got.column("toxic").to_numpy().astype(float)
-    cols = [np.frombuffer(b, dtype=np.int32) for b in got.column("number").to_pylist()]
-    values = [np.frombuffer(b, dtype=np.float32) for b in got.column("value").to_pylist()]
-    at = np.repeat(np.arange(len(y)), [len(c) for c in cols])
-    cols, values = np.concatenate(cols), np.concatenate(values).astype(float)
+    cols = np.concatenate([np.frombuffer(b, dtype=np.int32) for b in got.column("number").to_pylist()])
+    values = np.concatenate([np.frombuffer(b, dtype=np.float32) for b in got.column("value").to_pylist()])
+    sizes = [len(b) // 4 for b in got.column("number").to_pylist()]
+    del got
+    at = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
     scale = 20.0
-    weight, bias = fit_logistic(at, cols, values * ratio[cols] * scale, y, len(chosen))
+    values *= (ratio * scale).astype(np.float32)[cols]
+    weight, bias = fit_logistic(at, cols, values, y, len(chosen))
     return Model(place, weight * ratio * scale, bias)
 
 
