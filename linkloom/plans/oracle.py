@@ -266,6 +266,7 @@ FROM o FULL OUTER JOIN n ON o.url = n.url
         "residue_topk": _with(shop) + """SELECT id, url, anchor_text, rel, is_external FROM classified
             WHERE (pred_category IS NULL OR pred_category = 'other') AND anchor_text LIKE '%a%'
             ORDER BY id LIMIT 100""",
+        "relabel_where": _with(shop) + "SELECT id, url, pred_category FROM classified WHERE pred_category = 'help'",
         "prompt_build": _with(shop) + """SELECT id,
             'URL: ' || coalesce(url, 'None') || chr(10) || 'Anchor: ' || coalesce(anchor_text, '') || chr(10)
             || 'Rel: ' || coalesce(rel, '') || chr(10) || 'External: '

@@ -18,7 +18,7 @@ from ..operators.classify import category_profile, classify_links, classify_url
 from ..operators.extract import anchor_rows, page_links, run_links
 from ..operators.ids import dense_rank_rows
 from ..operators.keyed import insert_if_absent, upsert_pages
-from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts
+from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts, residue
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.export import export_categories, read_export
 from ..sources.tables import apply_column_map, ensure_column
@@ -228,7 +228,14 @@ def page_changes_q(spark: SparkSession, sf: str) -> DataFrame:
 def residue_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The next batch of 100 lowest ids among unlabelled or ``other`` rows."""
     links = classify_links(shop_links(spark, sf), SHOP_RULES)
-    return next_batch(links, 100, where="anchor_text LIKE '%a%'")
+    # a predicate is the whole selection, so it names the residue itself
+    return next_batch(links, 100, where="COALESCE(pred_category, 'other') = 'other' AND anchor_text LIKE '%a%'")
+
+
+def relabel_where(spark: SparkSession, sf: str) -> DataFrame:
+    """a configured predicate selects rows that already have a label."""
+    links = classify_links(shop_links(spark, sf), SHOP_RULES)
+    return residue(links, where="pred_category = 'help'").select("id", "url", "pred_category")
 
 
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,6 +330,7 @@ QUERIES = {
     "page_hash": page_hash,
     "page_changes": page_changes_q,
     "residue_topk": residue_topk,
+    "relabel_where": relabel_where,
     "prompt_build": prompt_build,
     "answer_parse": answer_parse,
     "relabel_apply": relabel_apply,
