@@ -4,11 +4,16 @@ Any two equal 400-byte strings hold an equal 200-byte string that is a local
 minimum of its hash in both (a window of 201 starts), so only suffixes that
 start at such minima are kept (about one in a hundred).  They are
 range-partitioned by sampled splitters on their leading token (a 64-bit hash
-of the first 200 bytes, with a salt for leads held by very many suffixes) and
+of the first 200 bytes, with a salt for very large runs) and
 sorted inside each range; neighbours with equal leads are the candidates.
 In a run of equal leads every 400-byte window around the shared lead is
-classed by its place and digest; a run split by the salt is compared across
-the boundaries of its pieces as well.
+classed by its place and digest.
+
+A lead held by very many suffixes is refined: the 201 windows around it fall
+into 8 classes by where they start, the windows of a class share at least 375
+bytes, and the hash of those is the class's leading token.  Tokens held once
+go; a run that is still large is split by a salt, and its windows are
+compared across the boundaries of its pieces as well.
 
 Exact up to collisions of two independent 64-bit hashes at equal place.
 Defined results: null text is empty; texts under 400 bytes lose nothing;
@@ -32,7 +37,10 @@ from linkloom.llm.words import mix
 
 LENGTH = 400
 LEAD = 200
-CROWD = 16_000  # suffixes of one lead that a task compares at once; more are split by a salt
+CROWD = 8000  # suffixes of one lead that a task compares at once; more are refined, then split by a salt
+CLASSES = [(lo, min(lo + 24, LENGTH - LEAD)) for lo in range(0, LENGTH - LEAD + 1, 25)]  # bytes of a window before the lead
+if CLASSES[-1][0] == CLASSES[-1][1]:  # 200 itself joins the class before it
+    CLASSES[-2:] = [(CLASSES[-2][0], LENGTH - LEAD)]
 MAP_BITS, SLICE_BITS = 26, 19
 AT_ONCE = 4000  # suffixes of several leads that a task compares at once
 
@@ -199,15 +207,58 @@ def marked_keys(keys: DataFrame, spark) -> Callable[[Column], Column]:
     return test
 
 
-def suffix_contexts(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
-    """The bytes around every marked suffix: up to 200 before its place and 400 from it on."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, key long, place int, lead long, salt int, split boolean, before int, bytes binary"
+def with_marks(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
+    """(doc_id, key, raw, marks) of the texts that hold marked suffixes."""
     test = marked_keys(marked.select("key"), docs.sparkSession)
     plain = docs.where(test(F.col(key))).select("doc_id", F.col(key).alias("key"), body().cast("binary").alias("raw"))
     wanted = marked.select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), "marks")
-    joined = (plain.join(wanted, null_safe(plain, wanted, [("doc_id", "__d"), ("key", "__k")]))
-              .select("doc_id", "key", "raw", "marks"))
+    return (plain.join(wanted, null_safe(plain, wanted, [("doc_id", "__d"), ("key", "__k")]))
+            .select("doc_id", "key", "raw", "marks"))
+
+
+def refined(docs: DataFrame, key: str, crowded: DataFrame) -> DataFrame:
+    """(doc_id, key, place, low, high, lead) per class of windows of every crowded suffix.
+
+    The lead is the hash of what all windows of the class share, mixed with
+    the class and the old lead; a class without a whole window has no row.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    held = crowded.groupBy("doc_id", "key").agg(F.collect_set(F.struct("place", "lead")).alias("marks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                some = batch.slice(lo, 200)
+                rows, out = [], []
+                for r, (raw, own) in enumerate(zip(some.column(2), some.column(3).to_pylist())):
+                    data = np.frombuffer(raw.as_buffer(), dtype=np.uint8)
+                    place = np.array([m["place"] for m in own], dtype=np.int64)
+                    lead = np.array([m["lead"] for m in own], dtype=np.int64).view(np.uint64)
+                    for low, high in CLASSES:
+                        width = LENGTH - (high - low)
+                        start = place - low
+                        whole = (start >= 0) & (start + width <= len(data))
+                        hashes = window_hashes(data, width, powers)[start[whole]]
+                        name = mix(hashes + mix(lead[whole] + np.uint64(low)) * _P)
+                        n = len(name)
+                        rows.append(np.full(n, r))
+                        out.append((place[whole], np.full(n, low), np.full(n, high), name.view(np.int64)))
+                take = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64), pa.int64())
+                cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, dtype=np.int64)] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(take), some.column(1).take(take),
+                     *[pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.int64()))]],
+                    names=["doc_id", "key", "place", "low", "high", "lead"])
+
+    return with_marks(docs, key, materialize(held, "crowded")).mapInArrow(
+        run, f"doc_id {kind}, key long, place int, low int, high int, lead long")
+
+
+def suffix_contexts(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
+    """The bytes of all windows of every mark: from ``high`` before its place to 400 past the start of the last."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, key long, place int, lead long, salt int, split boolean, before int, bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,10 +267,10 @@ def suffix_contexts(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
                 rows, pieces, before, marks = [], [], [], []
                 for r, (raw, own) in enumerate(zip(some.column(2).to_pylist(), some.column(3).to_pylist())):
                     for m in own:
-                        start = max(0, m["place"] - (LENGTH - LEAD))
+                        start = max(0, m["place"] - m["high"])
                         rows.append(r)
                         before.append(m["place"] - start)
-                        pieces.append(raw[start:m["place"] + LENGTH])
+                        pieces.append(raw[start:m["place"] - m["low"] + LENGTH])
                         marks.append(m)
                 take = pa.array(rows, pa.int64())
                 field = {n: pa.array([m[n] for m in marks], t) for n, t in
@@ -229,7 +280,7 @@ def suffix_contexts(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
                      pa.array(before, pa.int32()), pa.array(pieces, pa.binary())],
                     names=["doc_id", "key", *field, "before", "bytes"])
 
-    return joined.mapInArrow(run, schema)
+    return with_marks(docs, key, marked).mapInArrow(run, schema)
 
 
 def compare_runs(table: pa.Table, powers: Powers) -> pa.Table:
@@ -287,11 +338,17 @@ def repeated_spans(docs: DataFrame, key: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     sampled = materialize(sampled_suffixes(docs, key), "suffixes")
     suffixes = sampled.where("lead is not null").drop("stop")
-    runs = (suffixes.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            .select("lead", F.ceil(F.col("n") / CROWD).cast("int").alias("pieces")))
+    runs = materialize(suffixes.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "runs")
+    plain = (suffixes.join(runs.where(F.col("n") <= CROWD), "lead")
+             .select("doc_id", "key", "place", F.lit(0).alias("low"), F.lit(LENGTH - LEAD).alias("high"), "lead",
+                     F.lit(1).alias("pieces")))
+    finer = materialize(refined(docs, key, suffixes.join(runs.where(F.col("n") > CROWD), "lead")), "finer")
+    again = (finer.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+             .select("lead", F.ceil(F.col("n") / CROWD).cast("int").alias("pieces")))
     salt = F.pmod(F.xxhash64("doc_id", "key", "place"), F.col("pieces")).cast("int")
-    mark = F.struct("place", "lead", salt.alias("salt"), (F.col("pieces") > 1).alias("split"))
-    marked = materialize(suffixes.join(runs, "lead").groupBy("doc_id", "key").agg(F.collect_set(mark).alias("marks")), "marks")
+    mark = F.struct("place", "low", "high", "lead", salt.alias("salt"), (F.col("pieces") > 1).alias("split"))
+    marked = materialize(plain.unionByName(finer.join(again, "lead")).groupBy("doc_id", "key")
+                         .agg(F.collect_set(mark).alias("marks")), "marks")
     contexts = suffix_contexts(docs, key, marked)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = contexts.repartitionByRange(parts, "lead", "salt").sortWithinPartitions("lead", "salt")

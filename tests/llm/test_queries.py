@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from linkloom.llm import collision_dedup, decontamination, order_minhash, queries, words
+from linkloom.llm import collision_dedup, decontamination, order_minhash, queries, suffix_dedup, words
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -168,7 +168,9 @@ def test_vector_links_equal_brute_force(spark):
     _same_links(collision_dedup.near_duplicate_vectors(frame).collect(), names, links, parts)
 
 
-def test_suffix_dedup_equals_brute_force(spark, sf_dir, docs):
+@pytest.mark.parametrize("crowd", [3, suffix_dedup.CROWD])  # 3: nearly every lead is refined, and many runs are split
+def test_suffix_dedup_equals_brute_force(spark, sf_dir, docs, monkeypatch, crowd):
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     count = collections.Counter()
     for t in docs.values():
         raw = (t or "").encode()
