@@ -37,12 +37,12 @@ from linkloom.llm.words import mix
 
 LENGTH = 400
 LEAD = 200
-CROWD = 8000  # suffixes of one lead that a task compares at once; more are refined, then split by a salt
+CROWD = 4000  # suffixes of one lead that a task compares at once; more are refined, then split by a salt
 CLASSES = [(lo, min(lo + 24, LENGTH - LEAD)) for lo in range(0, LENGTH - LEAD + 1, 25)]  # bytes of a window before the lead
 if CLASSES[-1][0] == CLASSES[-1][1]:  # 200 itself joins the class before it
     CLASSES[-2:] = [(CLASSES[-2][0], LENGTH - LEAD)]
 MAP_BITS, SLICE_BITS = 26, 19
-AT_ONCE = 4000  # suffixes of several leads that a task compares at once
+AT_ONCE = 1500  # suffixes of several leads that a task compares at once
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -364,6 +364,7 @@ def repeated_spans(docs: DataFrame, key: str) -> DataFrame:
                 if size >= AT_ONCE and name != (lead[lo], salt[lo]):  # whole runs only
                     yield from compare_runs(pa.Table.from_batches(held), powers).to_batches()
                     held, size = [], 0
+                    pa.default_memory_pool().release_unused()
                 name = (lead[lo], salt[lo])
                 held.append(batch.slice(lo, hi - lo))
                 size += hi - lo
