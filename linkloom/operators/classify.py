@@ -70,11 +70,18 @@ def classify_links(df: DataFrame, rules: Sequence[Rule], url_col: str = "url",
                          .otherwise(F.col(out_col)))
 
 
-def category_profile(df: DataFrame, category_col: str = "pred_category") -> DataFrame:
-    """Links per category, with internal/external split."""
+def category_profile(df: DataFrame, category_col: str = "pred_category",
+                     url_col: str | None = None) -> DataFrame:
+    """Links per category, with internal/external split and, with ``url_col``, distinct URLs.
+
+    Links that are one row per URL already (after D2) need no ``url_col``:
+    the distinct count shuffles every (category, URL) pair once.
+    """
     ext = F.coalesce(F.col("is_external"), F.lit(False))
+    distinct = [F.countDistinct(url_col).alias("n_distinct")] if url_col else []
     return df.groupBy(F.col(category_col).alias("pred_category")).agg(
         F.count(F.lit(1)).alias("n_links"),
         F.sum(F.when(ext, 1).otherwise(0)).alias("n_external"),
         F.sum(F.when(ext, 0).otherwise(1)).alias("n_internal"),
+        *distinct,
     )

@@ -68,6 +68,18 @@ def append_links(links: DataFrame, table_path: str, settings, run_ts: Column | N
      .write.mode("append").parquet(table_path))
 
 
+def _with_new_ids(items: DataFrame, seq_col: str, start: int) -> DataFrame:
+    """``items`` (one per url, or per ``seq_col`` where url is null) with dense ids in ``seq_col`` order.
+
+    Only (url, seq) is range-sorted and checkpointed; the pages themselves
+    meet their ids in one equi-join.
+    """
+    ids = dense_rank_rows(items.select(F.col("url").alias("__url"), F.col(seq_col).alias("__seq")),
+                          ["__seq", "__url"], out="id", start=start)
+    return items.join(ids, F.col("url").eqNullSafe(F.col("__url")) & F.col(seq_col).eqNullSafe(F.col("__seq"))) \
+        .drop("__url", "__seq")
+
+
 def upsert_pages(batch: DataFrame, target: DataFrame | None, seq_col: str,
                  run_ts: Column | None = None) -> DataFrame:
     """K5: merge page items into the page table by url, last item wins.
@@ -90,7 +102,7 @@ def upsert_pages(batch: DataFrame, target: DataFrame | None, seq_col: str,
     cols = ["id", "url", "status_code", "title", "meta_description", "html_content",
             "content_length", "link_depth", "fetched_at", "content_hash"]
     if target is None:
-        new = dense_rank_rows(items, [seq_col], out="id", start=1)
+        new = _with_new_ids(items, seq_col, 1)
         return new.withColumn("meta_description", F.lit(None).cast("string")).select(*cols)
 
     # stored rows: a left join, so the page table is shuffled once; batch
@@ -110,7 +122,7 @@ def upsert_pages(batch: DataFrame, target: DataFrame | None, seq_col: str,
     stored_urls = target.select("url").where(F.col("url").isNotNull())
     inserted = items.join(stored_urls, "url", "left_anti")
     base = next_id_base(target)
-    new = dense_rank_rows(inserted, [seq_col], out="id", start=base + 1) \
+    new = _with_new_ids(inserted, seq_col, base + 1) \
         .withColumn("meta_description", F.lit(None).cast("string")).select(*cols)
     return updated.select(*cols).unionByName(new)
 

@@ -207,7 +207,8 @@ def oracle_sql() -> dict[str, str]:
             FROM shop""",
         "classify_row": _with(shop) + f"""SELECT id, padded AS url, {_case("coalesce(trim(padded), '')", shop_rules)} AS category
             FROM (SELECT *, CASE WHEN p_size < 10 THEN '  ' || url || ' ' ELSE url END AS padded FROM shop)""",
-        "category_profile": _with(shop) + f"SELECT pred_category, {profile_cols} FROM classified GROUP BY pred_category",
+        "category_profile": _with(shop) + f"SELECT pred_category, {profile_cols}, count(DISTINCT url) AS n_distinct "
+        "FROM classified GROUP BY pred_category",
         "insert_ignore": _with(ANCHORS, """tgt AS (
               SELECT normalized_url, row_number() OVER (ORDER BY page_id, pos) AS id FROM (
                 SELECT * FROM per_page WHERE page_url LIKE '%#top'

@@ -111,7 +111,7 @@ def classify_row(spark: SparkSession, sf: str) -> DataFrame:
 
 def category_profile_shop(spark: SparkSession, sf: str) -> DataFrame:
     """D4 over the classified shop links."""
-    return category_profile(classify_links(shop_links(spark, sf), SHOP_RULES))
+    return category_profile(classify_links(shop_links(spark, sf), SHOP_RULES), url_col="url")
 
 
 # --- keyed writes ----------------------------------------------------------
@@ -136,8 +136,7 @@ def links_store(spark: SparkSession, sf: str) -> DataFrame:
     """Pages -> links -> first sighting -> column map and defaults -> new link table with ids."""
     links = run_links(_pages(spark, sf), PAGES_ROOT)
     rows = insert_if_absent(links, None, "normalized_url", ["page_id", "pos"])
-    mapped = apply_column_map(rows, run_ts=F.to_timestamp(F.lit(RUN_TS)))
-    return rows.select("id", "normalized_url").join(mapped, "normalized_url").select(
+    return apply_column_map(rows, run_ts=F.to_timestamp(F.lit(RUN_TS)), keep=["id"]).select(
         "id", "url", "normalized_url", "anchor_text", "rel", "is_external",
         F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss").alias("discovered_at"))
 

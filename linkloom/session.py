@@ -25,6 +25,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoints go once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -59,7 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-ckpt-"))
     return sc.getCheckpointDir()
