@@ -219,11 +219,23 @@ def oracle_sql() -> dict[str, str]:
         "links_store": _with(ANCHORS) + f"""SELECT row_number() OVER (ORDER BY page_id, pos) AS id,
             href AS url, normalized_url, anchor_text, rel, coalesce({ext}, false) AS is_external,
             '2024-02-01 00:00:00' AS discovered_at FROM run""",
+        "crawl_classify_crawl": _with(ANCHORS, """tgt AS (
+              SELECT normalized_url, href, row_number() OVER (ORDER BY page_id, pos) AS id FROM (
+                SELECT * FROM per_page WHERE page_url LIKE '%#top'
+                QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id, pos) = 1))""")
+            + """SELECT id, normalized_url, href AS url,
+                      CASE WHEN regexp_matches(normalized_url, '[02468]/?$') THEN 'even'
+                           WHEN regexp_matches(normalized_url, '[13579]/?$') THEN 'odd' ELSE 'other' END AS pred_category
+               FROM tgt
+               UNION ALL
+               SELECT (SELECT coalesce(max(id), 0) FROM tgt) + row_number() OVER (ORDER BY page_id, pos) AS id,
+                      normalized_url, href AS url, CAST(NULL AS VARCHAR) AS pred_category
+               FROM run WHERE normalized_url NOT IN (SELECT normalized_url FROM tgt)""",
         "surrogate_keys": "SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name NULLS LAST, p_partkey) AS rn FROM part",
         "upsert_pages": """
 WITH t AS (
   SELECT row_number() OVER (ORDER BY page_id) AS id, url, 200 AS status_code, 'old' AS title, 'meta' AS meta_description,
-         CAST(length(html) AS INTEGER) AS content_length, 0 AS link_depth, '2024-01-01' AS fetched_day,
+         html AS html_content, CAST(length(html) AS INTEGER) AS content_length, 0 AS link_depth, '2024-01-01' AS fetched_day,
          sha256(coalesce(html, '')) AS content_hash
   FROM pages WHERE url NOT LIKE '%?%'),
 b0 AS (
@@ -231,13 +243,15 @@ b0 AS (
   UNION ALL
   SELECT url, page_id + 1000000000 AS seq, 'second' AS title, html, 2 AS link_depth FROM pages WHERE url LIKE '%?page=%'),
 b AS (
-  SELECT url, seq, 200 AS status_code, title, CAST(length(html) AS INTEGER) AS content_length, link_depth,
+  SELECT url, seq, 200 AS status_code, title, coalesce(html, '') AS html_content,
+         CAST(length(html) AS INTEGER) AS content_length, link_depth,
          '2024-02-01' AS fetched_day, sha256(coalesce(html, '')) AS content_hash
   FROM b0 QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq DESC) = 1)
 SELECT t.id, t.url,
        CASE WHEN b.url IS NOT NULL THEN b.status_code ELSE t.status_code END AS status_code,
        CASE WHEN b.url IS NOT NULL THEN b.title ELSE t.title END AS title,
        t.meta_description,
+       CASE WHEN b.url IS NOT NULL THEN b.html_content ELSE t.html_content END AS html_content,
        CASE WHEN b.url IS NOT NULL THEN b.content_length ELSE t.content_length END AS content_length,
        CASE WHEN b.url IS NOT NULL THEN b.link_depth ELSE t.link_depth END AS link_depth,
        CASE WHEN b.url IS NOT NULL THEN b.fetched_day ELSE t.fetched_day END AS fetched_day,
@@ -245,7 +259,7 @@ SELECT t.id, t.url,
 FROM t LEFT JOIN b ON t.url = b.url
 UNION ALL
 SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY b.seq) AS id, b.url, b.status_code, b.title,
-       CAST(NULL AS VARCHAR) AS meta_description, b.content_length, b.link_depth, b.fetched_day, b.content_hash
+       CAST(NULL AS VARCHAR) AS meta_description, b.html_content, b.content_length, b.link_depth, b.fetched_day, b.content_hash
 FROM b WHERE b.url NOT IN (SELECT url FROM t)
 """,
         "column_map": _with(ANCHORS) + """SELECT normalized_url AS link, href AS source_href, anchor_text AS text,

@@ -17,9 +17,11 @@ from ..functions.urls import is_external, with_normalized_url
 from ..operators.classify import category_profile, classify_links, classify_url
 from ..operators.extract import anchor_rows, page_links, run_links
 from ..operators.ids import dense_rank_rows
+from ..operators.jobs import classify_table, store_links
 from ..operators.keyed import insert_if_absent, upsert_pages
 from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts, residue
 from ..session import reliable_checkpoint, scratch_path
+from ..sources.config import Settings
 from ..sources.export import export_categories, read_export
 from ..sources.tables import apply_column_map, ensure_column
 from ..streaming.links import start_link_stream
@@ -28,6 +30,7 @@ from .stubs import stub_complete
 
 SHOP_RULES = rule_pack(SHOP_ROOT)
 PAGE_RULES = rule_pack(PAGES_ROOT)
+DIGIT_RULES = [("even", "[02468]/?$", []), ("odd", "[13579]/?$", [])]
 
 
 def _pages(spark, sf):
@@ -141,6 +144,16 @@ def links_store(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss").alias("discovered_at"))
 
 
+def crawl_classify_crawl(spark: SparkSession, sf: str) -> DataFrame:
+    """Links stored, labelled by rules, then more links stored: earlier labels stay, new rows have none."""
+    pages = _pages(spark, sf)
+    settings = Settings(rules=DIGIT_RULES, url_col="normalized_url")
+    first, labelled = scratch_path(spark, "crawl"), scratch_path(spark, "crawl-labelled")
+    store_links(pages.where(F.col("url").endswith("#top")), first, PAGES_ROOT, settings)
+    classify_table(spark, first, labelled, None, settings)
+    return store_links(pages, labelled, PAGES_ROOT, settings).select("id", "normalized_url", "url", "pred_category")
+
+
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Dense ids in (p_name, p_partkey) order without a single-task window."""
     p = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -170,7 +183,7 @@ def upsert_pages_q(spark: SparkSession, sf: str) -> DataFrame:
                         "first", 0, 1) \
         .unionByName(_page_items(pages.where(F.col("url").contains("?page=")), "second", 1_000_000_000, 2))
     merged = upsert_pages(batch, target, "seq", run_ts=F.to_timestamp(F.lit(RUN_TS)))
-    return merged.select("id", "url", "status_code", "title", "meta_description", "content_length",
+    return merged.select("id", "url", "status_code", "title", "meta_description", "html_content", "content_length",
                          "link_depth", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"),
                          "content_hash")
 
@@ -322,6 +335,7 @@ QUERIES = {
     "category_profile": category_profile_shop,
     "insert_ignore": insert_ignore,
     "links_store": links_store,
+    "crawl_classify_crawl": crawl_classify_crawl,
     "surrogate_keys": surrogate_keys,
     "upsert_pages": upsert_pages_q,
     "column_map": column_map,
