@@ -28,6 +28,8 @@ def spread_for_parsing(pages: DataFrame) -> DataFrame:
     input with fewer splits than the default parallelism (one big row group,
     say) is spread round-robin, which costs a shuffle of that small input.
     """
+    if pages.isStreaming:  # a micro-batch has no size before it runs
+        return pages
     spark = pages.sparkSession
     target = spark.sparkContext.defaultParallelism
     # the planner's size estimate: asking for the partitions would run what lies upstream

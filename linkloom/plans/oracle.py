@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from ..config import TAXONOMY, TRACKING_PARAM_PREFIXES, rule_pack
 from .catalog import PAGES_ROOT, SHOP, SHOP_ROOT
+from .forms import PATH_RULES, forms_sql, markup_sql
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
@@ -302,4 +303,10 @@ FROM o FULL OUTER JOIN n ON o.url = n.url
         "export_rows": _with(shop) + "SELECT url, pred_category FROM classified",
         "stream_dedupe": _with(ANCHORS) + f"""SELECT normalized_url, href AS url, anchor_text,
             coalesce({ext}, false) AS is_external FROM run""",
+        "links_forms": forms_sql(),
+        "links_markup": markup_sql(),
+        "rules_from_config": _with(ANCHORS, f"""lp AS (SELECT *, {ext} AS is_external,
+              {_case('normalized_url', PATH_RULES)} AS pred_category FROM run)""")
+            + f"SELECT pred_category, {profile_cols}, count(DISTINCT normalized_url) AS n_distinct FROM lp GROUP BY pred_category",
+        "stream_distinct": _with(ANCHORS) + "SELECT normalized_url FROM run",
     }

@@ -26,6 +26,7 @@ from ..sources.export import export_categories, read_export
 from ..sources.tables import apply_column_map, ensure_column
 from ..streaming.links import start_link_stream
 from .catalog import OLD_TS, PAGES_ROOT, RUN_TS, SHOP_ROOT, shop_links, table
+from .forms import FORM_QUERIES
 from .stubs import stub_complete
 
 SHOP_RULES = rule_pack(SHOP_ROOT)
@@ -351,4 +352,5 @@ QUERIES = {
     "relabel_counts": relabel_counts_q,
     "export_rows": export_rows,
     "stream_dedupe": stream_dedupe,
+    **FORM_QUERIES,
 }

@@ -24,7 +24,8 @@ def test_queries_match_oracle_smoke(spark):
     for t in TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name in ["links_extract", "links_dedupe_run", "classify_first_match", "upsert_pages",
-                 "answer_parse", "relabel_counts"]:
+                 "answer_parse", "relabel_counts", "links_forms", "links_markup", "rules_from_config",
+                 "stream_distinct"]:
         df = E.queries()[name](spark, sf)
         cols = sorted(df.columns)
         got = sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
