@@ -5,11 +5,15 @@ Each of 64 hash functions selects the two least labelled k-mers of a text and
 keeps them in text order; two such picks make one of 32 band keys.  For
 shingle similarity J a pick agrees with probability about J squared (0.64 at
 0.8), so a pair at 0.8 is missed in all bands with probability under 1e-7.
-A band's members meet its representative (the member of least hash), never
-each other; members that verification does not join to it meet again under
-finer keys (band plus a further pick).  A pair links if
-1 - edit distance / longer length >= 0.8 in words, computed in the diagonal
-band that threshold allows.  Groups are connected components.
+A band's members first meet its representative (the member of least hash).
+Members outside the representative's component then meet all members of the
+band, in blocks, unless both are in one component already; pairs whose word
+counts alone put them over the distance bound (which loses no link) are not
+aligned, the others are, by growing random shares of them while components
+grow.  So no band holds two members that are neither compared nor in one
+group.  A pair links if 1 - edit distance / longer length >= 0.8 in words,
+computed in the diagonal band that threshold allows.  Groups are connected
+components.
 
 Defined results: equal texts are one group whatever their length; null reads
 as empty; texts under five words are one k-mer; texts without words group
@@ -33,8 +37,9 @@ from linkloom.llm.words import WordHashes, mix, shingle_hashes, words
 K = 5
 PICKS = 64
 BANDS = 32
-FURTHER = 4  # further picks that refine a bucket its representative does not hold together
 SIMILARITY = 0.8
+BLOCK = 512  # members of a bucket that meet another block at once
+SHARES = (64, 8, 1)  # one pair in so many is aligned a round, while there are many; the last round takes all that are left
 _CELLS = 4_000_000  # hash values held at once
 
 
@@ -134,23 +139,57 @@ def _banded(a: list, b: list, bound: int) -> int:
     return distance
 
 
+def word_bag(h: np.ndarray) -> np.ndarray:
+    """Counts of a text's words by hash in 64 to 16384 bins (a power of two), each at most 255."""
+    bins = min(1 << 14, max(64, 1 << (len(h) - 1).bit_length()))
+    return np.minimum(np.bincount((h % np.uint64(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8)
+
+
+def _fold(bags: np.ndarray, bins: int) -> np.ndarray:
+    """The same counts in fewer bins."""
+    while bags.shape[-1] > bins:
+        half = bags.shape[-1] // 2
+        bags = np.minimum(bags[..., :half].astype(np.uint16) + bags[..., half:], 255).astype(np.uint8)
+    return bags
+
+
+def within_reach(n: int, bag: np.ndarray, lengths: np.ndarray, bags: np.ndarray) -> np.ndarray:
+    """Whether word counts let a text of ``n`` words link with each of others; ``bags`` has one row a text.
+
+    An edit takes away at most one word and adds at most one, so the distance
+    is not below the words that either text has over the other; merged or cut
+    off counts only lower that.
+    """
+    bins = min(len(bag), bags.shape[1])
+    mine, theirs = _fold(bag, bins), _fold(bags, bins)
+    both = np.maximum(mine, theirs).sum(axis=1, dtype=np.int64)
+    least = both - np.minimum(mine.sum(dtype=np.int64), theirs.sum(axis=1, dtype=np.int64))
+    longer = np.maximum(n, lengths)
+    bound = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+    return np.maximum(least, np.abs(n - lengths)) <= bound
+
+
 def sketches(docs: DataFrame, key: str) -> DataFrame:
-    """doc_id, key, second (content hashes) and the picks (empty without words) of every row."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, second long, picks array<long>"
+    """doc_id, key, second (content hashes), picks (empty without words), word count and word bag of every row."""
+    schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, second long, picks array<long>, "
+              "n_words int, bag binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
-                picks = []
+                picks, counts, bags = [], [], []
                 for text in some.column(3).to_pylist():
-                    ws = words(text)
-                    picks.append(order_minhash(occurrence_labelled(shingle_hashes(hashes.array(ws), K)))
-                                 .view(np.int64).tolist() if ws else [])
+                    h = hashes.array(words(text))
+                    picks.append(order_minhash(occurrence_labelled(shingle_hashes(h, K))).view(np.int64).tolist()
+                                 if len(h) else [])
+                    counts.append(len(h))
+                    bags.append(word_bag(h).tobytes() if len(h) else b"")
                 yield pa.RecordBatch.from_arrays([*[some.column(i) for i in range(3)],
-                                                  pa.array(picks, pa.list_(pa.int64()))],
-                                                 names=["doc_id", "key", "second", "picks"])
+                                                  pa.array(picks, pa.list_(pa.int64())),
+                                                  pa.array(counts, pa.int32()), pa.array(bags, pa.binary())],
+                                                 names=["doc_id", "key", "second", "picks", "n_words", "bag"])
 
     return (docs.select("doc_id", F.col(key).alias("key"), F.xxhash64(F.lit(97), body()).alias("second"),
                         body().alias("text")).mapInArrow(run, schema))
@@ -181,13 +220,102 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
+def open_pairs(near: DataFrame, parts: DataFrame, bags: DataFrame) -> DataFrame:
+    """Distinct (a, b) of one bucket that are in two components and within reach by their word counts.
+
+    ``near``: bucket, a (representative), b; ``parts``: node, component;
+    ``bags``: cid, n_words, bag.  Members outside their representative's
+    component meet each other and the members inside it; the latter need no
+    comparison among themselves, the representative has met all.
+    """
+    parts = parts.withColumnRenamed("node", "cid")
+    heads = (near.select("bucket", F.col("a").alias("cid")).distinct().join(parts, "cid", "left")
+             .select("bucket", F.coalesce("component", "cid").alias("home")))
+    members = (near.select("bucket", F.col("b").alias("cid")).join(parts, "cid", "left")
+               .withColumn("component", F.coalesce("component", "cid")).join(heads, "bucket")
+               .withColumn("rest", F.col("component") != F.col("home")).drop("home"))
+    sides = (members.groupBy("bucket").agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_in"))
+             .where("n_rest > 0 and n_rest + n_in > 1")
+             .select("bucket", *[F.ceil(F.col(n) / BLOCK).alias(n) for n in ("n_rest", "n_in")]))
+    dealt = (members.join(sides, "bucket").join(bags, "cid")
+             .withColumn("block", F.pmod(F.xxhash64("cid", "bucket"), F.when(F.col("rest"), F.col("n_rest")).otherwise(F.col("n_in"))))
+             .groupBy("bucket", "rest", "block", "n_rest", "n_in")
+             .agg(F.collect_list(F.struct("cid", "component", "n_words", "bag")).alias("texts")))
+    blocks = materialize(dealt, "blocks")
+
+    def upto(first, n):
+        return F.when(n > first, F.sequence(first, n - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    meets = F.concat(F.transform(upto(F.col("block"), F.col("n_rest")), lambda i: F.struct(F.lit(True).alias("rest"), i.alias("block"))),
+                     F.transform(upto(F.lit(0).cast("long"), F.col("n_in")), lambda i: F.struct(F.lit(False).alias("rest"), i.alias("block"))))
+    left = (blocks.where("rest").select("bucket", F.col("block").alias("own"), F.col("texts").alias("mine"), F.explode(meets).alias("m"))
+            .select("bucket", "own", "mine", "m.rest", "m.block"))
+    both = (left.join(blocks.select("bucket", "rest", "block", "texts"), ["bucket", "rest", "block"])
+            .select((F.col("rest") & (F.col("own") == F.col("block"))).alias("same"), "mine", "texts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                same, mine, theirs = (batch.column(i)[k].as_py() for i in range(3))
+                by_bins: dict[int, list[dict]] = {}
+                for t in theirs:
+                    by_bins.setdefault(len(t["bag"]), []).append(t)
+                found_a, found_b = [], []
+                for bins, ts in by_bins.items():
+                    step = max(1, _CELLS // bins)
+                    for lo in range(0, len(ts), step):
+                        some = ts[lo:lo + step]
+                        cid, component = (np.array([t[c] for t in some], dtype=np.int64) for c in ("cid", "component"))
+                        lengths = np.array([t["n_words"] for t in some], dtype=np.int64)
+                        rows = np.frombuffer(b"".join(t["bag"] for t in some), dtype=np.uint8).reshape(len(some), bins)
+                        for x in mine:
+                            n = x["n_words"]
+                            fits = ((component != x["component"]) & (lengths >= SIMILARITY * n - 1)
+                                    & (n >= SIMILARITY * lengths - 1))
+                            if same:
+                                fits &= cid > x["cid"]
+                            at = np.flatnonzero(fits)
+                            if len(at):
+                                at = at[within_reach(n, np.frombuffer(x["bag"], dtype=np.uint8), lengths[at], rows[at])]
+                                found_a.append(np.minimum(cid[at], x["cid"]))
+                                found_b.append(np.maximum(cid[at], x["cid"]))
+                if found_a:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
+                                                     names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
+    """``links`` and, among what the representatives left apart, as many more as join all that link."""
+    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    parts = connected_components(links)
+    pending = materialize(open_pairs(near, parts, bags).join(tried, ["a", "b"], "left_anti"), "open-pairs")
+    n = pending.count()
+    for one_in in SHARES:
+        if not n:
+            break
+        if one_in > 1 and n < one_in * 10_000:
+            continue
+        turn = F.pmod(F.xxhash64("a", "b"), F.lit(one_in)) == 0
+        links = links.unionByName(materialize(verify(pending.where(turn), texts), "more-links"))
+        if one_in > 1:
+            parts = connected_components(links)
+            of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
+            pending = materialize(pending.where(~turn).join(of["a"], "a", "left").join(of["b"], "b", "left")
+                                  .where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b"), "open-pairs")
+            n = pending.count()
+    return links
+
+
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """Per distinct (doc_id, content hash): group key (doc_id, content hash), kept, and rows of that key."""
     (key,) = fresh(docs, "key")
     keyed = row_key(docs, key)
     rows = materialize(sketches(keyed, key), "sketches")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
-    classes = materialize(rows.groupBy("key", "second").agg(least.alias("least"), F.first("picks").alias("picks"))
+    classes = materialize(rows.groupBy("key", "second").agg(least.alias("least"), F.first("picks").alias("picks"),
+                                                             F.first("n_words").alias("n_words"), F.first("bag").alias("bag"))
                           .withColumn("cid", F.monotonically_increasing_id()), "classes")
     sketched = classes.where(F.size("picks") > 0)
     band = [F.xxhash64(F.lit(i), F.col("picks")[2 * i], F.col("picks")[2 * i + 1]) for i in range(BANDS)]
@@ -201,21 +329,7 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     texts = materialize(plain.join(reps, null_safe(plain, reps, [("doc_id", "__d"), (key, "__k")]))
                         .select("cid", "text").dropDuplicates(["cid"]), "texts")
     links = materialize(verify(near, texts), "links")
-    # members that their representative did not take meet again under finer keys
-    rest = (near.join(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("ok"))
-                      .withColumnRenamed("a", "x").withColumnRenamed("b", "y"),
-                      (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left")
-            .where("ok is null").select("bucket", F.col("b").alias("cid")).distinct())
-    crowd = rest.groupBy("bucket").count().where("count > 1").select("bucket")
-    # (a pair that shares m bands has FURTHER * m chances; the picks depend on the bucket)
-    further = [F.pmod(F.xxhash64("bucket", F.lit(i)), F.lit(PICKS)).cast("int") for i in range(FURTHER)]
-    finer = (rest.join(crowd, "bucket", "left_semi").join(classes.select("cid", "picks"), "cid")
-             .select("cid", F.explode(F.transform(F.array(*further), lambda n: F.xxhash64("bucket", n, F.get("picks", n))))
-                     .alias("bucket")))
-    more = star_pairs(finer).select("a", "b").distinct()
-    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(materialize(verify(more, texts), "more-links"))
+    links = link_rest(near, links, classes.select("cid", "n_words", "bag"), texts)
     parts = connected_components(links)
     named = (classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
