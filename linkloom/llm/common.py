@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from linkloom.session import scratch_path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, not a
     recomputation, and pins values that depend on the physical layout.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

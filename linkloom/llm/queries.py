@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import (collision_dedup, decontamination, html_template, line_dedup, order_minhash, packing, secret_scan,
                           sharding, suffix_dedup, toxicity)
+from linkloom.session import scratch_path
 
 OLD_SHARDS, SHARDS = 12, 16
 
@@ -18,11 +19,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lie in 12 shards by source move to 16 shards of near-equal bytes."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    """Documents that lie in 12 shards by source move to 16 shards of near-equal bytes; digests of the written files."""
+    docs = _table(spark, sf_dir, "documents")
     old = F.pmod(F.xxhash64("source"), F.lit(OLD_SHARDS))
-    return (sharding.reshard(docs, old, OLD_SHARDS, SHARDS)
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    rows = sharding.reshard(docs, old, OLD_SHARDS, SHARDS)
+    path = scratch_path(spark, "shards")
+    sharding.rewrite_affected(rows, path)
+    text = F.coalesce("doc.text", F.lit(""))
+    return (sharding.read_shards(rows, path)
+            .select("doc.doc_id", (F.octet_length(text) + F.lit(1).cast("long")).alias("size"),
+                    F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard"), "old_shard"))
 
 

@@ -3,12 +3,14 @@
 The flow network has one node per old and per new shard, so the solver on
 the driver sees shard sizes only (its input is bounded by the two shard
 counts, never by the rows).  Its result is a table of block transfers; rows
-take their shard from where they lie on their old shard's byte line.
+take their shard from where they lie on their old shard's byte line.  The
+files of shards that gain or lose rows are rewritten with the documents in
+them; a shard that ends empty loses its folder.
 
 Defined results: null text counts as empty (size 1); repeated rows are rows
 of their own; an empty table gives an empty result; equal texts are not tied
-together (a group may outgrow a shard); columns other than doc_id, text and
-the old-shard expression are ignored.
+together (a group may outgrow a shard); all columns of the documents are
+kept as they are, in one column ``doc``.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import body, materialize, prefix_sum, utf8_bytes
+from linkloom.session import path_exists
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -96,21 +99,26 @@ def _blocks(share: list[tuple[int, float]]) -> list[tuple[int, float]]:
     return out
 
 
-def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int = 16) -> DataFrame:
-    """Rows (doc_id, size, text_crc32, old_shard, shard, slot) with near-equal bytes per shard.
+def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int = 16,
+            keep: list[str] | None = None) -> DataFrame:
+    """Rows (doc_id, size, text_crc32, old_shard, shard, slot, doc) with near-equal bytes per shard.
+
+    ``doc`` holds the columns ``keep`` of the documents (all where not given).
 
     Sizes per old shard feed the flow; each old shard's line of bytes is cut
     into the planned blocks.  Long rows are laid first, in proportion; the
     short ones then fill what is left of every block, so that a block misses
     its planned size by less than a short row where there are enough of them.
     """
-    base = materialize(
+    doc = F.struct(*[docs[f"`{c}`"] for c in keep or docs.columns]).alias("doc")
+    stored = materialize(
         docs.select("doc_id", utf8_bytes(body()).alias("bytes"),
                     F.crc32(body().cast("binary")).alias("text_crc32"),
-                    old_shard.cast("int").alias("old_shard"))
-        .select("doc_id", (F.col("bytes") + 1).alias("size"), "text_crc32", "old_shard",
+                    old_shard.cast("int").alias("old_shard"), doc)
+        .select("doc_id", (F.col("bytes") + 1).alias("size"), "text_crc32", "old_shard", "doc",
                 F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")),
-        "shard-rows")
+        "shard-rows", compression="zstd")
+    base = stored.drop("doc")
     bins = (base.groupBy("old_shard", F.floor(F.log2("size")).cast("int").alias("bits"))
             .agg(F.sum("size").alias("bytes")).collect())  # at most old_shards x 64 rows
     sizes = [0] * old_shards
@@ -145,20 +153,33 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int = 1
             short_lines[i] = _blocks([(j, w * scale) for j, w in share])
     placed = placed.withColumn("shard", F.coalesce("shard", _by_cuts(short_lines, "old_shard", F.col("middle"))).cast("int"))
     one = placed.withColumn("one", F.lit(1))
-    return (prefix_sum(one, "part", ["shard"], [F.col("place")], "one", "slot")
-            .select("doc_id", "size", "text_crc32", "old_shard", "shard", "slot"))
+    slots = materialize(prefix_sum(one, "part", ["shard"], [F.col("place")], "one", "slot")
+                        .select("place", "doc_id", "size", "text_crc32", "old_shard", "shard", "slot"), "shard-slots")
+    return slots.join(stored.select("place", "doc"), "place").drop("place")
 
 
-def rewrite_affected(rows: DataFrame, path: str) -> DataFrame:
-    """Write the files of every shard that gains or loses a row, partitioned by shard.
+def rewrite_affected(rows: DataFrame, path: str) -> list[int]:
+    """Write the files of every shard that gains or loses a row or has no folder, partitioned by shard.
 
-    ``rows`` needs old_shard and shard; a shard whose rows all stay is left
-    alone.  Returns the affected shard numbers (bounded by the shard counts).
+    ``rows`` is what reshard() returns, made from other files than those at
+    ``path`` or from its scratch copy of them.  A shard whose rows all stay is
+    left alone; one that ends empty loses its folder, after the write.
+    Returns the affected shard numbers.
     """
-    moved = rows.where("old_shard != shard")
-    touched = (moved.select("shard").union(moved.select(F.col("old_shard").alias("shard"))).distinct())
-    (rows.join(F.broadcast(touched), "shard", "left_semi")  # one row a shard
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path))
-    return touched
-
-
+    spark = rows.sparkSession
+    flows = [(r["old_shard"], r["shard"]) for r in rows.select("old_shard", "shard").distinct().collect()]  # old x new at most
+    filled = {new for _, new in flows}
+    affected = ({n for flow in flows if flow[0] != flow[1] for n in flow}
+                | {n for n in filled if not path_exists(spark, f"{path}/shard={n}")})
+    (rows.where(F.col("shard").isin(sorted(affected & filled)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").partitionBy("shard").parquet(path))
+    for n in sorted(affected - filled):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={n}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return sorted(affected)
+
+
+def read_shards(rows: DataFrame, path: str) -> DataFrame:
+    """The rows of the files at ``path``, of the schema of ``rows``."""
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
