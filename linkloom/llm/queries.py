@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import (collision_dedup, decontamination, html_template, line_dedup, order_minhash, packing, secret_scan,
-                          sharding, suffix_dedup, toxicity)
+from linkloom.llm import (collision_dedup, conversation_repair, decontamination, html_template, line_dedup, order_minhash, packing,
+                          secret_scan, sharding, suffix_dedup, toxicity)
 from linkloom.session import scratch_path
 
 OLD_SHARDS, SHARDS = 12, 16
@@ -76,9 +76,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_reshard, op2_line_dedup, op3_secret_scan, op4_order_minhash, op5_main_text, op6_toxicity,
-                            op7_collision_dedup, op8_suffix_dedup, op9_decontamination, op10_packing)}
+                            op7_collision_dedup, op8_suffix_dedup, op9_decontamination, op10_packing, op11_conversation_repair)}
 
 # Runs of at least three units (a line of w words has ceil(w / 25)) that occurred earlier in document order.
 _LINE_DEDUP = r"""
