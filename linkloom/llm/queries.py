@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import (collision_dedup, conversation_repair, decontamination, html_template, line_dedup, order_minhash, packing,
-                          secret_scan, sharding, suffix_dedup, syncmers, toxicity)
+                          secret_scan, sharding, suffix_dedup, syncmers, token_alignment,
+                          toxicity)
 from linkloom.session import scratch_path
 
 OLD_SHARDS, SHARDS = 12, 16
@@ -80,6 +81,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_syncmer_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -87,7 +95,7 @@ def op13_syncmer_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_reshard, op2_line_dedup, op3_secret_scan, op4_order_minhash, op5_main_text, op6_toxicity,
                             op7_collision_dedup, op8_suffix_dedup, op9_decontamination, op10_packing, op11_conversation_repair,
-                            op13_syncmer_fingerprint)}
+                            op12_token_alignment, op13_syncmer_fingerprint)}
 
 # Runs of at least three units (a line of w words has ceil(w / 25)) that occurred earlier in document order.
 _LINE_DEDUP = r"""
