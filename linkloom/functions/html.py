@@ -10,8 +10,11 @@ Per page it returns every ``<a>`` element in document order as
 * ``rels``: every ``rel`` attribute in the subtree, in document order.
 
 Tree rules: comments and the bodies of ``script``/``style`` are not markup; a
-new ``<a>`` ends an open one; an end tag ends every element opened after its
-matching start tag; void elements have no content; end of input ends all.
+new ``<a>`` ends an open one; a start tag first ends the open elements on top
+that its row of ``_ENDS`` names (``<td>`` ends ``td``, ``<div>`` ends ``p`` ...);
+an end tag ends every element opened after its matching start tag, unless one
+of those ranks higher (``</a>`` does not end a ``div``), in which case it is
+ignored; void elements have no content; end of input ends all.
 The parser is Python's stdlib ``html.parser``; Spark partitions the pages and
 each task parses its own batch.
 """
@@ -37,6 +40,27 @@ _VOID = frozenset({
     "param", "source", "track", "wbr", "keygen", "frame", "basefont", "isindex",
 })
 
+# --- fixed values: which open elements a start tag ends while they are on top (optional end tags).
+_BLOCKS = ("address", "article", "aside", "blockquote", "center", "dir", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
+           "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul")
+_ENDS: dict[str, frozenset[str]] = {
+    **{tag: frozenset({"p"}) for tag in _BLOCKS},
+    "li": frozenset({"li", "p"}),
+    "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}),
+    "option": frozenset({"option"}), "optgroup": frozenset({"option", "optgroup"}),
+    "rp": frozenset({"rp", "rt"}), "rt": frozenset({"rp", "rt"}),
+    "body": frozenset({"head"}),
+    "table": frozenset({"p", "a"}), "fieldset": frozenset({"p", "a"}),
+    "td": frozenset({"td", "th", "p", "a"}), "th": frozenset({"td", "th", "p", "a"}),
+    "tr": frozenset({"tr", "td", "th", "p", "a", "caption", "colgroup"}),
+    **{tag: frozenset({"thead", "tbody", "tfoot", "tr", "td", "th", "p", "a", "caption", "colgroup"})
+       for tag in ("thead", "tbody", "tfoot")},
+}
+
+# --- fixed values: an end tag ends no element of a higher rank; elements not named rank 100.
+_RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180, "table": 190,
+         "head": 200, "body": 200, "html": 220}
+
 
 class _AnchorScan(HTMLParser):
     def __init__(self) -> None:
@@ -77,11 +101,24 @@ class _AnchorScan(HTMLParser):
             self.cur = {"href": None, "text": [], "rels": []}
             self._take(attrs)
             return
+        ends = _ENDS.get(tag)
+        if ends:
+            self._end_top(ends)
         if self.cur is not None:
             self._take(attrs)
         if tag not in _VOID:
             self._push(tag)
 
+    def _end_top(self, tags):
+        """End the elements on top that are among ``tags``."""
+        at = len(self.stack)
+        while at and self.stack[at - 1] in tags:
+            at -= 1
+        if at < len(self.stack):
+            self._cut(at)
+            if self.cur is not None and at <= self.depth:
+                self._close()
+
     def _push(self, tag):
         self.stack.append(tag)
         self.open[tag] = self.open.get(tag, 0) + 1
@@ -101,8 +138,10 @@ class _AnchorScan(HTMLParser):
     def handle_endtag(self, tag):
         if not self.open.get(tag):      # a stray end tag closes nothing
             return
-        at = len(self.stack) - 1
+        at, rank = len(self.stack) - 1, _RANK.get(tag, 100)
         while self.stack[at] != tag:
+            if _RANK.get(self.stack[at], 100) > rank:
+                return
             at -= 1
         self._cut(at)
         if self.cur is not None and len(self.stack) <= self.depth:

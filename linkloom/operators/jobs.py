@@ -39,9 +39,9 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
 
     ``partition_by_category`` lays the new version out by ``pred_category``
     (the counterpart of an index on it): reads that filter on the category
-    only open the matching folders.
+    only open the matching folders, and later appends keep the layout.
     """
-    links = spark.read.option("mergeSchema", True).parquet(table_path)
+    links = read_link_table(spark, table_path, settings.column_map)
     labelled = classify_links(links, settings.rules, url_col=settings.url_col,
                               only_nulls=settings.only_update_nulls)
     if partition_by_category:
@@ -51,7 +51,7 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
             .write.mode("errorifexists").partitionBy("pred_category").parquet(out_path)
     else:
         labelled.write.mode("errorifexists").parquet(out_path)
-    result = spark.read.parquet(out_path)
+    result = read_link_table(spark, out_path, settings.column_map)
     if csv_path:
         export_categories(result, csv_path, url_col=settings.url_col)
     return result
@@ -60,12 +60,12 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
 def relabel_table(spark: SparkSession, table_path: str, out_path: str, complete: Complete,
                   settings: Settings, **kw) -> DataFrame:
     """Relabel the residue of the link table into a new table version."""
-    links = spark.read.option("mergeSchema", True).parquet(table_path)
+    links = read_link_table(spark, table_path, settings.column_map)
     labels = label_residue(links, complete, taxonomy=settings.taxonomy, batch_size=settings.batch_size,
                            max_batches=settings.max_batches,
                            where=_extra_where(settings.where_other_sql), **kw)
     apply_labels(links, labels).write.mode("errorifexists").parquet(out_path)
-    return spark.read.parquet(out_path)
+    return read_link_table(spark, out_path, settings.column_map)
 
 
 def _extra_where(sql: str) -> str | None:

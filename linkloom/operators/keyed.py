@@ -5,29 +5,33 @@ Spark does not enforce keys, so the writers do:
 * ``insert_if_absent`` (K4/J1): first row per key inside the batch, then a
   left-anti join against the stored keys, then dense new ids.  Applying it
   twice adds nothing.
+* ``append_links`` is that as a table operation: the table's key filter
+  spares certainly new keys the anti join, ids continue from a stored mark,
+  and rows are written in the table's own layout.
 * ``upsert_pages`` (K5/J2): last row per url inside the batch, then a merge
   by url (a left join of the stored rows with the batch, plus an anti join on
   the url column for new rows): matched rows take the batch's seven columns
   and keep ``id`` and ``meta_description``; new rows get new ids; untouched
-  rows stay.
+  rows stay.  ``pagetable.upsert_page_table`` is the table operation.
 
-Both return DataFrames; ``write_snapshot``/``upsert_snapshot`` write a result
-as a new table version and ``latest_snapshot`` finds the newest complete one,
-because a Parquet path cannot be overwritten while it is read.
-Joins are plain equi-joins: AQE turns them into broadcast joins at run time
-when one side turns out small, and keeps the shuffle join otherwise.
+The functions on DataFrames return DataFrames; ``write_snapshot`` and
+``upsert_snapshot`` write a result as a new table version and
+``latest_snapshot`` finds the newest complete one.  Joins are plain
+equi-joins: AQE turns them into broadcast joins at run time when one side
+turns out small, and keeps the shuffle join otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash
-from ..session import path_exists
-from ..sources.tables import apply_column_map, ensure_column, link_table_schema, read_link_table
+from ..session import list_names, path_exists, scratch_path
+from ..sources.tables import apply_column_map, ensure_column, read_link_table, write_link_rows
 from .dedupe import first_wins
-from .ids import dense_rank_rows
+from .ids import dense_rank_rows, rank_keys
+from .keyfilter import add_to_filter, split_by_filter
 
 def next_id_base(target: DataFrame | None, id_col: str = "id") -> int:
     """The largest stored id (0 for no table): one scalar to the driver."""
@@ -52,20 +56,80 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str,
     return dense_rank_rows(fresh, order_cols, out=id_col, start=base + 1)
 
 
+def stored_mark(spark: SparkSession, table_path: str, target: DataFrame | None) -> int:
+    """The largest id given out for a table: its stored mark, or the largest stored id of a table without one."""
+    marks = f"{table_path.rstrip('/')}/_ids"
+    if path_exists(spark, f"{marks}/_SUCCESS"):
+        return int(spark.read.schema("high long").parquet(marks).agg(F.max("high")).first()[0] or 0)
+    return next_id_base(target)
+
+
+def reserve_ids(spark: SparkSession, table_path: str, n: int, target: DataFrame | None) -> int:
+    """Reserve ``n`` ids after the table's mark and return the one before the first.
+
+    The mark is written before the rows, so ids are never given out twice; a
+    write that fails in between leaves a gap, as a sequence does.
+    """
+    base = stored_mark(spark, table_path, target)
+    spark.createDataFrame([(base + n,)], "high long").coalesce(1).write.mode("append").parquet(f"{table_path.rstrip('/')}/_ids")
+    return base
+
+
+def absent_places(places: DataFrame, target: DataFrame, key: str, table_path: str) -> DataFrame:
+    """Rows of ``places`` (key and order columns) whose key is not stored; only keys the filter cannot rule out are compared."""
+    stored = target.select(key).where(F.col(key).isNotNull())
+    parts = split_by_filter(places, key, table_path)
+    if parts is None:
+        return places.join(stored, key, "left_anti")
+    certain, open_ = parts
+    return certain.unionByName(open_.join(stored, key, "left_anti"))
+
+
+def add_link_rows(rows: DataFrame, places: DataFrame, target: DataFrame | None, table_path: str, settings) -> None:
+    """Write those of ``rows`` that ``places`` names, with the next ids in (page_id, pos) order."""
+    spark = rows.sparkSession
+    key = settings.unique_key
+    ranked, n = rank_keys(places.select("page_id", "pos", key), ["page_id", "pos"], out="__rank")
+    base = reserve_ids(spark, table_path, n, target)
+    add_to_filter(ranked, target, key, table_path, base + n)
+    at = ranked.select(F.col("page_id").alias("__page"), F.col("pos").alias("__pos"), F.col(key).alias("__key"), "__rank")
+    same = (rows["page_id"].eqNullSafe(at["__page"]) & rows["pos"].eqNullSafe(at["__pos"]) & rows[key].eqNullSafe(at["__key"]))
+    new = rows.join(at, same).withColumn("id", F.col("__rank") + F.lit(base))
+    write_link_rows(ensure_column(new, "pred_category"), table_path, settings.column_map)
+
+
+def stored_links(spark: SparkSession, table_path: str, settings) -> DataFrame | None:
+    """The link table, or None before its first rows."""
+    if not any(n[0] not in "._" for n in list_names(spark, table_path)):
+        return None
+    return read_link_table(spark, table_path, settings.column_map)
+
+
 def append_links(links: DataFrame, table_path: str, settings, run_ts: Column | None = None) -> None:
-    """Append new links to the link table, for batch jobs and micro-batches alike.
+    """Append new links to the link table.
 
     The table is read and written with its declared columns only (id, the
-    mapped columns, ``pred_category``), so its files never differ in schema
-    and stored labels outlive later appends.
+    mapped columns, ``pred_category``) and in its own layout, so its files
+    never differ in schema, stored labels outlive later appends, and a table
+    laid out by category stays one.  The batch's rows are kept as a scratch
+    table, since they come from parsing pages; ids and the comparison with the
+    stored keys use the key and order columns alone.
     """
-    spark = links.sparkSession
-    schema = link_table_schema(settings.column_map)
-    target = read_link_table(spark, table_path, settings.column_map) if path_exists(spark, table_path) else None
+    key = settings.unique_key
+    target = stored_links(links.sparkSession, table_path, settings)
     mapped = apply_column_map(links, settings.column_map, run_ts=run_ts, keep=["page_id", "pos"])
-    new = ensure_column(insert_if_absent(mapped, target, settings.unique_key, ["page_id", "pos"]), "pred_category")
-    (new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-     .write.mode("append").parquet(table_path))
+    rows = staged(first_wins(mapped, key, ["page_id", "pos"], keep_null_keys=True), "new-links")
+    places = rows.select("page_id", "pos", key)
+    if target is not None:
+        places = absent_places(places, target, key, table_path)
+    add_link_rows(rows, places, target, table_path, settings)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a scratch table and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _with_new_ids(items: DataFrame, seq_col: str, start: int) -> DataFrame:

@@ -56,6 +56,17 @@ MARKUP = ('<div><a rel="nofollow" class="c" href="/d/{w}?a=1&amp;b=2"> <b>T{w}</
 ANCHORS_OF_MARKUP = [("/d/{w}?a=1&b=2", "T{w}é x", "nofollow"), ("/in/{w}", "i", "r1 r2"),
                      ("/first{w}", "s", None), (None, "no link", None), ("/up/{w}", None, "ugc")]
 
+# Left-out end tags; the comments say where an anchor ends.
+IMPLIED = ('<table><tr><td><a href="/cell{w}">x<td>y'                            # <td> ends the anchor in the cell before
+           '<tr><th><a href="/head{w}">h</table>after'                           # so does </table>
+           '<ul><li><a href="/one{w}">one<li><a href="/two{w}">two</ul>'          # <a> ends an open one, </ul> ends the other
+           '<p><a href="/para{w}">p1<p>p2</a> p3'                                # <p> ends a p on top, not the anchor
+           '<div><a href="/box{w}">in<div>side</a> out</div> more</div> end'     # </a> ends no div; the outer </div> ends both
+           '<select><option><a href="/o{w}">1</a><option>2</select>'
+           '<a href="/t{w}">cap<table><tr><td>no</table></a>no')                 # <table> ends the anchor
+ANCHORS_OF_IMPLIED = [("/cell{w}", "x", None), ("/head{w}", "h", None), ("/one{w}", "one", None), ("/two{w}", "two", None),
+                      ("/para{w}", "p1p2", None), ("/box{w}", "inside out more", None), ("/o{w}", "1", None), ("/t{w}", "cap", None)]
+
 PATH_RULES = [("vowel", "/[AEIOU][^/]*$", ["IGNORECASE"]), ("even", "[02468]/?$", []), ("late", "[n-z]$", [])]
 
 
@@ -85,6 +96,13 @@ def links_markup(spark: SparkSession, sf: str) -> DataFrame:
     return anchor_rows(docs).select("page_id", "pos", "href", "anchor_text", "rel")
 
 
+def links_implied(spark: SparkSession, sf: str) -> DataFrame:
+    """X1..X4 where end tags are left out or misplaced, around every page's path."""
+    pages = table(spark, sf, "pages").select(
+        "page_id", "url", _fill(IMPLIED, F.concat(F.lit("-"), F.col("page_id").cast("string"))).alias("html"))
+    return anchor_rows(pages).select("page_id", "pos", "href", "anchor_text", "rel")
+
+
 def rules_from_config(spark: SparkSession, sf: str) -> DataFrame:
     """The run's links under a caller's rules, read from a JSON config file."""
     config = {"classification": {"url_col": "normalized_url", "patterns": [
@@ -107,7 +125,7 @@ def stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(seen.schema).parquet(out)
 
 
-FORM_QUERIES = {f.__name__: f for f in (links_forms, links_markup, rules_from_config, stream_distinct)}
+FORM_QUERIES = {f.__name__: f for f in (links_forms, links_markup, links_implied, rules_from_config, stream_distinct)}
 
 
 def _text(template: str | None, word: str, host: str = "''") -> str:
@@ -127,7 +145,11 @@ def forms_sql() -> str:
             f"SELECT * FROM ({side(False)} UNION ALL {side(True)}) WHERE normalized_url IS NOT NULL")
 
 
-def markup_sql() -> str:
-    lists = [", ".join(_text(a[i], "CAST(doc_id AS VARCHAR)") for a in ANCHORS_OF_MARKUP) for i in range(3)]
-    return (f"SELECT doc_id AS page_id, CAST(unnest(range(1, {len(ANCHORS_OF_MARKUP) + 1})) AS INTEGER) AS pos, "
-            f"unnest([{lists[0]}]) AS href, unnest([{lists[1]}]) AS anchor_text, unnest([{lists[2]}]) AS rel FROM documents")
+def markup_sql(anchors=ANCHORS_OF_MARKUP, source: str = "documents", key: str = "doc_id", word: str = "CAST(doc_id AS VARCHAR)") -> str:
+    lists = [", ".join(_text(a[i], word) for a in anchors) for i in range(3)]
+    return (f"SELECT {key} AS page_id, CAST(unnest(range(1, {len(anchors) + 1})) AS INTEGER) AS pos, "
+            f"unnest([{lists[0]}]) AS href, unnest([{lists[1]}]) AS anchor_text, unnest([{lists[2]}]) AS rel FROM {source}")
+
+
+def implied_sql() -> str:
+    return markup_sql(ANCHORS_OF_IMPLIED, "pages", "page_id", "'-' || page_id")

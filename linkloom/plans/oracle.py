@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from ..config import TAXONOMY, TRACKING_PARAM_PREFIXES, rule_pack
 from .catalog import PAGES_ROOT, SHOP, SHOP_ROOT
-from .forms import PATH_RULES, forms_sql, markup_sql
+from .forms import PATH_RULES, forms_sql, implied_sql, markup_sql
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
@@ -232,6 +232,18 @@ def oracle_sql() -> dict[str, str]:
                SELECT (SELECT coalesce(max(id), 0) FROM tgt) + row_number() OVER (ORDER BY page_id, pos) AS id,
                       normalized_url, href AS url, CAST(NULL AS VARCHAR) AS pred_category
                FROM run WHERE normalized_url NOT IN (SELECT normalized_url FROM tgt)""",
+        "crawl_category_layout": _with(ANCHORS, """tgt AS (
+              SELECT normalized_url, href, row_number() OVER (ORDER BY page_id, pos) AS id FROM (
+                SELECT * FROM per_page WHERE page_url LIKE '%#top'
+                QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id, pos) = 1))""")
+            + """SELECT id, normalized_url, href AS url,
+                      CASE WHEN regexp_matches(normalized_url, '[02468]/?$') THEN 'even'
+                           WHEN regexp_matches(normalized_url, '[13579]/?$') THEN 'odd' ELSE 'other' END AS pred_category
+               FROM tgt
+               UNION ALL
+               SELECT (SELECT coalesce(max(id), 0) FROM tgt) + row_number() OVER (ORDER BY page_id, pos) AS id,
+                      normalized_url, href AS url, CAST(NULL AS VARCHAR) AS pred_category
+               FROM run WHERE normalized_url NOT IN (SELECT normalized_url FROM tgt)""",
         "surrogate_keys": "SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name NULLS LAST, p_partkey) AS rn FROM part",
         "upsert_pages": """
 WITH t AS (
@@ -278,6 +290,20 @@ WITH o AS (SELECT url, max(sha256(coalesce(html, ''))) AS h FROM pages WHERE url
 SELECT coalesce(o.url, n.url) AS url,
        CASE WHEN o.h IS NULL THEN 'new' WHEN n.h IS NULL THEN 'gone' WHEN o.h = n.h THEN 'same' ELSE 'changed' END AS change
 FROM o FULL OUTER JOIN n ON o.url = n.url
+""",
+        "page_history": """
+WITH s AS (
+  SELECT url, crawl, max(sha256(CASE WHEN page_id % 5 = 1 AND crawl >= 2 THEN html || '<!-- changed -->'
+                                     WHEN page_id % 5 = 2 AND crawl = 2 THEN html || '<!-- for a while -->'
+                                     ELSE coalesce(html, '') END)) AS h
+  FROM pages, (VALUES (1), (2), (3), (4)) c(crawl)
+  WHERE NOT (page_id % 5 = 3 AND crawl = 2) AND NOT (page_id % 5 = 4 AND crawl = 1) AND url IS NOT NULL
+  GROUP BY url, crawl),
+f AS (SELECT *, coalesce(h <> lag(h) OVER (PARTITION BY url ORDER BY crawl), true) AS starts FROM s),
+v AS (SELECT *, CAST(count(*) FILTER (starts) OVER (PARTITION BY url ORDER BY crawl) AS INTEGER) AS version FROM f),
+g AS (SELECT url, version, min(h) AS content_hash, min(crawl) AS first_seen, max(crawl) AS last_seen, count(*) AS n_seen
+      FROM v GROUP BY url, version)
+SELECT *, lead(first_seen) OVER (PARTITION BY url ORDER BY version) AS replaced_in FROM g
 """,
         "residue_topk": _with(shop) + """SELECT id, url, anchor_text, rel, is_external FROM classified
             WHERE (pred_category IS NULL OR pred_category = 'other') AND anchor_text LIKE '%a%'
@@ -303,8 +329,13 @@ FROM o FULL OUTER JOIN n ON o.url = n.url
         "export_rows": _with(shop) + "SELECT url, pred_category FROM classified",
         "stream_dedupe": _with(ANCHORS) + f"""SELECT normalized_url, href AS url, anchor_text,
             coalesce({ext}, false) AS is_external FROM run""",
+        "stream_compare": _with(ANCHORS) + f"""SELECT normalized_url, href AS url, anchor_text,
+            coalesce({ext}, false) AS is_external FROM run""",
+        "stream_retry": _with(ANCHORS) + f"""SELECT normalized_url, href AS url, anchor_text,
+            coalesce({ext}, false) AS is_external FROM run""",
         "links_forms": forms_sql(),
         "links_markup": markup_sql(),
+        "links_implied": implied_sql(),
         "rules_from_config": _with(ANCHORS, f"""lp AS (SELECT *, {ext} AS is_external,
               {_case('normalized_url', PATH_RULES)} AS pred_category FROM run)""")
             + f"SELECT pred_category, {profile_cols}, count(DISTINCT normalized_url) AS n_distinct FROM lp GROUP BY pred_category",

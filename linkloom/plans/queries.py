@@ -7,23 +7,25 @@ next-batch top-k).
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TAXONOMY, rule_pack
-from ..functions.hashing import content_hash, page_changes
+from ..functions.hashing import content_hash, page_changes, page_history
 from ..functions.prompts import answer_label, user_prompt
 from ..functions.urls import is_external, with_normalized_url
 from ..operators.classify import category_profile, classify_links, classify_url
 from ..operators.extract import anchor_rows, page_links, run_links
 from ..operators.ids import dense_rank_rows
 from ..operators.jobs import classify_table, store_links
-from ..operators.keyed import insert_if_absent, upsert_pages
+from ..operators.keyed import insert_if_absent
+from ..operators.pagetable import upsert_page_table, write_page_table
 from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts, residue
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.config import Settings
 from ..sources.export import export_categories, read_export
-from ..sources.tables import apply_column_map, ensure_column
+from ..sources.tables import apply_column_map, ensure_column, read_link_table
 from ..streaming.links import start_link_stream
 from .catalog import OLD_TS, PAGES_ROOT, RUN_TS, SHOP_ROOT, shop_links, table
 from .forms import FORM_QUERIES
@@ -137,24 +139,34 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def links_store(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages -> links -> first sighting -> column map and defaults -> new link table with ids."""
-    links = run_links(_pages(spark, sf), PAGES_ROOT)
-    rows = insert_if_absent(links, None, "normalized_url", ["page_id", "pos"])
-    return apply_column_map(rows, run_ts=F.to_timestamp(F.lit(RUN_TS)), keep=["id"]).select(
+    """Pages -> links -> first sighting -> column map and defaults -> new link table with ids, read back."""
+    path = scratch_path(spark, "links")
+    return store_links(_pages(spark, sf), path, PAGES_ROOT, run_ts=F.to_timestamp(F.lit(RUN_TS))).select(
         "id", "url", "normalized_url", "anchor_text", "rel", "is_external",
         F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss").alias("discovered_at"))
 
 
-def crawl_classify_crawl(spark: SparkSession, sf: str) -> DataFrame:
-    """Links stored, labelled by rules, then more links stored: earlier labels stay, new rows have none."""
+def _crawl_classify_crawl(spark: SparkSession, sf: str, partition_by_category: bool) -> DataFrame:
     pages = _pages(spark, sf)
     settings = Settings(rules=DIGIT_RULES, url_col="normalized_url")
     first, labelled = scratch_path(spark, "crawl"), scratch_path(spark, "crawl-labelled")
     store_links(pages.where(F.col("url").endswith("#top")), first, PAGES_ROOT, settings)
-    classify_table(spark, first, labelled, None, settings)
+    classify_table(spark, first, labelled, None, settings, partition_by_category=partition_by_category)
+    store_links(pages, labelled, PAGES_ROOT, settings)
     return store_links(pages, labelled, PAGES_ROOT, settings).select("id", "normalized_url", "url", "pred_category")
 
 
+def crawl_classify_crawl(spark: SparkSession, sf: str) -> DataFrame:
+    """Links stored, labelled by rules, then more links stored twice: labels stay, new rows have none, the
+    second time adds nothing."""
+    return _crawl_classify_crawl(spark, sf, False)
+
+
+def crawl_category_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over a table laid out by category: appended rows go into its layout and are read back."""
+    return _crawl_classify_crawl(spark, sf, True)
+
+
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Dense ids in (p_name, p_partkey) order without a single-task window."""
     p = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -183,7 +195,9 @@ def upsert_pages_q(spark: SparkSession, sf: str) -> DataFrame:
     batch = _page_items(pages.where(F.col("url").contains("?") | F.col("url").endswith("#top")),
                         "first", 0, 1) \
         .unionByName(_page_items(pages.where(F.col("url").contains("?page=")), "second", 1_000_000_000, 2))
-    merged = upsert_pages(batch, target, "seq", run_ts=F.to_timestamp(F.lit(RUN_TS)))
+    path = scratch_path(spark, "page-table")
+    write_page_table(target, path, buckets=16)
+    merged = upsert_page_table(batch, path, "seq", run_ts=F.to_timestamp(F.lit(RUN_TS)))
     return merged.select("id", "url", "status_code", "title", "meta_description", "html_content", "content_length",
                          "link_depth", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"),
                          "content_hash")
@@ -236,6 +250,19 @@ def page_changes_q(spark: SparkSession, sf: str) -> DataFrame:
     return page_changes(old, new).select("url", "change")
 
 
+def page_history_q(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 over four crawls: pages that never change, change once, change back, and are missed by a crawl."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    kind = F.col("page_id") % 5
+    crawl = F.col("crawl")
+    html = (F.when((kind == 1) & (crawl >= 2), F.concat(F.col("html"), F.lit("<!-- changed -->")))
+            .when((kind == 2) & (crawl == 2), F.concat(F.col("html"), F.lit("<!-- for a while -->")))
+            .otherwise(F.col("html")))
+    sightings = (pages.withColumn("crawl", F.explode(F.array(*[F.lit(c) for c in (1, 2, 3, 4)])))
+                 .where(~((kind == 3) & (crawl == 2)) & ~((kind == 4) & (crawl == 1))).select("url", "crawl", content_hash(html).alias("content_hash")))
+    return page_history(sightings)
+
+
 # --- relabel ---------------------------------------------------------------
 
 def residue_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,17 +335,46 @@ def export_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read_export(spark, path)
 
 
-def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """S1..S3: pages streamed in, links written insert-if-absent, run twice."""
+def _pages_glob(sf: str) -> str:
+    return f"{sf.rstrip('/')}/pages*.parquet"  # a glob, so the file source watches the folder for this table's files
+
+
+def _streamed_twice(spark: SparkSession, sf: str, seen: str) -> DataFrame:
     pages = table(spark, sf, "pages")
-    # a glob, so the file source watches the folder for this table's files
-    src = f"{sf.rstrip('/')}/pages*.parquet"
     out = scratch_path(spark, "stream-links")
     for _ in range(2):      # the second run replays from a fresh checkpoint and must add nothing
-        q = start_link_stream(spark, src, pages.schema, out, scratch_path(spark, "stream-ckpt"),
-                              PAGES_ROOT, available_now=True)
+        q = start_link_stream(spark, _pages_glob(sf), pages.schema, out, scratch_path(spark, "stream-ckpt"),
+                              PAGES_ROOT, available_now=True, seen=seen)
         q.awaitTermination()
-    return spark.read.parquet(out).select("normalized_url", "url", "anchor_text", "is_external")
+    return read_link_table(spark, out).select("normalized_url", "url", "anchor_text", "is_external")
+
+
+def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """S1..S3: pages streamed in, first sightings by keyed state, run twice."""
+    return _streamed_twice(spark, sf, "state")
+
+
+def stream_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages streamed in, micro-batches compared with the stored keys, run twice."""
+    return _streamed_twice(spark, sf, "table")
+
+
+def stream_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """A micro-batch fails before its rows are written, then after; the stream resumes and no row is lost or doubled."""
+    pages = table(spark, sf, "pages")
+    out, checkpoint = scratch_path(spark, "stream-links"), scratch_path(spark, "stream-ckpt")
+    for broken in ("before", "after", None):
+        def watch(moment: str, _batch: int, broken=broken) -> None:
+            if moment == broken:
+                raise ConnectionError("the sink went away")
+
+        q = start_link_stream(spark, _pages_glob(sf), pages.schema, out, checkpoint, PAGES_ROOT, watch=watch)
+        try:
+            q.awaitTermination()
+        except StreamingQueryException:
+            if broken is None:
+                raise
+    return read_link_table(spark, out).select("normalized_url", "url", "anchor_text", "is_external")
 
 
 QUERIES = {
@@ -337,12 +393,14 @@ QUERIES = {
     "insert_ignore": insert_ignore,
     "links_store": links_store,
     "crawl_classify_crawl": crawl_classify_crawl,
+    "crawl_category_layout": crawl_category_layout,
     "surrogate_keys": surrogate_keys,
     "upsert_pages": upsert_pages_q,
     "column_map": column_map,
     "ensure_defaults": ensure_defaults,
     "page_hash": page_hash,
     "page_changes": page_changes_q,
+    "page_history": page_history_q,
     "residue_topk": residue_topk,
     "relabel_where": relabel_where,
     "prompt_build": prompt_build,
@@ -352,5 +410,7 @@ QUERIES = {
     "relabel_counts": relabel_counts_q,
     "export_rows": export_rows,
     "stream_dedupe": stream_dedupe,
+    "stream_compare": stream_compare,
+    "stream_retry": stream_retry,
     **FORM_QUERIES,
 }

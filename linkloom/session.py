@@ -86,6 +86,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (any Hadoop file system); none if there is no such folder."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote (any Hadoop file system)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def recommended_conf(input_bytes: int, total_cores: int, html_heavy: bool = True) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of Parquet on ``total_cores``.
 

@@ -1,5 +1,5 @@
 """Table-level helpers: column map (K3), link scan (K7), ensure column (K8),
-column defaults (K9)."""
+column defaults (K9), and the layout a stored table is kept in (K4)."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT_COLUMN_MAP
 from ..schemas import LINK_SCHEMA
+from ..session import list_names
 
 RELABEL_SCAN_COLUMNS = ["id", "url", "anchor_text", "rel", "is_external"]
 
@@ -47,12 +48,30 @@ def link_table_schema(column_map: Sequence[tuple[str, str]] = DEFAULT_COLUMN_MAP
     return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns a stored table is laid out by, read from its folder names (``column=value``), outermost first."""
+    found: list[str] = []
+    while True:
+        folders = sorted(n for n in list_names(spark, path) if "=" in n and n[0] not in "._")
+        if not folders:
+            return found
+        found.append(folders[0].partition("=")[0])
+        path = f"{path.rstrip('/')}/{folders[0]}"
+
+
 def read_link_table(spark: SparkSession, path: str,
                     column_map: Sequence[tuple[str, str]] = DEFAULT_COLUMN_MAP) -> DataFrame:
-    """A link table by its declared schema; a folder without committed files is an empty table."""
-    return spark.read.schema(link_table_schema(column_map)).parquet(path)
+    """A link table by its declared schema, whatever it is laid out by; a folder without committed files is an empty table."""
+    schema = link_table_schema(column_map)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def read_links(spark: SparkSession, path: str, columns: Sequence[str] = RELABEL_SCAN_COLUMNS) -> DataFrame:
-    """K7: scan a stored link table with column pruning."""
-    return spark.read.parquet(path).select(*columns)
+def write_link_rows(rows: DataFrame, path: str, column_map: Sequence[tuple[str, str]] = DEFAULT_COLUMN_MAP) -> None:
+    """Append rows to a link table, in the table's own layout.
+
+    Files put beside ``column=value`` folders would never be read again, so a
+    table laid out by category is appended to by category.
+    """
+    layout = partition_columns(rows.sparkSession, path)
+    out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in link_table_schema(column_map).fields])
+    out.write.mode("append").partitionBy(*layout).parquet(path)

@@ -86,3 +86,17 @@ def test_run_links_equals_both_dedupes(spark, sf_dir):
            .select("page_id", F.explode("links").alias("l"))
            .select("page_id", "l.pos", "l.normalized_url"))
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, arr.collect()))
+
+
+def test_implied_end_tags():
+    from linkloom.functions.html import anchors_of
+    texts = lambda html: [(a["href"], a["text"]) for a in anchors_of(html)]
+    assert texts("<td><a href=1>x<td>y") == [("1", "x")]                       # a cell ends the anchor on top
+    assert texts("<td><a href=1><b>x<td>y") == [("1", "xy")]                   # but not one below an open element
+    assert texts("<a href=1>x<div>in</a>y</div>z</a>w") == [("1", "xinyz")]     # </a> ends no div
+    assert texts("<li><a href=1>x</li>y") == [("1", "x")]                      # a matching end tag ends all above it
+    assert texts("<a href=1>t<table><td>u</table>") == [("1", "t")]
+    assert texts("<select><option><a href=1>x</a><option>y</select>") == [("1", "x")]
+    assert texts("<p>a<p><a href=1>b</p>c") == [("1", "b")]
+    assert texts("<table><tr><td><a href=1>x</tr>y</table>") == [("1", "x")]
+    assert texts("<div><a href=1>x</span>y</div>z") == [("1", "xy")]           # a stray end tag ends nothing

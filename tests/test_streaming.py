@@ -62,11 +62,36 @@ def test_failed_batch_is_retried_not_lost(spark, sf_dir, monkeypatch):
     def failing(batch, table_path, root_domain):
         raise RuntimeError("sink unavailable")
     monkeypatch.setattr(L, "write_links_batch", failing)
-    q = start_link_stream(spark, src, pages.schema, out, ck, "example.com")
+    q = start_link_stream(spark, src, pages.schema, out, ck, "example.com", seen="table")
     with pytest.raises(StreamingQueryException):
         q.awaitTermination()
     monkeypatch.setattr(L, "write_links_batch", real)
-    q = start_link_stream(spark, src, pages.schema, out, ck, "example.com")
+    q = start_link_stream(spark, src, pages.schema, out, ck, "example.com", seen="table")
     q.awaitTermination()
     expected = run_distinct_links(page_links(pages, "example.com")).count()
     assert spark.read.parquet(out).count() == expected
+
+
+def test_state_reads_the_table_once_a_run_and_keeps_the_first_sighting(spark, sf_dir, monkeypatch):
+    import linkloom.streaming.links as L
+    from linkloom.operators.extract import run_links
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").orderBy("page_id")
+    work = tempfile.mkdtemp(prefix="linkloom-state-")
+    src, out, ck = (os.path.join(work, n) for n in ("in", "links", "ck"))
+    for k in range(3):  # later files repeat earlier links
+        pages.where(f"page_id >= {k * 50} and page_id < {k * 50 + 100}").coalesce(1).write.parquet(os.path.join(src, f"{k}"))
+    compared, reals = [], L.absent_places
+    monkeypatch.setattr(L, "absent_places", lambda *a: compared.append(1) or reals(*a))
+    glob = os.path.join(src, "*")
+    q = start_link_stream(spark, glob, pages.schema, out, ck, "example.com", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3 and not compared  # a new table; later micro-batches never look at it
+    assert L.STATE_STORE not in dict(spark.sparkContext.getConf().getAll())
+    pages.where("page_id >= 150 and page_id < 250").coalesce(1).write.parquet(os.path.join(src, "3"))
+    start_link_stream(spark, glob, pages.schema, out, ck, "example.com", max_files_per_trigger=1).awaitTermination()
+    assert len(compared) == 1
+    cols = ["normalized_url", "url", "anchor_text"]
+    got = sorted((tuple(r) for r in spark.read.parquet(out).select(*cols).collect()), key=repr)
+    assert got == sorted((tuple(r) for r in run_links(pages, "example.com").select(*cols).collect()), key=repr)
+    ids = [r.id for r in spark.read.parquet(out).select("id").collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
