@@ -8,6 +8,13 @@ the two sorted lists into pieces of equal work, each found by binary search
 and independent of the others; a piece emits the common ends it sees, and
 boundaries join what a group has on both sides of a piece's edge.
 
+Neither tokenizer joins anything over a space between two other characters:
+A's first step always splits before it, and no piece of B holds a space after
+another character (checked on loading; texts are encoded whole otherwise, or
+if they hold one of the few characters that libraries disagree about as white
+space).  So texts are encoded stretch by stretch between such spaces, and a
+worker keeps the ids of stretches it has seen.
+
 Counting: every task deals its documents into blocks of bounded size and sums,
 per block, how many documents hold each linked id pair; Spark sums the blocks.
 The totals go back to a block once for each of its distinct pairs, and each
@@ -25,7 +32,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
+from array import array
 from collections.abc import Iterator
 from types import ModuleType
 
@@ -40,7 +49,11 @@ from linkloom.llm.common import materialize
 PIECE = 8192            # merged ends a piece handles
 BLOCK = 400_000         # pairs of documents in a block (a single document may exceed it)
 TEXTS = 400             # texts encoded at once
-TEXT_BYTES = 4_000_000  # and their bytes, unless a single text is longer
+TEXT_BYTES = 1_500_000  # and their characters, unless a single text is longer
+KEPT = 400_000          # stretches a worker process keeps the ids of (a full store is emptied)
+KEPT_CHARS = 40         # and their length
+SPLIT = re.compile(r"(?<=\S) (?=\S)")
+DISPUTED = re.compile("[\x1c-\x1f\x85\u180e]")  # white space for some libraries only
 WIDE = 1024             # links from which a group is paired by its distinct ids
 
 
@@ -62,6 +75,10 @@ class Tokenizers:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.sizes = [np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b)]
+        self.splits = all("▁" not in p.lstrip("▁") for p in map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        self.ids_a: dict[str, bytes] = {}
+        self.ids_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # kept stretches that either tokenizer spells otherwise
         self.names = [np.array([f"{i}{end}" for i in range(max(len(self.bytes_a), len(self.bytes_b)))], dtype=object)
                       for end in (",", "|", ";")]
 
@@ -75,15 +92,30 @@ class Tokenizers:
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B per text; none where either does not spell space + text."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        out_a, out_b = [], []
-        for text, x, y in zip(texts, a, b):
-            raw = (" " + text).encode("utf-8", "surrogatepass")
-            good = text and b"".join([self.bytes_a[i] for i in x]) == raw == b"".join([self.bytes_b[i] for i in y])
-            out_a.append(np.array(x if good else [], dtype=np.int64))
-            out_b.append(np.array(y if good else [], dtype=np.int64))
-        return out_a, out_b
+        kept = self.ids_a, self.ids_b
+        if len(self.ids_a) > KEPT:
+            for d in kept:
+                d.clear()
+            self.odd.clear()
+        rows = [SPLIT.split(t) if self.splits and not DISPUTED.search(t) else [t] if t else [] for t in texts]
+        new = list(set().union(*rows) - self.ids_a.keys())
+        for lo in range(0, len(new), 20_000):
+            some = new[lo:lo + 20_000]
+            ids_a = [e.ids for e in self.a.encode_batch([" " + c for c in some], add_special_tokens=False)]
+            ids_b = self.b.encode(some, num_threads=1)
+            for d, ids in zip(kept, (ids_a, ids_b)):
+                d.update(zip(some, [array("i", x).tobytes() for x in ids]))
+            self.odd.update(c for c, x, y in zip(some, ids_a, ids_b) if not c or not (
+                b"".join([self.bytes_a[i] for i in x]) == (" " + c).encode("utf-8", "surrogatepass")
+                == b"".join([self.bytes_b[i] for i in y])))
+        good = [row if self.odd.isdisjoint(row) else [] for row in rows]
+        out = tuple([np.frombuffer(b"".join(map(d.__getitem__, row)), dtype=np.intc).astype(np.int64) for row in good] for d in kept)
+        for c in new:
+            if len(c) > KEPT_CHARS:
+                self.odd.discard(c)
+                for d in kept:
+                    del d[c]
+        return out
 
 
 def byte_letters() -> dict[str, int]:

@@ -108,3 +108,18 @@ def test_odd_texts(spark, monkeypatch):
     nameless = frame.where("doc_id = 8").selectExpr("cast(null as long) AS doc_id", "text")
     assert token_alignment.align_documents(nameless, *PATHS).first()["doc_id"] is None
     assert token_alignment.align_documents(frame.limit(0), *PATHS).count() == 0
+
+
+def test_stretches_equal_whole_texts(spark, sf_dir):
+    """Encoding between spaces gives the ids of whole texts, on documents and on odd mixtures."""
+    tok, rng = token_alignment.Tokenizers(*PATHS), random.Random(7)
+    assert tok.splits
+    texts = [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() if r[0]]
+    texts += ["".join(rng.choices(["a", "Zé", " ", "  ", "\n", "\t", "'s", "9", "12", ".", "中", "́", "\u00a0", "\u3000", "\u2028", "\x1c", "\x85",
+                                   "\u180e", "\U0001f600", "▁", "'", "ﬁ", "_", "\u200b", "\ufeff", "<s>"], k=rng.randint(1, 40)))
+              for _ in range(6000)]
+    plain = token_bytes()
+    got_a, got_b = tok.encode(texts)
+    for text, x, y in zip(texts, got_a, got_b):
+        want = plain(text)
+        assert (x.tolist(), y.tolist()) == tuple([i for i, _ in side] for side in want), text
