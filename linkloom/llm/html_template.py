@@ -1,28 +1,45 @@
 """Main text of pages by deducing each host's template from equivalence classes of tokens.
 
-Tokens are the start and end tags of container elements, told apart by their
-path from the root (tag and class names).  Over a host's pages every token
-has an occurrence vector (its count on each page, kept as a sum of hashes);
-tokens with equal vectors form an equivalence class, and a class with at
-least two tokens is valid.  Valid classes nest by path: the tokens that occur
-at most once a page make the host's template, what lies between them are its
-slots.  The main slot is an article or main element of the template, else
-the slot with most text outside links; headers, menus, footers, sidebars,
-notices, adverts, forms and comments (by tag, role and class words) are never
-main and are left out inside it too.  Vectors and slots are aggregated before
-any shuffle, so a host with a third of all pages is no hot group.
-
-Defined results: null html is empty text; a page without its host's main slot
-uses its own article or main element, else its body; null urls are one host;
-repeated rows repeat; an empty table gives an empty result; extra columns are
-ignored; unclosed elements run to the end of the page, stray end tags are
-ignored, a tag cut off at the end of the page is dropped.
+Tokens are the tags of containers and the words of text blocks, both told
+apart by their path from the root (tag and class names).  Over a host's pages
+every token has an occurrence vector: its count on each page, kept as a sum of
+hashes.  Tokens with equal vectors form an equivalence class.  A class of two
+or more tokens that covers four fifths of the host's pages (four at least) is
+valid, since words of articles practically never share their counts over so
+many pages.  Valid classes nest along the paths of their tags; together they
+are the template.  A block is the template's if every word of it is on four
+fifths of the pages and most of them lie in valid classes; all other blocks
+fill its slots, and every slot's text is kept.
+
+What a slot is for is read from the page and weighed with the host's counts:
+
+* navigation, asides, footers, forms, dialogs, headers outside articles,
+  hidden elements and their roles are never main text;
+* a container whose class or id names a menu, an advert, comments ... is left
+  out unless it holds half of the host's text or more and no article lies
+  outside it; a name that only contains such a word (``related-work``) counts
+  only where half of its text is links;
+* on pages without an article or main element, lists that are nearly all
+  links are left out;
+* of a page with article (else main) elements, text outside them is left out.
+
+A page whose text would be gone, or whose main text would lose more than nine
+tenths to the template (a host of copies), keeps what the template took.
+
+Vectors are summed before any shuffle, so a host with a third of all pages is
+no hot group; a host's template is one row, no larger than about one page.
+
+Defined results: null html is empty text; null urls are one host; repeated
+rows repeat; an empty table gives an empty result; extra columns are ignored;
+unclosed elements run to the end of the page, stray end tags are ignored, a
+tag cut off at the end of the page is dropped.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
@@ -33,98 +50,141 @@ from linkloom.llm.common import materialize
 from linkloom.llm.words import hash64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/!?][^>]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
+_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "select", "textarea", "button", "object", "title"}
-CONTAINERS = {"html", "head", "body", "div", "section", "article", "main", "nav", "aside", "header", "footer", "form",
-              "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "figure", "details", "dialog", "fieldset", "center"}
+LISTS = {"ul", "ol", "dl", "table"}
+CONTAINERS = LISTS | {"html", "head", "body", "div", "section", "article", "main", "nav", "aside", "header", "footer", "form",
+                      "thead", "tbody", "tfoot", "figure", "details", "dialog", "fieldset", "center"}
 BREAKS = CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "caption", "blockquote",
                        "pre", "hr", "address", "figcaption", "summary", "option", "legend"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 OUT_TAGS = {"head", "nav", "aside", "footer", "form", "dialog", "fieldset"}
 OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert"}
-OUT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner",
-             "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "masthead", "cookie",
-             "cookies", "consent", "notice", "notices", "alert", "popup", "modal", "newsletter", "subscribe", "comment",
-             "comments", "share", "sharing", "social", "related", "widget"}
+HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner",
+         "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "masthead", "cookie",
+         "cookies", "consent", "notice", "notices", "alert", "popup", "modal", "newsletter", "subscribe", "comment",
+         "comments", "share", "sharing", "social", "related", "widget"}
+COVER = 0.8      # share of a host's pages a template token is on
+LEAST_PAGES = 4
+HALF = 0.5
+ALL_LINKS = 0.8
+LEAST_LEFT = 0.1
+HELD = 100_000   # tokens a task sums before it hands them on
+
+
+@dataclass
+class Block:
+    """A stretch of text without a block break; ``regions``: (kind, path) of hinted containers and lists around it."""
+
+    path: str
+    raw: list[str] = field(default_factory=list)
+    link_chars: int = 0
+    links: int = 0
+    out: bool = False
+    article: bool = False
+    main: bool = False
+    regions: tuple[tuple[str, str], ...] = ()
+    text: str = ""
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
 
 
-def _marks(tag: str, attributes: str) -> tuple[str, bool]:
-    """Name of a container in paths, and whether it is never main text."""
-    found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
+def _marks(tag: str, raw: str) -> tuple[str, bool, str]:
+    """Name of a container in paths, whether it is never main text, and its hint: "named", "contains" or ""."""
+    found = _attributes(raw) if raw.strip() else {}
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
     label = re.sub(r"\d+", "0", ".".join(found.get("class", "").split()))[:60]
-    names = set(re.split(r"[\s_\-]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    out = (tag in OUT_TAGS or bool(names & OUT_WORDS) or found.get("role", "").lower() in OUT_ROLES
-           or "hidden" in found or found.get("aria-hidden") == "true")
-    return f"{tag}.{label}" if label else tag, out
-
-
-class Page:
-    """One pass over a page: ``path`` and ``out`` at every text, block breaks, container tokens."""
-
-    def __init__(self, html: str):
-        self.html = html
-
-    def events(self):
-        """('open'|'close', path, out) | ('text', path, out, raw, in_link) | ('break',) in page order.
-
-        ``out`` is the depth below which nothing is main text, or 0.
-        """
-        html, at = self.html, 0
-        stack: list[tuple[str, str]] = []   # tag, path
-        open_count: dict[str, int] = {}
-        out_at, links = 0, 0
-        article = 0
-        find = _TOKEN.search
-        while True:
-            m = find(html, at)
-            stop = m.start() if m else len(html)
-            if stop > at:
-                yield "text", stack[-1][1] if stack else "", out_at, html[at:stop], links > 0
-            if not m:
-                return
-            at = m.end()
-            tag = m.group(2)
-            if tag is None:
-                continue
-            tag = tag.lower()
-            if tag in RAW:
-                if not m.group(1) and not m.group(3).endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                    at = end.end() if end else len(html)
-                continue
-            if tag == "a":
-                links = 0 if m.group(1) else 1
-                continue
-            if tag in BREAKS:
-                yield ("break",)
-            elif tag == "br":
-                yield "text", stack[-1][1] if stack else "", out_at, " ", links > 0
-            if tag not in CONTAINERS:
-                continue
-            if m.group(1):
-                if not open_count.get(tag):
-                    continue
+    out = (tag in OUT_TAGS or found.get("role", "").lower() in OUT_ROLES or "hidden" in found
+           or found.get("aria-hidden", "").lower() == "true" or "display:none" in re.sub(r"\s", "", found.get("style", "").lower()))
+    hint = "named" if HINTS.intersection(names) else ""
+    if not hint and any(HINTS.intersection(re.split(r"[_\-]+", n)) for n in names):
+        hint = "contains"
+    return f"{tag}.{label}" if label else tag, out, hint
+
+
+def page_blocks(html: str) -> tuple[list[Block], dict[str, int]]:
+    """The page's blocks in order, and how often each container path opens."""
+    tags: dict[str, int] = {}
+    blocks: list[Block] = []
+    stack: list[tuple[str, str, bool, tuple]] = []  # tag, path, out, regions
+    depth: dict[str, int] = {}
+    current: Block | None = None
+    block_tag, in_link, at = "", False, 0
+
+    def add(raw: str) -> None:
+        nonlocal current
+        if current is None:
+            _, path, out, regions = stack[-1] if stack else ("", "", False, ())
+            current = Block(f"{path}/{block_tag}", out=out, article=bool(depth.get("article")), main=bool(depth.get("main")),
+                            regions=regions)
+        current.raw.append(raw)
+        if in_link:
+            current.link_chars += len(raw.strip())
+
+    def finish() -> None:
+        nonlocal current
+        if current is not None:
+            text = _SPACE.sub(" ", unescape("".join(current.raw)))
+            current.text = " ".join(text.split())
+            if current.text:
+                blocks.append(current)
+            current = None
+
+    while True:
+        m = _TOKEN.search(html, at)
+        stop = m.start() if m else len(html)
+        if stop > at:
+            add(html[at:stop])
+        if not m:
+            finish()
+            return blocks, tags
+        at = m.end()
+        if m.group(2) is None:
+            continue
+        tag, ends = m.group(2).lower(), bool(m.group(1))
+        if tag in RAW:
+            if not ends and not m.group(3).endswith("/"):
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+                at = end.end() if end else len(html)
+            continue
+        if tag == "a":
+            in_link = not ends
+            if in_link and current is not None:
+                current.links += 1
+            elif in_link:
+                add("")
+                current.links += 1
+            continue
+        if tag in BREAKS:
+            finish()
+            block_tag = "" if tag in CONTAINERS or ends else tag
+        elif tag == "br":
+            add(" ")
+        if tag not in CONTAINERS:
+            continue
+        if ends:
+            if depth.get(tag):
                 while stack:
-                    name, path = stack.pop()
-                    open_count[name] -= 1
-                    article -= name == "article"
-                    yield "close", path, out_at
-                    if out_at > len(stack):
-                        out_at = 0
+                    name = stack.pop()[0]
+                    depth[name] -= 1
                     if name == tag:
                         break
-            elif not m.group(3).endswith("/"):
-                label, out = _marks(tag, m.group(3))
-                out = out or (tag == "header" and not article)
-                path = f"{stack[-1][1]}/{label}" if stack else label
-                stack.append((tag, path))
-                open_count[tag] = open_count.get(tag, 0) + 1
-                article += tag == "article"
-                if out and not out_at:
-                    out_at = len(stack)
-                yield "open", path, out_at
+        elif not m.group(3).endswith("/"):
+            label, out, hint = _marks(tag, m.group(3))
+            _, above, above_out, regions = stack[-1] if stack else ("", "", False, ())
+            path = f"{above}/{label}" if above else label
+            if hint or tag in LISTS:
+                regions = (*regions, (hint or "list", path))
+            out = out or above_out or tag == "header" and not depth.get("article")
+            stack.append((tag, path, out, regions))
+            depth[tag] = depth.get(tag, 0) + 1
+            tags[path] = tags.get(path, 0) + 1
 
 
 def _host(url: str | None) -> str:
@@ -132,114 +192,125 @@ def _host(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def page_tokens(html: str) -> dict[str, list[int]]:
-    """Token -> [count, text characters outside links, in links]; '+' start tags, '-' end tags."""
-    found: dict[str, list[int]] = {}
-    for e in Page(html).events():
-        if e[0] == "text":
-            n = len(e[3].strip())
-            if n and not e[2]:
-                found.setdefault("+" + e[1], [0, 0, 0])[2 if e[4] else 1] += n
-        elif e[0] != "break":
-            found.setdefault(("+" if e[0] == "open" else "-") + e[1], [0, 0, 0])[0] += 1
-    return found
+def _word(path: str, word: str) -> int:
+    return hash64(f"{path}\0{word}".encode("utf-8", "surrogatepass")) >> 1
+
+
+def page_tokens(html: str) -> tuple[dict[int, int], dict[str, list[int]], int]:
+    """Counts of a page's tokens; per region [text, text in links, links, pages with an article outside it]; text that may be main."""
+    blocks, tags = page_blocks(html)
+    counts = {_word(path, "<"): n for path, n in tags.items()}
+    regions: dict[str, list[int]] = {}
+    chars = 0
+    for b in blocks:
+        for w in b.text.split():
+            key = _word(b.path, w)
+            counts[key] = counts.get(key, 0) + 1
+        if b.out:
+            continue
+        chars += len(b.text)
+        for kind, path in set(b.regions):
+            r = regions.setdefault(f"{kind} {path}", [0, 0, 0, 0])
+            r[0] += len(b.text)
+            r[1] += min(b.link_chars, len(b.text))
+            r[2] += b.links
+    for name, r in regions.items():
+        path = tuple(name.split(" ", 1))
+        r[3] = int(any((b.article or b.main) and not b.out and path not in b.regions for b in blocks))
+    return counts, regions, chars
 
 
 def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages, highest count on a page, vector hash, text outside and in links."""
-    schema = "host string, token string, pages long, most long, vector long, chars long, link_chars long"
+    """Per host and token (or region, or the host itself: token 0): pages, vector hash, and a region's sums."""
+    schema = "host string, token long, region string, pages long, vector long, chars long, link_chars long, links long, others long"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, str], list[int]] = {}
+        sums: dict[tuple[str, int, str | None], list[int]] = {}
 
         def flush():
-            keys, rows = list(sums), list(sums.values())
+            rows = list(sums.values())
+            keys = [pa.array(c, t) for c, t in zip(list(zip(*sums)) or [(), (), ()], (pa.string(), pa.int64(), pa.string()))]
             sums.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 *[pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]], names=[c.split()[0] for c in schema.split(", ")])
+            return pa.RecordBatch.from_arrays([*keys, *[pa.array([r[i] for r in rows], pa.int64()) for i in range(6)]], names=names)
 
         for batch in batches:
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 host, page = _host(url), hash64(f"{url}".encode("utf-8", "surrogatepass"))
-                for token, (n, chars, link_chars) in page_tokens(html or "").items():
-                    s = sums.setdefault((host, token), [0, 0, 0, 0, 0])
+                counts, regions, chars = page_tokens(html or "")
+                for token, n in counts.items():
+                    s = sums.setdefault((host, token, None), [0, 0, 0, 0, 0, 0])
+                    s[0] += 1
+                    s[1] += hash((page, n)) & 0xFFFFFFFF
+                for region, values in (*regions.items(), ("", [chars, 0, 0, 0])):
+                    s = sums.setdefault((host, 0, region), [0, 0, 0, 0, 0, 0])
                     s[0] += 1
-                    s[1] = max(s[1], n)
-                    s[2] += hash((page, n)) & 0xFFFFFFFF
-                    s[3] += chars
-                    s[4] += link_chars
-            if len(sums) > 100_000:
-                yield flush()
+                    for i, v in enumerate(values):
+                        s[2 + i] += v
+                if len(sums) > HELD:
+                    yield flush()
         yield flush()
 
-    return (pages.select("url", "html").mapInArrow(run, schema).groupBy("host", "token")
-            .agg(F.sum("pages").alias("pages"), F.max("most").alias("most"), F.sum("vector").alias("vector"),
-                 F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars")))
+    return (pages.select("url", "html").mapInArrow(run, schema).groupBy("host", "token", "region")
+            .agg(*[F.sum(c).alias(c) for c in names[3:]]))
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """host, main: path of the main slot of its template."""
+    """host, common (tokens on most pages), valid (those in valid classes), left_out (regions)."""
     tokens = materialize(occurrence_vectors(pages), "tokens")
-    classes = tokens.groupBy("host", "pages", "vector").agg(F.count(F.lit(1)).alias("size"))
-    valid = classes.where("size >= 2").select("host", "pages", "vector")
-    template = tokens.join(valid, ["host", "pages", "vector"], "left_semi").where("token like '+%' and most = 1")
-    path = F.substring("token", 2, 1 << 20)
-    last = F.element_at(F.split(path, "/"), -1)
-    rank = F.when(F.split(last, "\\.")[0].isin("article", "main"), 1).otherwise(0)
-    score = F.struct(rank.alias("rank"), (F.col("chars") - F.col("link_chars")).alias("text"), path.alias("path"))
-    return (template.where("chars > 0 or token rlike '(article|main)[^/]*$'").groupBy("host")
-            .agg(F.max(score).alias("best")).select("host", F.col("best.path").alias("main")))
-
-
-def main_text(html: str | None, main: str | None) -> str:
-    """Blocks of the main slot, joined by newlines."""
-    if not html:
-        return ""
-    own, articles, everything = [], [], []
-
-    def block(pieces: list[str], into: list[str]) -> None:
-        if pieces:
-            text = _SPACE.sub(" ", unescape("".join(pieces))).strip(" ")
-            text = " ".join(text.split()) if any(c.isspace() and c != " " for c in text) else text
-            if text:
-                into.append(text)
-            pieces.clear()
-
-    held: tuple[list[str], list[str], list[str]] = ([], [], [])
-    where: dict[str, tuple[bool, bool]] = {}  # path -> in the main slot, in an article
-    for e in Page(html).events():
-        if e[0] == "text":
-            if not e[2]:
-                if e[1] not in where:
-                    where[e[1]] = (main is not None and (e[1] == main or e[1].startswith(main + "/")),
-                                   bool(re.search(r"(?:^|/)(?:article|main)(?:[./]|$)", e[1])))
-                slot, article = where[e[1]]
-                if slot:
-                    held[0].append(e[3])
-                elif article:
-                    held[1].append(e[3])
-                else:
-                    held[2].append(e[3])
-        elif e[0] == "break":
-            for pieces, into in zip(held, (own, articles, everything)):
-                block(pieces, into)
-    for pieces, into in zip(held, (own, articles, everything)):
-        block(pieces, into)
-    return "\n".join(own or articles or everything)
+    hosts = tokens.where("region = ''").select("host", F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars"))
+    frequent = (tokens.where("region is null").join(hosts, "host")
+                .where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= COVER * F.col("all_pages"))))
+    classes = frequent.groupBy("host", "vector").agg(F.collect_list("token").alias("tokens"))  # tokens of about one page
+    template = classes.groupBy("host").agg(
+        F.flatten(F.collect_list("tokens")).alias("common"),
+        F.flatten(F.collect_list(F.when(F.size("tokens") >= 2, F.col("tokens")))).alias("valid"))
+    kind = F.substring_index("region", " ", 1)
+    linked = F.col("link_chars") / F.greatest("chars", F.lit(1))
+    gone = (((kind == "named") & ((F.col("others") >= HALF * F.col("pages")) | (F.col("chars") < HALF * F.col("all_chars"))))
+            | ((kind == "contains") & (linked >= HALF))
+            | ((kind == "list") & (linked >= ALL_LINKS) & (F.col("links") >= 3 * F.col("pages"))))
+    left_out = (tokens.where("region != ''").join(hosts, "host").where(gone)
+                .groupBy("host").agg(F.collect_list("region").alias("left_out")))
+    return template.join(left_out, "host", "full")
+
+
+def main_text(html: str | None, common: frozenset = frozenset(), valid: frozenset = frozenset(),
+              left_out: frozenset = frozenset()) -> str:
+    """Text of the blocks that fill the template's slots and belong to the main text, a block a line."""
+    blocks = [b for b in page_blocks(html or "")[0] if not b.out]
+    inside = [b for b in blocks if b.article] or [b for b in blocks if b.main]
+    kept = [b for b in inside or blocks
+            if not any(f"{kind} {path}" in left_out for kind, path in b.regions if kind != "list" or not inside)]
+    slots = [b for b in kept if not _constant(b, common, valid)]
+    if sum(len(b.text) for b in slots) < LEAST_LEFT * sum(len(b.text) for b in kept):
+        slots = kept
+    return "\n".join(b.text for b in slots or inside or blocks)
+
+
+def _constant(block: Block, common: frozenset, valid: frozenset) -> bool:
+    words = [_word(block.path, w) for w in block.text.split()] if common else []
+    return bool(words) and common.issuperset(words) and 2 * sum(w in valid for w in words) > len(words)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
     plain = pages.select("page_id", "url", "html")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1), F.lit("")))
-    templates = host_templates(plain)
-    joined = plain.withColumn("host", host).join(templates, "host", "left").select("page_id", "url", "html", "main")
+    joined = (plain.withColumn("host", host).join(host_templates(plain), "host", "left")
+              .select("page_id", "url", "html", "host", "common", "valid", "left_out"))
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[frozenset, ...]] = {}
         for batch in batches:
-            texts = [main_text(h, m) for h, m in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = []
+            for k, (html, host) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                if host not in known:
+                    if len(known) > 500:
+                        known.clear()
+                    known[host] = tuple(frozenset(batch.column(4 + i)[k].as_py() or ()) for i in range(3))
+                texts.append(main_text(html, *known[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
