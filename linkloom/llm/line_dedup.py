@@ -95,11 +95,10 @@ def repeated_starts(docs: DataFrame, key: str) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
     """The documents without later repeated runs; ``report`` adds n_lines and n_removed."""
-    key, lost = fresh(docs, "key", "starts")
+    key, lost, d, k = fresh(docs, "key", "starts", "d", "k")
     keyed = row_key(docs, key)
-    gone = repeated_starts(keyed, key).select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"),
-                                              F.col("starts").alias(lost))
-    joined = keyed.join(gone, null_safe(keyed, gone, [("doc_id", "__d"), (key, "__k")]), "left").drop("__d", "__k")
+    gone = repeated_starts(keyed, key).select(F.col("doc_id").alias(d), F.col("key").alias(k), F.col("starts").alias(lost))
+    joined = keyed.join(gone, null_safe(keyed, gone, [("doc_id", d), (key, k)]), "left").drop(d, k)
     columns = docs.schema.fields
     counts = [T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed")] if report else []
     out_schema = T.StructType([*columns, *counts])

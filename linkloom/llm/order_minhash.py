@@ -2,18 +2,21 @@
 
 K-mers are five consecutive words, labelled with their occurrence number.
 Each of 64 hash functions selects the two least labelled k-mers of a text and
-keeps them in text order; two such picks make one of 32 band keys.  For
-shingle similarity J a pick agrees with probability about J squared (0.64 at
-0.8), so a pair at 0.8 is missed in all bands with probability under 1e-7.
+keeps them in text order; each such pick is a band key.  Texts that share a
+share J of their k-mers agree on a pick with probability about J squared, so
+scattered edits of 20 % of the words (J 0.2) meet in a band with probability
+0.92, of 15 % with 0.99, of 10 % practically always (measured in the tests).
+
 A band's members first meet its representative (the member of least hash).
-Members outside the representative's component then meet all members of the
-band, in blocks, unless both are in one component already; pairs whose word
-counts alone put them over the distance bound (which loses no link) are not
-aligned, the others are, by growing random shares of them while components
-grow.  So no band holds two members that are neither compared nor in one
-group.  A pair links if 1 - edit distance / longer length >= 0.8 in words,
-computed in the diagonal band that threshold allows.  Groups are connected
-components.
+Then, for some rounds, every band that still holds several components elects
+another member, which meets all members of other components; each round is
+linear in the members.  What is then still apart meets in blocks: every two
+members of a band that are in different components.  Pairs whose word counts
+alone put them over the distance bound (which loses no link) are not aligned,
+the others are, by growing random shares of them while components grow.  So no
+band holds two members that are neither compared nor in one group.  A pair
+links if 1 - edit distance / longer length >= 0.8 in words, computed in the
+diagonal band that threshold allows.  Groups are connected components.
 
 Defined results: equal texts are one group whatever their length; null reads
 as empty; texts under five words are one k-mer; texts without words group
@@ -35,10 +38,11 @@ from linkloom.llm.common import body, connected_components, fresh, materialize,
 from linkloom.llm.words import WordHashes, mix, shingle_hashes, words
 
 K = 5
-PICKS = 64
-BANDS = 32
+PICKS = 64  # a band each
 SIMILARITY = 0.8
-BLOCK = 512  # members of a bucket that meet another block at once
+ROUNDS = 5  # of further representatives, before what is left meets in blocks
+BLOCK_BYTES = 1 << 19  # word counts of the members of a block, about
+BINS_A_WORD = 4
 SHARES = (64, 8, 1)  # one pair in so many is aligned a round, while there are many; the last round takes all that are left
 _CELLS = 4_000_000  # hash values held at once
 
@@ -140,8 +144,8 @@ def _banded(a: list, b: list, bound: int) -> int:
 
 
 def word_bag(h: np.ndarray) -> np.ndarray:
-    """Counts of a text's words by hash in 64 to 16384 bins (a power of two), each at most 255."""
-    bins = min(1 << 14, max(64, 1 << (len(h) - 1).bit_length()))
+    """Counts of a text's words by hash in 64 to 16384 bins (a power of two, four a word or more up to there), each at most 255."""
+    bins = min(1 << 14, max(64, 1 << (BINS_A_WORD * len(h) - 1).bit_length()))
     return np.minimum(np.bincount((h % np.uint64(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8)
 
 
@@ -233,11 +237,14 @@ def open_pairs(near: DataFrame, parts: DataFrame, bags: DataFrame) -> DataFrame:
              .select("bucket", F.coalesce("component", "cid").alias("home")))
     members = (near.select("bucket", F.col("b").alias("cid")).join(parts, "cid", "left")
                .withColumn("component", F.coalesce("component", "cid")).join(heads, "bucket")
-               .withColumn("rest", F.col("component") != F.col("home")).drop("home"))
-    sides = (members.groupBy("bucket").agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_in"))
-             .where("n_rest > 0 and n_rest + n_in > 1")
-             .select("bucket", *[F.ceil(F.col(n) / BLOCK).alias(n) for n in ("n_rest", "n_in")]))
-    dealt = (members.join(sides, "bucket").join(bags, "cid")
+               .withColumn("rest", F.col("component") != F.col("home")).drop("home").join(bags, "cid"))
+    size = F.length("bag")
+    sides = (members.groupBy("bucket").agg(F.sum(F.when(F.col("rest"), size).otherwise(0)).alias("n_rest"),
+                                           F.sum(F.when(F.col("rest"), 0).otherwise(size)).alias("n_in"),
+                                           F.count(F.lit(1)).alias("n"))
+             .where("n_rest > 0 and n > 1")
+             .select("bucket", *[F.ceil(F.col(n) / BLOCK_BYTES).alias(n) for n in ("n_rest", "n_in")]))
+    dealt = (members.join(sides, "bucket")
              .withColumn("block", F.pmod(F.xxhash64("cid", "bucket"), F.when(F.col("rest"), F.col("n_rest")).otherwise(F.col("n_in"))))
              .groupBy("bucket", "rest", "block", "n_rest", "n_in")
              .agg(F.collect_list(F.struct("cid", "component", "n_words", "bag")).alias("texts")))
@@ -286,9 +293,46 @@ def open_pairs(near: DataFrame, parts: DataFrame, bags: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def elect_rounds(members: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame,
+                 tried: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and tried pairs after rounds in which a member of each band meets the members of other components.
+
+    ``members``: bucket, cid of bands with two members or more.
+    """
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in (2, 4))
+            x, y = (batch.column(c).to_pylist() for c in (3, 5))
+            keep = [SIMILARITY * max(n[k], m[k]) - 1 <= min(n[k], m[k]) and bool(within_reach(
+                n[k], np.frombuffer(x[k], dtype=np.uint8), m[k:k + 1], np.frombuffer(y[k], dtype=np.uint8)[None, :])[0])
+                for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = {c: bags.select(F.col("cid").alias(c), F.col("n_words").alias(f"n_{c}"), F.col("bag").alias(f"bag_{c}")) for c in "ab"}
+    for k in range(ROUNDS):
+        parts = connected_components(links).withColumnRenamed("node", "cid")
+        placed = members.join(parts, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        turn = F.struct(F.xxhash64("cid", F.lit(k)).alias("h"), "cid", "component")
+        heads = (placed.groupBy("bucket").agg(F.min(turn).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
+                 .where("low < high").select("bucket", F.col("head.cid").alias("head"), F.col("head.component").alias("home")))
+        pairs = (placed.join(heads, "bucket").where("component != home")
+                 .select(F.least("head", "cid").alias("a"), F.greatest("head", "cid").alias("b")).distinct()
+                 .join(tried, ["a", "b"], "left_anti"))
+        near = materialize(pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "n_a", "bag_a", "n_b", "bag_b")
+                           .mapInArrow(reach, "a long, b long"), "elected")
+        found = materialize(verify(near, texts), "elected-links")
+        tried = tried.unionByName(near)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+    return links, tried
+
+
 def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
     """``links`` and, among what the representatives left apart, as many more as join all that link."""
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    crowded = near.select("bucket", F.col("a").alias("cid")).distinct().unionByName(near.select("bucket", F.col("b").alias("cid")))
+    links, tried = elect_rounds(crowded, links, bags, texts, tried)
     parts = connected_components(links)
     pending = materialize(open_pairs(near, parts, bags).join(tried, ["a", "b"], "left_anti"), "open-pairs")
     n = pending.count()
@@ -311,14 +355,14 @@ def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFra
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """Per distinct (doc_id, content hash): group key (doc_id, content hash), kept, and rows of that key."""
     (key,) = fresh(docs, "key")
-    keyed = row_key(docs, key)
+    keyed = row_key(docs.select("doc_id", "text"), key)
     rows = materialize(sketches(keyed, key), "sketches")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     classes = materialize(rows.groupBy("key", "second").agg(least.alias("least"), F.first("picks").alias("picks"),
                                                              F.first("n_words").alias("n_words"), F.first("bag").alias("bag"))
                           .withColumn("cid", F.monotonically_increasing_id()), "classes")
     sketched = classes.where(F.size("picks") > 0)
-    band = [F.xxhash64(F.lit(i), F.col("picks")[2 * i], F.col("picks")[2 * i + 1]) for i in range(BANDS)]
+    band = [F.xxhash64(F.lit(i), F.col("picks")[i]) for i in range(PICKS)]
     members = sketched.select("cid", F.explode(F.array(*band)).alias("bucket"))
     near = materialize(star_pairs(members), "candidates")
     # one text per class that is in any pair, by the class's least row
@@ -350,13 +394,12 @@ def group_documents(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The documents with one of each group; all columns as they were."""
-    (key,) = fresh(docs, "key")
-    kept = near_duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"),
-                                                            "n_rows")
+    key, d, k, n = fresh(docs, "key", "d", "k", "rows")
+    kept = near_duplicate_groups(docs).where("kept").select(F.col("doc_id").alias(d), F.col("key").alias(k), F.col("n_rows").alias(n))
     keyed = row_key(docs, key)
-    joined = keyed.join(kept, null_safe(keyed, kept, [("doc_id", "__d"), (key, "__k")]))
+    joined = keyed.join(kept, null_safe(keyed, kept, [("doc_id", d), (key, k)]))
     columns = [f"`{c}`" for c in docs.columns]
-    once = joined.where("n_rows = 1").select(*columns)
-    again = joined.where("n_rows > 1").dropDuplicates(["doc_id", key]).select(*columns)
+    once = joined.where(F.col(n) == 1).select(*columns)
+    again = joined.where(F.col(n) > 1).dropDuplicates(["doc_id", key]).select(*columns)
     return once.unionByName(again)
 

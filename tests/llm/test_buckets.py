@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from linkloom.llm import line_dedup
 from linkloom.llm import order_minhash as om
 from linkloom.llm.words import WordHashes, shingle_hashes, words
 
@@ -26,8 +29,8 @@ def bucket_links(texts):
     hashes, held = WordHashes(), {}
     for d, t in enumerate(texts):
         picks = om.order_minhash(om.occurrence_labelled(shingle_hashes(hashes.array(words(t)), om.K)))
-        for i in range(om.BANDS):
-            held.setdefault((i, picks[2 * i], picks[2 * i + 1]), set()).add(d)
+        for i in range(om.PICKS):
+            held.setdefault((i, picks[i]), set()).add(d)
     pairs = {(a, b) for m in held.values() for a in m for b in m if a < b}
     return {(a, b) for a, b in pairs if om.edit_similarity(words(texts[a]), words(texts[b]))}
 
@@ -52,3 +55,24 @@ def test_word_counts_never_rule_out_a_link():
         if om.edit_similarity(a, b):
             bag, other = om.word_bag(hashes.array(a)), om.word_bag(hashes.array(b))
             assert om.within_reach(len(a), bag, om.np.array([len(b)]), other[None, :])[0]
+
+
+@pytest.mark.parametrize("percent, least", [(0, 1.0), (5, 0.999), (10, 0.99), (15, 0.97), (20, 0.9)])
+def test_bands_reach_edited_copies(percent, least):
+    """Share of pairs that meet in a band, by scattered edits (replaced, dropped and added words) of 200-word texts."""
+    rng, hashes, met = random.Random(percent), WordHashes(), 0
+    picks = lambda ws: om.order_minhash(om.occurrence_labelled(shingle_hashes(hashes.array(ws), om.K)))
+    for _ in range(300):
+        a = [f"w{rng.randrange(3000)}" for _ in range(200)]
+        b = list(a)
+        for at in sorted(rng.sample(range(200), 2 * percent), reverse=True):
+            b[at:at + 1] = rng.choice(([], [f"x{rng.randrange(9999)}"], [b[at], f"y{rng.randrange(9999)}"]))
+        met += bool((picks(a) == picks(b)).any())
+    assert met >= least * 300, met
+
+
+def test_helper_names_do_not_clash(spark):
+    rows = [(1, "one two three four five six", "d", "k", 1), (2, "one two three four five six", "d", "k", 2), (3, "other", "d", "k", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __d string, __k string, __rows int")
+    assert sorted(r["doc_id"] for r in om.drop_near_duplicates(docs).collect()) == [1, 3]
+    assert line_dedup.dedup_lines(docs).columns == docs.columns and line_dedup.dedup_lines(docs).count() == 3
