@@ -1,73 +1,54 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Word frequencies of the corpus give every n-gram of a test item its expected
-number of chance occurrences (as if words were independent, so a widely
-leaked item does not look common).  At each place of an item the shortest
-n-gram of 3 to 8 words that is rare by that measure is a seed; a place whose
-longest n-gram is still not rare takes that one, so no item goes without.
-Documents that hold a seed are aligned locally with the item around the
-seed's diagonal (match 2, other word -1, gap -1); similarity is the best
-score over the score of the whole item, and 0.8 or more is a leak.  The
-benchmark's seeds travel to the tasks, which is checked against a bound; a
-larger benchmark is worked off in slices of that bound.
+"""Benchmark decontamination: rare n-gram seeds joined on Spark, then Smith-Waterman alignment.
+
+Alignment is local (match 2, other word -1, gap -1); similarity is the best
+score over that of the whole item, and 0.8 or more is a leak.  Such a copy has
+lost at most floor(0.4 L) points of an item of L words, and no edit spoils
+more word pairs than it loses points: an inserted word costs 1 and parts one
+pair, a missing end word costs 2 and takes one, a changed or missing inner
+word costs 3 and takes two.  So of any floor(0.4 L) + 1 word pairs of the item
+one stands unbroken in the copy.  The item's seeds are that many of its pairs,
+the rarest in the corpus: no copy is missed, at any corpus size.  At least
+L - 1 - floor(0.4 L) pairs must lie near one diagonal before it is aligned.
+
+Counts, seeds, places and candidates are tables.  Tasks get a bitmap of the
+pairs' hashes, of fixed size (4 MB) whatever the benchmark, which selects the
+places of a text that are joined with the seeds.
 
 Defined results: null texts and items, and those without words, match
-nothing; items under three words are matched whole; equal items each report;
-an empty corpus or benchmark gives an empty result; extra columns of any
-name are kept by the filter and ignored by the report.
+nothing; items of one word are found as that word; equal items each report; a
+repeated document row reports once per item and row; item and document ids are
+of any type; an empty corpus or benchmark gives an empty result; extra columns
+of any name are kept by the filter and ignored by the report.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import Shared
-from linkloom.llm.words import words
+from linkloom.llm.common import fresh, materialize, row_key
+from linkloom.llm.words import WordHashes, mix, words
 
 SIMILARITY = 0.8
-SHORTEST, LONGEST = 3, 8
-RARE = 0.01          # expected chance occurrences of a rare n-gram
-SLICE_ITEMS = 20_000  # items whose seeds go to the tasks at once
 MATCH, OTHER, GAP = 2, -1, -1
+BITMAP_BITS = 1 << 25
+STRETCH = 2_000_000  # cells of an alignment held at once, about
 
 
-def corpus_counts(docs: DataFrame, vocabulary: set[str]) -> tuple[dict[str, int], int]:
-    """Occurrences in the corpus of the benchmark's words, and of all words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = Counter(), 0
-        for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update(words(text))
-            total += seen.total()
-            own.update({w: seen[w] for w in vocabulary.intersection(seen)})
-        yield pa.RecordBatch.from_arrays([pa.array([*own, ""]), pa.array([*own.values(), total], pa.int64())],
-                                         names=["word", "n"])
-
-    rows = (docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-            .collect())  # at most one row per word of a slice of the benchmark
-    counts = {r["word"]: int(r["n"]) for r in rows}
-    return counts, counts.pop("", 0)
-
-
-def pick_seeds(items: list[list[str]], counts: dict[str, int], total: int) -> dict[tuple[int, ...], list[tuple[int, int]]]:
-    """Seed n-gram (words) -> [(item number, place in the item)]."""
-    seeds: dict[tuple, list[tuple[int, int]]] = {}
-    for k, ws in enumerate(items):
-        for p in range(max(1, len(ws) - SHORTEST + 1)):
-            expected, n = float(max(total, 1)), 0
-            while p + n < len(ws) and n < LONGEST and (n < SHORTEST or expected > RARE):
-                expected *= max(counts.get(ws[p + n], 0), 1) / max(total, 1)
-                n += 1
-            if n >= min(SHORTEST, len(ws)) and n:
-                seeds.setdefault(tuple(ws[p:p + n]), []).append((k, p))
-    return seeds
+def losable(n: int) -> int:
+    """Points a copy of an item of ``n`` words may lose, and so the pairs it may lack."""
+    return int((1 - SIMILARITY) * MATCH * n + 1e-9)
+
+
+def pair_hashes(h: np.ndarray) -> np.ndarray:
+    """Hashes of every two neighbouring words; of the word itself where there is one only."""
+    if len(h) < 2:
+        return mix(h + np.uint64(77))
+    return mix(mix(h[:-1]) + h[1:])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -98,131 +79,191 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _codes(numbers: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of every n consecutive word numbers."""
-    out = np.zeros(len(numbers) - n + 1, dtype=np.uint64)
-    for j in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + numbers[j:j + len(out)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(29)
-    return out
-
-
-class Matcher:
-    """Seeds of a slice of the benchmark, ready for a task."""
-
-    def __init__(self, items: list[tuple], counts: dict[str, int], total: int):
-        self.items = items  # (item id, words)
-        vocabulary = sorted({w for _, ws in items for w in ws})
-        self.number = {w: i + 1 for i, w in enumerate(vocabulary)}
-        self.coded = [np.array([self.number[w] for w in ws]) for _, ws in items]
-        # the first words of a seed (at most SHORTEST) select places; the seeds that begin so are compared there
-        self.seeds: dict[int, dict[int, dict[tuple, list]]] = {}
-        for gram, where in pick_seeds([ws for _, ws in items], counts, total).items():
-            numbers = tuple(self.number[w] for w in gram)
-            n = min(SHORTEST, len(numbers))
-            code = int(_codes(np.array(numbers[:n]), n)[0])
-            self.seeds.setdefault(n, {}).setdefault(code, {})[numbers] = where
-        self.starts = {n: np.array(sorted(found), dtype=np.uint64) for n, found in self.seeds.items()}
-
-    def leaks(self, text: str | None, least: float = SIMILARITY) -> list[tuple]:
-        """(item id, similarity, first word, end word) of every item in the text."""
-        get = self.number.get
-        numbers = np.array([get(w, 0) for w in words(text)], dtype=np.int64)
-        if not numbers.any():
-            return []
-        near: dict[int, list[int]] = {}
-        for n, starts in self.starts.items():
-            if len(numbers) < n:
-                continue
-            codes = _codes(numbers, n)
-            at = np.searchsorted(starts, codes)
-            at[at == len(starts)] = 0
-            for p in np.flatnonzero(starts[at] == codes).tolist():
-                for gram, where in self.seeds[n][int(codes[p])].items():
-                    if gram == tuple(numbers[p:p + len(gram)].tolist()):
-                        for k, q in where:
-                            near.setdefault(k, []).append(p - q)
-        out = []
-        for k, starts in near.items():
-            item = self.coded[k]
-            slack = len(item) // 2 + 2
-            best = (0.0, 0, 0)
-            for lo, hi in _merged(sorted(starts), len(item) + 2 * slack):
-                lo, hi = max(0, lo - slack), min(len(numbers), hi + len(item) + slack)
-                score, a, b = align(item, numbers[lo:hi])
-                best = max(best, (score / (MATCH * len(item)), lo + a, lo + b), key=lambda x: (x[0], -x[1]))
-            if best[0] >= least:
-                out.append((self.items[k][0], *best))
-        return out
-
-
-def _merged(starts: list[int], reach: int) -> list[tuple[int, int]]:
-    """Ranges of diagonals whose stretches of text touch."""
-    out = [[starts[0], starts[0]]]
-    for s in starts[1:]:
-        if s - out[-1][1] <= reach:
-            out[-1][1] = s
+# ---------------------------------------------------------------- items and seeds
+
+def item_pairs(benchmark: DataFrame) -> DataFrame:
+    """Written rows of the distinct item texts' pairs: item (hash of the text), n_words, place, pair."""
+    texts = (benchmark.where("text is not null").select(F.xxhash64(F.lit(31), "text").alias("item"), "text")
+             .groupBy("item").agg(F.first("text").alias("text")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            item, n, place, pair = [], [], [], []
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = hashes.array(words(text))
+                if len(h):
+                    p = pair_hashes(h).view(np.int64)
+                    item.append(np.full(len(p), k))
+                    n.append(np.full(len(p), len(h)))
+                    place.append(np.arange(len(p)))
+                    pair.append(p)
+            if item:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in
+                                                  ((item, np.int64), (n, np.int32), (place, np.int32), (pair, np.int64))],
+                                                 names=["item", "n_words", "place", "pair"])
+
+    return materialize(texts.mapInArrow(run, "item long, n_words int, place int, pair long"), "item-pairs")
+
+
+def bitmap(pairs: DataFrame):
+    """A broadcast bitmap of the pairs' hashes (of fixed size)."""
+    spark = pairs.sparkSession
+    byte, bit = F.shiftrightunsigned("at", 3), F.col("at").bitwiseAND(F.lit(7)).cast("int")
+    at = F.col("pair").bitwiseAND(F.lit(BITMAP_BITS - 1)).alias("at")
+    rows = (pairs.select(at).select(byte.alias("byte"), F.call_function("shiftleft", F.lit(1), bit).alias("m"))
+            .groupBy("byte").agg(F.bit_or("m").alias("m")).toArrow())  # at most one row a byte of the bitmap
+    bits = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
+    bits[rows.column("byte").to_numpy()] = rows.column("m").to_numpy()
+    return spark.sparkContext.broadcast(bits.tobytes())
+
+
+def _hits(pairs: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = (pairs & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    return np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+
+
+def rare_seeds(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """item, n_words, place, pair of each item's floor(0.4 L) + 1 rarest pairs by the corpus's counts."""
+    held = bitmap(pairs.select("pair"))
+    single = not pairs.where("n_words = 1").isEmpty()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bits = WordHashes(), np.frombuffer(held.value, dtype=np.uint8)
+        for batch in batches:
+            found = []
+            for text in batch.column(0).to_pylist():
+                h = hashes.array(words(text))
+                if len(h) > 1:
+                    p = pair_hashes(h)
+                    found.append(p[_hits(p, bits)])
+                if single and len(h):
+                    p = mix(h + np.uint64(77))
+                    found.append(p[_hits(p, bits)])
+            keys, n = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["pair", "n"])
+
+    counts = docs.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    known = pairs.join(counts, "pair", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = Window.partitionBy("item").orderBy("n", "pair", "place")  # an item's pairs: bounded by its text
+    lacks = F.floor(F.lit((1 - SIMILARITY) * MATCH) * F.col("n_words") + F.lit(1e-9))
+    return materialize(known.withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= lacks + 1)
+                       .select("item", "n_words", "place", "pair"), "seeds")
+
+
+# ---------------------------------------------------------------- candidates
+
+def candidates(seeds: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, item, shifts): where seeds of an item lie in a text, as text place minus item place; ``docs``: key, text."""
+    held = bitmap(seeds.select("pair"))
+    single = not seeds.where("n_words = 1").isEmpty()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bits = WordHashes(), np.frombuffer(held.value, dtype=np.uint8)
+        for batch in batches:
+            key, pair, place = [], [], []
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = hashes.array(words(text))
+                sets = [pair_hashes(h)] if len(h) > 1 else []
+                if single and len(h):
+                    sets.append(mix(h + np.uint64(77)))
+                for p in sets:
+                    at = _hits(p, bits)
+                    if len(at):
+                        key.append(np.full(len(at), k))
+                        pair.append(p[at].view(np.int64))
+                        place.append(at)
+            if key:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in
+                                                  ((key, np.int64), (pair, np.int64), (place, np.int32))], names=["key", "pair", "place"])
+
+    places = docs.select("key", "text").mapInArrow(run, "key long, pair long, place int")
+    lead = seeds.select("item", F.col("place").alias("own"), "pair")
+    return materialize(places.join(lead, "pair").groupBy("key", "item")
+                       .agg(F.sort_array(F.collect_set(F.col("place") - F.col("own"))).alias("shifts")), "leak-candidates")
+
+
+def _stretches(shifts: list[int], n: int, length: int) -> list[tuple[int, int]]:
+    """Stretches of a text (word places) that copies with seeds at ``shifts`` cannot leave, joined where they touch."""
+    slack = 2 * losable(n) + 2  # words a copy can have before its first unbroken pair, or more than the item
+    out: list[list[int]] = []
+    for s in shifts:
+        lo, hi = max(0, s - slack), min(length, s + n + slack)
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
         else:
-            out.append([s, s])
+            out.append([lo, hi])
     return [tuple(x) for x in out]
 
 
+def best_copy(item: np.ndarray, text: np.ndarray, shifts: list[int]) -> tuple[float, int, int] | None:
+    """(similarity, first word, end word) of the best copy at or above the threshold; arguments are word hashes."""
+    n = len(item)
+    need = max(1, n - 1 - losable(n)) if n > 1 else 1
+    own = np.unique(pair_hashes(item))
+    found = (0.0, 0, 0)
+    for lo, hi in _stretches(shifts, n, len(text)):
+        part = text[lo:hi]
+        pairs = pair_hashes(part) if n > 1 else mix(part + np.uint64(77))
+        if n > 1 and len(part) < 2:
+            continue
+        held = np.flatnonzero(np.isin(pairs, own))
+        reach = n + losable(n)
+        # windows as long as a copy can be that hold enough of the item's pairs
+        crowd = np.searchsorted(held, held + reach) - np.arange(len(held))
+        at = held[crowd >= min(need, len(held) + 1)] if len(held) else held
+        for a, b in _stretches((at + lo).tolist(), n, len(text)) if len(at) else []:
+            step = max(4 * (n + reach), STRETCH // max(1, n))
+            for c in range(a, b, step):  # stretches overlap by the longest copy
+                score, first, end = align(item, text[c:min(b, c + step + 2 * reach)])
+                found = max(found, (score / (MATCH * n), c + first, c + end), key=lambda x: (x[0], -x[1]))
+    return found if found[0] >= SIMILARITY - 1e-12 else None
+
+
+def leak_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Written rows (key, item, similarity, first_word, end_word); ``docs``: key (of the text), text, copies included."""
+    items = item_pairs(benchmark)
+    near = candidates(rare_seeds(items, docs), docs)
+    texts = docs.join(near.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    wanted = (benchmark.where("text is not null").select(F.xxhash64(F.lit(31), "text").alias("item"), F.col("text").alias("item_text"))
+              .groupBy("item").agg(F.first("item_text").alias("item_text")))
+    both = near.join(wanted, "item").join(texts, "key").select("key", "item", "shifts", "item_text", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        last: tuple = (None, None)
+        for batch in batches:
+            row, found = [], []
+            for r in range(batch.num_rows):
+                key = batch.column(0)[r].as_py()
+                if key != last[0]:
+                    last = (key, hashes.array(words(batch.column(4)[r].as_py())))
+                copy = best_copy(hashes.array(words(batch.column(3)[r].as_py())), last[1], batch.column(2)[r].as_py())
+                if copy:
+                    row.append(r)
+                    found.append(copy)
+            take = pa.array(row, pa.int64())
+            similarity, first, end = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(similarity, pa.float64()),
+                                              pa.array(first, pa.int32()), pa.array(end, pa.int32())],
+                                             names=["key", "item", "similarity", "first_word", "end_word"])
+
+    return materialize(both.mapInArrow(run, "key long, item long, similarity double, first_word int, end_word int"), "leaks")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and item it holds: doc_id, item_id, similarity, first_word, end_word."""
-    spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, similarity double, first_word int, end_word int"
-    plain = docs.where("text is not null").select("doc_id", "text")
-    out = None
-    for items in benchmark_slices(benchmark):
-        counts, total = corpus_counts(plain, {w for _, ws in items for w in ws})
-        matcher = Shared(spark, Matcher(items, counts, total))  # at most SLICE_ITEMS items
-
-        def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
-            item_type = pa.int64() if item_kind == "bigint" else pa.int32() if item_kind == "int" else pa.string()
-            for batch in batches:
-                row, found = [], []
-                for r, text in enumerate(batch.column(1).to_pylist()):
-                    for leak in matcher.value.leaks(text):
-                        row.append(r)
-                        found.append(leak)
-                take = pa.array(row, pa.int64())
-                item, similarity, first, end = zip(*found) if found else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), pa.array(item, item_type), pa.array(similarity, pa.float64()), pa.array(first, pa.int32()),
-                     pa.array(end, pa.int32())], names=[c.split()[0] for c in schema.split(", ")])
-
-        part = plain.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
-
-
-def benchmark_slices(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items with words, a bounded number at a time."""
-    held = []
-    for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
-        ws = words(r["text"])
-        if ws:
-            held.append((r["item_id"], ws))
-        if len(held) == SLICE_ITEMS:
-            yield held
-            held = []
-    if held:
-        yield held
+    """One row per document row and item it holds: doc_id, item_id, similarity, first_word, end_word."""
+    keyed = row_key(docs.where("text is not null").select("doc_id", "text"), "key")
+    found = leak_pairs(keyed.select("key", "text"), benchmark)
+    ids = benchmark.where("text is not null").select("item_id", F.xxhash64(F.lit(31), "text").alias("item"))
+    return (keyed.select("doc_id", "key").join(found, "key").join(ids, "item")
+            .select("doc_id", "item_id", "similarity", "first_word", "end_word"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no test item; all columns as they were (map-only, one pass a slice)."""
-    at = docs.columns.index("text")
-    kept = docs
-    for items in benchmark_slices(benchmark):
-        counts, total = corpus_counts(docs, {w for _, ws in items for w in ws})
-        matcher = Shared(docs.sparkSession, Matcher(items, counts, total))
-
-        def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array([not matcher.value.leaks(t) for t in batch.column(at).to_pylist()], pa.bool_()))
-
-        kept = kept.mapInArrow(run, docs.schema)
-    return kept
+    """The documents that hold no test item; all columns as they were."""
+    (key,) = fresh(docs, "key")
+    keyed = row_key(docs, key)
+    found = leak_pairs(keyed.where("text is not null").select(F.col(key).alias("key"), "text"), benchmark)
+    gone = found.select(F.col("key").alias(key)).distinct()
+    return keyed.join(gone, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
