@@ -52,7 +52,6 @@ DEFAULT_COLUMN_MAP = [
     ("discovered_at", "discovered_at"),
 ]
 DEFAULT_UNIQUE_KEY = "normalized_url"
-INSERT_BATCH_ROWS = 200
 RELABEL_BATCH_SIZE = 100
 RELABEL_MAX_BATCHES = 0
 RESIDUE_PREDICATE = "COALESCE(pred_category, 'other') = 'other'"

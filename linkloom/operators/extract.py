@@ -21,28 +21,17 @@ from ..functions.strings import normalize_space
 from ..functions.urls import is_external, normalize_in_array, with_normalized_url
 from .dedupe import run_distinct_links
 
-def spread_for_parsing(pages: DataFrame) -> DataFrame:
-    """Give the CPU-bound parser at least one partition per core.
+def page_anchors(pages: DataFrame, page_id: str = "page_id", url: str = "url",
+                 html: str = "html", partitions: int | None = None) -> DataFrame:
+    """One row per page with its anchors array (``pos, href, text, rels``).
 
-    A large input already comes in many splits and is left alone; only an
-    input with fewer splits than the default parallelism (one big row group,
-    say) is spread round-robin, which costs a shuffle of that small input.
+    A large input comes in splits enough for the CPU-bound parser;
+    ``partitions`` spreads one that does not (a single row group, say), at the
+    cost of a shuffle of its pages.
     """
-    if pages.isStreaming:  # a micro-batch has no size before it runs
-        return pages
-    spark = pages.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    # the planner's size estimate: asking for the partitions would run what lies upstream
-    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return pages.repartition(target) if size < split * target else pages
-
-
-def page_anchors(pages: DataFrame, page_id: str = "page_id", url: str = "url",
-                 html: str = "html") -> DataFrame:
-    """One row per page with its anchors array (``pos, href, text, rels``)."""
-    pages = spread_for_parsing(pages.select(page_id, url, html))
+    pages = pages.select(page_id, url, html)
+    if partitions:
+        pages = pages.repartition(partitions)
     return pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("page_url"),
                         extract_anchors(F.col(html)).alias("anchors"))
 

@@ -22,7 +22,7 @@ from ..sources.tables import read_link_table
 from .classify import classify_links
 from .extract import run_links
 from .keyed import append_links
-from .relabel import Complete, apply_labels, label_residue
+from .relabel import Complete, apply_labels, label_residue, relabel_pass
 
 
 def store_links(pages: DataFrame, table_path: str, root_domain: str,
@@ -58,12 +58,21 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
 
 
 def relabel_table(spark: SparkSession, table_path: str, out_path: str, complete: Complete,
-                  settings: Settings, **kw) -> DataFrame:
-    """Relabel the residue of the link table into a new table version."""
+                  settings: Settings, cursor_path: str | None = None, **kw) -> DataFrame:
+    """Relabel the residue of the link table into a new table version.
+
+    With ``cursor_path``, a pass capped by the settings' ``max_batches`` goes on
+    from where the last one ended and adds a row to ``<cursor_path>-report``
+    (rows covered, prompts asked, rows left unasked).
+    """
     links = read_link_table(spark, table_path, settings.column_map)
-    labels = label_residue(links, complete, taxonomy=settings.taxonomy, batch_size=settings.batch_size,
-                           max_batches=settings.max_batches,
-                           where=_extra_where(settings.where_other_sql), **kw)
+    options = dict(taxonomy=settings.taxonomy, batch_size=settings.batch_size, max_batches=settings.max_batches,
+                   where=_extra_where(settings.where_other_sql), **kw)
+    if cursor_path:
+        labels, report = relabel_pass(links, complete, cursor_path, **options)
+        report.coalesce(1).write.mode("append").parquet(f"{cursor_path}-report")
+    else:
+        labels = label_residue(links, complete, **options)
     apply_labels(links, labels).write.mode("errorifexists").parquet(out_path)
     return read_link_table(spark, out_path, settings.column_map)
 

@@ -326,6 +326,19 @@ SELECT *, lead(first_seen) OVER (PARTITION BY url ORDER BY version) AS replaced_
         "relabel_counts": _with(shop) + """SELECT CAST(floor((rn - 1) / 100) + 1 AS INTEGER) AS batch_no, count(*) AS n_updated
             FROM (SELECT row_number() OVER (ORDER BY id) AS rn FROM classified
                   WHERE pred_category IS NULL OR pred_category = 'other') GROUP BY 1""",
+        "relabel_asks": _with(shop) + f"""SELECT label, count(*) AS n_rows, count(DISTINCT prompt) AS n_asked FROM (
+              SELECT {_stub_label('u')} AS label, concat_ws(chr(10), coalesce(u, 'None'), coalesce(rel, ''), coalesce(is_external, false)) AS prompt
+              FROM (SELECT *, CASE WHEN pred_category = 'other' THEN regexp_replace(regexp_replace(url, '[0-9]+$', CAST(id % 8 AS VARCHAR)),
+                                                                                    '/[a-z-]+-p-HBV', '/x-p-') END AS u
+                    FROM classified WHERE pred_category IS NULL OR pred_category = 'other')) GROUP BY label""",
+        "relabel_passes": _with(shop) + """SELECT CAST(floor((rn - 1) / cap) + 1 AS INTEGER) AS pass, count(*) AS n_rows,
+              min(id) AS first_id, max(id) AS last_id, any_value(n) - max(rn) AS n_unasked
+            FROM (SELECT id, row_number() OVER (ORDER BY id) AS rn, count(*) OVER () AS n, CAST(ceil(count(*) OVER () / 3.0) AS BIGINT) AS cap
+                  FROM classified WHERE pred_category IS NULL OR pred_category = 'other') GROUP BY 1""",
+        "classify_many_rules": _with(shop) + """SELECT id, url, CASE WHEN url IS NULL THEN NULL
+              WHEN regexp_matches(url, '^https://www[.]shop[.]example/.+-p-HBV[0-9]+$') AND CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) BETWEEN 1 AND 2000
+              THEN 'group' || (CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) % 7) ELSE 'other' END AS pred_category FROM shop""",
+        "profile_merged": _with(shop) + f"""SELECT pred_category, {profile_cols}, true AS distinct_is_close FROM classified GROUP BY pred_category""",
         "export_rows": _with(shop) + "SELECT url, pred_category FROM classified",
         "stream_dedupe": _with(ANCHORS) + f"""SELECT normalized_url, href AS url, anchor_text,
             coalesce({ext}, false) AS is_external FROM run""",

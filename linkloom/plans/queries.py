@@ -15,13 +15,14 @@ from ..config import TAXONOMY, rule_pack
 from ..functions.hashing import content_hash, page_changes, page_history
 from ..functions.prompts import answer_label, user_prompt
 from ..functions.urls import is_external, with_normalized_url
-from ..operators.classify import category_profile, classify_links, classify_url
+from ..operators.classify import (category_profile, classify_links, classify_url, merge_profiles, profile_counts,
+                                  profile_partial)
 from ..operators.extract import anchor_rows, page_links, run_links
 from ..operators.ids import dense_rank_rows
 from ..operators.jobs import classify_table, store_links
 from ..operators.keyed import insert_if_absent
 from ..operators.pagetable import upsert_page_table, write_page_table
-from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts, residue
+from ..operators.relabel import apply_labels, label_residue, next_batch, relabel_counts, relabel_pass, residue
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.config import Settings
 from ..sources.export import export_categories, read_export
@@ -33,11 +34,13 @@ from .stubs import stub_complete
 
 SHOP_RULES = rule_pack(SHOP_ROOT)
 PAGE_RULES = rule_pack(PAGES_ROOT)
+MANY_RULES = [(f"group{k % 7}", rf"^https?://(?:www\.)?shop\.example/.+-p-hbv{k}(?:[/?].*)?$", ["IGNORECASE"]) for k in range(1, 2001)]
 DIGIT_RULES = [("even", "[02468]/?$", []), ("odd", "[13579]/?$", [])]
 
 
 def _pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", "url", "html")
+    """The page table, one row group at these scales, spread over the session's cores for the parser."""
+    return table(spark, sf, "pages").select("page_id", "url", "html").repartition(spark.sparkContext.defaultParallelism)
 
 
 # --- extraction ------------------------------------------------------------
@@ -120,6 +123,22 @@ def category_profile_shop(spark: SparkSession, sf: str) -> DataFrame:
     return category_profile(classify_links(shop_links(spark, sf), SHOP_RULES), url_col="url")
 
 
+def classify_many_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """2,000 rules over the shop links, found by their literals."""
+    return classify_links(shop_links(spark, sf), MANY_RULES, lookup=True).select("id", "url", "pred_category")
+
+
+def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """D4 of four batches of links, merged: counts are exact, the distinct URLs are within 5 % of a recount."""
+    links = classify_links(shop_links(spark, sf), SHOP_RULES)
+    parts = [profile_partial(links.where(F.pmod(F.xxhash64("id"), F.lit(4)) == k)) for k in range(4)]
+    halves = [merge_profiles(parts[k].unionByName(parts[k + 1])) for k in (0, 2)]
+    merged = profile_counts(merge_profiles(halves[0].unionByName(halves[1])))
+    exact = category_profile(links, url_col="url").select(F.col("pred_category").alias("c"), "n_distinct")
+    close = F.abs(F.col("n_distinct_estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    return merged.join(exact, F.col("pred_category").eqNullSafe(F.col("c"))).select("pred_category", "n_links", "n_external", "n_internal", close.alias("distinct_is_close"))
+
+
 # --- keyed writes ----------------------------------------------------------
 
 def _run_links(spark, sf):
@@ -326,6 +345,34 @@ def relabel_counts_q(spark: SparkSession, sf: str) -> DataFrame:
     return relabel_counts(labels)
 
 
+def _repeating_links(spark, sf):
+    """Shop links whose prompts repeat: no anchor, and the URL's key in eight values."""
+    links = classify_links(shop_links(spark, sf), SHOP_RULES)
+    short = F.regexp_replace("url", r"\d+$", (F.col("id") % 8).cast("string"))
+    return links.withColumn("url", F.when(F.col("pred_category") == "other", F.regexp_replace(short, r"/[a-z-]+-p-HBV", "/x-p-")))
+
+
+def relabel_asks(spark: SparkSession, sf: str) -> DataFrame:
+    """Equal prompts are asked once and answered for all their rows: rows, prompts sent and labels per batch."""
+    links = _repeating_links(spark, sf).withColumn("anchor_text", F.lit(None).cast("string"))
+    labels = label_residue(links, stub_complete, sleep=lambda s: None)
+    return labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("asked").alias("n_asked"))
+
+
+def relabel_passes(spark: SparkSession, sf: str) -> DataFrame:
+    """Capped passes go on from a stored cursor until every residue row has been asked once."""
+    links = classify_links(shop_links(spark, sf), SHOP_RULES)
+    cursor = scratch_path(spark, "cursor")
+    cap = -(-residue(links).count() // 3)
+    reports = None
+    for _ in range(3):
+        labels, report = relabel_pass(links, stub_complete, cursor, batch_size=cap, max_batches=1, sleep=lambda s: None)
+        links = reliable_checkpoint(apply_labels(links, labels))
+        report = labels.agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).crossJoin(report)  # one row each
+        reports = report if reports is None else reports.unionByName(report)
+    return reports.select("pass", "n_rows", "first_id", "last_id", "n_unasked")
+
+
 # --- export and streaming --------------------------------------------------
 
 def export_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -390,6 +437,8 @@ QUERIES = {
     "classify_force_ignorecase": classify_force_ignorecase,
     "classify_row": classify_row,
     "category_profile": category_profile_shop,
+    "classify_many_rules": classify_many_rules,
+    "profile_merged": profile_merged,
     "insert_ignore": insert_ignore,
     "links_store": links_store,
     "crawl_classify_crawl": crawl_classify_crawl,
@@ -408,6 +457,8 @@ QUERIES = {
     "relabel_apply": relabel_apply,
     "relabel_capped": relabel_capped,
     "relabel_counts": relabel_counts_q,
+    "relabel_asks": relabel_asks,
+    "relabel_passes": relabel_passes,
     "export_rows": export_rows,
     "stream_dedupe": stream_dedupe,
     "stream_compare": stream_compare,

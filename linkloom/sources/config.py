@@ -12,17 +12,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from ..config import (DEFAULT_COLUMN_MAP, DEFAULT_UNIQUE_KEY, INSERT_BATCH_ROWS, RELABEL_BATCH_SIZE,
-                      RELABEL_MAX_BATCHES, RESIDUE_PREDICATE, TAXONOMY)
-
-MAX_CONFIG_BYTES = 10 * 1024 * 1024
+from ..config import (DEFAULT_COLUMN_MAP, DEFAULT_UNIQUE_KEY, RELABEL_BATCH_SIZE, RELABEL_MAX_BATCHES,
+                      RESIDUE_PREDICATE, TAXONOMY)
 
 
 @dataclass
 class Settings:
-    table: str = "links"
     unique_key: str = DEFAULT_UNIQUE_KEY
-    buffer_size: int = INSERT_BATCH_ROWS
     column_map: list[tuple[str, str]] = field(default_factory=lambda: list(DEFAULT_COLUMN_MAP))
     url_col: str = "url"
     only_update_nulls: bool = True
@@ -34,13 +30,11 @@ class Settings:
 
 
 def read_config_text(spark: SparkSession, path: str) -> str:
-    """The text of the one file at ``path``; its size is checked before it is read."""
-    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).select("length").limit(2).collect()]
-    if len(sizes) != 1:
-        raise ValueError(f"{path}: {'no' if not sizes else 'more than one'} config file")
-    if sizes[0] > MAX_CONFIG_BYTES:
-        raise ValueError("config file too large")
-    return spark.read.text(path, wholetext=True).first()[0]
+    """The text of the one file at ``path`` (a config is a driver-side document, held whole)."""
+    texts = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(texts) != 1:
+        raise ValueError(f"{path}: {'no' if not texts else 'more than one'} config file")
+    return texts[0][0]
 
 
 def parse_settings(text: str) -> Settings:
@@ -48,9 +42,7 @@ def parse_settings(text: str) -> Settings:
     cfg = json.loads(text)
     s = Settings()
     db = cfg.get("db", {})
-    s.table = db.get("table", s.table)
     s.unique_key = db.get("unique_key", s.unique_key)
-    s.buffer_size = int(db.get("buffer_size", s.buffer_size))
     if "columns" in cfg:
         s.column_map = list(cfg["columns"].items())
     cl = cfg.get("classification", {})

@@ -1,15 +1,10 @@
-"""Page source (K1): stored pages with url + HTML, read in place of fetching."""
+"""Page source (K1): stored pages with url + HTML, read in place of fetching; a batch job passes any page DataFrame."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_pages(spark: SparkSession, path: str, columns=("page_id", "url", "html")) -> DataFrame:
-    """Batch read of a page table (Parquet), projected to the columns used."""
-    return spark.read.parquet(path).select(*columns)
-
-
 def stream_pages(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of page files arriving in ``path``."""
     r = spark.readStream.schema(schema)

@@ -84,3 +84,55 @@ def test_flag_compilation(spark):
     rules = [("dot", r"^https://www\.shop\.example/a.b$", ["DOTALL"])]
     assert df.select(rule_case(F.col("url"), rules).alias("c")).first().c == "other"
     assert df.select(rule_case(F.col("url"), rules, honor_all_flags=True).alias("c")).first().c == "dot"
+
+
+def test_pattern_literals_are_in_every_match():
+    from linkloom.operators.classify import pattern_literal
+    cases = {r"^https?://(?:www\.)?s\.example/.+-p-[a-z0-9]+$": "s.example/", r"abc+d": "abc", r"abc?def": "def", r"a|b": "", r"x[abc]yz": "yz",
+             r"\d+/ab": "/ab", r"(?:ab|cd)e": "e", r"Ab{2}cde": "cde", r"": "", r"[]ab]qq": "qq", r"[^]x]longer": "longer", r"é+ok": "ok"}
+    for pattern, literal in cases.items():
+        assert pattern_literal(pattern) == literal, pattern
+
+
+def test_rule_lookup_equals_the_case(spark):
+    import random
+
+    from linkloom.operators.classify import classify_links
+    rng = random.Random(3)
+    words = ["ab", "item", "x-p-", "shop", "KARGO", "a.b", "q?k=", "/", "9", *[f"w{k}_" for k in range(30)]]
+    rules = [(f"l{k}", rng.choice(["^", ""]) + f"w{rng.randrange(30)}_" + "".join(rng.choice([rng.choice(words).replace(".", r"\.").replace("?", r"\?"), r"\d+", ".*", "(?:a|b)", "[x-z]?"])
+                                                       for _ in range(rng.randint(1, 4))) + rng.choice(["$", ""]),
+              rng.choice([["IGNORECASE"], []])) for k in range(400)]
+    urls = ["".join(rng.choices([*words, "z", "b", "\n"], k=rng.randint(0, 7))) for _ in range(600)] + [None]
+    links = spark.createDataFrame([(i, u, "kept" if i % 50 == 0 else None) for i, u in enumerate(urls)], "id long, url string, pred_category string")
+    want = {r.id: r.pred_category for r in classify_links(links, rules).collect()}
+    got = {r.id: r.pred_category for r in classify_links(links, rules, lookup=True).collect()}
+    assert got == want and len(set(want.values())) > 30
+
+
+def test_two_thousand_rules_cost_little_more_than_ten():
+    import time
+
+    from linkloom.operators.classify import RuleIndex
+    rules = [(f"l{k}", rf"/kind-{k}/[a-z]+-p-\d+$", ["IGNORECASE"]) for k in range(2000)]
+    urls = [f"https://s.example/kind-{k % 2500}/abc-p-{k}" for k in range(20000)]
+    spent = []
+    for some in (rules[:10], rules):
+        index = RuleIndex(some)
+        index.label(urls[0])
+        t0 = time.process_time()
+        labels = [index.label(u) for u in urls]
+        spent.append(time.process_time() - t0)
+    assert labels[7] == "l7" and labels[2400] == "other" and spent[1] < 3 * spent[0] + 0.05, spent
+
+
+def test_merged_profiles_equal_a_recount(spark):
+    from linkloom.operators.classify import category_profile, merge_profiles, profile_counts, profile_partial
+    links = spark.range(20000).selectExpr("concat('u', id % 7000) AS url", "if(id % 3 = 0, 'a', 'b') AS pred_category", "id % 5 = 0 AS is_external")
+    whole = {r.pred_category: r for r in category_profile(links, url_col="url").collect()}
+    parts = [profile_partial(links.where(f"crc32(url) % 3 = {k}")) for k in range(3)]
+    merged = profile_counts(merge_profiles(merge_profiles(parts[0].unionByName(parts[1])).unionByName(parts[2])))
+    for r in merged.collect():
+        w = whole[r.pred_category]
+        assert (r.n_links, r.n_external, r.n_internal) == (w.n_links, w.n_external, w.n_internal)
+        assert abs(r.n_distinct_estimate - w.n_distinct) < 0.05 * w.n_distinct

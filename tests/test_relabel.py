@@ -80,3 +80,50 @@ def test_only_the_poisoned_prompt_goes_without(spark):
     labels = label_residue(links, complete, batch_size=100, tries=2, sleep=lambda s: None)
     assert [r.id for r in labels.where("label = 'other'").collect()] == [57]
     assert labels.count() == 100
+
+
+LINK = "id long, url string, anchor_text string, rel string, is_external boolean, pred_category string"
+
+
+def test_equal_prompts_are_asked_once(spark):
+    rows = [(i, f"https://s.example/p{i % 3}-p-1", "a", None, False, None) for i in range(60)]
+    asked = spark.sparkContext.accumulator(0)
+
+    def complete(system, prompts):
+        asked.add(len(prompts))
+        return ['{"label": "product"}'] * len(prompts)
+
+    labels = label_residue(spark.createDataFrame(rows, LINK).repartition(5), complete, batch_size=7, sleep=lambda s: None)
+    got = labels.collect()
+    assert len(got) == 60 and {r.label for r in got} == {"product"} and asked.value == 3
+    assert sorted(r.id for r in got if r.asked) == [0, 1, 2]
+    assert {r.id: r.batch_no for r in got} == {i: i // 7 + 1 for i in range(60)}
+
+
+def test_an_outage_fails_the_job_and_labels_nothing(spark):
+    import pytest
+    rows = [(i, f"https://s.example/{i}", "a", None, False, None) for i in range(40)]
+
+    def complete(system, prompts):
+        raise ConnectionError("down")
+
+    with pytest.raises(Exception, match="got no answer"):
+        label_residue(spark.createDataFrame(rows, LINK).coalesce(1), complete, tries=2, sleep=lambda s: None).collect()
+
+
+def test_capped_passes_cover_the_residue_and_start_over(spark):
+    import tempfile
+
+    from linkloom.operators.relabel import read_cursor, relabel_pass
+    rows = [(i, f"https://s.example/{i}", None, None, False, None if i % 2 else "other") for i in range(1, 21)]
+    links, cursor = spark.createDataFrame(rows, LINK), tempfile.mkdtemp(prefix="linkloom-cursor-") + "/c"
+    seen, left = [], []
+    for _ in range(4):
+        labels, report = relabel_pass(links, stub_complete, cursor, batch_size=4, max_batches=2, sleep=lambda s: None)
+        seen.append(sorted(r.id for r in labels.collect()))
+        links = apply_labels(links, labels)       # all answered "other": they stay in the residue
+        left.append(report.first()["n_unasked"])
+    assert seen == [list(range(1, 9)), list(range(9, 17)), [17, 18, 19, 20], list(range(1, 9))]
+    assert left == [12, 4, 0, 12] and read_cursor(spark, cursor) == 8
+    nothing = links.where("id < 0")
+    assert relabel_pass(nothing, stub_complete, cursor, batch_size=4, max_batches=2, sleep=lambda s: None)[1].first()["n_rows"] == 0
