@@ -1,17 +1,25 @@
 """Secret scan: fixed patterns, plus a linear-chain conditional random field over tokens.
 
-The field tags the tokens around every candidate (a run of 12 or more key
-characters that holds a digit) as secret begin, inside or outside, from token
-shape, neighbouring words and file features, and is decoded by Viterbi.  It
-is fitted on at most ``SAMPLE`` documents (least hash of doc_id), with the
-pattern matches as labels, and adds spans that no pattern has; a stretch of
-text without a candidate holds plain words only, which the field tags as
-outside, and is not decoded.
+The field tags every token of every text as secret begin, inside or outside,
+from its shape, the words around it and features of the whole text.  Texts are
+decoded by Viterbi in stretches of 192 tokens with 32 more on either side,
+many stretches at once.  Tagged runs are reported where they are no part of a
+pattern's span and could be a value at all (8 key characters or more, not of
+letters alone or of digits alone).
+
+It learns from the patterns' matches: stretches of text around matches in at
+most ``HITS`` documents, and stretches from anywhere in at most ``PLAIN``
+others (least hashes of doc_id; the bounds of the sample).  Matches teach
+twice, once as they stand and once with their key word hidden, so that the
+field has to go by the value and the signs around it and finds secrets under
+names the patterns lack.  Values that look like a secret in the place of one,
+but that no pattern matches, are unknown: stretches that hold one are not
+taught as outside.
 
 A pattern's span is its whole match (code points, end exclusive).  Defined
-results: null reads as empty; repeated rows repeat; without candidates or
-without labels in the sample there are pattern spans only; an empty table
-gives an empty result; other columns are ignored.
+results: null reads as empty; repeated rows repeat; without a pattern match in
+the sample there are pattern spans only; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import Shared, body, materialize
-from linkloom.llm.words import hash64
+from linkloom.llm.words import hash64, mix
 
-SAMPLE = 12_000
-WINDOWS_PER_DOC = 8     # training windows taken of one sampled document
+HITS, PLAIN = 1200, 600  # documents the field is fitted on
+STRETCHES = 3            # of one document, spread over it
+AROUND = 25              # tokens on either side of what a training stretch is about
 BITS = 14
-BEFORE, AFTER = 90, 60  # characters of context around a candidate
+CORE, MARGIN = 192, 32   # tokens decoded at once, and beside them
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
+NEAR = (-3, -2, -1, 1, 2)
+KNOWN = 300_000          # tokens a task remembers the description of
 
 # fixed values: the patterns every secret scan of this package must report
 ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -41,9 +52,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs of 32 and more: the same as all runs with the short ones dropped
 KINDS = ("assign", "access", "hex", "crf")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{12,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_\-]+|\w+|[^\s\w]")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _LETTER, _VALUE = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]"), re.compile(r"[A-Za-z0-9+/_.=\-]{8,}")
+# what Spark selects documents with matches by, before the patterns themselves are run
+ANY_PATTERN = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 
 
 def pattern_spans(text: str) -> list[tuple[int, str, int, int]]:
@@ -55,19 +67,6 @@ def pattern_spans(text: str) -> list[tuple[int, str, int, int]]:
     return [(s, KINDS[k], e, v) for s, k, e, v in sorted(out)]
 
 
-def candidate_windows(text: str) -> list[tuple[int, int]]:
-    """Stretches of text around candidates, merged where they touch."""
-    out: list[list[int]] = []
-    for m in CANDIDATE.finditer(text):
-        if _DIGIT.search(m.group()):
-            lo, hi = max(0, m.start() - BEFORE), min(len(text), m.end() + AFTER)
-            if out and lo <= out[-1][1]:
-                out[-1][1] = hi
-            else:
-                out.append([lo, hi])
-    return [tuple(x) for x in out]
-
-
 def _shape(token: str) -> str:
     s = re.sub(r"[a-z]+", "x", re.sub(r"[A-Z]+", "X", re.sub(r"[0-9]+", "0", token)))
     return s if len(s) <= 6 else f"{s[:2]}~{min(len(s) // 4, 6)}"
@@ -77,30 +76,13 @@ def _bucket(x: float, steps: tuple) -> int:
     return sum(x >= s for s in steps)
 
 
-def token_features(tokens: list[str], file: list[str]) -> list[list[int]]:
-    """Hashed feature numbers per token: shape, neighbouring words, file features."""
-    own = []
-    for t in tokens:
-        n = len(t)
-        digits = sum(c.isdigit() for c in t)
-        low = t.lower()
-        own.append([f"shape={_shape(t)}", f"length={_bucket(n, (2, 4, 8, 12, 16, 20, 24, 32, 41, 64))}",
-                    f"digits={_bucket(digits / n, (0.01, 0.2, 0.5, 1.0))}",
-                    f"variety={_bucket(len(set(t)), (3, 6, 9, 12, 15, 20))}",
-                    f"hex={all(c in '0123456789abcdef' for c in low)}", f"upper={t.isupper()}"])
-    short = [t.lower() if len(t) <= 10 and not _DIGIT.search(t) else "*" for t in tokens]
-    out = []
-    for i, f in enumerate(own):
-        names = [*f, *[f"{x}&{f[0]}" for x in file]]
-        for d in (-3, -2, -1, 1, 2):
-            j = i + d
-            names.append(f"{d}:{short[j]}" if 0 <= j < len(short) else f"{d}:|")
-        names.append(f"-1-2:{short[i - 1] if i else '|'} {short[i - 2] if i > 1 else '|'}")
-        if i:
-            names.append(f"-1shape={own[i - 1][0]}")
-        names.append(f"{f[1]}&{f[4]}&{f[2]}")
-        out.append([hash64(x.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for x in names])
-    return out
+def describe(token: str) -> tuple[str, ...]:
+    """What a token looks like; the first entry is its shape."""
+    n, low = len(token), token.lower()
+    return (f"shape={_shape(token)}", f"length={_bucket(n, (2, 4, 8, 12, 16, 20, 24, 32, 41, 64))}",
+            f"digits={_bucket(sum(c.isdigit() for c in token) / n, (0.01, 0.2, 0.5, 1.0))}",
+            f"variety={_bucket(len(set(token)), (3, 6, 9, 12, 15, 20))}",
+            f"hex={all(c in '0123456789abcdef' for c in low)}", f"upper={token.isupper()}")
 
 
 def file_features(text: str) -> list[str]:
@@ -108,6 +90,64 @@ def file_features(text: str) -> list[str]:
             f"braces={_bucket(text.count('{') + text.count(';'), (1, 10))}"]
 
 
+def _feature(name: str) -> int:
+    return hash64(name.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1)
+
+
+def _plain(token: str) -> str:
+    """A token as its neighbours see it: short words themselves, all else alike."""
+    return token.lower() if len(token) <= 10 and not _DIGIT.search(token) else "*"
+
+
+class Reader:
+    """Feature numbers of token sequences; remembers what tokens look like."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, tuple[int, int]] = {}   # token -> number of its description, hash as a neighbour
+        self.looks: dict[tuple[str, ...], int] = {}
+        self.own: list[list[int]] = []                # features of a description by itself
+        self.shape: list[int] = []                    # hash of its shape
+        self.words: dict[str, int] = {}
+
+    def token(self, token: str) -> tuple[int, int]:
+        if token in self.known:
+            return self.known[token]
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        look = describe(token)
+        if look not in self.looks:
+            self.looks[look] = len(self.own)
+            self.own.append([_feature(x) for x in (*look, f"{look[1]}&{look[4]}&{look[2]}", f"{look[0]}&{look[3]}")])
+            self.shape.append(hash64(look[0].encode("utf-8", "surrogatepass")))
+        word = _plain(token)
+        if word not in self.words:
+            self.words[word] = hash64(word.encode("utf-8", "surrogatepass"))
+        self.known[token] = self.looks[look], self.words[word]
+        return self.known[token]
+
+    def read(self, tokens: list[str], hidden: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of descriptions and neighbour hashes; words at ``hidden`` places are read as any long token."""
+        pairs = [self.token(t) for t in tokens]
+        looks, words = (np.array(x, dtype=t) for x, t in zip(zip(*pairs), (np.int64, np.uint64))) if pairs else (
+            np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))
+        if hidden:
+            words[list(hidden)] = self.token("*" * 12)[1]
+        return looks, words
+
+
+def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
+    return (mix(h + np.uint64(salt * 0x9E37 + 1)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+
+
+def neighbour_features(looks: np.ndarray, words: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """(tokens x 6): the words around every token, by their distance, and the shape before it; 0 stands beyond the ends."""
+    n, reach = len(words), max(map(abs, NEAR))
+    padded = np.concatenate([np.zeros(reach, dtype=np.uint64), words, np.zeros(reach, dtype=np.uint64)])
+    columns = [_mixed(padded[reach + d:reach + d + n], 50 + d) for d in NEAR]
+    before = np.concatenate([np.zeros(1, dtype=np.uint64), shape[looks[:-1]]]) if n else np.zeros(0, dtype=np.uint64)
+    return np.stack([*columns, _mixed(before, 99)], axis=1)
+
+
 @dataclass
 class Field:
     """Weights of the chain: emission (features x 3), transition (3 x 3), start (3)."""
@@ -116,18 +156,78 @@ class Field:
     transition: np.ndarray
     start: np.ndarray
 
-    def decode(self, features: list[list[int]]) -> list[int]:
-        """Viterbi path."""
-        scores = np.array([self.emission[f].sum(axis=0) for f in features])
-        best, back = self.start + scores[0], []
-        for s in scores[1:]:
-            step = best[:, None] + self.transition
-            back.append(step.argmax(axis=0))
-            best = step.max(axis=0) + s
-        path = [int(best.argmax())]
-        for b in reversed(back):
-            path.append(int(b[path[-1]]))
-        return path[::-1]
+    def decode(self, scores: list[np.ndarray]) -> list[np.ndarray]:
+        """Viterbi paths of token scores, texts cut into overlapping stretches that are decoded side by side."""
+        cuts = [(k, lo) for k, s in enumerate(scores) for lo in range(0, len(s), CORE)]
+        out = [np.zeros(len(s), dtype=np.int8) for s in scores]
+        for at in range(0, len(cuts), 2000):
+            some = cuts[at:at + 2000]
+            spans = [(k, max(0, lo - MARGIN), min(len(scores[k]), lo + CORE + MARGIN)) for k, lo in some]
+            length = max(b - a for _, a, b in spans)
+            # padding stays outside at no cost, whatever came before
+            score = np.full((len(some), length, 3), -1e6)
+            score[:, :, OUTSIDE] = 0.0
+            live = np.zeros((len(some), length), dtype=bool)
+            for r, (k, a, b) in enumerate(spans):
+                score[r, :b - a] = scores[k][a:b]
+                live[r, :b - a] = True
+            best, back = self.start + score[:, 0], np.zeros((length, len(some), 3), dtype=np.int8)
+            for t in range(1, length):
+                step = best[:, :, None] + np.where(live[:, t, None, None], self.transition, 0.0)
+                back[t] = step.argmax(axis=1)
+                best = step.max(axis=1) + score[:, t]
+            path = np.zeros((len(some), length), dtype=np.int8)
+            path[:, -1] = best.argmax(axis=1)
+            rows = np.arange(len(some))
+            for t in range(length - 1, 0, -1):
+                path[:, t - 1] = back[t, rows, path[:, t]]
+            for r, ((k, lo), (_, a, b)) in enumerate(zip(some, spans)):
+                hi = min(lo + CORE, len(scores[k]))
+                out[k][lo:hi] = path[r, lo - a:hi - a]
+        return out
+
+
+class Tagger:
+    """A field at work: token scores from the weights, summed once per description."""
+
+    def __init__(self, field: Field):
+        self.field, self.reader = field, Reader()
+        self.sums = np.zeros((0, 3))
+        self.shape = np.zeros(0, dtype=np.uint64)
+
+    def scores(self, tokens: list[str], file: list[str]) -> np.ndarray:
+        looks, words = self.reader.read(tokens)
+        if len(self.sums) < len(self.reader.own):
+            new = self.reader.own[len(self.sums):]
+            self.sums = np.concatenate([self.sums, [self.field.emission[f].sum(axis=0) for f in new]])
+            self.shape = np.array(self.reader.shape, dtype=np.uint64)
+        out = self.sums[looks]
+        if len(looks):
+            out = out + self.field.emission[neighbour_features(looks, words, self.shape)].sum(axis=1)
+            for k, name in enumerate(file):
+                out = out + self.field.emission[_mixed(self.shape ^ np.uint64(_feature(name)), 200 + k)][looks]
+        return out
+
+    def spans(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        """Tagged runs (start, end) of every text."""
+        paths = self.field.decode([self.scores(TOKEN.findall(t), file_features(t)) for t in texts])
+        out = []
+        for text, path in zip(texts, paths):
+            found: list[list[int]] = []
+            if path.any():
+                inside = False
+                for m, tag in zip(TOKEN.finditer(text), path.tolist()):
+                    if tag == INSIDE and inside:
+                        found[-1][1] = m.end()
+                    elif tag != OUTSIDE:
+                        found.append([m.start(), m.end()])
+                    inside = tag != OUTSIDE
+            out.append([(a, b) for a, b in found if _could_be_value(text[a:b])])
+        return out
+
+
+def _could_be_value(run: str) -> bool:
+    return bool(any(_DIGIT.search(v) and _LETTER.search(v) for v in _VALUE.findall(run)))
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
@@ -188,60 +288,73 @@ def fit_field(windows: list[tuple[list[list[int]], list[int]]], rounds: int = 60
     return Field(theta[:width * 3].reshape(width, 3).copy(), theta[width * 3:width * 3 + 9].reshape(3, 3).copy(), theta[-3:].copy())
 
 
-def labelled_windows(text: str) -> list[tuple[list[list[int]], list[int]]]:
-    """Feature numbers and labels (from the fixed patterns) of a text's windows."""
-    spans = [(v, e) for _, _, e, v in pattern_spans(text)]
-    file, out = file_features(text), []
-    for lo, hi in candidate_windows(text)[:WINDOWS_PER_DOC]:
-        found = list(TOKEN.finditer(text, lo, hi))
-        labels, before = [], None
-        for m in found:
-            hit = next((k for k, (s, e) in enumerate(spans) if s <= m.start() < e), None)
-            labels.append(OUTSIDE if hit is None else INSIDE if hit == before else BEGIN)
-            before = hit
-        out.append((token_features([m.group() for m in found], file), labels))
+def training_stretches(text: str, reader: Reader) -> list[tuple[list[list[int]], list[int]]]:
+    """Feature numbers and labels of a document's training stretches: around matches, or anywhere without unknown values."""
+    found = list(TOKEN.finditer(text))
+    if not found:
+        return []
+    spans = [(s, v, e) for s, _, e, v in pattern_spans(text)]
+    starts = np.array([m.start() for m in found])
+    labels = np.zeros(len(found), dtype=np.int8)
+    keys: set[int] = set()
+    for s, v, e in spans:
+        a, b = np.searchsorted(starts, [v, e])
+        labels[a:b] = INSIDE
+        labels[a:a + 1] = BEGIN
+        keys.update(i for i in range(int(np.searchsorted(starts, s)), int(a)) if _LETTER.search(found[i].group()))
+    tokens = [m.group() for m in found]
+    unknown = [i for i, t in enumerate(tokens) if not labels[i] and len(t) >= 8 and _DIGIT.search(t) and _LETTER.search(t)
+               and any(x in "=:\"'" for x in tokens[max(0, i - 3):i])]
+    about = [int(np.searchsorted(starts, v)) for _, v, _ in spans] or [hash64(f"{k} {text[:200]}".encode("utf-8", "surrogatepass")) % len(found)
+                                                                       for k in range(STRETCHES)]
+    about = [about[k * len(about) // min(STRETCHES, len(about))] for k in range(min(STRETCHES, len(about)))]
+    out, file = [], file_features(text)
+    for at in about:
+        a, b = max(0, at - AROUND), min(len(found), at + AROUND)
+        if any(a <= i < b for i in unknown):
+            continue
+        for hidden in ([frozenset()] + ([frozenset(i - a for i in keys if a <= i < b)] if labels[a:b].any() else [])):
+            looks, words = reader.read(tokens[a:b], hidden)
+            shape = np.array(reader.shape, dtype=np.uint64)
+            near = neighbour_features(looks, words, shape)
+            names = [_mixed(shape[looks] ^ np.uint64(_feature(x)), 200 + k) for k, x in enumerate(file)]
+            out.append(([[*reader.own[look], *near[i].tolist(), *[int(x[i]) for x in names]] for i, look in enumerate(looks.tolist())],
+                        labels[a:b].tolist()))
     return out
 
 
-def scan(text: str, field: Field | None) -> list[tuple[int, str, int]]:
-    """All spans (start, kind, end): the fixed patterns and what the field adds."""
-    base = [(s, k, e) for s, k, e, _ in pattern_spans(text)]
-    if field is None:
+def scan(texts: list[str], tagger: Tagger | None) -> list[list[tuple[int, str, int]]]:
+    """Per text all spans (start, kind, end): the fixed patterns and what the field adds."""
+    base = [[(s, k, e) for s, k, e, _ in pattern_spans(t)] for t in texts]
+    if tagger is None:
         return base
-    added, file = [], None
-    for lo, hi in candidate_windows(text):
-        found = list(TOKEN.finditer(text, lo, hi))
-        file = file or file_features(text)
-        path = field.decode(token_features([m.group() for m in found], file))
-        open_ = None
-        for m, tag in [*zip(found, path), (None, OUTSIDE)]:
-            if open_ and tag != INSIDE:
-                added.append(open_)
-                open_ = None
-            if tag != OUTSIDE:
-                open_ = (open_[0] if open_ else m.start(), "crf", m.end())
-    taken = [(s, e) for s, _, e in base]
-    new = [x for x in added if not any(x[0] < e and s < x[2] for s, e in taken)]
-    return sorted([*base, *new], key=lambda x: (x[0], KINDS.index(x[1])))
-
-
-def fit_on_sample(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """The field from at most ``sample`` documents; their windows (bounded each) come to the driver."""
-    ids = materialize(docs.where("text is not null and doc_id is not null").select("doc_id").distinct()
-                      .orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample), "secret-sample")
+    out = []
+    for mine, added in zip(base, tagger.spans(texts)):
+        new = [(a, "crf", b) for a, b in added if not any(a < e and s < b for s, _, e in mine)]
+        out.append(sorted([*mine, *new], key=lambda x: (x[0], KINDS.index(x[1]))))
+    return out
+
+
+def fit_on_sample(docs: DataFrame, hits: int = HITS, plain: int = PLAIN) -> Field | None:
+    """The field from at most ``hits`` documents with matches and ``plain`` others; their stretches (bounded each) come to the driver."""
+    marked = docs.where("text is not null and doc_id is not null").select("doc_id", F.col("text").rlike(ANY_PATTERN).alias("hit"))
+    ids = [marked.where(F.col("hit") == hit).select("doc_id").distinct().orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(n)
+           for hit, n in ((True, hits), (False, plain))]
+    sample = materialize(ids[0].unionByName(ids[1]).distinct(), "secret-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader()
         for batch in batches:
             features, sizes, labels = [], [], []
             for text in batch.column(0).to_pylist():
-                for f, y in labelled_windows(text):
+                for f, y in training_stretches(text, reader):
                     features.append(np.array([x for t in f for x in t], dtype=np.int16).tobytes())
                     sizes.append(np.array([len(t) for t in f], dtype=np.int16).tobytes())
                     labels.append(np.array(y, dtype=np.int8).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (features, sizes, labels)],
                                              names=["features", "sizes", "labels"])
 
-    got = (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id", "left_semi")
+    got = (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id", "left_semi")
            .select("text").mapInArrow(run, "features binary, sizes binary, labels binary").toArrow())
     windows = []
     for f, s, y in zip(*(got.column(c).to_pylist() for c in ("features", "sizes", "labels"))):
@@ -249,7 +362,7 @@ def fit_on_sample(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
         windows.append(([x.astype(int).tolist() for x in np.split(np.frombuffer(f, dtype=np.int16), cuts)],
                         np.frombuffer(y, dtype=np.int8).tolist()))
     windows.sort(key=lambda w: hash64(repr(w).encode()))  # the order of arrival must not matter
-    return fit_field(windows) if any(any(y) for _, y in windows) else None
+    return fit_field(windows[:2 * (hits + plain)]) if any(any(y) for _, y in windows) else None
 
 
 def joined(spans: list[tuple[int, str, int]]) -> str:
@@ -263,10 +376,10 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_assign", "n_access", "n_hex", "n_crf", "base_sha256", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        tagger = Tagger(field.value) if field.value is not None else None
+        for batch in (b.slice(lo, 200) for whole in batches for lo in range(0, whole.num_rows, 200) for b in [whole]):
             counts, digest, all_spans = [[], [], [], []], [], []
-            for text in batch.column(1).to_pylist():
-                spans = scan(text, field.value)
+            for spans in scan(batch.column(1).to_pylist(), tagger):
                 for c, k in zip(counts, KINDS):
                     c.append(sum(x[1] == k for x in spans))
                 digest.append(hashlib.sha256(joined([x for x in spans if x[1] != "crf"]).encode()).hexdigest())
