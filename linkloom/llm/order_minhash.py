@@ -40,7 +40,7 @@ from linkloom.llm.words import WordHashes, mix, shingle_hashes, words
 K = 5
 PICKS = 64  # a band each
 SIMILARITY = 0.8
-ROUNDS = 5  # of further representatives, before what is left meets in blocks
+ROUNDS = 4  # of further representatives, before what is left meets in blocks
 BLOCK_BYTES = 1 << 19  # word counts of the members of a block, about
 BINS_A_WORD = 4
 SHARES = (64, 8, 1)  # one pair in so many is aligned a round, while there are many; the last round takes all that are left
@@ -293,9 +293,21 @@ def open_pairs(near: DataFrame, parts: DataFrame, bags: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def elect_rounds(members: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame,
+def merged_parts(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """Components (node, component) after further links; only the graph of the components is walked again."""
+    of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
+    edges = (found.select("a", "b").join(of["a"], "a", "left").join(of["b"], "b", "left")
+             .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    up = materialize(connected_components(edges), "joined-parts").select(F.col("node").alias("old"), F.col("component").alias("new"))
+    moved = (parts.join(up, F.col("component") == F.col("old"), "left")
+             .select("node", F.coalesce("new", "component").alias("component")))
+    alone = up.join(parts, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
+    return materialize(moved.unionByName(alone), "parts")
+
+
+def elect_rounds(members: DataFrame, parts: DataFrame, bags: DataFrame, texts: DataFrame,
                  tried: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and tried pairs after rounds in which a member of each band meets the members of other components.
+    """Components and tried pairs after rounds in which a member of each band meets the members of other components.
 
     ``members``: bucket, cid of bands with two members or more.
     """
@@ -310,8 +322,8 @@ def elect_rounds(members: DataFrame, links: DataFrame, bags: DataFrame, texts: D
 
     side = {c: bags.select(F.col("cid").alias(c), F.col("n_words").alias(f"n_{c}"), F.col("bag").alias(f"bag_{c}")) for c in "ab"}
     for k in range(ROUNDS):
-        parts = connected_components(links).withColumnRenamed("node", "cid")
-        placed = members.join(parts, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        placed = (members.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
+                  .withColumn("component", F.coalesce("component", "cid")))
         turn = F.struct(F.xxhash64("cid", F.lit(k)).alias("h"), "cid", "component")
         heads = (placed.groupBy("bucket").agg(F.min(turn).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low < high").select("bucket", F.col("head.cid").alias("head"), F.col("head.component").alias("home")))
@@ -324,16 +336,15 @@ def elect_rounds(members: DataFrame, links: DataFrame, bags: DataFrame, texts: D
         tried = tried.unionByName(near)
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-    return links, tried
+        parts = merged_parts(parts, found)
+    return parts, tried
 
 
 def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
-    """``links`` and, among what the representatives left apart, as many more as join all that link."""
+    """Components by ``links`` and, among what the representatives left apart, by as many more as join all that link."""
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     crowded = near.select("bucket", F.col("a").alias("cid")).distinct().unionByName(near.select("bucket", F.col("b").alias("cid")))
-    links, tried = elect_rounds(crowded, links, bags, texts, tried)
-    parts = connected_components(links)
+    parts, tried = elect_rounds(crowded, materialize(connected_components(links), "parts"), bags, texts, tried)
     pending = materialize(open_pairs(near, parts, bags).join(tried, ["a", "b"], "left_anti"), "open-pairs")
     n = pending.count()
     for one_in in SHARES:
@@ -342,14 +353,13 @@ def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFra
         if one_in > 1 and n < one_in * 10_000:
             continue
         turn = F.pmod(F.xxhash64("a", "b"), F.lit(one_in)) == 0
-        links = links.unionByName(materialize(verify(pending.where(turn), texts), "more-links"))
+        parts = merged_parts(parts, materialize(verify(pending.where(turn), texts), "more-links"))
         if one_in > 1:
-            parts = connected_components(links)
             of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
             pending = materialize(pending.where(~turn).join(of["a"], "a", "left").join(of["b"], "b", "left")
                                   .where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b"), "open-pairs")
             n = pending.count()
-    return links
+    return parts
 
 
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
@@ -373,8 +383,7 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     texts = materialize(plain.join(reps, null_safe(plain, reps, [("doc_id", "__d"), (key, "__k")]))
                         .select("cid", "text").dropDuplicates(["cid"]), "texts")
     links = materialize(verify(near, texts), "links")
-    links = link_rest(near, links, classes.select("cid", "n_words", "bag"), texts)
-    parts = connected_components(links)
+    parts = link_rest(near, links, classes.select("cid", "n_words", "bag"), texts)
     named = (classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
     groups = named.groupBy("component").agg(F.min("least").alias("g"))
