@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,22 +69,30 @@ def pattern_spans(text: str) -> list[tuple[int, str, int, int]]:
     return [(s, KINDS[k], e, v) for s, k, e, v in sorted(out)]
 
 
-def _shape(token: str) -> str:
-    s = re.sub(r"[a-z]+", "x", re.sub(r"[A-Z]+", "X", re.sub(r"[0-9]+", "0", token)))
-    return s if len(s) <= 6 else f"{s[:2]}~{min(len(s) // 4, 6)}"
+_CLASS = {**{ord(c): "x" for c in string.ascii_lowercase}, **{ord(c): "X" for c in string.ascii_uppercase},
+          **{ord(c): "0" for c in string.digits}}
+_RUN = re.compile(r"([xX0])\1+")
+_HEX = re.compile(r"[0-9a-fA-F]+")
 
 
 def _bucket(x: float, steps: tuple) -> int:
-    return sum(x >= s for s in steps)
+    return bisect_right(steps, x)
 
 
-def describe(token: str) -> tuple[str, ...]:
-    """What a token looks like; the first entry is its shape."""
-    n, low = len(token), token.lower()
-    return (f"shape={_shape(token)}", f"length={_bucket(n, (2, 4, 8, 12, 16, 20, 24, 32, 41, 64))}",
-            f"digits={_bucket(sum(c.isdigit() for c in token) / n, (0.01, 0.2, 0.5, 1.0))}",
-            f"variety={_bucket(len(set(token)), (3, 6, 9, 12, 15, 20))}",
-            f"hex={all(c in '0123456789abcdef' for c in low)}", f"upper={token.isupper()}")
+def look_of(token: str) -> tuple:
+    """What a token looks like: shape (runs of lower case, upper case and digits), then buckets and kinds."""
+    n, classes = len(token), token.translate(_CLASS)
+    shape = _RUN.sub(r"\1", classes)
+    if len(shape) > 6:
+        shape = f"{shape[:2]}~{min(len(shape) // 4, 6)}"
+    return (shape, _bucket(n, (2, 4, 8, 12, 16, 20, 24, 32, 41, 64)), _bucket(classes.count("0") / n, (0.01, 0.2, 0.5, 1.0)),
+            _bucket(len(set(token)), (3, 6, 9, 12, 15, 20)), _HEX.fullmatch(token) is not None, token.isupper())
+
+
+def describe(look: tuple) -> list[str]:
+    """Feature names of a look."""
+    names = [f"{k}={v}" for k, v in zip(("shape", "length", "digits", "variety", "hex", "upper"), look)]
+    return [*names, f"{names[1]}&{names[4]}&{names[2]}", f"{names[0]}&{names[3]}"]
 
 
 def file_features(text: str) -> list[str]:
@@ -103,36 +113,51 @@ class Reader:
     """Feature numbers of token sequences; remembers what tokens look like."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}   # token -> number of its description, hash as a neighbour
-        self.looks: dict[tuple[str, ...], int] = {}
+        self.known: dict[str, int] = {}               # token -> its row in the two lists below
+        self.look: list[int] = []                     # number of its description
+        self.word: list[int] = []                     # its hash as a neighbour
+        self.looks: dict[tuple, int] = {}
         self.own: list[list[int]] = []                # features of a description by itself
         self.shape: list[int] = []                    # hash of its shape
         self.words: dict[str, int] = {}
+        self.arrays = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
 
-    def token(self, token: str) -> tuple[int, int]:
-        if token in self.known:
-            return self.known[token]
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        look = describe(token)
+    def token(self, token: str) -> int:
+        at = self.known.get(token)
+        if at is not None:
+            return at
+        look = look_of(token)
         if look not in self.looks:
             self.looks[look] = len(self.own)
-            self.own.append([_feature(x) for x in (*look, f"{look[1]}&{look[4]}&{look[2]}", f"{look[0]}&{look[3]}")])
-            self.shape.append(hash64(look[0].encode("utf-8", "surrogatepass")))
+            self.own.append([_feature(x) for x in describe(look)])
+            self.shape.append(hash64(f"shape={look[0]}".encode("utf-8", "surrogatepass")))
         word = _plain(token)
         if word not in self.words:
             self.words[word] = hash64(word.encode("utf-8", "surrogatepass"))
-        self.known[token] = self.looks[look], self.words[word]
-        return self.known[token]
+        self.known[token] = at = len(self.look)
+        self.look.append(self.looks[look])
+        self.word.append(self.words[word])
+        return at
 
     def read(self, tokens: list[str], hidden: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of descriptions and neighbour hashes; words at ``hidden`` places are read as any long token."""
-        pairs = [self.token(t) for t in tokens]
-        looks, words = (np.array(x, dtype=t) for x, t in zip(zip(*pairs), (np.int64, np.uint64))) if pairs else (
-            np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))
+        known, new = self.known, self.token
+        if len(known) > KNOWN:
+            known.clear()
+            self.words.clear()
+            self.look.clear()
+            self.word.clear()
+            self.arrays = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        star = new("*" * 12)
+        at = np.array([known[t] if t in known else new(t) for t in tokens], dtype=np.int64)
         if hidden:
-            words[list(hidden)] = self.token("*" * 12)[1]
-        return looks, words
+            masked = at.copy()
+            masked[list(hidden)] = star
+        if len(self.arrays[0]) < len(self.look):
+            held = len(self.arrays[0])
+            self.arrays = (np.concatenate([self.arrays[0], np.array(self.look[held:], dtype=np.int64)]),
+                           np.concatenate([self.arrays[1], np.array(self.word[held:], dtype=np.uint64)]))
+        return self.arrays[0][at], self.arrays[1][masked if hidden else at]
 
 
 def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
