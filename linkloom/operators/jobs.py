@@ -21,7 +21,7 @@ from ..sources.export import export_categories
 from ..sources.tables import read_link_table
 from .classify import classify_links
 from .extract import run_links
-from .keyed import append_links
+from .keyed import append_links, carry_marks
 from .relabel import Complete, apply_labels, label_residue, relabel_pass
 
 
@@ -51,6 +51,7 @@ def classify_table(spark: SparkSession, table_path: str, out_path: str, csv_path
             .write.mode("errorifexists").partitionBy("pred_category").parquet(out_path)
     else:
         labelled.write.mode("errorifexists").parquet(out_path)
+    carry_marks(spark, table_path, out_path)
     result = read_link_table(spark, out_path, settings.column_map)
     if csv_path:
         export_categories(result, csv_path, url_col=settings.url_col)
@@ -74,6 +75,7 @@ def relabel_table(spark: SparkSession, table_path: str, out_path: str, complete:
     else:
         labels = label_residue(links, complete, **options)
     apply_labels(links, labels).write.mode("errorifexists").parquet(out_path)
+    carry_marks(spark, table_path, out_path)
     return read_link_table(spark, out_path, settings.column_map)
 
 

@@ -31,7 +31,7 @@ from ..session import list_names, path_exists, scratch_path
 from ..sources.tables import apply_column_map, ensure_column, read_link_table, write_link_rows
 from .dedupe import first_wins
 from .ids import dense_rank_rows, rank_keys
-from .keyfilter import add_to_filter, split_by_filter
+from .keyfilter import add_to_filter, filter_blocks, read_filter, split_by_filter
 
 def next_id_base(target: DataFrame | None, id_col: str = "id") -> int:
     """The largest stored id (0 for no table): one scalar to the driver."""
@@ -71,10 +71,23 @@ def reserve_ids(spark: SparkSession, table_path: str, n: int, target: DataFrame
     write that fails in between leaves a gap, as a sequence does.
     """
     base = stored_mark(spark, table_path, target)
-    spark.createDataFrame([(base + n,)], "high long").coalesce(1).write.mode("append").parquet(f"{table_path.rstrip('/')}/_ids")
+    _write_mark(spark, table_path, base + n)
     return base
 
 
+def _write_mark(spark: SparkSession, table_path: str, high: int) -> None:
+    spark.createDataFrame([(high,)], "high long").coalesce(1).write.mode("append").parquet(f"{table_path.rstrip('/')}/_ids")
+
+
+def carry_marks(spark: SparkSession, table_path: str, out_path: str) -> None:
+    """Give a new version of a table the old one's id mark and key filter (its keys are the same)."""
+    if path_exists(spark, f"{table_path.rstrip('/')}/_ids/_SUCCESS"):
+        _write_mark(spark, out_path, stored_mark(spark, table_path, None))
+    blocks = filter_blocks(spark, table_path)
+    if blocks:
+        read_filter(spark, table_path, blocks).write.mode("append").parquet(f"{out_path.rstrip('/')}/_keys/blocks={blocks}")
+
+
 def absent_places(places: DataFrame, target: DataFrame, key: str, table_path: str) -> DataFrame:
     """Rows of ``places`` (key and order columns) whose key is not stored; only keys the filter cannot rule out are compared."""
     stored = target.select(key).where(F.col(key).isNotNull())

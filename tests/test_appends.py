@@ -64,3 +64,10 @@ def test_ids_go_on_from_the_stored_mark_without_a_scan(spark, sf_dir, monkeypatc
     table = store_links(pages.where("page_id < 9"), path, "example.com")
     n = table.count()
     assert sorted(r.id for r in table.select("id").collect()) == list(range(1, n + 1))
+    # a new version of the table goes on from the old one's mark, and compares with its filter
+    settings = Settings(rules=RULES, url_col="normalized_url")
+    classify_table(spark, path, f"{path}-2", None, settings)
+    assert keyfilter.filter_blocks(spark, f"{path}-2") == keyfilter.filter_blocks(spark, path) > 0
+    table = store_links(pages.where("page_id < 12"), f"{path}-2", "example.com", settings)
+    m = table.count()
+    assert m > n and sorted(r.id for r in table.select("id").collect()) == list(range(1, m + 1))
