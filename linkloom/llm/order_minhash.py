@@ -40,7 +40,7 @@ from linkloom.llm.words import WordHashes, mix, shingle_hashes, words
 K = 5
 PICKS = 64  # a band each
 SIMILARITY = 0.8
-ROUNDS = 4  # of further representatives, before what is left meets in blocks
+ROUNDS = 3  # of further representatives, before what is left meets in blocks
 BLOCK_BYTES = 1 << 19  # word counts of the members of a block, about
 BINS_A_WORD = 4
 SHARES = (64, 8, 1)  # one pair in so many is aligned a round, while there are many; the last round takes all that are left
@@ -322,12 +322,13 @@ def elect_rounds(members: DataFrame, parts: DataFrame, bags: DataFrame, texts: D
 
     side = {c: bags.select(F.col("cid").alias(c), F.col("n_words").alias(f"n_{c}"), F.col("bag").alias(f"bag_{c}")) for c in "ab"}
     for k in range(ROUNDS):
-        placed = (members.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
+        placed = (members.select("bucket", "cid").join(parts.withColumnRenamed("node", "cid"), "cid", "left")
                   .withColumn("component", F.coalesce("component", "cid")))
         turn = F.struct(F.xxhash64("cid", F.lit(k)).alias("h"), "cid", "component")
         heads = (placed.groupBy("bucket").agg(F.min(turn).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low < high").select("bucket", F.col("head.cid").alias("head"), F.col("head.component").alias("home")))
-        pairs = (placed.join(heads, "bucket").where("component != home")
+        members = materialize(placed.join(heads, "bucket").select("bucket", "cid", "component", "head", "home"), "open-members")
+        pairs = (members.where("component != home")
                  .select(F.least("head", "cid").alias("a"), F.greatest("head", "cid").alias("b")).distinct()
                  .join(tried, ["a", "b"], "left_anti"))
         near = materialize(pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "n_a", "bag_a", "n_b", "bag_b")
@@ -340,11 +341,22 @@ def elect_rounds(members: DataFrame, parts: DataFrame, bags: DataFrame, texts: D
     return parts, tried
 
 
-def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
+def open_bands(near: DataFrame, tried: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of ``near`` (bucket, a, b) of the bands that hold several components: those with a tried pair still apart."""
+    of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
+    apart = materialize(tried.join(of["a"], "a", "left").join(of["b"], "b", "left")
+                        .where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b"), "apart")
+    at = near.select("bucket", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    bands = materialize(at.join(apart, ["a", "b"], "left_semi").select("bucket").distinct(), "open-bands")
+    return materialize(near.join(bands, "bucket", "left_semi"), "open-near")
+
+
+def link_rest(near: DataFrame, tried: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
     """Components by ``links`` and, among what the representatives left apart, by as many more as join all that link."""
-    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    parts = materialize(connected_components(links), "parts")
+    near = open_bands(near, tried, parts)
     crowded = near.select("bucket", F.col("a").alias("cid")).distinct().unionByName(near.select("bucket", F.col("b").alias("cid")))
-    parts, tried = elect_rounds(crowded, materialize(connected_components(links), "parts"), bags, texts, tried)
+    parts, tried = elect_rounds(crowded, parts, bags, texts, tried)
     pending = materialize(open_pairs(near, parts, bags).join(tried, ["a", "b"], "left_anti"), "open-pairs")
     n = pending.count()
     for one_in in SHARES:
@@ -366,24 +378,25 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """Per distinct (doc_id, content hash): group key (doc_id, content hash), kept, and rows of that key."""
     (key,) = fresh(docs, "key")
     keyed = row_key(docs.select("doc_id", "text"), key)
-    rows = materialize(sketches(keyed, key), "sketches")
+    rows = materialize(sketches(keyed, key), "sketches", compression="zstd")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     classes = materialize(rows.groupBy("key", "second").agg(least.alias("least"), F.first("picks").alias("picks"),
                                                              F.first("n_words").alias("n_words"), F.first("bag").alias("bag"))
-                          .withColumn("cid", F.monotonically_increasing_id()), "classes")
+                          .withColumn("cid", F.monotonically_increasing_id()), "classes", compression="zstd")
     sketched = classes.where(F.size("picks") > 0)
     band = [F.xxhash64(F.lit(i), F.col("picks")[i]) for i in range(PICKS)]
     members = sketched.select("cid", F.explode(F.array(*band)).alias("bucket"))
-    near = materialize(star_pairs(members), "candidates")
+    near = materialize(star_pairs(members), "candidates", compression="zstd")
+    tried = materialize(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
     # one text per class that is in any pair, by the class's least row
-    ids = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
+    ids = tried.select(F.col("a").alias("cid")).union(tried.select(F.col("b").alias("cid"))).distinct()
     reps = classes.join(ids, "cid", "left_semi").select("cid", F.col("least.doc_id").alias("__d"),
                                                         F.col("least.key").alias("__k"))
     plain = keyed.select("doc_id", key, body().alias("text"))
     texts = materialize(plain.join(reps, null_safe(plain, reps, [("doc_id", "__d"), (key, "__k")]))
                         .select("cid", "text").dropDuplicates(["cid"]), "texts")
-    links = materialize(verify(near, texts), "links")
-    parts = link_rest(near, links, classes.select("cid", "n_words", "bag"), texts)
+    links = materialize(verify(tried, texts), "links")
+    parts = link_rest(near, tried, links, classes.select("cid", "n_words", "bag"), texts)
     named = (classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
     groups = named.groupBy("component").agg(F.min("least").alias("g"))
