@@ -103,6 +103,8 @@ def add_link_rows(rows: DataFrame, places: DataFrame, target: DataFrame | None,
     spark = rows.sparkSession
     key = settings.unique_key
     ranked, n = rank_keys(places.select("page_id", "pos", key), ["page_id", "pos"], out="__rank")
+    if not n and target is not None:
+        return
     base = reserve_ids(spark, table_path, n, target)
     add_to_filter(ranked, target, key, table_path, base + n)
     at = ranked.select(F.col("page_id").alias("__page"), F.col("pos").alias("__pos"), F.col(key).alias("__key"), "__rank")
