@@ -214,7 +214,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
             score = [edit_similarity(words(s), words(t))
                      for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             keep = pa.array([x > 0 for x in score])
@@ -312,7 +312,7 @@ def elect_rounds(members: DataFrame, parts: DataFrame, bags: DataFrame, texts: D
     ``members``: bucket, cid of bands with two members or more.
     """
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
             n, m = (batch.column(c).to_numpy() for c in (2, 4))
             x, y = (batch.column(c).to_pylist() for c in (3, 5))
             keep = [SIMILARITY * max(n[k], m[k]) - 1 <= min(n[k], m[k]) and bool(within_reach(
