@@ -13,7 +13,9 @@ set-oriented original; all shipped rules start with ``^``.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Sequence
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,8 +57,8 @@ def rule_case(url: Column, rules: Sequence[Rule], honor_all_flags: bool = False,
     return F.coalesce(*cases, F.lit(default))  # a later CASE is only tried where no earlier one matched
 
 
-def pattern_literal(pattern: str) -> str:
-    """The longest run of plain ASCII characters every match of the pattern must hold, in lower case ('' if none is sure).
+def pattern_literals(pattern: str) -> list[str]:
+    """The runs of plain ASCII characters every match of the pattern must hold, in lower case (none if none is sure).
 
     Read from the pattern's text: runs outside groups, classes and
     alternatives; a character that a quantifier may drop ends the run before it.
@@ -68,16 +70,21 @@ def pattern_literal(pattern: str) -> str:
         if c == "\\":
             at += 1
             c = pattern[at:at + 1]
+            if c.isalnum() and c not in "dDwWsSbBAZ":
+                return []  # a character by its number or name, or a group again
             if c and not c.isalnum():
                 plain = c
-        elif c == "[":  # a class, closed by the first ] that is not its first member
-            at = pattern.find("]", at + (3 if pattern[at + 1:at + 2] == "^" else 2))
-            if at < 0:
-                return ""
+        elif c == "[":  # a class, closed by the first ] that is neither its first member nor escaped
+            at += 2 if pattern[at + 1:at + 2] == "^" else 1
+            at += pattern[at:at + 1] == "]"
+            while pattern[at:at + 1] not in ("]", ""):
+                at += 2 if pattern[at] == "\\" else 1
+            if at >= len(pattern):
+                return []
         elif c in "()":
             depth += 1 if c == "(" else -1
         elif c == "|" and not depth:
-            return ""
+            return []
         elif c not in "|.^$*+?{}":
             plain = c
         elif c == "{":
@@ -92,11 +99,20 @@ def pattern_literal(pattern: str) -> str:
             runs.append(run)
             run = ""
         at += 1
-    return max([*runs, run], key=len)
+    return [r for r in (*runs, run) if r]
+
+
+def pattern_literal(pattern: str) -> str:
+    """The longest of :func:`pattern_literals` ('' if there is none)."""
+    return max(pattern_literals(pattern), key=len, default="")
 
 
 class RuleIndex:
-    """Many rules as one automaton over their literals: a URL meets only the patterns whose literal it holds, in order."""
+    """Many rules as one automaton over their literals: a URL meets only the patterns whose literal it holds, in order.
+
+    Of a rule's literals the one that fewest rules hold is taken, the longest
+    of several: a host that all rules name tells none of them apart.
+    """
 
     def __init__(self, rules: Sequence[Rule], honor_all_flags: bool = False, force_ignorecase: bool = False, default: str = "other"):
         self.rules = [(label, pattern, {str(f).upper() for f in flags or []}) for label, pattern, flags in rules]
@@ -109,16 +125,18 @@ class RuleIndex:
     def _make(self):
         import ahocorasick
 
+        literals = [set(pattern_literals(pattern)) for _, pattern, _ in self.rules]
+        shared = Counter(chain.from_iterable(literals))
         by_literal: dict[str, list[int]] = {}
         tests = []
-        for k, (_, pattern, flags) in enumerate(self.rules):
+        for k, ((_, pattern, flags), own) in enumerate(zip(self.rules, literals)):
             options = re.ASCII
             if self.force or "IGNORECASE" in flags:
                 options |= re.IGNORECASE
             if self.honor_all:
                 options |= (re.MULTILINE if "MULTILINE" in flags else 0) | (re.DOTALL if "DOTALL" in flags else 0)
             tests.append(re.compile(pattern, options).search)
-            by_literal.setdefault(pattern_literal(pattern), []).append(k)
+            by_literal.setdefault(min(own, key=lambda x: (shared[x], -len(x), x), default=""), []).append(k)
         always = by_literal.pop("", [])
         found = ahocorasick.Automaton()
         for literal, members in by_literal.items():

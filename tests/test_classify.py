@@ -126,6 +126,31 @@ def test_two_thousand_rules_cost_little_more_than_ten():
     assert labels[7] == "l7" and labels[2400] == "other" and spent[1] < 3 * spent[0] + 0.05, spent
 
 
+def test_a_literal_that_all_rules_share_finds_none_of_them():
+    import time
+
+    from linkloom.operators.classify import RuleIndex
+    rules = [(f"l{k}", rf"^https?://(?:www\.)?shop\.example/.+-p-x{k}(?:[/?].*)?$", ["IGNORECASE"]) for k in range(2000)]
+    urls = [f"https://www.shop.example/some-thing-p-X{k}" for k in range(2500)]
+    spent = []
+    for some in (rules[:10], rules):
+        index = RuleIndex(some)
+        index.label(urls[0])
+        t0 = time.process_time()
+        labels = [index.label(u) for u in urls[:10] * 250]
+        spent.append(time.process_time() - t0)
+    assert labels[:10] == [f"l{k}" for k in range(10)] and spent[1] < 4 * spent[0] + 0.05, spent
+    assert [index.label(u) for u in urls] == [f"l{k}" if k < 2000 else "other" for k in range(2500)]
+
+
+def test_literals_of_escapes_and_classes():
+    from linkloom.operators.classify import pattern_literals
+    cases = {r"^https?://s\.example/.+-p-x1(?:[/?].*)?$": ["http", "://s.example/", "-p-x1"], r"[\]a]qq": ["qq"], r"[^]\]a]qq": ["qq"],
+             r"\x41bc": [], r"(a)\1bc": [], r"\d\.ab": [".ab"], "[ab": []}
+    for pattern, literals in cases.items():
+        assert pattern_literals(pattern) == literals, pattern
+
+
 def test_merged_profiles_equal_a_recount(spark):
     from linkloom.operators.classify import category_profile, merge_profiles, profile_counts, profile_partial
     links = spark.range(20000).selectExpr("concat('u', id % 7000) AS url", "if(id % 3 = 0, 'a', 'b') AS pred_category", "id % 5 = 0 AS is_external")
