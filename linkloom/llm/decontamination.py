@@ -12,7 +12,8 @@ L - 1 - floor(0.4 L) pairs must lie near one diagonal before it is aligned.
 
 Counts, seeds, places and candidates are tables.  Tasks get a bitmap of the
 pairs' hashes, of fixed size (4 MB) whatever the benchmark, which selects the
-places of a text that are joined with the seeds.
+places of a text that are counted; those of seeds are then joined with them.
+A text is read as words once, its places (at most one a word) are written.
 
 Defined results: null texts and items, and those without words, match
 nothing; items of one word are found as that word; equal items each report; a
@@ -123,27 +124,49 @@ def _hits(pairs: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
 
 
-def rare_seeds(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """item, n_words, place, pair of each item's floor(0.4 L) + 1 rarest pairs by the corpus's counts."""
+def item_places(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Written rows (key, pair, place), a text each: the text's pairs that may be an item's, and where; ``docs``: key, text.
+
+    Texts are read as words here only: seeds are counted and found in this table.
+    """
     held = bitmap(pairs.select("pair"))
     single = not pairs.where("n_words = 1").isEmpty()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bits = WordHashes(), np.frombuffer(held.value, dtype=np.uint8)
-        for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
+        for batch in (whole.slice(lo, 1000) for whole in batches for lo in range(0, whole.num_rows, 1000)):
+            key, ends, pair, place = [], [0], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = hashes.array(words(text))
-                if len(h) > 1:
-                    p = pair_hashes(h)
-                    found.append(p[_hits(p, bits)])
+                sets = [pair_hashes(h)] if len(h) > 1 else []
                 if single and len(h):
-                    p = mix(h + np.uint64(77))
-                    found.append(p[_hits(p, bits)])
-            keys, n = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["pair", "n"])
+                    sets.append(mix(h + np.uint64(77)))
+                n = 0
+                for p in sets:
+                    at = _hits(p, bits)
+                    pair.append(p[at].view(np.int64))
+                    place.append(at)
+                    n += len(at)
+                if n:
+                    key.append(k)
+                    ends.append(ends[-1] + n)
+            cuts = pa.array(ends, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(pair))),
+                                              pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(place).astype(np.int32)))],
+                                             names=["key", "pair", "place"])
+
+    return materialize(docs.select("key", "text").mapInArrow(run, "key long, pair array<long>, place array<int>"), "item-places",
+                       compression="zstd")
+
+
+def rare_seeds(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """item, n_words, place, pair of each item's floor(0.4 L) + 1 rarest pairs by the corpus's counts; ``places``: :func:`item_places`."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["pair", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = places.select("pair").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     known = pairs.join(counts, "pair", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rarest = Window.partitionBy("item").orderBy("n", "pair", "place")  # an item's pairs: bounded by its text
     lacks = F.floor(F.lit((1 - SIMILARITY) * MATCH) * F.col("n_words") + F.lit(1e-9))
@@ -153,33 +176,21 @@ def rare_seeds(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- candidates
 
-def candidates(seeds: DataFrame, docs: DataFrame) -> DataFrame:
-    """(key, item, shifts): where seeds of an item lie in a text, as text place minus item place; ``docs``: key, text."""
+def candidates(seeds: DataFrame, places: DataFrame) -> DataFrame:
+    """(key, item, shifts): where seeds of an item lie in a text, as text place minus item place; ``places``: :func:`item_places`."""
     held = bitmap(seeds.select("pair"))
-    single = not seeds.where("n_words = 1").isEmpty()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bits = WordHashes(), np.frombuffer(held.value, dtype=np.uint8)
+        bits = np.frombuffer(held.value, dtype=np.uint8)
         for batch in batches:
-            key, pair, place = [], [], []
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = hashes.array(words(text))
-                sets = [pair_hashes(h)] if len(h) > 1 else []
-                if single and len(h):
-                    sets.append(mix(h + np.uint64(77)))
-                for p in sets:
-                    at = _hits(p, bits)
-                    if len(at):
-                        key.append(np.full(len(at), k))
-                        pair.append(p[at].view(np.int64))
-                        place.append(at)
-            if key:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in
-                                                  ((key, np.int64), (pair, np.int64), (place, np.int32))], names=["key", "pair", "place"])
+            pair, place = (batch.column(i).flatten().to_numpy() for i in (1, 2))
+            at = _hits(pair.view(np.uint64), bits)
+            key = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (key, pair, place)], names=["key", "pair", "place"])
 
-    places = docs.select("key", "text").mapInArrow(run, "key long, pair long, place int")
+    found = places.mapInArrow(run, "key long, pair long, place int")
     lead = seeds.select("item", F.col("place").alias("own"), "pair")
-    return materialize(places.join(lead, "pair").groupBy("key", "item")
+    return materialize(found.join(lead, "pair").groupBy("key", "item")
                        .agg(F.sort_array(F.collect_set(F.col("place") - F.col("own"))).alias("shifts")), "leak-candidates")
 
 
@@ -223,7 +234,8 @@ def best_copy(item: np.ndarray, text: np.ndarray, shifts: list[int]) -> tuple[fl
 def leak_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Written rows (key, item, similarity, first_word, end_word); ``docs``: key (of the text), text, copies included."""
     items = item_pairs(benchmark)
-    near = candidates(rare_seeds(items, docs), docs)
+    places = item_places(items, docs)
+    near = candidates(rare_seeds(items, places), places)
     texts = docs.join(near.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     wanted = (benchmark.where("text is not null").select(F.xxhash64(F.lit(31), "text").alias("item"), F.col("text").alias("item_text"))
               .groupBy("item").agg(F.first("item_text").alias("item_text")))

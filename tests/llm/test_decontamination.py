@@ -76,3 +76,28 @@ def test_ids_of_any_type_and_repeated_rows(spark):
     named = spark.createDataFrame([("x", "the test item is here")], "item_id string, text string")
     assert dc.drop_leaks(frame.withColumn("__key", frame.doc_id), named).columns == ["doc_id", "text", "__key"]
     assert dc.drop_leaks(frame, named).count() == 2
+
+
+def test_places_are_written_once_and_give_counts_and_seeds(spark):
+    """The one table that seeds are counted and found in: every item pair of every text, repeated rows included."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choices("abcdefghij", k=n))
+    items = [(k, text(rng.randint(1, 9))) for k in range(8)]
+    docs = [(d % 30, text(rng.randint(0, 40))) for d in range(40)]
+    docs += docs[:5]
+    pairs = dc.item_pairs(spark.createDataFrame(items, "item_id long, text string"))
+    places = dc.item_places(pairs, spark.createDataFrame(docs, "key long, text string"))
+    hashes = dc.WordHashes()
+    wanted = {p.pair for p in pairs.select("pair").collect()}
+    want = []
+    for key, t in docs:
+        h = hashes.array(words(t))
+        sets = ([dc.pair_hashes(h)] if len(h) > 1 else []) + ([dc.mix(h + np.uint64(77))] if any(len(words(i)) == 1 for _, i in items) and len(h) else [])
+        want += [(key, int(p), at) for s in sets for at, p in enumerate(s.view(np.int64)) if int(p) in wanted]
+    got = [(r.key, p, at) for r in places.collect() for p, at in zip(r.pair, r.place)]
+    assert sorted(x for x in got if x[1] in wanted) == sorted(want) and want
+    seeds = dc.rare_seeds(pairs, places).collect()
+    per_item = {}
+    for s in seeds:
+        per_item.setdefault((s["item"], s["n_words"]), []).append(s["pair"])
+    assert all(len(v) == min(dc.losable(n) + 1, max(1, n - 1)) for (_, n), v in per_item.items())
