@@ -37,7 +37,8 @@ from linkloom.llm.common import body, materialize
 BASE = 16
 LEVELS = 3
 WINDOW = BASE ** LEVELS
-CACHE_WORDS = 1_500_000  # cached words per worker process (memory bound; a full cache is emptied)
+CACHE_WORDS = 400_000  # cached words per worker process (memory bound; a full cache keeps the words met again, if few enough)
+TEXTS = 1000           # texts tokenised at once
 
 PIECES = ("part int, doc_id {id}, doc_tokens long, start array<long>, length array<long>, cls array<int>, "
           "rank array<long>, crc array<long>, bit_crc array<array<long>>")
@@ -274,23 +275,47 @@ class WordCache:
             vars(held)[path] = cls(path)
         return vars(held)[path]
 
+    @staticmethod
+    def forget() -> None:
+        """Free this worker process's caches: all texts are tokenised."""
+        sys.modules.pop("_word_ids_of_process", None)
+
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, dtype="<u4")
         self.ends = np.zeros(1 << 14, dtype=np.int64)  # ends[k]: where word k's ids end; word 0 is empty
+        self.again = np.zeros(1 << 14, dtype=bool)     # whether a later batch held word k too
         self.number[""] = 0
 
+    def drop_single(self) -> None:
+        """Forget the words of one batch only; all words if more than half of the room would stay taken."""
+        names, old, ids = list(self.number), self.ends, self.ids
+        kept = np.flatnonzero(self.again[:len(names)])
+        kept = kept[kept > 0]
+        self.clear()
+        if not 0 < len(kept) <= CACHE_WORDS // 2:
+            return
+        n = old[kept] - old[kept - 1]
+        ends = np.cumsum(n)
+        self.ids = ids[np.arange(int(ends[-1])) + np.repeat(old[kept - 1] - (ends - n), n)]
+        if not len(self.ids):
+            self.ids = np.zeros(1, dtype="<u4")
+        self.ends = np.r_[0, ends].astype(np.int64)
+        self.again = np.zeros(len(kept) + 1, dtype=bool)
+        self.number.update(zip([names[k] for k in kept.tolist()], range(1, len(kept) + 1)))
+
     def _add(self, words: list[str]) -> None:
         k, at = len(self.number), int(self.ends[len(self.number) - 1])
-        for lo in range(0, len(words), 50_000):
-            some = words[lo:lo + 50_000]
-            found = [e.ids for e in self.tokenizer.encode_batch(some, add_special_tokens=False)]
+        for lo in range(0, len(words), 10_000):
+            some = words[lo:lo + 10_000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             n = np.array([len(f) for f in found], dtype=np.int64)
             ends = at + np.cumsum(n)
             while len(self.ids) < ends[-1]:
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             while len(self.ends) < k + len(some):
                 self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+                self.again = np.concatenate([self.again, np.zeros_like(self.again)])
             self.ids[at:ends[-1]] = np.fromiter(chain.from_iterable(found), dtype="<u4", count=int(n.sum()))
             self.ends[k:k + len(some)] = ends
             self.number.update(zip(some, range(k, k + len(some))))
@@ -299,7 +324,7 @@ class WordCache:
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text."""
         if len(self.number) > CACHE_WORDS:
-            self.clear()
+            self.drop_single()
         odd = pc.match_substring_regex(texts, self.ODD)
         plain = pc.ascii_lower(pc.if_else(odd, pa.scalar("", texts.type), texts))
         words = pc.utf8_split_whitespace(plain)
@@ -307,6 +332,7 @@ class WordCache:
         names = flat.dictionary.to_pylist()
         known = np.fromiter(map(self.number.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         new = np.flatnonzero(known < 0)
+        self.again[known[known >= 0]] = True
         known[new] = len(self.number) + np.arange(len(new))
         self._add([names[i] for i in new.tolist()])
         number = known[flat.indices.to_numpy()]
@@ -363,8 +389,8 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFra
         cache, end = WordCache.of_process(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (BASE * LEVELS)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 5000):
-                some = batch.slice(lo, 5000)
+            for lo in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(lo, TEXTS)
                 rows = {k: [] for k in ("doc_tokens", "start", "length", "cls", "rank", "crc", "bit_crc")}
                 for own in cache.batch(some.column(1)):
                     ids = own.tobytes() + end
@@ -407,10 +433,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        WordCache.forget()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            yield place_batch(batch, plan)
+            for lo in range(0, batch.num_rows, 2 * TEXTS):
+                yield place_batch(batch.slice(lo, 2 * TEXTS), plan)
 
     schema = (f"doc_id {id_type.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long")

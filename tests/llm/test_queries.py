@@ -234,3 +234,24 @@ def test_packing_round_trip(spark, sf_dir, docs):
         assert at <= 4096
         short += at < 4096
     assert short <= 1 and sorted(sequences) == list(range(len(sequences)))
+
+
+def test_a_full_word_cache_keeps_the_words_met_again(monkeypatch):
+    """A small cache gives the same ids, stays small, and does not encode common words again."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from linkloom.llm import packing
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 100)
+    cache, encoded = packing.WordCache(path), []
+    add = cache._add
+    monkeypatch.setattr(cache, "_add", lambda ws: (encoded.extend(ws), add(ws))[1])
+    for k in range(12):
+        texts = ["the common words stay", *[f"single{k}x{j} \x1d odd" if j == 3 else f"The single{k}x{j}  words" for j in range(40)], ""]
+        got = cache.batch(pa.array(texts))
+        assert [x.tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(cache.number) <= 100 + 50
+    assert encoded.count("common") == encoded.count("words") == 1 and encoded.count("single0x1") == 1
