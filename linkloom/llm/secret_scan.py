@@ -30,10 +30,12 @@ import string
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import Shared, body, materialize
@@ -57,7 +59,9 @@ KINDS = ("assign", "access", "hex", "crf")
 TOKEN = re.compile(r"[A-Za-z0-9+/_\-]+|\w+|[^\s\w]")
 _DIGIT, _LETTER, _VALUE = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]"), re.compile(r"[A-Za-z0-9+/_.=\-]{8,}")
 # what Spark selects documents with matches by, before the patterns themselves are run
-ANY_PATTERN = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
+KEY_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")  # one of them, in either case, is in every assignment
+ANY_ASSIGN = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}"
+ANY_OTHER = r"AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 
 
 def pattern_spans(text: str) -> list[tuple[int, str, int, int]]:
@@ -197,10 +201,13 @@ class Field:
                 score[r, :b - a] = scores[k][a:b]
                 live[r, :b - a] = True
             best, back = self.start + score[:, 0], np.zeros((length, len(some), 3), dtype=np.int8)
+            whole = live.all(axis=0).tolist()
             for t in range(1, length):
-                step = best[:, :, None] + np.where(live[:, t, None, None], self.transition, 0.0)
-                back[t] = step.argmax(axis=1)
-                best = step.max(axis=1) + score[:, t]
+                move = self.transition[:, None, :] if whole[t] else np.where(live[:, t, None], self.transition[:, None, :], 0.0)
+                outside, begin, inside = (best[:, k:k + 1] + move[k] for k in (OUTSIDE, BEGIN, INSIDE))
+                top = np.maximum(outside, begin)
+                back[t] = np.where(inside > top, INSIDE, begin > outside)
+                best = np.maximum(top, inside) + score[:, t]
             path = np.zeros((len(some), length), dtype=np.int8)
             path[:, -1] = best.argmax(axis=1)
             rows = np.arange(len(some))
@@ -219,6 +226,7 @@ class Tagger:
         self.field, self.reader = field, Reader()
         self.sums = np.zeros((0, 3))
         self.shape = np.zeros(0, dtype=np.uint64)
+        self.whole: dict[tuple[int, str], np.ndarray] = {}  # what a feature of the whole text adds to every description
 
     def scores(self, tokens: list[str], file: list[str]) -> np.ndarray:
         looks, words = self.reader.read(tokens)
@@ -228,9 +236,17 @@ class Tagger:
             self.shape = np.array(self.reader.shape, dtype=np.uint64)
         out = self.sums[looks]
         if len(looks):
-            out = out + self.field.emission[neighbour_features(looks, words, self.shape)].sum(axis=1)
+            around = neighbour_features(looks, words, self.shape).T
+            near = self.field.emission[around[0]]
+            for column in around[1:]:
+                near += self.field.emission[column]
+            out = out + near
             for k, name in enumerate(file):
-                out = out + self.field.emission[_mixed(self.shape ^ np.uint64(_feature(name)), 200 + k)][looks]
+                adds = self.whole.get((k, name), self.sums[:0])
+                if len(adds) < len(self.shape):
+                    new = _mixed(self.shape[len(adds):] ^ np.uint64(_feature(name)), 200 + k)
+                    self.whole[k, name] = adds = np.concatenate([adds, self.field.emission[new]])
+                out = out + adds[looks]
         return out
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int]]]:
@@ -360,9 +376,16 @@ def scan(texts: list[str], tagger: Tagger | None) -> list[list[tuple[int, str, i
     return out
 
 
+def may_match(text: Column) -> Column:
+    """Whether a text has a match of the fixed patterns; a plain search for the key words spares most texts theirs."""
+    lower = F.lower(text)
+    named = reduce(or_, [lower.contains(word) for word in KEY_WORDS])
+    return (named & text.rlike(ANY_ASSIGN)) | text.rlike(ANY_OTHER)
+
+
 def fit_on_sample(docs: DataFrame, hits: int = HITS, plain: int = PLAIN) -> Field | None:
     """The field from at most ``hits`` documents with matches and ``plain`` others; their stretches (bounded each) come to the driver."""
-    marked = docs.where("text is not null and doc_id is not null").select("doc_id", F.col("text").rlike(ANY_PATTERN).alias("hit"))
+    marked = materialize(docs.where("text is not null and doc_id is not null").select("doc_id", may_match(F.col("text")).alias("hit")), "secret-marks")
     ids = [marked.where(F.col("hit") == hit).select("doc_id").distinct().orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(n)
            for hit, n in ((True, hits), (False, plain))]
     sample = materialize(ids[0].unionByName(ids[1]).distinct(), "secret-sample")

@@ -78,3 +78,47 @@ def test_features_of_training_and_scanning_agree():
     field = sc.Field(rng.normal(size=(1 << sc.BITS, 3)), np.zeros((3, 3)), np.zeros(3))
     assert np.allclose([field.emission[f].sum(axis=0) for f in features], sc.Tagger(field).scores(tokens, sc.file_features(text)))
     assert [t for t, y in zip(tokens, labels) if y] == ["abcDEF123456789"] and features != hidden
+
+
+def test_decoding_equals_a_plain_viterbi_and_scores_equal_their_sums():
+    """Paths of texts decoded side by side, ties to the first label; features of the whole text are summed once a description."""
+    import numpy as np
+
+    from linkloom.llm import secret_scan as ss
+    rng = np.random.default_rng(4)
+    field = ss.Field(rng.integers(-3, 4, (1 << ss.BITS, 3)).astype(float), rng.integers(-2, 3, (3, 3)).astype(float), np.zeros(3))
+    scores = [rng.integers(-2, 3, (n, 3)).astype(float) for n in (1, 7, 60, 150)]
+    for s, got in zip(scores, field.decode(scores)):
+        best, back = s[0] + field.start, []
+        for row in s[1:]:
+            step = best[:, None] + field.transition
+            back.append(step.argmax(axis=0))
+            best = step.max(axis=0) + row
+        path = [int(best.argmax())]
+        for b in reversed(back):
+            path.append(int(b[path[-1]]))
+        assert got.tolist() == path[::-1]
+    tagger = ss.Tagger(field)
+    for text in ("key = a1b2c3d4e5;", "key = a1b2c3d4e5; " * 90, "Other_Words here: Zz99-xx", "key = a1b2c3d4e5;"):
+        tokens, file = ss.TOKEN.findall(text), ss.file_features(text)
+        reader = ss.Reader()
+        looks, near = reader.read(tokens)
+        shape = np.array(reader.shape, dtype=np.uint64)
+        around = ss.neighbour_features(looks, near, shape)
+        want = [sum(field.emission[f] for f in [*reader.own[look], *around[i], *[int(ss._mixed(shape[look:look + 1] ^ np.uint64(ss._feature(x)), 200 + k)[0])
+                                                                               for k, x in enumerate(file)]]) for i, look in enumerate(looks)]
+        assert np.array_equal(tagger.scores(tokens, file), np.array(want))
+    assert len(tagger.whole) == len({(k, x) for text in ("key = a1b2c3d4e5;", "key = a1b2c3d4e5; " * 90, "Other_Words here: Zz99-xx")
+                                     for k, x in enumerate(ss.file_features(text))})
+
+
+def test_the_choice_of_documents_with_matches_is_that_of_the_patterns(spark):
+    """Spark's mark (key words first, then the patterns) chooses what the patterns choose."""
+    from pyspark.sql import functions as F
+
+    from linkloom.llm import secret_scan as ss
+    texts = ["PassWord: abcdefgh", "pass word: abcdefgh", "api_KEY=12345678", "apikey = '12345678'", "token abc", "secret=short", "AKIA" + "A" * 12,
+             "akia" + "a" * 12, "f" * 32, "F" * 32, "", "toKen: abcdefgh", "passwd:\"abcdefgh", "the secret word"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id for r in df.where(ss.may_match(F.col("text"))).collect()}
+    assert got == {i for i, t in enumerate(texts) if ss.pattern_spans(t)}
