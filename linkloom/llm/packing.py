@@ -37,7 +37,7 @@ from linkloom.llm.common import body, materialize
 BASE = 16
 LEVELS = 3
 WINDOW = BASE ** LEVELS
-CACHE_WORDS = 400_000  # cached words per worker process (memory bound; a full cache keeps the words met again, if few enough)
+CACHE_WORDS = 700_000  # cached words per worker process (memory bound; a full cache keeps the words met again, if few enough)
 TEXTS = 1000           # texts tokenised at once
 
 PIECES = ("part int, doc_id {id}, doc_tokens long, start array<long>, length array<long>, cls array<int>, "
