@@ -7,13 +7,16 @@ share J of their k-mers agree on a pick with probability about J squared, so
 scattered edits of 20 % of the words (J 0.2) meet in a band with probability
 0.92, of 15 % with 0.99, of 10 % practically always (measured in the tests).
 
-A band's members first meet its representative (the member of least hash).
-Then, for some rounds, every band that still holds several components elects
-another member, which meets all members of other components; each round is
-linear in the members.  What is then still apart meets in blocks: every two
+A band's members first meet its representative (the member of least number,
+which tells nothing of its text); a representative and a member are one row,
+however many bands they share.  Then, for some rounds, every representative
+that is still apart from a member elects another member, which meets all
+members of other components that share a band with both; each round is linear
+in the members.  What is then still apart meets in blocks of texts: every two
 members of a band that are in different components.  Pairs whose word counts
 alone put them over the distance bound (which loses no link) are not aligned,
-the others are, by growing random shares of them while components grow.  So no
+the others are, in the task that holds both blocks, unless links found there
+have joined their components; only the links that join leave the task.  So no
 band holds two members that are neither compared nor in one group.  A pair
 links if 1 - edit distance / longer length >= 0.8 in words, computed in the
 diagonal band that threshold allows.  Groups are connected components.
@@ -38,31 +41,38 @@ from linkloom.llm.common import body, connected_components, fresh, materialize,
 from linkloom.llm.words import WordHashes, mix, shingle_hashes, words
 
 K = 5
-PICKS = 64  # a band each
+PICKS = 64  # a band each; a power of two, and no more than the bits of a long
 SIMILARITY = 0.8
 ROUNDS = 3  # of further representatives, before what is left meets in blocks
-BLOCK_BYTES = 1 << 19  # word counts of the members of a block, about
+BLOCK_BYTES = 1 << 20  # texts and word counts of the members of a block, about
 BINS_A_WORD = 4
-SHARES = (64, 8, 1)  # one pair in so many is aligned a round, while there are many; the last round takes all that are left
 _CELLS = 4_000_000  # hash values held at once
 
 
 def occurrence_labelled(h: np.ndarray) -> np.ndarray:
     """Hashes of (k-mer, how often it came before)."""
+    ranked = np.sort(h)
+    if not (ranked[1:] == ranked[:-1]).any():  # most texts repeat none
+        return mix(h ^ mix(np.array([0x9E3779B97F4A7C15], dtype=np.uint64)))
     order = np.argsort(h, kind="stable")
     s = h[order]
-    first = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, dtype=bool)
-    starts = np.maximum.accumulate(np.where(first, np.arange(len(s)), 0)) if len(s) else np.zeros(0, dtype=int)
+    first = np.r_[True, s[1:] != s[:-1]]
+    starts = np.maximum.accumulate(np.where(first, np.arange(len(s)), 0))
     label = np.empty(len(h), dtype=np.uint64)
     label[order] = (np.arange(len(s)) - starts).astype(np.uint64)
     return mix(h ^ mix(label + np.uint64(0x9E3779B97F4A7C15)))
 
 
-def order_minhash(kmers: np.ndarray, picks: int = PICKS) -> np.ndarray:
-    """One value per pick: its two least k-mers, in text order (one k-mer counts twice)."""
+def pick_functions(picks: int = PICKS) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of the hash functions, one a pick."""
     rng = np.random.default_rng(20)
     factor = rng.integers(1, 1 << 63, picks, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = rng.integers(0, 1 << 63, picks, dtype=np.uint64)
+    return factor, rng.integers(0, 1 << 63, picks, dtype=np.uint64)
+
+
+def order_minhash(kmers: np.ndarray, picks: int = PICKS, functions: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """One value per pick: its two least k-mers, in text order (one k-mer counts twice)."""
+    factor, shift = functions or pick_functions(picks)
     out = np.empty(picks, dtype=np.uint64)
     step = max(1, _CELLS // max(1, len(kmers)))
     for lo in range(0, picks, step):
@@ -87,11 +97,12 @@ def edit_similarity(a: list, b: list, least: float = SIMILARITY) -> float:
     if longer == 0:
         return 1.0
     bound = int((1 - least) * longer + 1e-9)
+    shorter = min(len(a), len(b))
     lo = 0
-    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
+    while lo < shorter and a[lo] == b[lo]:
         lo += 1
     hi = 0
-    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
+    while hi < shorter - lo and a[-1 - hi] == b[-1 - hi]:
         hi += 1
     a, b = a[lo:len(a) - hi], b[lo:len(b) - hi]
     if len(a) > len(b):
@@ -179,14 +190,14 @@ def sketches(docs: DataFrame, key: str) -> DataFrame:
               "n_words int, bag binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, functions = WordHashes(), pick_functions()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
                 picks, counts, bags = [], [], []
                 for text in some.column(3).to_pylist():
                     h = hashes.array(words(text))
-                    picks.append(order_minhash(occurrence_labelled(shingle_hashes(h, K))).view(np.int64).tolist()
+                    picks.append(order_minhash(occurrence_labelled(shingle_hashes(h, K)), functions=functions).view(np.int64).tolist()
                                  if len(h) else [])
                     counts.append(len(h))
                     bags.append(word_bag(h).tobytes() if len(h) else b"")
@@ -200,18 +211,23 @@ def sketches(docs: DataFrame, key: str) -> DataFrame:
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
-    """(a, b, bucket...) from each bucket's least-hash member to every other; ``members``: bucket, cid."""
-    turn = F.struct(F.xxhash64("cid").alias("h"), "cid")
-    heads = (members.groupBy("bucket").agg(F.min(turn).alias("head"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("bucket", F.col("head.cid").alias("a")))
-    return members.join(heads, "bucket").where("cid != a").select("bucket", "a", F.col("cid").alias("b"))
+    """(a, b, mask): a band's least member a meets every other, b; bit i of ``mask`` is set where they share band i.
+
+    ``members``: bucket (its lowest bits are the band's number, so that a member is in a bucket once), cid.
+    """
+    heads = (members.groupBy("bucket").agg(F.min("cid").alias("a"), F.max("cid").alias("last"))
+             .where("a < last").select("bucket", "a"))
+    band = F.col("bucket").bitwiseAND(F.lit(PICKS - 1)).cast("int")
+    return (members.join(heads, "bucket").where("cid != a").groupBy("a", F.col("cid").alias("b"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), band)).alias("mask")))
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, similarity) of distinct pairs that reach the threshold; ``texts``: cid, text."""
     wanted = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    both = (wanted.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b"))
+    side = {c: texts.join(wanted.select(F.col(c).alias("cid")).distinct(), "cid", "left_semi")
+            .select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")) for c in "ab"}
+    both = wanted.join(side["a"], "a").join(side["b"], "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
@@ -224,75 +240,140 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
-def open_pairs(near: DataFrame, parts: DataFrame, bags: DataFrame) -> DataFrame:
-    """Distinct (a, b) of one bucket that are in two components and within reach by their word counts.
+def with_components(near: DataFrame, parts: DataFrame) -> DataFrame:
+    """``near`` (a, b, mask) with of_a and of_b, the components of both."""
+    of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
+    return (near.join(of["a"], "a", "left").join(of["b"], "b", "left")
+            .select("a", "b", "mask", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")))
+
+
+def open_stars(near: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of ``near`` (a, b, mask) with of_a and of_b, of those representatives that are still apart from one they met."""
+    placed = materialize(with_components(near, parts), "placed", compression="zstd")
+    apart = materialize(placed.where("of_a != of_b").select("a").distinct(), "apart")
+    return materialize(placed.join(apart, "a", "left_semi"), "open-stars", compression="zstd")
+
 
-    ``near``: bucket, a (representative), b; ``parts``: node, component;
-    ``bags``: cid, n_words, bag.  Members outside their representative's
+def open_links(stars: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) that link members of one band in two components: as many as join all that link, found where the members meet.
+
+    ``stars``: a (representative), b, mask, of_a, of_b; ``bags``: cid, n_words,
+    bag; ``texts``: cid, text.  Members outside their representative's
     component meet each other and the members inside it; the latter need no
-    comparison among themselves, the representative has met all.
+    comparison among themselves, the representative has met all.  Members that
+    share bands with several representatives meet at the least of them.  Two
+    blocks that meet give no more links than they have components to join.
     """
-    parts = parts.withColumnRenamed("node", "cid")
-    heads = (near.select("bucket", F.col("a").alias("cid")).distinct().join(parts, "cid", "left")
-             .select("bucket", F.coalesce("component", "cid").alias("home")))
-    members = (near.select("bucket", F.col("b").alias("cid")).join(parts, "cid", "left")
-               .withColumn("component", F.coalesce("component", "cid")).join(heads, "bucket")
-               .withColumn("rest", F.col("component") != F.col("home")).drop("home").join(bags, "cid"))
-    size = F.length("bag")
-    sides = (members.groupBy("bucket").agg(F.sum(F.when(F.col("rest"), size).otherwise(0)).alias("n_rest"),
-                                           F.sum(F.when(F.col("rest"), 0).otherwise(size)).alias("n_in"),
-                                           F.count(F.lit(1)).alias("n"))
-             .where("n_rest > 0 and n > 1")
-             .select("bucket", *[F.ceil(F.col(n) / BLOCK_BYTES).alias(n) for n in ("n_rest", "n_in")]))
-    dealt = (members.join(sides, "bucket")
-             .withColumn("block", F.pmod(F.xxhash64("cid", "bucket"), F.when(F.col("rest"), F.col("n_rest")).otherwise(F.col("n_in"))))
-             .groupBy("bucket", "rest", "block", "n_rest", "n_in")
-             .agg(F.collect_list(F.struct("cid", "component", "n_words", "bag")).alias("texts")))
-    blocks = materialize(dealt, "blocks")
+    rest = F.col("of_b") != F.col("of_a")
+    crowded = (stars.groupBy("a").agg(F.count_if(rest).alias("n_rest"), F.count(F.lit(1)).alias("n"))
+               .where("n_rest > 0 and n > 1").select("a"))
+    members = (stars.join(crowded, "a", "left_semi").groupBy(F.col("b").alias("cid"))
+               .agg(F.first("of_b").alias("component"), F.collect_list(F.struct("a", "mask", rest.alias("rest"))).alias("stars")))
+    whole = materialize(members.join(bags, "cid").join(texts, "cid").withColumn("size", F.length("bag") + F.octet_length("text")),
+                        "open-texts", compression="zstd")
+    placed = whole.select("*", F.explode("stars").alias("at")).select("at.*", "cid", "component", "n_words", "bag", "text", "stars", "size")
+    size = F.col("size").cast("long")
+    sides = (whole.select("size", F.explode("stars").alias("at")).select("at.*", "size").groupBy("a")
+             .agg(F.sum(F.when(F.col("rest"), size).otherwise(0)).alias("n_rest"),
+                  F.sum(F.when(F.col("rest"), 0).otherwise(size)).alias("n_in"))
+             .select("a", *[F.ceil(F.col(n) / BLOCK_BYTES).alias(n) for n in ("n_rest", "n_in")]))
+    dealt = (placed.join(sides, "a")
+             .withColumn("block", F.pmod(F.xxhash64("cid", "a"), F.when(F.col("rest"), F.col("n_rest")).otherwise(F.col("n_in"))))
+             .groupBy("a", "rest", "block", "n_rest", "n_in")
+             .agg(F.collect_list(F.struct("cid", "component", "mask", "n_words", "bag", "text", "stars")).alias("members")))
+    blocks = materialize(dealt, "blocks", compression="zstd")
 
     def upto(first, n):
         return F.when(n > first, F.sequence(first, n - 1)).otherwise(F.array().cast("array<bigint>"))
 
     meets = F.concat(F.transform(upto(F.col("block"), F.col("n_rest")), lambda i: F.struct(F.lit(True).alias("rest"), i.alias("block"))),
                      F.transform(upto(F.lit(0).cast("long"), F.col("n_in")), lambda i: F.struct(F.lit(False).alias("rest"), i.alias("block"))))
-    left = (blocks.where("rest").select("bucket", F.col("block").alias("own"), F.col("texts").alias("mine"), F.explode(meets).alias("m"))
-            .select("bucket", "own", "mine", "m.rest", "m.block"))
-    both = (left.join(blocks.select("bucket", "rest", "block", "texts"), ["bucket", "rest", "block"])
-            .select((F.col("rest") & (F.col("own") == F.col("block"))).alias("same"), "mine", "texts"))
+    left = (blocks.where("rest").select("a", F.col("block").alias("own"), F.col("members").alias("mine"), F.explode(meets).alias("m"))
+            .select("a", "own", "mine", "m.rest", "m.block"))
+    both = (left.join(blocks.select("a", "rest", "block", "members"), ["a", "rest", "block"])
+            .select("a", (F.col("rest") & (F.col("own") == F.col("block"))).alias("same"), "mine", "members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                same, mine, theirs = (batch.column(i)[k].as_py() for i in range(3))
-                by_bins: dict[int, list[dict]] = {}
-                for t in theirs:
-                    by_bins.setdefault(len(t["bag"]), []).append(t)
-                found_a, found_b = [], []
-                for bins, ts in by_bins.items():
-                    step = max(1, _CELLS // bins)
-                    for lo in range(0, len(ts), step):
-                        some = ts[lo:lo + step]
-                        cid, component = (np.array([t[c] for t in some], dtype=np.int64) for c in ("cid", "component"))
-                        lengths = np.array([t["n_words"] for t in some], dtype=np.int64)
-                        rows = np.frombuffer(b"".join(t["bag"] for t in some), dtype=np.uint8).reshape(len(some), bins)
-                        for x in mine:
-                            n = x["n_words"]
-                            fits = ((component != x["component"]) & (lengths >= SIMILARITY * n - 1)
-                                    & (n >= SIMILARITY * lengths - 1))
-                            if same:
-                                fits &= cid > x["cid"]
-                            at = np.flatnonzero(fits)
-                            if len(at):
-                                at = at[within_reach(n, np.frombuffer(x["bag"], dtype=np.uint8), lengths[at], rows[at])]
-                                found_a.append(np.minimum(cid[at], x["cid"]))
-                                found_b.append(np.maximum(cid[at], x["cid"]))
-                if found_a:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
-                                                     names=["a", "b"])
+                found = block_links(*(batch.column(i)[k].as_py() for i in range(2)), *(batch.column(i)[k].values for i in (2, 3)))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def block_links(head: int, same: bool, mine: pa.StructArray, theirs: pa.StructArray) -> list[tuple[int, int]]:
+    """Links that join the components of two blocks of members of ``head``'s bands; ``same``: both are one block."""
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in parent:
+            c = parent[c]
+        return c
+
+    sides = (mine, mine if same else theirs)
+    cid, component, mask, lengths = ([x.field(c).to_numpy().astype(np.int64) for x in sides] for c in ("cid", "component", "mask", "n_words"))
+    fits = ((component[0][:, None] != component[1]) & ((mask[0][:, None] & mask[1]) != 0)
+            & (lengths[1] >= SIMILARITY * lengths[0][:, None] - 1) & (lengths[0][:, None] >= SIMILARITY * lengths[1] - 1))
+    if same:
+        fits &= cid[1] > cid[0][:, None]
+    i, j = np.nonzero(fits)
+    if not len(i):
+        return []
+    bags = [x.field("bag").to_pylist() for x in sides]
+    near = pairs_within_reach(i, j, lengths, bags)
+    split: tuple[dict[int, list[str]], ...] = ({}, {})
+
+    def words_of(side: int, at: int) -> list[str]:
+        if at not in split[side]:
+            split[side][at] = words(sides[side].field("text")[at].as_py())
+        return split[side][at]
+
+    found = []
+    for x, y in zip(i[near].tolist(), j[near].tolist()):
+        u, v = root(int(component[0][x])), root(int(component[1][y]))
+        one, other = int(cid[0][x]), int(cid[1][y])
+        if u == v or _met_before(head, one, sides[0].field("stars")[x].as_py(), other, sides[1].field("stars")[y].as_py()):
+            continue
+        if edit_similarity(words_of(0, x), words_of(1, y)):
+            parent[max(u, v)] = min(u, v)
+            found.append((min(one, other), max(one, other)))
+    return found
+
+
+def pairs_within_reach(i: np.ndarray, j: np.ndarray, lengths: list[np.ndarray], bags: list[list[bytes]]) -> np.ndarray:
+    """Which pairs (i of the first, j of the second texts) word counts let link (see ``within_reach``), a few bins first, then all."""
+    keep = np.ones(len(i), dtype=bool)
+    bound = ((1 - SIMILARITY) * np.maximum(lengths[0][i], lengths[1][j]) + 1e-9).astype(np.int64)
+    sizes = [np.array([len(x) for x in side]) for side in bags]
+    common = np.minimum(sizes[0][i], sizes[1][j])
+    for bins in np.unique(common).tolist():
+        held = []
+        for side, size in zip(bags, sizes):
+            folded = np.zeros((len(side), bins), dtype=np.uint8)
+            for n in np.unique(size[size >= bins]).tolist():
+                at = np.flatnonzero(size == n)
+                folded[at] = _fold(np.frombuffer(b"".join(side[k] for k in at), dtype=np.uint8).reshape(len(at), n), bins)
+            held.append(folded)
+        for few in dict.fromkeys((max(64, bins // 8), bins)):
+            first, second = (_fold(x, few) for x in held)
+            totals = first.sum(axis=1, dtype=np.int64), second.sum(axis=1, dtype=np.int64)
+            left = np.flatnonzero(keep & (common == bins))
+            step = max(1, _CELLS // few)
+            for lo in range(0, len(left), step):
+                at = left[lo:lo + step]
+                both = np.maximum(first[i[at]], second[j[at]]).sum(axis=1, dtype=np.int64)
+                keep[at] = both - np.minimum(totals[0][i[at]], totals[1][j[at]]) <= bound[at]
+    return keep
+
+
+def _met_before(head: int, x: int, at_x: list[dict], y: int, at_y: list[dict]) -> bool:
+    """Whether two members meet at a lesser representative than ``head``, or one of them is a representative the other has met."""
+    masks = {s["a"]: s["mask"] for s in at_y}
+    return x in masks or any(s["a"] == y or s["a"] < head and s["mask"] & masks.get(s["a"], 0) for s in at_x)
+
+
 def merged_parts(parts: DataFrame, found: DataFrame) -> DataFrame:
     """Components (node, component) after further links; only the graph of the components is walked again."""
     of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
@@ -305,11 +386,10 @@ def merged_parts(parts: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(moved.unionByName(alone), "parts")
 
 
-def elect_rounds(members: DataFrame, parts: DataFrame, bags: DataFrame, texts: DataFrame,
-                 tried: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Components and tried pairs after rounds in which a member of each band meets the members of other components.
+def elect_rounds(stars: DataFrame, parts: DataFrame, bags: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``stars`` still open, and components, after rounds in which another member meets those of its bands in other components.
 
-    ``members``: bucket, cid of bands with two members or more.
+    ``stars``: a, b, mask, of_a, of_b; each round elects one b of every a.
     """
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
@@ -322,56 +402,30 @@ def elect_rounds(members: DataFrame, parts: DataFrame, bags: DataFrame, texts: D
 
     side = {c: bags.select(F.col("cid").alias(c), F.col("n_words").alias(f"n_{c}"), F.col("bag").alias(f"bag_{c}")) for c in "ab"}
     for k in range(ROUNDS):
-        placed = (members.select("bucket", "cid").join(parts.withColumnRenamed("node", "cid"), "cid", "left")
-                  .withColumn("component", F.coalesce("component", "cid")))
-        turn = F.struct(F.xxhash64("cid", F.lit(k)).alias("h"), "cid", "component")
-        heads = (placed.groupBy("bucket").agg(F.min(turn).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
-                 .where("low < high").select("bucket", F.col("head.cid").alias("head"), F.col("head.component").alias("home")))
-        members = materialize(placed.join(heads, "bucket").select("bucket", "cid", "component", "head", "home"), "open-members")
-        pairs = (members.where("component != home")
-                 .select(F.least("head", "cid").alias("a"), F.greatest("head", "cid").alias("b")).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
+        turn = F.struct(F.xxhash64("b", F.lit(k)).alias("h"), "b", "mask", "of_b")
+        heads = (stars.groupBy("a").agg(F.min(turn).alias("head"))
+                 .select("a", F.col("head.b").alias("elected"), F.col("head.mask").alias("shared"), F.col("head.of_b").alias("home")))
+        pairs = (stars.join(heads, "a").where((F.col("of_b") != F.col("home")) & (F.col("mask").bitwiseAND(F.col("shared")) != 0))
+                 .select(F.least("elected", "b").alias("a"), F.greatest("elected", "b").alias("b")).distinct())
         near = materialize(pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "n_a", "bag_a", "n_b", "bag_b")
                            .mapInArrow(reach, "a long, b long"), "elected")
         found = materialize(verify(near, texts), "elected-links")
-        tried = tried.unionByName(near)
         if found.isEmpty():
             break
         parts = merged_parts(parts, found)
-    return parts, tried
+        stars = open_stars(stars.select("a", "b", "mask"), parts)
+    return stars, parts
 
 
-def open_bands(near: DataFrame, tried: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of ``near`` (bucket, a, b) of the bands that hold several components: those with a tried pair still apart."""
-    of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
-    apart = materialize(tried.join(of["a"], "a", "left").join(of["b"], "b", "left")
-                        .where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b"), "apart")
-    at = near.select("bucket", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    bands = materialize(at.join(apart, ["a", "b"], "left_semi").select("bucket").distinct(), "open-bands")
-    return materialize(near.join(bands, "bucket", "left_semi"), "open-near")
-
-
-def link_rest(near: DataFrame, tried: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
+def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
     """Components by ``links`` and, among what the representatives left apart, by as many more as join all that link."""
     parts = materialize(connected_components(links), "parts")
-    near = open_bands(near, tried, parts)
-    crowded = near.select("bucket", F.col("a").alias("cid")).distinct().unionByName(near.select("bucket", F.col("b").alias("cid")))
-    parts, tried = elect_rounds(crowded, parts, bags, texts, tried)
-    pending = materialize(open_pairs(near, parts, bags).join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    n = pending.count()
-    for one_in in SHARES:
-        if not n:
-            break
-        if one_in > 1 and n < one_in * 10_000:
-            continue
-        turn = F.pmod(F.xxhash64("a", "b"), F.lit(one_in)) == 0
-        parts = merged_parts(parts, materialize(verify(pending.where(turn), texts), "more-links"))
-        if one_in > 1:
-            of = {c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
-            pending = materialize(pending.where(~turn).join(of["a"], "a", "left").join(of["b"], "b", "left")
-                                  .where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b"), "open-pairs")
-            n = pending.count()
-    return parts
+    stars = open_stars(near, parts)
+    ids = stars.select(F.col("b").alias("cid")).distinct()
+    bags = materialize(bags.join(ids, "cid", "left_semi"), "open-bags", compression="zstd")
+    stars, parts = elect_rounds(stars, parts, bags, texts)
+    found = materialize(open_links(stars, bags, texts), "more-links")
+    return parts if found.isEmpty() else merged_parts(parts, found)
 
 
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
@@ -384,19 +438,19 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
                                                              F.first("n_words").alias("n_words"), F.first("bag").alias("bag"))
                           .withColumn("cid", F.monotonically_increasing_id()), "classes", compression="zstd")
     sketched = classes.where(F.size("picks") > 0)
-    band = [F.xxhash64(F.lit(i), F.col("picks")[i]) for i in range(PICKS)]
+    # the lowest bits of a band's key are its number
+    band = [F.xxhash64(F.lit(i), F.col("picks")[i]).bitwiseAND(F.lit(-PICKS)).bitwiseOR(F.lit(i)) for i in range(PICKS)]
     members = sketched.select("cid", F.explode(F.array(*band)).alias("bucket"))
     near = materialize(star_pairs(members), "candidates", compression="zstd")
-    tried = materialize(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
     # one text per class that is in any pair, by the class's least row
-    ids = tried.select(F.col("a").alias("cid")).union(tried.select(F.col("b").alias("cid"))).distinct()
+    ids = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
     reps = classes.join(ids, "cid", "left_semi").select("cid", F.col("least.doc_id").alias("__d"),
                                                         F.col("least.key").alias("__k"))
     plain = keyed.select("doc_id", key, body().alias("text"))
     texts = materialize(plain.join(reps, null_safe(plain, reps, [("doc_id", "__d"), (key, "__k")]))
-                        .select("cid", "text").dropDuplicates(["cid"]), "texts")
-    links = materialize(verify(tried, texts), "links")
-    parts = link_rest(near, tried, links, classes.select("cid", "n_words", "bag"), texts)
+                        .select("cid", "text").dropDuplicates(["cid"]), "texts", compression="zstd")
+    links = materialize(verify(near, texts), "links")
+    parts = link_rest(near, links, classes.select("cid", "n_words", "bag"), texts)
     named = (classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
     groups = named.groupBy("component").agg(F.min("least").alias("g"))

@@ -76,3 +76,38 @@ def test_helper_names_do_not_clash(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, __d string, __k string, __rows int")
     assert sorted(r["doc_id"] for r in om.drop_near_duplicates(docs).collect()) == [1, 3]
     assert line_dedup.dedup_lines(docs).columns == docs.columns and line_dedup.dedup_lines(docs).count() == 3
+
+
+def test_members_that_meet_in_blocks_are_compared_or_joined(spark, monkeypatch):
+    """Without further representatives, and in blocks of a few texts, every two texts of a band that link are one group."""
+    rng = random.Random(12)
+    texts = [" ".join([*(f"w{i}" for i in range(40)), *(f"g{g}x{rng.randrange(60)}" for _ in range(60))]) for g in range(3) for _ in range(30)]
+    texts += families(6, 12, 30, 60, 6, 3)
+    monkeypatch.setattr(om, "ROUNDS", 0)
+    monkeypatch.setattr(om, "BLOCK_BYTES", 1 << 13)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r["doc_id"]: r["group_id"] for r in om.group_documents(docs).collect()}
+    links = bucket_links(texts)
+    assert len(links) > 50 and all(group[a] == group[b] for a, b in links)
+
+
+def test_blocks_that_meet_give_the_links_that_join():
+    """100 texts of which all 4950 pairs link leave the task as 99 rows."""
+    hashes, rows = WordHashes(), []
+    for d in range(100):
+        ws = [f"w{i}" for i in range(100)]
+        ws[d] = f"y{d}"
+        rows.append({"cid": d, "component": d, "mask": -1, "n_words": 100, "bag": om.word_bag(hashes.array(ws)).tobytes(),
+                     "text": " ".join(ws), "stars": [{"a": -1, "mask": -1}]})
+    assert len(om.block_links(-1, True, om.pa.array(rows), om.pa.array(rows))) == 99
+    assert len(om.block_links(-1, False, om.pa.array(rows[:50]), om.pa.array(rows[50:]))) == 99
+    for r in rows[50:]:
+        r["mask"], r["stars"] = 0, [{"a": -1, "mask": 0}]  # in no band with the first
+    assert not om.block_links(-1, False, om.pa.array(rows[:50]), om.pa.array(rows[50:]))
+
+
+def test_a_member_meets_its_representative_in_one_row(spark):
+    members = spark.createDataFrame([(b * om.PICKS + i, c) for b in (1, 2) for i in range(om.PICKS) for c in (b * 10, b * 10 + 1, b * 10 + 2)],
+                                    "bucket long, cid long")
+    got = sorted(tuple(r) for r in om.star_pairs(members).select("a", "b", "mask").collect())
+    assert got == [(10, 11, -1), (10, 12, -1), (20, 21, -1), (20, 22, -1)]  # before: one row a band, 256 of them
