@@ -153,7 +153,10 @@ class Reader:
             self.word.clear()
             self.arrays = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
         star = new("*" * 12)
-        at = np.array([known[t] if t in known else new(t) for t in tokens], dtype=np.int64)
+        try:
+            at = np.array([known[t] for t in tokens], dtype=np.int64)
+        except KeyError:
+            at = np.array([known[t] if t in known else new(t) for t in tokens], dtype=np.int64)
         if hidden:
             masked = at.copy()
             masked[list(hidden)] = star
