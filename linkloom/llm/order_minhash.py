@@ -31,6 +31,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -247,17 +248,30 @@ def with_components(near: DataFrame, parts: DataFrame) -> DataFrame:
             .select("a", "b", "mask", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")))
 
 
-def open_stars(near: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of ``near`` (a, b, mask) with of_a and of_b, of those representatives that are still apart from one they met."""
-    placed = materialize(with_components(near, parts), "placed", compression="zstd")
-    apart = materialize(placed.where("of_a != of_b").select("a").distinct(), "apart")
-    return materialize(placed.join(apart, "a", "left_semi"), "open-stars", compression="zstd")
+def placed_stars(near: DataFrame, parts: DataFrame) -> DataFrame:
+    return materialize(with_components(near.select("a", "b", "mask"), parts), "placed", compression="zstd")
+
+
+def open_stars(placed: DataFrame) -> DataFrame:
+    """Rows of ``placed`` (a, b, mask, of_a, of_b) whose b shares a band of a with a member of another component.
+
+    A representative has met all its members, so members of one component
+    have nothing left to compare, and components only ever grow together.
+    """
+    per_part = placed.groupBy("a", "of_b").agg(F.bit_or("mask").alias("mask"))
+    parts_in = [F.count_if(F.getbit("mask", F.lit(i)) == 1).alias(f"n{i}") for i in range(PICKS)]
+    bit = [F.when(F.col(f"n{i}") > 1, F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(i))).otherwise(F.lit(0).cast("long"))
+           for i in range(PICKS)]
+    live = materialize(per_part.groupBy("a").agg(F.count(F.lit(1)).alias("n"), *parts_in).where("n > 1")
+                       .select("a", reduce(lambda x, y: x.bitwiseOR(y), bit).alias("live")).where("live != 0"), "live-bands")
+    return materialize(placed.join(live, "a").where(F.col("mask").bitwiseAND(F.col("live")) != 0).select(*placed.columns),
+                       "open-stars", compression="zstd")
 
 
 def open_links(stars: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b) that link members of one band in two components: as many as join all that link, found where the members meet.
 
-    ``stars``: a (representative), b, mask, of_a, of_b; ``bags``: cid, n_words,
+    ``stars``: a (representative), b, mask, of_a, of_b, of ``open_stars``; ``bags``: cid, n_words,
     bag; ``texts``: cid, text.  Members outside their representative's
     component meet each other and the members inside it; the latter need no
     comparison among themselves, the representative has met all.  Members that
@@ -265,9 +279,7 @@ def open_links(stars: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame
     blocks that meet give no more links than they have components to join.
     """
     rest = F.col("of_b") != F.col("of_a")
-    crowded = (stars.groupBy("a").agg(F.count_if(rest).alias("n_rest"), F.count(F.lit(1)).alias("n"))
-               .where("n_rest > 0 and n > 1").select("a"))
-    members = (stars.join(crowded, "a", "left_semi").groupBy(F.col("b").alias("cid"))
+    members = (stars.groupBy(F.col("b").alias("cid"))
                .agg(F.first("of_b").alias("component"), F.collect_list(F.struct("a", "mask", rest.alias("rest"))).alias("stars")))
     whole = materialize(members.join(bags, "cid").join(texts, "cid").withColumn("size", F.length("bag") + F.octet_length("text")),
                         "open-texts", compression="zstd")
@@ -389,7 +401,7 @@ def merged_parts(parts: DataFrame, found: DataFrame) -> DataFrame:
 def elect_rounds(stars: DataFrame, parts: DataFrame, bags: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``stars`` still open, and components, after rounds in which another member meets those of its bands in other components.
 
-    ``stars``: a, b, mask, of_a, of_b; each round elects one b of every a.
+    ``stars``: a, b, mask, of_a, of_b; each round elects one b of every a.  What a round closes is left out once, after the last.
     """
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
@@ -413,14 +425,14 @@ def elect_rounds(stars: DataFrame, parts: DataFrame, bags: DataFrame, texts: Dat
         if found.isEmpty():
             break
         parts = merged_parts(parts, found)
-        stars = open_stars(stars.select("a", "b", "mask"), parts)
-    return stars, parts
+        stars = placed_stars(stars, parts)
+    return open_stars(stars), parts
 
 
 def link_rest(near: DataFrame, links: DataFrame, bags: DataFrame, texts: DataFrame) -> DataFrame:
     """Components by ``links`` and, among what the representatives left apart, by as many more as join all that link."""
     parts = materialize(connected_components(links), "parts")
-    stars = open_stars(near, parts)
+    stars = open_stars(placed_stars(near, parts))
     ids = stars.select(F.col("b").alias("cid")).distinct()
     bags = materialize(bags.join(ids, "cid", "left_semi"), "open-bags", compression="zstd")
     stars, parts = elect_rounds(stars, parts, bags, texts)

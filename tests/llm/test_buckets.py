@@ -111,3 +111,14 @@ def test_a_member_meets_its_representative_in_one_row(spark):
                                     "bucket long, cid long")
     got = sorted(tuple(r) for r in om.star_pairs(members).select("a", "b", "mask").collect())
     assert got == [(10, 11, -1), (10, 12, -1), (20, 21, -1), (20, 22, -1)]  # before: one row a band, 256 of them
+
+
+def test_members_with_nothing_left_to_compare_are_no_open_rows(spark):
+    """Rows of a star are open where a band of theirs holds members of two components."""
+    rows = [(1, 2, 0b011, 1, 1), (1, 3, 0b100, 1, 1), (1, 4, 0b010, 1, 9),  # 3 shares no band with 4
+            (5, 6, 0b1, 5, 6), (5, 7, 0b1, 5, 6),                           # one component, which 5 has met
+            (8, 10, -1, 8, 10),                                             # alone
+            (11, 12, -1 << 63, 11, 12), (11, 13, -1 << 63, 11, 13)]         # the last band, three components
+    placed = spark.createDataFrame(rows, "a long, b long, mask long, of_a long, of_b long")
+    got = sorted((r["a"], r["b"]) for r in om.open_stars(placed).collect())
+    assert got == [(1, 2), (1, 4), (11, 12), (11, 13)]  # before: all eight
