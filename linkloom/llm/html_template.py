@@ -26,8 +26,13 @@ What a slot is for is read from the page and weighed with the host's counts:
 A page whose text would be gone, or whose main text would lose more than nine
 tenths to the template (a host of copies), keeps what the template took.
 
-Vectors are summed before any shuffle, so a host with a third of all pages is
-no hot group; a host's template is one row, no larger than about one page.
+Pages are parsed once, into a table of their blocks.  Few tokens are on four
+fifths of a host's pages, so vectors are kept for those alone that may be:
+per host, pages are first counted by ``SLOTS`` slots of token hashes, and a
+token is on no more pages than its slot, so leaving out the tokens of rarer
+slots loses none.  Slots and vectors are summed before any shuffle, so a host
+with a third of all pages is no hot group; a host's template is one row, no
+larger than about one page.
 
 Defined results: null html is empty text; null urls are one host; repeated
 rows repeat; an empty table gives an empty result; extra columns are ignored;
@@ -37,17 +42,19 @@ tag cut off at the end of the page is dropped.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import materialize
-from linkloom.llm.words import hash64
+from linkloom.llm.words import WordHashes, hash64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/!?][^>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
@@ -71,6 +78,8 @@ HALF = 0.5
 ALL_LINKS = 0.8
 LEAST_LEFT = 0.1
 HELD = 100_000   # tokens a task sums before it hands them on
+HELD_HOSTS = 500  # hosts whose slots a task sums before it hands them on
+SLOTS = 2048
 
 
 @dataclass
@@ -192,20 +201,54 @@ def _host(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def _word(path: str, word: str) -> int:
-    return hash64(f"{path}\0{word}".encode("utf-8", "surrogatepass")) >> 1
+def pack_blocks(blocks: list[Block], tags: dict[str, int]) -> bytes:
+    """Blocks and tags of a page as compressed JSON behind its length."""
+    kinds: dict[tuple, int] = {}
+    rows = [(kinds.setdefault((b.path, b.regions), len(kinds)), b.out, b.article, b.main, b.link_chars, b.links, b.text) for b in blocks]
+    raw = json.dumps([tags, list(kinds), rows], ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def page_tokens(html: str) -> tuple[dict[int, int], dict[str, list[int]], int]:
-    """Counts of a page's tokens; per region [text, text in links, links, pages with an article outside it]; text that may be main."""
-    blocks, tags = page_blocks(html)
-    counts = {_word(path, "<"): n for path, n in tags.items()}
+def unpack_blocks(packed: bytes) -> tuple[list[Block], dict[str, int]]:
+    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+    tags, kinds, rows = json.loads(raw.decode("utf-8", "surrogatepass"))
+    kinds = [(path, tuple(map(tuple, regions))) for path, regions in kinds]
+    return [Block(kinds[k][0], [], link_chars, links, out, article, main, kinds[k][1], text)
+            for k, out, article, main, link_chars, links, text in rows], tags
+
+
+class Tokens:
+    """63-bit token hashes: a path's and a word's, exclusive or."""
+
+    def __init__(self) -> None:
+        self.words, self.paths = WordHashes(), WordHashes()
+
+    def of_page(self, blocks: list[Block], tags: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct tokens of a page and how often each is on it."""
+        texts = [b.text.split() for b in blocks]
+        words = self.words.array([w for ws in texts for w in ws])
+        paths = np.repeat(self.paths.array([b.path for b in blocks]), [len(ws) for ws in texts])
+        opens = self.words.array(["<"]) ^ self.paths.array(list(tags))
+        tokens, n = np.unique((words ^ paths) >> np.uint64(1), return_counts=True)
+        return (np.concatenate([tokens, opens >> np.uint64(1)]).astype(np.int64),
+                np.concatenate([n, np.array(list(tags.values()), dtype=np.int64)]))
+
+    def constant(self, block: Block, common: frozenset, valid: frozenset) -> bool:
+        """Whether every word of a block is common, and most are of valid classes."""
+        words, inside = block.text.split() if common else [], 0
+        for lo in range(0, len(words), 16):
+            for token in ((self.words.array(words[lo:lo + 16]) ^ self.paths.array([block.path])) >> np.uint64(1)).tolist():
+                if token not in common:
+                    return False
+                inside += token in valid
+        return bool(words) and 2 * inside > len(words)
+
+
+def region_sums(blocks: list[Block]) -> tuple[dict[str, list[int]], int]:
+    """Per region [text, text in links, links, pages with an article outside it]; text that may be main."""
     regions: dict[str, list[int]] = {}
     chars = 0
     for b in blocks:
-        for w in b.text.split():
-            key = _word(b.path, w)
-            counts[key] = counts.get(key, 0) + 1
         if b.out:
             continue
         chars += len(b.text)
@@ -217,50 +260,115 @@ def page_tokens(html: str) -> tuple[dict[int, int], dict[str, list[int]], int]:
     for name, r in regions.items():
         path = tuple(name.split(" ", 1))
         r[3] = int(any((b.article or b.main) and not b.out and path not in b.regions for b in blocks))
-    return counts, regions, chars
+    return regions, chars
 
 
-def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """Per host and token (or region, or the host itself: token 0): pages, vector hash, and a region's sums."""
-    schema = "host string, token long, region string, pages long, vector long, chars long, link_chars long, links long, others long"
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """A row per page (host, blocks), and rows of sums: per host and region ('' is the host), and per host the pages of its slots."""
+    kind = pages.schema["page_id"].dataType.simpleString()
+    schema = (f"page_id {kind}, url string, host string, blocks binary, region string, pages long, chars long, link_chars long, "
+              "links long, others long, slots array<short>, counts array<int>")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, int, str | None], list[int]] = {}
-
-        def flush():
-            rows = list(sums.values())
-            keys = [pa.array(c, t) for c, t in zip(list(zip(*sums)) or [(), (), ()], (pa.string(), pa.int64(), pa.string()))]
+        tokens = Tokens()
+        sums: dict[tuple[str, str], list[int]] = {}
+        hits: dict[str, np.ndarray] = {}
+
+        def rows(types: list[pa.DataType], n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns
+                                               else pa.nulls(n, t) for c, t in zip(names, types)], names=names)
+
+        def flush(types):
+            yield rows(types, len(sums), host=[h for h, _ in sums], region=[r for _, r in sums],
+                       **{c: [v[i] for v in sums.values()] for i, c in enumerate(names[5:10])})
+            found = {h: np.flatnonzero(c) for h, c in hits.items()}
+            yield rows(types, len(hits), host=list(hits), slots=[x.tolist() for x in found.values()],
+                       counts=[hits[h][x].tolist() for h, x in found.items()])
             sums.clear()
-            return pa.RecordBatch.from_arrays([*keys, *[pa.array([r[i] for r in rows], pa.int64()) for i in range(6)]], names=names)
-
-        for batch in batches:
-            for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                host, page = _host(url), hash64(f"{url}".encode("utf-8", "surrogatepass"))
-                counts, regions, chars = page_tokens(html or "")
-                for token, n in counts.items():
-                    s = sums.setdefault((host, token, None), [0, 0, 0, 0, 0, 0])
-                    s[0] += 1
-                    s[1] += hash((page, n)) & 0xFFFFFFFF
+            hits.clear()
+
+        types = None
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
+            types = [batch.schema.field(0).type, pa.string(), pa.string(), pa.binary(), pa.string(), *[pa.int64()] * 5,
+                     pa.list_(pa.int16()), pa.list_(pa.int32())]
+            hosts, packed = [], []
+            for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                host = _host(url)
+                blocks, tags = page_blocks(html or "")
+                hosts.append(host)
+                packed.append(pack_blocks(blocks, tags))
+                hit = np.zeros(SLOTS, dtype=bool)
+                hit[tokens.of_page(blocks, tags)[0] % SLOTS] = True
+                if host not in hits:
+                    hits[host] = np.zeros(SLOTS, dtype=np.int32)
+                hits[host] += hit
+                regions, chars = region_sums(blocks)
                 for region, values in (*regions.items(), ("", [chars, 0, 0, 0])):
-                    s = sums.setdefault((host, 0, region), [0, 0, 0, 0, 0, 0])
+                    s = sums.setdefault((host, region), [0, 0, 0, 0, 0])
                     s[0] += 1
                     for i, v in enumerate(values):
-                        s[2 + i] += v
+                        s[1 + i] += v
+                if len(hits) > HELD_HOSTS or len(sums) > HELD:
+                    yield from flush(types)
+            yield rows(types, batch.num_rows, page_id=batch.column(0), url=batch.column(1), host=hosts, blocks=packed)
+        if types:
+            yield from flush(types)
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, schema)
+
+
+def _may_cover(pages: str) -> Column:
+    return (F.col(pages) >= LEAST_PAGES) & (F.col(pages) >= COVER * F.col("all_pages"))
+
+
+def occurrence_vectors(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Per host and token that may be on most of the host's pages: pages and vector hash."""
+    schema = "host string, token long, pages long, vector long"
+    counted = parsed.where("slots is not null").select("host", F.explode(F.arrays_zip("slots", "counts")).alias("at"))
+    slots = (counted.groupBy("host", "at.slots").agg(F.sum("at.counts").alias("on")).join(hosts, "host").where(_may_cover("on"))
+             .groupBy("host").agg(F.collect_list("slots").alias("open")))  # SLOTS at most
+    # a small table's size lets Spark send it to the pages; a large one meets them in a shuffle
+    joined = (parsed.where("blocks is not null").select("url", "host", "blocks")
+              .join(materialize(slots, "host-slots"), "host").select("url", "host", "blocks", "open"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, known = Tokens(), {}
+        sums: dict[tuple[str, int], list[int]] = {}
+
+        def flush():
+            keys = [pa.array(c, t) for c, t in zip(list(zip(*sums)) or [(), ()], (pa.string(), pa.int64()))]
+            values = [pa.array([r[i] for r in sums.values()], pa.int64()) for i in range(2)]
+            sums.clear()
+            return pa.RecordBatch.from_arrays([*keys, *values], names=["host", "token", "pages", "vector"])
+
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
+            for k, (url, host, packed) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(3)))):
+                if host not in known:
+                    if len(known) > HELD_HOSTS:
+                        known.clear()
+                    known[host] = np.zeros(SLOTS, dtype=bool)
+                    known[host][batch.column(3)[k].as_py()] = True
+                page = hash64(f"{url}".encode("utf-8", "surrogatepass"))
+                found, n = tokens.of_page(*unpack_blocks(packed))
+                may = known[host][found % SLOTS]
+                for token, times in zip(found[may].tolist(), n[may].tolist()):
+                    s = sums.setdefault((host, token), [0, 0])
+                    s[0] += 1
+                    s[1] += hash((page, times)) & 0xFFFFFFFF
                 if len(sums) > HELD:
                     yield flush()
         yield flush()
 
-    return (pages.select("url", "html").mapInArrow(run, schema).groupBy("host", "token", "region")
-            .agg(*[F.sum(c).alias(c) for c in names[3:]]))
+    return joined.mapInArrow(run, schema).groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("vector").alias("vector"))
 
 
-def host_templates(pages: DataFrame) -> DataFrame:
-    """host, common (tokens on most pages), valid (those in valid classes), left_out (regions)."""
-    tokens = materialize(occurrence_vectors(pages), "tokens")
-    hosts = tokens.where("region = ''").select("host", F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars"))
-    frequent = (tokens.where("region is null").join(hosts, "host")
-                .where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= COVER * F.col("all_pages"))))
+def host_templates(parsed: DataFrame) -> DataFrame:
+    """host, common (tokens on most pages), valid (those in valid classes), left_out (regions); ``parsed``: of ``parsed_pages``."""
+    regions = materialize(parsed.where("region is not null").groupBy("host", "region")
+                          .agg(*[F.sum(c).alias(c) for c in ("pages", "chars", "link_chars", "links", "others")]), "regions")
+    hosts = regions.where("region = ''").select("host", F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars"))
+    frequent = occurrence_vectors(parsed, hosts).join(hosts, "host").where(_may_cover("pages"))
     classes = frequent.groupBy("host", "vector").agg(F.collect_list("token").alias("tokens"))  # tokens of about one page
     template = classes.groupBy("host").agg(
         F.flatten(F.collect_list("tokens")).alias("common"),
@@ -270,47 +378,42 @@ def host_templates(pages: DataFrame) -> DataFrame:
     gone = (((kind == "named") & ((F.col("others") >= HALF * F.col("pages")) | (F.col("chars") < HALF * F.col("all_chars"))))
             | ((kind == "contains") & (linked >= HALF))
             | ((kind == "list") & (linked >= ALL_LINKS) & (F.col("links") >= 3 * F.col("pages"))))
-    left_out = (tokens.where("region != ''").join(hosts, "host").where(gone)
+    left_out = (regions.where("region != ''").join(hosts, "host").where(gone)
                 .groupBy("host").agg(F.collect_list("region").alias("left_out")))
     return template.join(left_out, "host", "full")
 
 
-def main_text(html: str | None, common: frozenset = frozenset(), valid: frozenset = frozenset(),
+def main_text(blocks: list[Block], tokens: Tokens, common: frozenset = frozenset(), valid: frozenset = frozenset(),
               left_out: frozenset = frozenset()) -> str:
     """Text of the blocks that fill the template's slots and belong to the main text, a block a line."""
-    blocks = [b for b in page_blocks(html or "")[0] if not b.out]
+    blocks = [b for b in blocks if not b.out]
     inside = [b for b in blocks if b.article] or [b for b in blocks if b.main]
     kept = [b for b in inside or blocks
             if not any(f"{kind} {path}" in left_out for kind, path in b.regions if kind != "list" or not inside)]
-    slots = [b for b in kept if not _constant(b, common, valid)]
+    slots = [b for b in kept if not tokens.constant(b, common, valid)]
     if sum(len(b.text) for b in slots) < LEAST_LEFT * sum(len(b.text) for b in kept):
         slots = kept
     return "\n".join(b.text for b in slots or inside or blocks)
 
 
-def _constant(block: Block, common: frozenset, valid: frozenset) -> bool:
-    words = [_word(block.path, w) for w in block.text.split()] if common else []
-    return bool(words) and common.issuperset(words) and 2 * sum(w in valid for w in words) > len(words)
-
-
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
-    plain = pages.select("page_id", "url", "html")
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1), F.lit("")))
-    joined = (plain.withColumn("host", host).join(host_templates(plain), "host", "left")
-              .select("page_id", "url", "html", "host", "common", "valid", "left_out"))
+    parsed = materialize(parsed_pages(pages), "parsed-pages", compression="zstd")
+    joined = (parsed.where("blocks is not null").select("page_id", "url", "host", "blocks")
+              .join(materialize(host_templates(parsed), "templates"), "host", "left")
+              .select("page_id", "url", "blocks", "host", "common", "valid", "left_out"))
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[frozenset, ...]] = {}
-        for batch in batches:
+        tokens, known = Tokens(), {}
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
             texts = []
-            for k, (html, host) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            for k, (packed, host) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 if host not in known:
-                    if len(known) > 500:
+                    if len(known) > HELD_HOSTS:
                         known.clear()
                     known[host] = tuple(frozenset(batch.column(4 + i)[k].as_py() or ()) for i in range(3))
-                texts.append(main_text(html, *known[host]))
+                texts.append(main_text(unpack_blocks(packed)[0], tokens, *known[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

@@ -68,3 +68,24 @@ def test_generated_templates(spark, seed):
             want.append("\n".join(texts))
     got = extract(spark, pages)
     assert [got[i] for i in range(len(pages))] == want
+
+
+def test_only_tokens_that_may_cover_a_host_are_counted(spark):
+    """Templates equal plain counts over whole pages; tokens of single articles leave no task (before: every token did)."""
+    rng = random.Random(4)
+    pages = [(i, f"http://h{i % 5}.example/{i}", f"<body><div class=top>The site {i % 5} &amp; its name</div><p>{sentence(rng, 200)} é\U0001f600</p>")
+             for i in range(60)] + [(60 + i, None, f"<p>same words {sentence(rng, 3)}") for i in range(3)]
+    parsed = html_template.parsed_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).cache()
+    tokens, on, n_pages = html_template.Tokens(), {}, {}
+    for _, url, html in pages:
+        host = html_template._host(url)
+        n_pages[host] = n_pages.get(host, 0) + 1
+        blocks, tags = html_template.page_blocks(html)
+        assert html_template.unpack_blocks(html_template.pack_blocks(blocks, tags))[1] == tags
+        for token in tokens.of_page(blocks, tags)[0].tolist():
+            on[host, token] = on.get((host, token), 0) + 1
+    want = {k for k, n in on.items() if n >= 4 and n >= html_template.COVER * n_pages[k[0]]}
+    templates = {r["host"]: r for r in html_template.host_templates(parsed).collect()}
+    assert {(h, t) for h, r in templates.items() for t in r["common"] or []} == want and len(want) > 25
+    hosts = spark.createDataFrame(list(n_pages.items()), "host string, all_pages long")
+    assert len(want) <= html_template.occurrence_vectors(parsed, hosts).count() < len(on) / 50
