@@ -66,7 +66,10 @@ ANY_OTHER = r"AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 
 def pattern_spans(text: str) -> list[tuple[int, str, int, int]]:
     """(start, kind, end, start of the value) of the fixed patterns, by start, then kind as listed."""
-    out = [(m.start(), 0, m.end(), m.start(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    lower = text.lower()
+    out = []
+    if any(word in lower for word in KEY_WORDS):
+        out += [(m.start(), 0, m.end(), m.start(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end(), m.start()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [(m.start(), 2, m.end(), m.start()) for m in HEX.finditer(text)]
@@ -75,6 +78,7 @@ def pattern_spans(text: str) -> list[tuple[int, str, int, int]]:
 
 _CLASS = {**{ord(c): "x" for c in string.ascii_lowercase}, **{ord(c): "X" for c in string.ascii_uppercase},
           **{ord(c): "0" for c in string.digits}}
+_LENGTHS, _VARIETIES = (2, 4, 8, 12, 16, 20, 24, 32, 41, 64), (3, 6, 9, 12, 15, 20)
 _RUN = re.compile(r"([xX0])\1+")
 _HEX = re.compile(r"[0-9a-fA-F]+")
 
@@ -85,12 +89,15 @@ def _bucket(x: float, steps: tuple) -> int:
 
 def look_of(token: str) -> tuple:
     """What a token looks like: shape (runs of lower case, upper case and digits), then buckets and kinds."""
-    n, classes = len(token), token.translate(_CLASS)
+    n = len(token)
+    if token.isascii() and token.isalpha() and token[n > 1:].islower():  # most words, capitalised or not
+        return ("x" if n == 1 or token.islower() else "Xx", bisect_right(_LENGTHS, n), 0, bisect_right(_VARIETIES, len(set(token))),
+                _HEX.fullmatch(token) is not None, False)
+    classes = token.translate(_CLASS)
     shape = _RUN.sub(r"\1", classes)
     if len(shape) > 6:
         shape = f"{shape[:2]}~{min(len(shape) // 4, 6)}"
-    return (shape, _bucket(n, (2, 4, 8, 12, 16, 20, 24, 32, 41, 64)), _bucket(classes.count("0") / n, (0.01, 0.2, 0.5, 1.0)),
-            _bucket(len(set(token)), (3, 6, 9, 12, 15, 20)), _HEX.fullmatch(token) is not None, token.isupper())
+    return (shape, _bucket(n, _LENGTHS), _bucket(classes.count("0") / n, (0.01, 0.2, 0.5, 1.0)), _bucket(len(set(token)), _VARIETIES), _HEX.fullmatch(token) is not None, token.isupper())
 
 
 def describe(look: tuple) -> list[str]:
@@ -113,23 +120,48 @@ def _plain(token: str) -> str:
     return token.lower() if len(token) <= 10 and not _DIGIT.search(token) else "*"
 
 
+class Rows:
+    """An array that grows by rows at its end, copied whenever it has doubled only."""
+
+    def __init__(self, *shape: int, dtype: type = np.float64) -> None:
+        self.n, self.data = 0, np.zeros((1024, *shape), dtype=dtype)
+
+    def add(self, rows: np.ndarray) -> None:
+        while self.n + len(rows) > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        self.data[self.n:self.n + len(rows)] = rows
+        self.n += len(rows)
+
+
+class Known(dict):
+    """Tokens' rows; a new token gets its row when it is first asked for."""
+
+    def __init__(self, new) -> None:
+        super().__init__()
+        self.new = new
+
+    def __missing__(self, token: str) -> int:
+        return self.new(token)
+
+
 class Reader:
     """Feature numbers of token sequences; remembers what tokens look like."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}               # token -> its row in the two lists below
-        self.look: list[int] = []                     # number of its description
-        self.word: list[int] = []                     # its hash as a neighbour
         self.looks: dict[tuple, int] = {}
         self.own: list[list[int]] = []                # features of a description by itself
         self.shape: list[int] = []                    # hash of its shape
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Known(self.new)                  # token -> its row in the two lists below
+        self.look: list[int] = []                     # number of its description
+        self.word: list[int] = []                     # number of its hash as a neighbour
         self.words: dict[str, int] = {}
-        self.arrays = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        self.hashes: list[int] = [0]                  # of neighbours; 0 stands beyond the ends
+        self.arrays = Rows(2, dtype=np.int64)         # the two lists
 
-    def token(self, token: str) -> int:
-        at = self.known.get(token)
-        if at is not None:
-            return at
+    def new(self, token: str) -> int:
         look = look_of(token)
         if look not in self.looks:
             self.looks[look] = len(self.own)
@@ -137,34 +169,32 @@ class Reader:
             self.shape.append(hash64(f"shape={look[0]}".encode("utf-8", "surrogatepass")))
         word = _plain(token)
         if word not in self.words:
-            self.words[word] = hash64(word.encode("utf-8", "surrogatepass"))
+            self.words[word] = len(self.hashes)
+            self.hashes.append(hash64(word.encode("utf-8", "surrogatepass")))
         self.known[token] = at = len(self.look)
         self.look.append(self.looks[look])
         self.word.append(self.words[word])
         return at
 
-    def read(self, tokens: list[str], hidden: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of descriptions and neighbour hashes; words at ``hidden`` places are read as any long token."""
-        known, new = self.known, self.token
-        if len(known) > KNOWN:
-            known.clear()
-            self.words.clear()
-            self.look.clear()
-            self.word.clear()
-            self.arrays = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-        star = new("*" * 12)
-        try:
-            at = np.array([known[t] for t in tokens], dtype=np.int64)
-        except KeyError:
-            at = np.array([known[t] if t in known else new(t) for t in tokens], dtype=np.int64)
+    def places(self, tokens: list[str], hidden: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of descriptions and of neighbours; words at ``hidden`` places are read as any long token."""
+        if len(self.known) > KNOWN:
+            self.forget()
+        row = self.known.__getitem__
+        star = row("*" * 12)
+        at = np.fromiter(map(row, tokens), np.int64, len(tokens))
         if hidden:
             masked = at.copy()
             masked[list(hidden)] = star
-        if len(self.arrays[0]) < len(self.look):
-            held = len(self.arrays[0])
-            self.arrays = (np.concatenate([self.arrays[0], np.array(self.look[held:], dtype=np.int64)]),
-                           np.concatenate([self.arrays[1], np.array(self.word[held:], dtype=np.uint64)]))
-        return self.arrays[0][at], self.arrays[1][masked if hidden else at]
+        held = self.arrays.n
+        if held < len(self.look):
+            self.arrays.add(np.array([self.look[held:], self.word[held:]], dtype=np.int64).T)
+        return self.arrays.data[at, 0], self.arrays.data[masked if hidden else at, 1]
+
+    def read(self, tokens: list[str], hidden: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of descriptions and neighbour hashes."""
+        looks, words = self.places(tokens, hidden)
+        return looks, np.array([self.hashes[w] for w in words.tolist()], dtype=np.uint64)
 
 
 def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
@@ -223,33 +253,58 @@ class Field:
 
 
 class Tagger:
-    """A field at work: token scores from the weights, summed once per description."""
+    """A field at work: token scores from the weights, summed once per description and per neighbour."""
 
     def __init__(self, field: Field):
         self.field, self.reader = field, Reader()
         self.sums = np.zeros((0, 3))
         self.shape = np.zeros(0, dtype=np.uint64)
+        self.before = np.zeros((0, 3))                      # what a description adds to the token after it
+        self.held = self.reader.hashes
+        self.near = Rows(len(NEAR), 3)                      # what a neighbour adds, by its distance
         self.whole: dict[tuple[int, str], np.ndarray] = {}  # what a feature of the whole text adds to every description
-
-    def scores(self, tokens: list[str], file: list[str]) -> np.ndarray:
-        looks, words = self.reader.read(tokens)
-        if len(self.sums) < len(self.reader.own):
-            new = self.reader.own[len(self.sums):]
-            self.sums = np.concatenate([self.sums, [self.field.emission[f].sum(axis=0) for f in new]])
-            self.shape = np.array(self.reader.shape, dtype=np.uint64)
-        out = self.sums[looks]
-        if len(looks):
-            around = neighbour_features(looks, words, self.shape).T
-            near = self.field.emission[around[0]]
-            for column in around[1:]:
-                near += self.field.emission[column]
-            out = out + near
+        self.both: dict[tuple[str, ...], np.ndarray] = {}   # descriptions' sums with all features of the whole text
+
+    def _look_up(self) -> None:
+        """Sums of the descriptions and neighbours that are new."""
+        emission, reader = self.field.emission, self.reader
+        if len(self.sums) < len(reader.own):
+            new = reader.own[len(self.sums):]
+            self.sums = np.concatenate([self.sums, [emission[f].sum(axis=0) for f in new]])
+            self.shape = np.array(reader.shape, dtype=np.uint64)
+            self.before = emission[_mixed(self.shape, 99)]
+        hashes = reader.hashes
+        if hashes is not self.held:  # the reader has begun anew
+            self.held, self.near = hashes, Rows(len(NEAR), 3)
+        if self.near.n < len(hashes):
+            new = np.array(hashes[self.near.n:], dtype=np.uint64)
+            self.near.add(np.stack([emission[_mixed(new, 50 + d)] for d in NEAR], axis=1))
+
+    def _own(self, file: list[str]) -> np.ndarray:
+        key = tuple(file)
+        if len(self.both.get(key, self.sums[:0])) < len(self.sums):
+            self.both[key] = self.sums
             for k, name in enumerate(file):
                 adds = self.whole.get((k, name), self.sums[:0])
                 if len(adds) < len(self.shape):
                     new = _mixed(self.shape[len(adds):] ^ np.uint64(_feature(name)), 200 + k)
                     self.whole[k, name] = adds = np.concatenate([adds, self.field.emission[new]])
-                out = out + adds[looks]
+                self.both[key] = self.both[key] + adds
+        return self.both.get(key, self.sums)
+
+    def scores(self, tokens: list[str], file: list[str]) -> np.ndarray:
+        looks, words = self.reader.places(tokens)
+        self._look_up()
+        n = len(looks)
+        if not n:
+            return np.zeros((0, 3))
+        out = self._own(file)[looks]
+        for k, d in enumerate(NEAR):  # beyond the ends stands word 0
+            at = np.zeros(n, dtype=np.int64)
+            at[max(0, -d):n - max(0, d)] = words[max(0, d):n - max(0, -d)]
+            out += self.near.data[at, k]
+        out[1:] += self.before[looks[:-1]]
+        out[0] += self.field.emission[_mixed(np.zeros(1, dtype=np.uint64), 99)[0]]
         return out
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int]]]:

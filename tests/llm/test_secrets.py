@@ -122,3 +122,29 @@ def test_the_choice_of_documents_with_matches_is_that_of_the_patterns(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id for r in df.where(ss.may_match(F.col("text"))).collect()}
     assert got == {i for i, t in enumerate(texts) if ss.pattern_spans(t)}
+
+
+def test_known_words_are_summed_once(monkeypatch):
+    """Token scores equal the plain sum over all features, also when the reader begins anew; known words are not hashed again."""
+    rng = np.random.default_rng(3)
+    field = sc.Field(rng.normal(size=(1 << sc.BITS, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    texts = [" ".join(f"Word{i * k % 97}x = {'ab' * (k % 5)} {i}" for i in range(60)) for k in range(1, 40)] + ["", "one"]
+    monkeypatch.setattr(sc, "KNOWN", 150)
+    tagger = sc.Tagger(field)
+    for text in texts:
+        tokens, file = sc.TOKEN.findall(text), sc.file_features(text)
+        reader = sc.Reader()
+        looks, words = reader.read(tokens)
+        shape = np.array(reader.shape, dtype=np.uint64)
+        near = sc.neighbour_features(looks, words, shape)
+        whole = [sc._mixed(shape[looks] ^ np.uint64(sc._feature(x)), 200 + k) for k, x in enumerate(file)]
+        plain = np.array([field.emission[[*reader.own[x], *near[i], *(w[i] for w in whole)]].sum(axis=0) for i, x in enumerate(looks)])
+        assert np.allclose(tagger.scores(tokens, file), plain.reshape(-1, 3))
+    monkeypatch.setattr(sc, "KNOWN", 10_000)
+    hashed, mixed = [], sc._mixed
+    monkeypatch.setattr(sc, "_mixed", lambda h, salt: hashed.append(len(h)) or mixed(h, salt))
+    for again in range(2):
+        hashed.clear()
+        for text in texts:
+            tagger.scores(sc.TOKEN.findall(text), sc.file_features(text))
+    assert sum(hashed) <= len(texts)  # before: six for every token
