@@ -47,7 +47,7 @@ SIMILARITY = 0.8
 ROUNDS = 3  # of further representatives, before what is left meets in blocks
 BLOCK_BYTES = 1 << 20  # texts and word counts of the members of a block, about
 BINS_A_WORD = 4
-_CELLS = 4_000_000  # hash values held at once
+_CELLS = 500_000  # hash values held at once
 
 
 def occurrence_labelled(h: np.ndarray) -> np.ndarray:
