@@ -105,7 +105,7 @@ def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
     at = [f.name for f in columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (many.slice(lo, 500) for many in batches for lo in range(0, many.num_rows, 500)):
             texts, lines, removed = [], [], []
             for text, starts in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist()):
                 kept, n, m = cut_lines(text, starts)

@@ -209,7 +209,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (many.slice(lo, 500) for many in batches for lo in range(0, many.num_rows, 500)):
             keep = [s < THRESHOLD for s in _scores(model.value, batch.column(at).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -1,12 +1,14 @@
 """What a task holds at once is bounded, whatever it is given."""
 
 import random
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.llm import common, suffix_dedup
+from linkloom.llm import common, order_minhash, suffix_dedup
 
 
 @pytest.mark.parametrize("own", ["64MB", "1MB", "1000000"])
@@ -42,3 +44,14 @@ def test_contexts_of_one_lead_are_hashed_some_at_a_time():
     got = suffix_dedup.compare_runs(table, powers).to_pylist()
     assert [(r["doc_id"], r["start"], r["stop"]) for r in got] == [(7, 0, 600), (1990, 0, 600)]
     assert powers.n <= 1 << 18  # of 1200000 bytes
+
+
+def test_picks_of_a_long_text_are_made_some_at_a_time(monkeypatch):
+    kmers = np.random.default_rng(4).integers(0, 1 << 63, 60000, dtype=np.uint64)
+    tracemalloc.start()
+    got = order_minhash.order_minhash(kmers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6
+    monkeypatch.setattr(order_minhash, "_CELLS", 1 << 40)
+    assert (got == order_minhash.order_minhash(kmers)).all()
